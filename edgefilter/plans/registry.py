@@ -32,6 +32,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so that its ``@register`` calls run."""
     from edgefilter.plans import (  # noqa: F401
+        q_bloom,
         q_profile,
     )
 

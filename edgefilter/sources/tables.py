@@ -79,9 +79,12 @@ from edits
 """
 
 
-def with_ctes(body: str, clean: bool = True) -> str:
-    """Prefix an oracle statement with the ``edits`` (and ``clean``) CTEs."""
+def with_ctes(body: str, clean: bool = True, extra: list[tuple[str, str]] | None = None) -> str:
+    """Prefix an oracle statement with the ``edits`` (and ``clean``) CTEs,
+    followed by ``extra`` (name, body) CTEs in order."""
     ctes = [f"edits as ({EDITS_SQL})"]
     if clean:
         ctes.append(f"clean as ({CLEAN_SQL})")
+    for name, sql in extra or []:
+        ctes.append(f"{name} as ({sql})")
     return "with " + ",\n".join(ctes) + "\n" + body
