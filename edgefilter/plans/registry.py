@@ -33,6 +33,7 @@ def load_all() -> None:
     """Import every query module so that its ``@register`` calls run."""
     from edgefilter.plans import (  # noqa: F401
         q_bloom,
+        q_knn,
         q_profile,
     )
 
