@@ -35,6 +35,7 @@ def load_all() -> None:
         q_bloom,
         q_knn,
         q_profile,
+        q_sources,
     )
 
 
