@@ -120,17 +120,16 @@ def lsh_hash_array(vec: Column, projs: list[list[float]], bucket_length: float)
                      for r in projs])
 
 
-def lsh_candidates(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str,
-                   projs: list[list[float]], bucket_length: float) -> DataFrame:
-    """(q_id, q_vec, id, vec, first_table) for pairs sharing >= 1 bucket.
+def bucket_join(data_h: DataFrame, queries_h: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """Candidate pairs from precomputed hash arrays.
 
-    Each pair appears once: only the join row of the first table in which
-    the two hash arrays agree survives.
+    ``data_h`` has (id, vec, _h), ``queries_h`` has (q_id, q_vec, _qh); the
+    arrays hold one bucket id per table. Returns (q_id, q_vec, id, vec,
+    first_table), each pair once: only the join row of the first table in
+    which the two hash arrays agree survives.
     """
-    d = data.select(id_col, vec_col, lsh_hash_array(F.col(vec_col), projs, bucket_length).alias("_h"))
-    d = d.select("*", F.posexplode("_h").alias("_t", "_b"))
-    q = queries.select("q_id", "q_vec", lsh_hash_array(F.col("q_vec"), projs, bucket_length).alias("_qh"))
-    q = q.select("*", F.posexplode("_qh").alias("_t", "_b"))
+    d = data_h.select(id_col, vec_col, "_h", F.posexplode("_h").alias("_t", "_b"))
+    q = queries_h.select("q_id", "q_vec", "_qh", F.posexplode("_qh").alias("_t", "_b"))
     j = d.join(F.broadcast(q), ["_t", "_b"], "inner")
     agree = F.zip_with(F.col("_h"), F.col("_qh"), lambda a, b: a == b)
     first = F.array_position(agree, True) - 1
@@ -138,15 +137,41 @@ def lsh_candidates(data: DataFrame, queries: DataFrame, id_col: str, vec_col: st
         "q_id", "q_vec", id_col, vec_col, F.col("_t").alias("first_table"))
 
 
+def lsh_candidates(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str,
+                   projs: list[list[float]], bucket_length: float) -> DataFrame:
+    """(q_id, q_vec, id, vec, first_table) for pairs sharing >= 1 bucket."""
+    d = data.select(id_col, vec_col, lsh_hash_array(F.col(vec_col), projs, bucket_length).alias("_h"))
+    q = queries.select("q_id", "q_vec", lsh_hash_array(F.col("q_vec"), projs, bucket_length).alias("_qh"))
+    return bucket_join(d, q, id_col, vec_col)
+
+
+def rank_candidates(cands: DataFrame, id_col: str, vec_col: str, k: int,
+                    exclude_self: bool = True) -> DataFrame:
+    """Exact distance ranking of candidate pairs: (q_id, id, dist, rank)."""
+    if exclude_self:
+        cands = cands.filter(F.col(id_col) != F.col("q_id"))
+    scored = cands.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec")).alias("dist"))
+    top = topk(scored, ["q_id"], [F.col("dist"), F.col(id_col)], k)
+    return top.select("q_id", id_col, F.round("dist", DIGITS).alias("dist"), "rank")
+
+
+def recall_of(exact: DataFrame, approx: DataFrame, queries: DataFrame, id_col: str, k: int,
+              n_rows: DataFrame) -> DataFrame:
+    """One row: mean over queries of shared neighbours / min(k, rows - 1)."""
+    hits = exact.select("q_id", id_col).join(approx.select("q_id", id_col), ["q_id", id_col]) \
+                .groupBy("q_id").agg(F.count(F.lit(1)).alias("hits"))
+    per_q = queries.select("q_id").join(hits, "q_id", "left").join(F.broadcast(n_rows), how="cross")
+    return per_q.agg(
+        F.count(F.lit(1)).alias("n_queries"),
+        F.round(F.avg(F.coalesce(F.col("hits"), F.lit(0)) / F.least(F.lit(k), F.col("n") - 1)),
+                DIGITS).alias("recall"))
+
+
 def lsh_topk(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k: int,
              projs: list[list[float]], bucket_length: float, exclude_self: bool = True) -> DataFrame:
     """Approximate k nearest: exact distance ranking among LSH candidates."""
     c = lsh_candidates(data, queries, id_col, vec_col, projs, bucket_length)
-    if exclude_self:
-        c = c.filter(F.col(id_col) != F.col("q_id"))
-    scored = c.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec")).alias("dist"))
-    top = topk(scored, ["q_id"], [F.col("dist"), F.col(id_col)], k)
-    return top.select("q_id", id_col, F.round("dist", DIGITS).alias("dist"), "rank")
+    return rank_candidates(c, id_col, vec_col, k, exclude_self)
 
 
 def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,

@@ -34,6 +34,7 @@ def load_all() -> None:
     from edgefilter.plans import (  # noqa: F401
         q_bloom,
         q_knn,
+        q_ml,
         q_model,
         q_profile,
         q_sources,
