@@ -38,6 +38,7 @@ def load_all() -> None:
         q_model,
         q_profile,
         q_sources,
+        q_stream,
     )
 
 

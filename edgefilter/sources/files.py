@@ -146,3 +146,21 @@ def raw_changes_from_tables(documents: DataFrame, events: DataFrame) -> DataFram
         F.struct(F.floor(F.col("value")).cast("int").alias("new"),
                  F.when(F.col("doc_id") % 13 == 0, F.lit(None).cast("int")).otherwise(F.lit(50)).alias("old"))
          .alias("length"))
+
+
+def edit_json_lines(edits_df: DataFrame, garbage: DataFrame | None = None) -> DataFrame:
+    """Stream messages for the edits: mostly single JSON objects, pairs of
+    consecutive ids as two-element arrays (every third pair), plus any
+    ``garbage`` text lines (which must parse to no record)."""
+    rec = F.struct(*EDIT_COLUMNS)
+    opts = {"ignoreNullFields": "false"}
+    pair = F.floor(F.col("id") / 2)
+    keyed = edits_df.withColumn("_pair", pair)
+    singles = keyed.filter(F.col("_pair") % 3 != 0).select(F.to_json(rec, opts).alias("value"))
+    arrays = (keyed.filter(F.col("_pair") % 3 == 0).groupBy("_pair")
+                   .agg(F.to_json(F.array_sort(F.collect_list(rec)), opts).alias("value"))
+                   .select("value"))
+    out = singles.unionByName(arrays)
+    if garbage is not None:
+        out = out.unionByName(garbage.select(F.col("value").cast("string").alias("value")))
+    return out
