@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgefilter.functions.hashing import md5_u32, md5_u32_sql
+from edgefilter.session import cut_lineage
 
 BITS_PER_BUCKET = 32768
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -125,17 +126,25 @@ class BloomFilter:
 
     @classmethod
     def build(cls, keys: DataFrame, key: str, spec: BloomSpec | None = None,
-              false_positive_rate: float = 0.1) -> "BloomFilter":
+              false_positive_rate: float = 0.1, materialize: bool = False) -> "BloomFilter":
         """Filter over the distinct non-null values of ``key``.
 
-        Without a spec, n is the distinct key count (one aggregate action).
+        Without a spec, n is the distinct key count: the distinct keys are
+        then checkpointed once, counted, and hashed from the checkpoint, and
+        the bit table is checkpointed too, so every later probe reads at
+        most m/8 bytes instead of re-deriving the keys.
+        ``materialize`` checkpoints the bit table also when a spec is given.
         """
         distinct = keys.select(key).filter(F.col(key).isNotNull()).distinct()
         n_keys = None
         if spec is None:
+            distinct = cut_lineage(distinct)
             n_keys = distinct.count()
             spec = BloomSpec(n_keys, false_positive_rate)
+            materialize = True
         bits = bits_from_positions(key_positions(distinct, key, spec).select("pos"))
+        if materialize:
+            bits = cut_lineage(bits)
         return cls(spec, bits, n_keys)
 
     def add(self, keys: DataFrame, key: str) -> "BloomFilter":

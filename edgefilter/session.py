@@ -53,3 +53,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the checkpoint root for one written table."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the checkpoint folder and return the re-read copy.
+
+    Reliable checkpoint (never ``localCheckpoint``): the data lives in the
+    shared folder, so losing an executor does not lose it, and later jobs
+    start from it instead of recomputing the plan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
