@@ -40,11 +40,20 @@ def stop_words(language: str = "english") -> list[str]:
     return list(ENGLISH_STOP_WORDS)
 
 
+def raw_words(c: Column) -> Column:
+    """Lower-cased Unicode words, stop words included."""
+    return F.regexp_extract_all(F.lower(c), F.lit(WORD_PATTERN), 0)
+
+
+def is_stop_word(w: Column, language: str = "english") -> Column:
+    # IN over a literal list becomes a hash-set lookup (InSet); an array
+    # literal with array_contains would be a linear scan per word.
+    return w.isin(stop_words(language))
+
+
 def words(c: Column, language: str = "english") -> Column:
     """Lower-cased Unicode words minus stop words; duplicates are kept."""
-    sw = F.array(*[F.lit(w) for w in stop_words(language)])
-    found = F.regexp_extract_all(F.lower(c), F.lit(WORD_PATTERN), 0)
-    return F.filter(found, lambda w: ~F.array_contains(sw, w))
+    return F.filter(raw_words(c), lambda w: ~is_stop_word(w, language))
 
 
 def stop_words_sql(language: str = "english") -> str:

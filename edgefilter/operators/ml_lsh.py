@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgefilter.operators import knn
+from edgefilter.session import cut_lineage
 
 VEC = "NormalizedWord2Vec"
 
@@ -23,8 +24,9 @@ VEC = "NormalizedWord2Vec"
 def name_pipeline(seed: int = 42, vector_size: int = 100, num_partitions: int = 1) -> Pipeline:
     """Tokenizer -> Word2Vec (minCount 0) -> L2 Normalizer.
 
-    ``num_partitions`` > 1 trains Word2Vec in parallel (approximate merge of
-    per-partition updates, as Spark documents); 1 matches the defaults.
+    ``num_partitions`` > 1 trains Word2Vec in parallel (per-partition
+    updates merged, as Spark documents); with 1 the whole corpus is trained
+    in a single task.
     """
     tok = Tokenizer(inputCol="name", outputCol="words")
     w2v = Word2Vec(inputCol="words", outputCol="word2vec", minCount=0, seed=seed,
@@ -33,9 +35,17 @@ def name_pipeline(seed: int = 42, vector_size: int = 100, num_partitions: int =
     return Pipeline(stages=[tok, w2v, norm])
 
 
-def name_vectors(names: DataFrame, seed: int = 42) -> DataFrame:
-    """(name, NormalizedWord2Vec) for a DataFrame with a ``name`` column."""
-    model: PipelineModel = name_pipeline(seed).fit(names)
+def name_vectors(names: DataFrame, seed: int = 42, num_partitions: int | None = None) -> DataFrame:
+    """(name, NormalizedWord2Vec) for a DataFrame with a ``name`` column.
+
+    Training runs on ``num_partitions`` tasks, by default the cluster's
+    default parallelism, so no single task holds the whole corpus. (Spark's
+    Word2Vec keeps its vocabulary on the driver; with minCount 0 that is
+    every distinct token.)
+    """
+    if num_partitions is None:
+        num_partitions = max(1, names.sparkSession.sparkContext.defaultParallelism)
+    model: PipelineModel = name_pipeline(seed, num_partitions=num_partitions).fit(names)
     return model.transform(names).select("name", VEC)
 
 
@@ -87,7 +97,10 @@ def recall_ml(model, data: DataFrame, k: int, percent: int = 10, max_queries: in
 def tune(data: DataFrame, tables=(1, 3, 5), lengths=(0.5, 1.0, 2.0), k: int = 250,
          seed: int = 42, percent: int = 10, max_queries: int = 50) -> DataFrame:
     """Recall for every grid point, as one DataFrame (fits only draw the
-    random directions; all evaluation runs when the result is consumed)."""
+    random directions; all evaluation runs when the result is consumed).
+    The vectors are checkpointed once instead of being re-derived by each
+    of the grid's evaluations."""
+    data = cut_lineage(data)
     parts = []
     for t in tables:
         for b in lengths:

@@ -13,7 +13,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edgefilter.functions.text import words
+from edgefilter.functions.text import is_stop_word, raw_words
 
 DIGITS = 6
 
@@ -104,7 +104,8 @@ def feature_correlation(clean: DataFrame, features=CORRELATION_FEATURES) -> Data
 
 def word_counts(clean: DataFrame, language: str = "english") -> DataFrame:
     """(word, count) over the comments of the given rows."""
-    w = clean.select(F.explode(words(F.col("comment"), language)).alias("word"))
+    w = clean.select(F.explode(raw_words(F.col("comment"))).alias("word"))
+    w = w.filter(~is_stop_word(F.col("word"), language))
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 

@@ -58,10 +58,10 @@ from (select n, p, cast(ceil(-(n * ln(p)) / (ln(2) * ln(2))) as bigint) as m
     extra=_FILTER[:4]))
 def q_bloom_params(spark, sf_dir):
     n = blacklist_users(spark, sf_dir).agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n"))
-    ps = spark.createDataFrame([(0.1,), (0.01,), (0.001,)], "p double")
+    rates = F.explode(F.array(F.lit(0.1), F.lit(0.01), F.lit(0.001))).alias("p")
     ln2 = F.log(F.lit(2.0))
     m = F.ceil(-(F.col("n") * F.log(F.col("p"))) / (ln2 * ln2)).cast("bigint")
-    return (n.join(F.broadcast(ps), how="cross")   # 3-row parameter table
+    return (n.select("n", rates)
              .select(F.col("n").cast("bigint").alias("expected_items"),
                      F.col("p").alias("false_positive_rate"), m.alias("size"))
              .withColumn("hash_count", F.ceil(F.col("size") / F.col("expected_items") * ln2).cast("bigint")))

@@ -104,8 +104,10 @@ def q_classification_metrics(spark, sf_dir):
 # -- Spark ML model (rows only: fitted weights have no SQL equivalent) --------------------
 
 def _fit_default(spark, sf_dir):
+    """Fit on the persisted training rows: IDF and every optimiser pass
+    re-read them, so they are computed once."""
     train, test = train_test(spark, sf_dir)
-    return M.bot_pipeline().fit(train), test
+    return M.bot_pipeline().fit(train.persist()), test
 
 
 @register("feature_vectors")

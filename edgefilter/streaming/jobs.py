@@ -114,29 +114,40 @@ class BlacklistState:
             return self.spark.createDataFrame([], "user string, epoch long")
         return k if before is None else k.filter(F.col("epoch") < before)
 
-    def filter_before(self, epoch: int) -> BloomFilter:
-        """The filter as of the end of the latest epoch before ``epoch``."""
+    def _latest_before(self, epoch: int):
+        """(snapshot rows, spec row) of the latest epoch before ``epoch``; one job."""
         snaps = self._read("bloom")
         if snaps is None:
-            return BloomFilter.empty(self.spark, self.default_spec)
+            return None, None
         prior = snaps.filter(F.col("epoch") < epoch)
-        last = prior.agg(F.max("epoch").alias("e")).first()["e"]
-        if last is None:
+        meta = prior.agg(F.max_by(F.struct("epoch", "expected_items", "false_positive_rate", "n_keys"),
+                                  F.col("epoch")).alias("m")).first()["m"]
+        if meta is None:
+            return None, None
+        return prior.filter(F.col("epoch") == meta["epoch"]), meta
+
+    def filter_before(self, epoch: int) -> BloomFilter:
+        """The filter as of the end of the latest epoch before ``epoch``."""
+        snap, meta = self._latest_before(epoch)
+        if snap is None:
             return BloomFilter.empty(self.spark, self.default_spec)
-        snap = prior.filter(F.col("epoch") == last)
-        meta = snap.select("expected_items", "false_positive_rate").first()
         spec = BloomSpec(int(meta["expected_items"]), float(meta["false_positive_rate"]))
-        return BloomFilter(spec, snap.select("bucket", "bits"))
+        return BloomFilter(spec, snap.select("bucket", "bits"), int(meta["n_keys"]))
 
     def commit(self, epoch: int, new_keys: DataFrame, before: BloomFilter) -> int:
-        """Write epoch's keys and the updated snapshot; returns the key count."""
+        """Write epoch's keys and the updated snapshot; returns the new key count.
+
+        Keys of different epochs are disjoint (a flagged user is in every
+        later filter, which has no false negatives), so the running key count
+        is carried in the snapshot instead of re-counting the key table.
+        """
         new_keys = new_keys.select("user").filter(F.col("user").isNotNull()).distinct()
         new_keys.write.mode("overwrite").parquet(f"{self.root}/keys/epoch={epoch}")
         written = self.spark.read.parquet(f"{self.root}/keys/epoch={epoch}")
         n_new = written.count()
         if n_new == 0:
             return 0
-        total = self.keys(before=epoch + 1).select("user").distinct().count()
+        total = (before.n_keys or 0) + n_new
         spec = before.spec
         if total > spec.n:
             # Grow: rebuild from the key table (source of truth) at >= 2n.
@@ -146,7 +157,8 @@ class BlacklistState:
             bf = before.add(written, "user")
         snap = bf.bits.select("bucket", "bits",
                               F.lit(spec.expected_items).cast("bigint").alias("expected_items"),
-                              F.lit(spec.false_positive_rate).alias("false_positive_rate"))
+                              F.lit(spec.false_positive_rate).alias("false_positive_rate"),
+                              F.lit(total).cast("bigint").alias("n_keys"))
         snap.write.mode("overwrite").parquet(f"{self.root}/bloom/epoch={epoch}")
         return n_new
 
@@ -165,11 +177,12 @@ def filter_score_update(state: BlacklistState, scorer: Scorer, threshold: float
     """foreachBatch function: drop known senders, score the rest, grow the list."""
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
+        bf = state.filter_before(epoch_id)
+        marked = bf.mark(batch, "user", "_seen").persist()
         try:
-            bf = state.filter_before(epoch_id)
-            unseen = bf.anti_join(batch, "user").persist()
-            n_batch, n_unseen = batch.count(), unseen.count()
+            counts = marked.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_seen")).alias("u")).first()
+            n_batch, n_unseen = int(counts["n"]), int(counts["u"])
+            unseen = marked.filter(~F.col("_seen")).drop("_seen")
             if n_unseen == 0:
                 state.commit(epoch_id, unseen.select("user"), bf)
                 state.report(epoch_id, n_batch, 0, 0)
@@ -178,9 +191,8 @@ def filter_score_update(state: BlacklistState, scorer: Scorer, threshold: float
             bots = scored.filter(F.col("prediction") >= threshold).select("user")
             n_new = state.commit(epoch_id, bots, bf)
             state.report(epoch_id, n_batch, n_unseen, n_new)
-            unseen.unpersist()
         finally:
-            batch.unpersist()
+            marked.unpersist()
 
     return process
 

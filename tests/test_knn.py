@@ -75,3 +75,20 @@ def test_candidates_once_per_pair(spark):
     q = knn.query_set(data, "vec_id", "embedding", 10, 5)
     c = knn.lsh_candidates(data, q, "vec_id", "embedding", knn.projections(64, 4, 1), 0.1)
     assert c.count() == c.select("q_id", "vec_id").distinct().count()
+
+
+def test_ml_bucket_join_matches_spark_nearest_neighbors(spark):
+    """The broadcast bucket join over ML hashes returns what Spark's own
+    approxNearestNeighbors returns for each key (candidates share a bucket,
+    ranked by distance)."""
+    from edgefilter.operators import ml_lsh as ML
+    names = spark.read.parquet(f"{SF01}/part.parquet").select(F.col("p_name").alias("name")).distinct()
+    v = ML.name_vectors(names, 42, num_partitions=1).cache()
+    model = ML.fit_lsh(v, 2, 0.05, seed=3)
+    q = ML.query_rows(v, percent=100, max_queries=3)
+    mine = ML.ann_topk(model, v, q, 5).collect()
+    for row in q.collect():
+        ref = model.approxNearestNeighbors(v, row[ML.VEC], 6).filter(F.col("name") != row.name)
+        ref_names = [r.name for r in ref.orderBy("distCol", "name").limit(5).collect()]
+        got = [r.name for r in sorted((r for r in mine if r.q_id == row.name), key=lambda r: r["rank"])]
+        assert got == ref_names
