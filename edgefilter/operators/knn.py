@@ -58,10 +58,13 @@ def topk(df: DataFrame, group: list[str], order: list[Column], k: int,
     window group before the shuffle, so a group never receives more than
     ``fan_in * k`` rows in round two, and a round-one group only the
     partial top-k of its block, however large or skewed the group is.
+    The default fan-in grows with the square root of the cluster's
+    parallelism (counting the input partitions would plan, and under AQE
+    run, the upstream stages).
     """
     if fan_in is None:
-        parts = df.rdd.getNumPartitions()
-        fan_in = max(1, int(math.ceil(math.sqrt(parts))))
+        par = df.sparkSession.sparkContext.defaultParallelism
+        fan_in = max(2, int(math.ceil(math.sqrt(4 * par))))
     salted = df.withColumn("_blk", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
     w1 = Window.partitionBy(*group, "_blk").orderBy(*order)
     first = salted.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k).drop("_r", "_blk")
