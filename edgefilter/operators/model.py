@@ -115,14 +115,24 @@ def load_model(path: str) -> PipelineModel:
 # -- relational term hashing (checkable) ------------------------------------------
 
 def tokens(df: DataFrame, text: str = "comment") -> DataFrame:
-    """Whitespace tokens as the ML Tokenizer makes them, without empties."""
-    toks = Tokenizer(inputCol=text, outputCol="_tok").transform(df)
-    return toks.withColumn("tokens", F.filter("_tok", lambda t: t != "")).drop("_tok")
+    """Whitespace tokens as the ML Tokenizer makes them (lower-case, split on
+    single whitespace), without the empty ones; native expressions, so they
+    stay inside whole-stage code generation."""
+    toks = F.split(F.lower(F.col(text)), r"\s")
+    return df.withColumn("tokens", F.filter(toks, lambda t: t != ""))
 
 
 def remove_stop_words(df: DataFrame, col: str = "tokens", language: str = "english") -> DataFrame:
-    rem = StopWordsRemover(inputCol=col, outputCol="_filtered", stopWords=stop_words(language), locale="en_US")
-    return rem.transform(df).drop(col).withColumnRenamed("_filtered", col)
+    """The StopWordsRemover filter on lower-case tokens, as a hash-set IN."""
+    sw = stop_words(language)
+    return df.withColumn(col, F.filter(F.col(col), lambda t: ~t.isin(sw)))
+
+
+def ml_tokens(df: DataFrame, text: str = "comment") -> DataFrame:
+    """Same tokens through the ML transformers (the model pipeline's stages)."""
+    toks = Tokenizer(inputCol=text, outputCol="_tok").transform(df)
+    rem = StopWordsRemover(inputCol="_tok", outputCol="_f", stopWords=stop_words(), locale="en_US")
+    return rem.transform(toks).withColumn("tokens", F.filter("_f", lambda t: t != "")).drop("_tok", "_f")
 
 
 def hashed_tf(docs: DataFrame, doc_id: str, terms: str, num_features: int = NUM_FEATURES) -> DataFrame:

@@ -47,3 +47,11 @@ def test_blacklist_evaluation_zero_denominators(spark):
     df = spark.createDataFrame([("a", False, False)], "user string, bot boolean, predicted boolean")
     r = EV.blacklist_evaluation(df).first()
     assert (r.tp, r.tn, r.precision, r.recall, r.accuracy) == (0, 1, 0.0, 0.0, 1.0)
+
+
+def test_native_tokens_equal_ml_transformers(spark):
+    from edgefilter.operators import model as M
+    c = clean_edits(edits(spark, SF01))
+    native = M.remove_stop_words(M.tokens(c)).select("id", "tokens")
+    ml = M.ml_tokens(c).select("id", "tokens")
+    assert native.exceptAll(ml).count() == 0 and ml.exceptAll(native).count() == 0
