@@ -104,10 +104,10 @@ def q_classification_metrics(spark, sf_dir):
 # -- Spark ML model (rows only: fitted weights have no SQL equivalent) --------------------
 
 def _fit_default(spark, sf_dir):
-    """Fit on the persisted training rows: IDF and every optimiser pass
-    re-read them, so they are computed once."""
+    """Fit on persisted, size-partitioned training rows: IDF and every
+    optimiser pass re-read them."""
     train, test = train_test(spark, sf_dir)
-    return M.bot_pipeline().fit(train.persist()), test
+    return M.fit(train), test
 
 
 @register("feature_vectors")
@@ -150,5 +150,5 @@ def q_model_roundtrip(spark, sf_dir):
 def q_cv_grid(spark, sf_dir):
     """The original 36-point, 3-fold model selection; one row per grid point."""
     train, _ = train_test(spark, sf_dir)
-    cv_model = M.cross_validate(train.cache(), parallelism=4)
+    cv_model = M.cross_validate(train, parallelism=4)
     return M.grid_report(spark, cv_model)

@@ -68,7 +68,7 @@ def q_stream_filter_score(spark, sf_dir):
     from edgefilter.operators import model as M
     from edgefilter.plans.q_model import train_test
     train, _ = train_test(spark, sf_dir)
-    model = M.bot_pipeline().fit(train)
+    model = M.fit(train)
     src = stream_input(spark, sf_dir)
     state = J.BlacklistState(spark, scratch_path(spark, "blacklist_ml"))
     J.run_filter_score_job(spark, J.file_source(spark, src), state, model.transform,
