@@ -83,12 +83,19 @@ def query_rows(data: DataFrame, percent: int = 10, max_queries: int = 50) -> Dat
     return q.select(F.col("q_id").alias("name"), F.col("q_vec").alias(VEC))
 
 
-def recall_ml(model, data: DataFrame, k: int, percent: int = 10, max_queries: int = 50) -> DataFrame:
-    """Mean recall@k of the ML LSH model against exact kNN on the same vectors."""
-    queries = query_rows(data, percent, max_queries)
+def _exact_for(data: DataFrame, queries: DataFrame, k: int):
     arr = data.select("name", vector_to_array(VEC).alias("vec"))
     q_arr = queries.select(F.col("name").alias("q_id"), vector_to_array(VEC).alias("q_vec"))
-    exact = knn.exact_knn(arr, q_arr, "name", "vec", k)
+    return knn.exact_knn(arr, q_arr, "name", "vec", k), q_arr
+
+
+def recall_ml(model, data: DataFrame, k: int, percent: int = 10, max_queries: int = 50,
+              exact: DataFrame | None = None, queries: DataFrame | None = None) -> DataFrame:
+    """Mean recall@k of the ML LSH model against exact kNN on the same vectors."""
+    if queries is None:
+        queries = query_rows(data, percent, max_queries)
+    ex, q_arr = _exact_for(data, queries, k)
+    exact = ex if exact is None else exact
     approx = ann_topk(model, data, queries, k)
     n = data.agg(F.count(F.lit(1)).alias("n"))
     return knn.recall_of(exact, approx, q_arr, "name", k, n)
@@ -96,16 +103,21 @@ def recall_ml(model, data: DataFrame, k: int, percent: int = 10, max_queries: in
 
 def tune(data: DataFrame, tables=(1, 3, 5), lengths=(0.5, 1.0, 2.0), k: int = 250,
          seed: int = 42, percent: int = 10, max_queries: int = 50) -> DataFrame:
-    """Recall for every grid point, as one DataFrame (fits only draw the
-    random directions; all evaluation runs when the result is consumed).
-    The vectors are checkpointed once instead of being re-derived by each
-    of the grid's evaluations."""
+    """Recall for every grid point, as one DataFrame.
+
+    The vectors, the query sample and the exact neighbours (bounded by
+    queries x k rows) are materialised once and shared by all grid points;
+    each fit only draws random directions, and every evaluation runs when
+    the result is consumed.
+    """
     data = cut_lineage(data)
+    queries = cut_lineage(query_rows(data, percent, max_queries))
+    exact = cut_lineage(_exact_for(data, queries, k)[0])
     parts = []
     for t in tables:
         for b in lengths:
             model = fit_lsh(data, t, b, seed)
-            r = recall_ml(model, data, k, percent, max_queries)
+            r = recall_ml(model, data, k, exact=exact, queries=queries)
             parts.append(r.select(F.lit(int(t)).alias("num_hash_tables"),
                                   F.lit(float(b)).alias("bucket_length"), "n_queries", "recall"))
     out = parts[0]

@@ -25,7 +25,7 @@ def hash_split(df: DataFrame, key: str = "id", train_percent: int = 70) -> tuple
 
 
 def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:
-    """``randomSplit`` as in the original notebook; depends on partitioning."""
+    """Seeded ``randomSplit``; unlike ``hash_split`` it depends on partitioning."""
     return df.randomSplit(list(weights), seed=seed)
 
 
