@@ -4,9 +4,11 @@ The bit array is a table of ``(bucket, bits)`` rows: bucket ``b`` holds bits
 ``[(b-1)*32768, b*32768)`` as a 4 KiB binary built by ``bitmap_construct_agg``.
 Only buckets with a set bit exist, so the table never exceeds ``m/8`` bytes.
 
-Bit positions use double hashing on two md5 halves,
-``pos_i = (h1 + i*h2) mod m`` for ``i < k``, so any engine with md5 can
-recompute them (the oracle statements do).
+Bit positions come from k independent hashes,
+``pos_i = u32(md5(key || '#' || i)) mod m`` for ``i < k``, so any engine
+with md5 can recompute them (the oracle statements do). Double hashing on
+two halves of one digest would be cheaper but degenerates on small filters:
+when h2 shares a factor with m, a key's k positions collapse onto few bits.
 
 Probing never runs Python: the distinct probe keys are expanded to their k
 positions, joined to the bit table on ``bucket`` and tested with binary
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgefilter.functions.hashing import md5_u32, md5_u32_sql
-from edgefilter.session import cut_lineage
+from edgefilter.session import cut_lineage, materialize
 
 BITS_PER_BUCKET = 32768
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -71,14 +73,10 @@ class BloomSpec:
 def key_positions(keys: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
     """(key, pos) for each non-null key and each of its k hash functions."""
     m, k = spec.size, spec.hash_count
-    kc = F.col(key).cast("string")
-    h1, h2 = md5_u32(kc, 0), md5_u32(kc, 1)
+    salted = F.concat(F.col(key).cast("string"), F.lit("#"), F.col("_i").cast("string"))
     return (keys.filter(F.col(key).isNotNull())
-                .select(F.col(key), h1.alias("_h1"), h2.alias("_h2"))
-                .select(F.col(key), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"),
-                        "_h1", "_h2")
-                .select(F.col(key), F.pmod(F.col("_h1") + F.col("_i") * F.col("_h2"),
-                                           F.lit(m)).alias("pos")))
+                .select(F.col(key), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
+                .select(F.col(key), F.pmod(md5_u32(salted), F.lit(m)).alias("pos")))
 
 
 def _bucket(pos: Column) -> Column:
@@ -178,17 +176,24 @@ class BloomFilter:
         return hit.groupBy(key).agg(F.count(F.lit(1)).alias("_hits")) \
                   .filter(F.col("_hits") == k).select(key)
 
+    def _member_table(self, df: DataFrame, key: str) -> DataFrame:
+        # Written and re-read: the join back to ``df`` then sees two ordinary
+        # shuffle stages, so AQE broadcasts the members when they turn out
+        # small (``df`` is not shuffled at all) and otherwise splits the
+        # partition of a hot key (one user may own a third of the rows).
+        return materialize(self.members(df, key), "bloom_members")
+
     def semi_join(self, df: DataFrame, key: str) -> DataFrame:
         """Rows of ``df`` whose key may be in the filter (approximate IN)."""
-        return df.join(self.members(df, key), key, "left_semi")
+        return df.join(self._member_table(df, key), key, "left_semi")
 
     def anti_join(self, df: DataFrame, key: str) -> DataFrame:
         """Rows of ``df`` whose key is certainly not in the filter; NULL keys stay."""
-        return df.join(self.members(df, key), key, "left_anti")
+        return df.join(self._member_table(df, key), key, "left_anti")
 
     def mark(self, df: DataFrame, key: str, out: str = "predicted") -> DataFrame:
         """``df`` with a boolean column: may the key be in the filter."""
-        m = self.members(df, key).withColumn(out, F.lit(True))
+        m = self._member_table(df, key).withColumn(out, F.lit(True))
         return df.join(m, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
     # -- inspection and persistence ------------------------------------
@@ -247,7 +252,8 @@ def spec_sql(keys_cte: str, p: float) -> str:
 
 def positions_sql(keys_cte: str, key: str, spec_cte: str) -> str:
     """CTE body of (key, pos) rows, the DuckDB text of :func:`key_positions`."""
-    return (f"select {key}, ({md5_u32_sql(key, 0)} + i * {md5_u32_sql(key, 1)}) % m as pos "
+    salted = f"(cast({key} as varchar) || '#' || cast(i as varchar))"
+    return (f"select {key}, {md5_u32_sql(salted)} % m as pos "
             f"from (select {key}, unnest(range(kk)) as i, m from {keys_cte}, {spec_cte} "
             f"where {key} is not null)")
 

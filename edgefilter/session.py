@@ -67,3 +67,16 @@ def cut_lineage(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the checkpoint folder and read it back.
+
+    Unlike ``checkpoint()``, the re-read table reports no partitioning, so a
+    later join shuffles it as an ordinary (adaptive) stage: AQE can then
+    broadcast it from its real size or split a skewed partition of the
+    other side. The table also survives executor loss.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
