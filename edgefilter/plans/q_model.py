@@ -152,3 +152,14 @@ def q_cv_grid(spark, sf_dir):
     train, _ = train_test(spark, sf_dir)
     cv_model = M.cross_validate(train, parallelism=4)
     return M.grid_report(spark, cv_model)
+
+
+@register("model_metrics_extended")
+def q_model_metrics_extended(spark, sf_dir):
+    """The saved model, reloaded, scored on every labelled edit (a second,
+    larger sample than the hold-out) with the same metrics."""
+    model, _ = _fit_default(spark, sf_dir)
+    path = scratch_path(spark, "model_ext")
+    M.save_model(model, path)
+    labelled = split_clean(spark, sf_dir).filter(F.col("labelled"))
+    return EV.multiclass_metrics(M.load_model(path).transform(labelled))

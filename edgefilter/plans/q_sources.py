@@ -151,3 +151,10 @@ def q_sample_comments(spark, sf_dir):
     """Up to 20 bot comments from a 10 % Bernoulli sample (seeded)."""
     c = clean_edits(edits(spark, sf_dir))
     return c.filter(F.col("bot")).select("comment").sample(fraction=0.1, seed=42).limit(20)
+
+
+@register("sample_comments_human")
+def q_sample_comments_human(spark, sf_dir):
+    """Up to 20 human comments from a 10 % Bernoulli sample (seeded)."""
+    c = clean_edits(edits(spark, sf_dir))
+    return c.filter(~F.col("bot")).select("comment").sample(fraction=0.1, seed=42).limit(20)

@@ -24,7 +24,6 @@ def test_duplicate_count_equals_window_form(spark):
     w = Window.partitionBy("name").orderBy("name")
     ref = names.withColumn("rn", F.row_number().over(w)).filter("rn > 1").count()
     assert r.duplicate_rows == ref
-    assert P.duplicate_rows_window(names, tie="p_partkey").count() == ref
 
 
 def test_words_unicode_and_stop_words(spark):
