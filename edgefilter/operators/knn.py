@@ -75,7 +75,7 @@ def topk(df: DataFrame, group: list[str], order: list[Column], k: int,
 # -- exact kNN --------------------------------------------------------------
 
 def exact_knn(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k: int,
-              exclude_self: bool = True) -> DataFrame:
+              exclude_self: bool = True, dim: int | None = None) -> DataFrame:
     """(q_id, id, dist, rank) of the k nearest rows to each query.
 
     ``queries`` must be bounded (see :func:`query_set`); it is broadcast.
@@ -85,7 +85,7 @@ def exact_knn(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k:
     pairs = data.select(id_col, vec_col).join(F.broadcast(queries), how="cross")
     if exclude_self:
         pairs = pairs.filter(F.col(id_col) != F.col("q_id"))
-    scored = pairs.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec")).alias("dist"))
+    scored = pairs.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec"), dim).alias("dist"))
     top = topk(scored, ["q_id"], [F.col("dist"), F.col(id_col)], k)
     return top.select("q_id", id_col, F.round("dist", DIGITS).alias("dist"), "rank")
 
@@ -149,11 +149,11 @@ def lsh_candidates(data: DataFrame, queries: DataFrame, id_col: str, vec_col: st
 
 
 def rank_candidates(cands: DataFrame, id_col: str, vec_col: str, k: int,
-                    exclude_self: bool = True) -> DataFrame:
+                    exclude_self: bool = True, dim: int | None = None) -> DataFrame:
     """Exact distance ranking of candidate pairs: (q_id, id, dist, rank)."""
     if exclude_self:
         cands = cands.filter(F.col(id_col) != F.col("q_id"))
-    scored = cands.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec")).alias("dist"))
+    scored = cands.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec"), dim).alias("dist"))
     top = topk(scored, ["q_id"], [F.col("dist"), F.col(id_col)], k)
     return top.select("q_id", id_col, F.round("dist", DIGITS).alias("dist"), "rank")
 
@@ -174,7 +174,7 @@ def lsh_topk(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k:
              projs: list[list[float]], bucket_length: float, exclude_self: bool = True) -> DataFrame:
     """Approximate k nearest: exact distance ranking among LSH candidates."""
     c = lsh_candidates(data, queries, id_col, vec_col, projs, bucket_length)
-    return rank_candidates(c, id_col, vec_col, k, exclude_self)
+    return rank_candidates(c, id_col, vec_col, k, exclude_self, dim=len(projs[0]))
 
 
 def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
@@ -192,12 +192,12 @@ def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
     if dim is None:
         dim = len(data.select(vec_col).first()[0])
     projs = projections(dim, max(tables), seed)
-    exact = exact_knn(data, q, id_col, vec_col, k)
+    exact = exact_knn(data, q, id_col, vec_col, k, dim=dim)
     n = data.agg(F.count(F.lit(1)).alias("n"))
     per_length = []
     for b in lengths:
         c = lsh_candidates(data, q, id_col, vec_col, projs, b).filter(F.col(id_col) != F.col("q_id"))
-        c = c.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec")).alias("dist"), "first_table",
+        c = c.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec"), dim).alias("dist"), "first_table",
                      F.lit(float(b)).alias("bucket_length"))
         per_length.append(c)
     cand = per_length[0]

@@ -19,9 +19,10 @@ from edgefilter.operators import knn
 from edgefilter.session import cut_lineage
 
 VEC = "NormalizedWord2Vec"
+VECTOR_SIZE = 100
 
 
-def name_pipeline(seed: int = 42, vector_size: int = 100, num_partitions: int = 1) -> Pipeline:
+def name_pipeline(seed: int = 42, vector_size: int = VECTOR_SIZE, num_partitions: int = 1) -> Pipeline:
     """Tokenizer -> Word2Vec (minCount 0) -> L2 Normalizer.
 
     ``num_partitions`` > 1 trains Word2Vec in parallel (per-partition
@@ -74,7 +75,7 @@ def ann_topk(model, data: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                                             vector_to_array(VEC).alias("q_vec"),
                                             F.col("hash_values").alias("_qh"))
     cands = knn.bucket_join(dh, qh, "name", "vec")
-    return knn.rank_candidates(cands, "name", "vec", k)
+    return knn.rank_candidates(cands, "name", "vec", k, dim=VECTOR_SIZE)
 
 
 def query_rows(data: DataFrame, percent: int = 10, max_queries: int = 50) -> DataFrame:
@@ -86,7 +87,7 @@ def query_rows(data: DataFrame, percent: int = 10, max_queries: int = 50) -> Dat
 def _exact_for(data: DataFrame, queries: DataFrame, k: int):
     arr = data.select("name", vector_to_array(VEC).alias("vec"))
     q_arr = queries.select(F.col("name").alias("q_id"), vector_to_array(VEC).alias("q_vec"))
-    return knn.exact_knn(arr, q_arr, "name", "vec", k), q_arr
+    return knn.exact_knn(arr, q_arr, "name", "vec", k, dim=VECTOR_SIZE), q_arr
 
 
 def recall_ml(model, data: DataFrame, k: int, percent: int = 10, max_queries: int = 50,

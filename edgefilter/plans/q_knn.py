@@ -106,7 +106,7 @@ select q_id, vec_id, round(dist, 6) as dist, rank from (
 
 @register("exact_knn", f"with {_BASE}\nselect q_id, vec_id, round(dist, 6) as dist, rank from exact")
 def q_exact_knn(spark, sf_dir):
-    return knn.exact_knn(vectors(spark, sf_dir), queries_of(spark, sf_dir), "vec_id", "embedding", K)
+    return knn.exact_knn(vectors(spark, sf_dir), queries_of(spark, sf_dir), "vec_id", "embedding", K, dim=DIM)
 
 
 @register("lsh_bucket_topk", _lsh_topk_sql(*TRANSFER))

@@ -92,3 +92,12 @@ def test_ml_bucket_join_matches_spark_nearest_neighbors(spark):
         ref_names = [r.name for r in ref.orderBy("distCol", "name").limit(5).collect()]
         got = [r.name for r in sorted((r for r in mine if r.q_id == row.name), key=lambda r: r["rank"])]
         assert got == ref_names
+
+
+def test_unrolled_distance_equals_higher_order_form(spark):
+    from edgefilter.functions.vectors import l2
+    rows = [([1.0, 2.0, 3.0], [0.5, -1.0, 2.0]), ([0.0, 0.0, 0.0], [0.0, 0.0, 0.0]), ([1.0, 2.0], [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "a array<double>, b array<double>")
+    got = df.select(l2(F.col("a"), F.col("b")).alias("h"), l2(F.col("a"), F.col("b"), 3).alias("u")).collect()
+    assert [r.h for r in got[:2]] == [r.u for r in got[:2]]
+    assert got[2].u is None
