@@ -54,7 +54,7 @@ def q_blacklist_union(spark, sf_dir):
 select n as expected_items, p as false_positive_rate, m as size,
        cast(ceil(m / n * ln(2)) as bigint) as hash_count
 from (select n, p, cast(ceil(-(n * ln(p)) / (ln(2) * ln(2))) as bigint) as m
-      from (select greatest(count(*), 1) as n from keys), (values (0.1), (0.01), (0.001)) t(p))""",
+      from (select greatest(count(*), 1) as n from keys), (values (0.1::DOUBLE), (0.01::DOUBLE), (0.001::DOUBLE)) t(p))""",
     extra=_FILTER[:4]))
 def q_bloom_params(spark, sf_dir):
     n = blacklist_users(spark, sf_dir).agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n"))
@@ -68,7 +68,7 @@ def q_bloom_params(spark, sf_dir):
 
 
 @register("bloom_build", with_ctes("""
-select n as expected_items, 0.1 as false_positive_rate, m as size, kk as hash_count,
+select n as expected_items, 0.1::DOUBLE as false_positive_rate, m as size, kk as hash_count,
        (select count(*) from bits) as bits_set
 from spec""", extra=_FILTER))
 def q_bloom_build(spark, sf_dir):
@@ -144,7 +144,7 @@ _GROWN = [
 
 
 @register("bloom_rebuild", with_ctes("""
-select n as expected_items, 0.1 as false_positive_rate, m as size, kk as hash_count,
+select n as expected_items, 0.1::DOUBLE as false_positive_rate, m as size, kk as hash_count,
        (select count(*) from bits) as bits_set,
        (select count(*) from keys k where k."user" in (select "user" from mem)) as keys_found,
        (select count(*) from keys) as keys_total

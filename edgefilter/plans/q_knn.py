@@ -61,7 +61,7 @@ def _cand_sql(b: float, t_max: int) -> str:
     projs = knn.projections(DIM, t_max, SEED)
     dh = "[" + ", ".join(_hash_sql("embedding", r, b) for r in projs) + "]"
     qh = "[" + ", ".join(_hash_sql("q_vec", r, b) for r in projs) + "]"
-    return f"""select q_id, vec_id, {float(b)!r} as bucket_length, dist,
+    return f"""select q_id, vec_id, {float(b)!r}::DOUBLE as bucket_length, dist,
        list_position(list_transform(range(1, {t_max + 1}), lambda i: h[i] = qh[i]), true) - 1 as first_table
 from (select vec_id, embedding, {dh} as h from data) d,
      (select q_id, q_vec, {qh} as qh from q) qq
@@ -72,7 +72,7 @@ where vec_id <> q_id"""
 def _grid_sql(tables, lengths) -> str:
     t_max = max(tables)
     cand = " union all ".join(f"({_cand_sql(b, t_max)})" for b in lengths)
-    grid = ", ".join(f"({float(b)!r}, {int(t)})" for b in lengths for t in tables)
+    grid = ", ".join(f"({float(b)!r}::DOUBLE, {int(t)})" for b in lengths for t in tables)
     return f"""with {_BASE},
 cand as (select c.*, g.num_hash_tables from ({cand}) c
          join (values {grid}) g(bucket_length, num_hash_tables)
