@@ -24,9 +24,35 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     timestamp is the producer's ``yyyy-MM-dd HH:mm:ss`` string. Nulls in
     user, comment, minor and bot are part of the fixture on purpose.
     """
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    lab = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return edits_from(table(spark, sf_dir, "documents"), table(spark, sf_dir, "events"),
+                      table(spark, sf_dir, "labels"))
+
+
+# Join keys of the three inputs of the edits view.
+EDIT_INPUT_KEYS = (("documents", "doc_id"), ("events", "event_id"), ("labels", "doc_id"))
+
+
+def bucket_edit_inputs(spark: SparkSession, sf_dir: str, database: str = "edgefilter",
+                       buckets: int = 64) -> None:
+    """Write documents, events and labels once as tables bucketed and sorted
+    on the join id (under ``spark.sql.warehouse.dir``, which on a cluster
+    must be shared storage). Every later edits view over them joins without
+    shuffling either side."""
+    spark.sql(f"create database if not exists {database}")
+    for name, key in EDIT_INPUT_KEYS:
+        (table(spark, sf_dir, name).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+         .saveAsTable(f"{database}.{name}"))
+
+
+def edits_bucketed(spark: SparkSession, database: str = "edgefilter") -> DataFrame:
+    """The edits view over the bucketed tables of :func:`bucket_edit_inputs`."""
+    return edits_from(*(spark.table(f"{database}.{name}") for name, _ in EDIT_INPUT_KEYS))
+
+
+def edits_from(documents: DataFrame, events: DataFrame, labels: DataFrame) -> DataFrame:
+    d = documents.select("doc_id", "text", "lang", "source")
+    e = events.select("event_id", "ts", "user_id", "event_type", "value")
+    lab = labels.select("doc_id", "toxic")
     joined = (d.join(e, d.doc_id == e.event_id)
                .join(lab, "doc_id", "left"))
     doc = F.col("doc_id")

@@ -21,6 +21,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.checkpoint.dir", ck)
+         .config("spark.sql.warehouse.dir", ck + "/warehouse")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     s.sparkContext.setCheckpointDir(ck)

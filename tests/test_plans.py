@@ -40,3 +40,20 @@ def test_no_python_evaluation(spark, name):
 
 def test_stop_words_are_a_hash_set_lookup(spark):
     assert "INSET" in plan(spark, "word_counts_bot").upper()
+
+
+def test_bucketed_inputs_join_without_shuffle(spark):
+    from pyspark.sql import functions as F
+    from edgefilter.sources.tables import bucket_edit_inputs, edits, edits_bucketed
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bucket_edit_inputs(spark, SF01, database="ef_test", buckets=8)
+        b = edits_bucketed(spark, "ef_test")
+        p = b._sc._jvm.PythonSQLUtils.explainString(b._jdf.queryExecution(), "formatted").split("\n\n")[0]
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        key = ["id", "user", "timestamp"]
+        assert b.select(*key).exceptAll(edits(spark, SF01).select(*key)).count() == 0
+        assert b.count() == edits(spark, SF01).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
