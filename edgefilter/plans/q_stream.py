@@ -25,7 +25,7 @@ def stream_input(spark, sf_dir) -> str:
     conv = table(spark, sf_dir, "conversations").select(F.col("text").alias("value"))
     lines = FS.edit_json_lines(edits(spark, sf_dir), conv)
     path = scratch_path(spark, "stream_in")
-    lines.repartition(STREAM_FILES).write.mode("overwrite").text(path)
+    lines.coalesce(STREAM_FILES).write.mode("overwrite").text(path)   # no shuffle of the text
     return path
 
 
