@@ -182,40 +182,48 @@ def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
              max_queries: int = 50, seed: int = 42, dim: int | None = None) -> DataFrame:
     """Recall@k and candidate fraction for every (tables, bucket length).
 
-    One job for the whole grid: exact kNN once; per bucket length one
-    candidate join with the largest table count, where a pair whose buckets
-    first agree in table f is a candidate of every grid point with more
-    than f tables (the directions are nested). Recall divides by
-    min(k, rows - 1); a query without candidates scores 0.
+    Evaluation needs the exact neighbours, i.e. every (query, row) distance,
+    so the whole grid rides on that one pass over the bounded query table:
+    each pair gets its distance once and, per bucket length, the first table
+    whose buckets agree; it is then routed to the exact list and to every
+    grid point it is a candidate of (more tables than its first agreeing
+    one; the directions are nested). One top-k per (grid point, query)
+    follows. Candidate counts come from a second, distance-free pass.
+    Recall divides by min(k, rows - 1); a query without candidates scores 0.
     """
     q = query_set(data, id_col, vec_col, percent, max_queries)
     if dim is None:
         dim = len(data.select(vec_col).first()[0])
     projs = projections(dim, max(tables), seed)
-    exact = exact_knn(data, q, id_col, vec_col, k)
+    grid = [(gid, bi, int(t)) for gid, (bi, t) in
+            enumerate((bi, t) for bi in range(len(lengths)) for t in tables)]
+    dh = data.select(id_col, vec_col, *[lsh_hash_array(F.col(vec_col), projs, b).alias(f"_h{i}")
+                                        for i, b in enumerate(lengths)])
+    qh = q.select("q_id", "q_vec", *[lsh_hash_array(F.col("q_vec"), projs, b).alias(f"_qh{i}")
+                                     for i, b in enumerate(lengths)])
+    # bounded query table (<= max_queries rows), broadcast to every row
+    pairs = dh.join(F.broadcast(qh), how="cross").filter(F.col(id_col) != F.col("q_id"))
+    # first agreeing table per length, evaluated once per pair (1-based, 0 = none)
+    pairs = pairs.select(
+        "q_id", id_col, l2(F.col(vec_col), F.col("q_vec")).alias("dist"),
+        *[F.array_position(F.zip_with(F.col(f"_h{i}"), F.col(f"_qh{i}"), lambda x, y: x == y), True)
+          .alias(f"_f{i}") for i in range(len(lengths))])
+    member = [F.when((F.col(f"_f{bi}") > 0) & (F.col(f"_f{bi}") <= t), F.lit(gid)) for gid, bi, t in grid]
+    gids = F.filter(F.array(F.lit(-1), *member), lambda x: x.isNotNull())
+    routed = pairs.select("q_id", id_col, "dist", F.explode(gids).alias("gid"))
+    top = topk(routed, ["gid", "q_id"], [F.col("dist"), F.col(id_col)], k)
+    exact = top.filter(F.col("gid") == -1).select("q_id", id_col)
+    hits = (top.filter(F.col("gid") >= 0).select("gid", "q_id", id_col)
+               .join(exact, ["q_id", id_col]).groupBy("gid", "q_id").agg(F.count(F.lit(1)).alias("hits")))
+    counts = (pairs.select("q_id", F.explode(F.filter(F.array(*member), lambda x: x.isNotNull())).alias("gid"))
+                   .groupBy("gid", "q_id").agg(F.count(F.lit(1)).alias("c")))
     n = data.agg(F.count(F.lit(1)).alias("n"))
-    per_length = []
-    for b in lengths:
-        c = lsh_candidates(data, q, id_col, vec_col, projs, b).filter(F.col(id_col) != F.col("q_id"))
-        c = c.select("q_id", id_col, l2(F.col(vec_col), F.col("q_vec")).alias("dist"), "first_table",
-                     F.lit(float(b)).alias("bucket_length"))
-        per_length.append(c)
-    cand = per_length[0]
-    for c in per_length[1:]:
-        cand = cand.unionByName(c)
-    grid_t = F.explode(F.array(*[F.lit(int(t)) for t in tables])).alias("num_hash_tables")
-    cand = cand.select("*", grid_t).filter(F.col("first_table") < F.col("num_hash_tables"))
-    keys = ["bucket_length", "num_hash_tables", "q_id"]
-    counts = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
-    top = topk(cand, keys, [F.col("dist"), F.col(id_col)], k)
-    hits = top.select(*keys, id_col).join(exact.select("q_id", id_col), ["q_id", id_col]) \
-              .groupBy(*keys).agg(F.count(F.lit(1)).alias("hits"))
     spark = data.sparkSession
-    grid = spark.createDataFrame([(float(b), int(t)) for b in lengths for t in tables],
-                                 "bucket_length double, num_hash_tables int")
+    points = spark.createDataFrame([(gid, float(lengths[bi]), t) for gid, bi, t in grid],
+                                   "gid int, bucket_length double, num_hash_tables int")
     # grid points x queries: both bounded (grid size x max_queries rows)
-    per_q = (F.broadcast(grid).join(F.broadcast(q.select("q_id")), how="cross")
-             .join(hits, keys, "left").join(counts, keys, "left")
+    per_q = (F.broadcast(points).join(F.broadcast(q.select("q_id")), how="cross")
+             .join(hits, ["gid", "q_id"], "left").join(counts, ["gid", "q_id"], "left")
              .join(F.broadcast(n), how="cross"))
     return per_q.groupBy("num_hash_tables", "bucket_length").agg(
         F.count(F.lit(1)).alias("n_queries"),
