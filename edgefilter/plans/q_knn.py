@@ -146,3 +146,13 @@ def q_normalize_vectors(spark, sf_dir):
     v = vectors(spark, sf_dir).select("vec_id", array_to_vector("embedding").alias("v"))
     out = Normalizer(inputCol="v", outputCol="nv", p=2.0).transform(v)
     return out.select("vec_id", F.transform(vector_to_array("nv"), lambda x: F.round(x, 6)).alias("normalized"))
+
+
+@register("lsh_best_params", f"""
+select * from ({_grid_sql(GRID_TABLES, GRID_LENGTHS)})
+order by recall desc, num_hash_tables, bucket_length limit 1""")
+def q_lsh_best_params(spark, sf_dir):
+    """Best grid point; ties keep the first in grid order (tables, then length)."""
+    grid = knn.lsh_grid(vectors(spark, sf_dir), "vec_id", "embedding", K, GRID_TABLES, GRID_LENGTHS,
+                        QUERY_PERCENT, MAX_QUERIES, SEED, dim=DIM)
+    return knn.best_grid_point(grid)
