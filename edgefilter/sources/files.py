@@ -74,7 +74,7 @@ ITEM_SIZE = 100
 def article_titles(pages: DataFrame) -> DataFrame:
     url = F.col("url")
     host = F.regexp_extract(url, ARTICLE_HOST_RE, 1)
-    title = F.concat(F.upper(F.substring(host, 1, 1)), F.substring(host, 2, 1 << 20), F.lit("_"),
+    title = F.concat(F.upper(F.substr(host, F.lit(1), F.lit(1))), F.substr(host, F.lit(2)), F.lit("_"),
                      F.regexp_extract(url, ARTICLE_LANG_RE, 1), F.lit("_"),
                      F.regexp_extract(url, ARTICLE_PAGE_RE, 1))
     return pages.select("page_id", title.alias("article"))
