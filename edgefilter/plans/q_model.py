@@ -150,7 +150,9 @@ def q_model_roundtrip(spark, sf_dir):
 def q_cv_grid(spark, sf_dir):
     """The original 36-point, 3-fold model selection; one row per grid point."""
     train, _ = train_test(spark, sf_dir)
-    cv_model = M.cross_validate(train, parallelism=4)
+    # fits run concurrently as separate jobs; the grid itself is unchanged
+    par = max(2, min(8, spark.sparkContext.defaultParallelism))
+    cv_model = M.cross_validate(train, parallelism=par)
     return M.grid_report(spark, cv_model)
 
 
