@@ -43,7 +43,6 @@ def test_stop_words_are_a_hash_set_lookup(spark):
 
 
 def test_bucketed_inputs_join_without_shuffle(spark):
-    from pyspark.sql import functions as F
     from edgefilter.sources.tables import bucket_edit_inputs, edits, edits_bucketed
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
