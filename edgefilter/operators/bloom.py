@@ -87,10 +87,20 @@ def _bit(pos: Column) -> Column:
     return F.bitmap_bit_position(pos + 1)
 
 
-def bits_from_positions(positions: DataFrame) -> DataFrame:
-    """Fold bit positions into (bucket, bits); map-side partial aggregation."""
-    return positions.groupBy(_bucket(F.col("pos")).alias("bucket")).agg(
-        F.bitmap_construct_agg(_bit(F.col("pos"))).alias("bits"))
+def bits_from_positions(positions: DataFrame, size: int | None = None) -> DataFrame:
+    """Fold bit positions into (bucket, bits).
+
+    With the filter size known, positions are hash-partitioned by bucket
+    (at most one partition per bucket) and folded inside that stage: the
+    shuffle carries n*k positions, not a partial 4 KiB bitmap per bucket
+    from every map task (tasks x m/8 bytes once keys are spread widely).
+    """
+    keyed = positions.select(_bucket(F.col("pos")).alias("bucket"), _bit(F.col("pos")).alias("bit"))
+    if size is not None:
+        n_buckets = -(-size // BITS_PER_BUCKET)
+        par = positions.sparkSession.sparkContext.defaultParallelism
+        keyed = keyed.repartition(max(1, min(n_buckets, 4 * par)), "bucket")
+    return keyed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def bit_is_set(bits: Column, bit: Column) -> Column:
@@ -140,7 +150,7 @@ class BloomFilter:
             n_keys = distinct.count()
             spec = BloomSpec(n_keys, false_positive_rate)
             materialize = True
-        bits = bits_from_positions(key_positions(distinct, key, spec).select("pos"))
+        bits = bits_from_positions(key_positions(distinct, key, spec).select("pos"), spec.size)
         if materialize:
             bits = cut_lineage(bits)
         return cls(spec, bits, n_keys)
