@@ -174,9 +174,18 @@ def hashed_tf(docs: DataFrame, doc_id: str, terms: str, num_features: int = NUM_
     return b.groupBy(doc_id, "bucket").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def idf_weights(tf: DataFrame, doc_id: str, n_docs: DataFrame) -> DataFrame:
-    """(bucket, doc_freq, idf) with idf = ln((N + 1) / (df + 1)), as ML's IDF."""
-    dfreq = tf.groupBy("bucket").agg(F.count(F.lit(1)).alias("doc_freq"))
+def idf_weights(docs: DataFrame, terms: str, n_docs: DataFrame,
+                num_features: int = NUM_FEATURES) -> DataFrame:
+    """(bucket, doc_freq, idf) with idf = ln((N + 1) / (df + 1)), as ML's IDF.
+
+    Document frequency needs only the distinct buckets of each document
+    (``array_distinct`` inside the row), so the shuffle carries at most
+    ``num_features`` partial counts per task, not the (doc, bucket) table.
+    """
+    buckets = F.array_distinct(F.transform(terms, lambda t: F.pmod(md5_u32(t), F.lit(num_features))))
+    dfreq = docs.select(F.explode(buckets).alias("bucket")).groupBy("bucket") \
+                .agg(F.count(F.lit(1)).alias("doc_freq"))
+    # n_docs is a one-row aggregate
     return dfreq.join(F.broadcast(n_docs), how="cross").select(
         "bucket", "doc_freq",
         F.round(F.log((F.col("n_docs") + 1) / (F.col("doc_freq") + 1)), 6).alias("idf"))

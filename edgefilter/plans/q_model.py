@@ -46,9 +46,12 @@ def q_remove_stop_words(spark, sf_dir):
     return M.remove_stop_words(M.tokens(clean_edits(edits(spark, sf_dir)))).select("id", "tokens")
 
 
+def _docs(spark, sf_dir):
+    return M.remove_stop_words(M.tokens(clean_edits(edits(spark, sf_dir))))
+
+
 def _tf(spark, sf_dir):
-    docs = M.remove_stop_words(M.tokens(clean_edits(edits(spark, sf_dir))))
-    return M.hashed_tf(docs, "id", "tokens", M.NUM_FEATURES)
+    return M.hashed_tf(_docs(spark, sf_dir), "id", "tokens", M.NUM_FEATURES)
 
 
 @register("hashed_tf", with_ctes(_TF_SQL))
@@ -62,7 +65,7 @@ select bucket, count(*) as doc_freq,
 from ({_TF_SQL}) group by bucket"""))
 def q_idf_weights(spark, sf_dir):
     n = clean_edits(edits(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_docs"))
-    return M.idf_weights(_tf(spark, sf_dir), "id", n)
+    return M.idf_weights(_docs(spark, sf_dir), "tokens", n, M.NUM_FEATURES)
 
 
 # -- rule-scored metrics (checkable) ---------------------------------------------------
