@@ -16,7 +16,7 @@ from edgefilter.plans.registry import oracle_sql, queries  # noqa: E402
 from edgefilter.session import get_session  # noqa: E402
 
 NODES = [
-    ("Exchange hashpartitioning", r"Exchange hashpartitioning|Exchange \(\d+\)"),
+    ("Exchange hashpartitioning", r"(?<!Broadcast)Exchange \(\d+\)"),
     ("BroadcastExchange", r"BroadcastExchange"),
     ("SortMergeJoin", r"SortMergeJoin"),
     ("BroadcastHashJoin", r"BroadcastHashJoin"),
@@ -36,8 +36,7 @@ def summarise(text: str) -> dict:
     tree = text.split("\n\n", 1)[0]
     out = {}
     for name, pat in NODES:
-        out[name] = len(re.findall(rf"\+- ({pat})|^({pat})", tree, flags=re.M)) or \
-            len(re.findall(pat, tree))
+        out[name] = len(re.findall(pat, tree))
     scans = re.findall(r"Scan parquet[^\n]*\n(?:[^\n]*\n)*?ReadSchema: (struct<[^\n]*>)", text)
     locs = re.findall(r"Location: [^\[]*\[([^\]]*)\]", text)
     out["scans"] = [f"{l.rsplit('/', 1)[-1].replace('.parquet', '')}: {s}" for l, s in zip(locs, scans)]
