@@ -40,7 +40,7 @@ def normalize_change_events(raw: DataFrame, since: str | None = None) -> DataFra
     )
 
 
-def clean_edits(df: DataFrame, abs_length: bool = True) -> DataFrame:
+def clean_edits(df: DataFrame, abs_length: bool = True, fill_minor: bool = True) -> DataFrame:
     """Typed, null-filled edit rows ready for profiling and for the model.
 
     One function for the offline, the extended and the stream path:
@@ -48,6 +48,10 @@ def clean_edits(df: DataFrame, abs_length: bool = True) -> DataFrame:
     derived, nulls filled (length 0, bot/minor False, comment ''),
     ``comment_length`` and the double ``label``. ``labelled`` keeps whether
     the ground truth was present before the fill.
+
+    ``fill_minor=False`` is the exploratory stage, where ``minor`` is still
+    nullable: counts by minor keep a NULL group and correlations skip the
+    rows without it. The model stage fills it (the assembler rejects NULL).
     """
     ts = F.to_timestamp_ntz(F.col("timestamp"), F.lit(TIMESTAMP_FORMAT))
     length = F.coalesce(F.col("length"), F.lit(0))
@@ -62,7 +66,7 @@ def clean_edits(df: DataFrame, abs_length: bool = True) -> DataFrame:
         ts.alias("timestamp"),
         F.to_date(ts).alias("date"),
         F.hour(ts).alias("hour"),
-        F.coalesce(F.col("minor"), F.lit(False)).alias("minor"),
+        (F.coalesce(F.col("minor"), F.lit(False)) if fill_minor else F.col("minor")).alias("minor"),
         comment.alias("comment"),
         F.length(comment).alias("comment_length"),
         bot.cast("double").alias("label"),

@@ -15,6 +15,11 @@ def cleaned(spark, sf_dir):
     return C.clean_edits(edits(spark, sf_dir))
 
 
+def explored(spark, sf_dir):
+    """Exploratory-stage view: minor not yet filled."""
+    return C.clean_edits(edits(spark, sf_dir), fill_minor=False)
+
+
 @register("edits_clean", with_ctes("""
 select id, title, "user", bot, length, wiki, "timestamp", date, hour, minor,
        comment, comment_length, label, labelled from clean"""))
@@ -49,9 +54,9 @@ def q_avg_length_by_bot(spark, sf_dir):
 
 
 @register("minor_counts_by_bot", with_ctes("""
-select bot, minor, count(*) as count from clean group by bot, minor"""))
+select bot, minor, count(*) as count from eda group by bot, minor"""))
 def q_minor_counts_by_bot(spark, sf_dir):
-    return P.minor_counts_by_bot(cleaned(spark, sf_dir))
+    return P.minor_counts_by_bot(explored(spark, sf_dir))
 
 
 @register("user_day_edits", with_ctes("""
@@ -78,13 +83,13 @@ def _corr_sql() -> str:
     for a in _FEATS:
         for b in _FEATS:
             parts.append(f"select '{a}' as a, '{b}' as b, "
-                         f"round(corr(cast({a} as double), cast({b} as double)), 6) as corr from clean")
+                         f"round(corr(cast({a} as double), cast({b} as double)), 6) as corr from eda")
     return with_ctes("\nunion all\n".join(parts))
 
 
 @register("feature_correlation", _corr_sql())
 def q_feature_correlation(spark, sf_dir):
-    return P.feature_correlation(cleaned(spark, sf_dir), _FEATS)
+    return P.feature_correlation(explored(spark, sf_dir), _FEATS)
 
 
 def _word_sql(bot: bool, k: int | None) -> str:

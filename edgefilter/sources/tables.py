@@ -105,12 +105,17 @@ from edits
 """
 
 
+# clean_edits(fill_minor=False): the exploratory stage keeps minor nullable.
+EDA_SQL = CLEAN_SQL.replace("coalesce(minor, false) as minor", "minor")
+
+
 def with_ctes(body: str, clean: bool = True, extra: list[tuple[str, str]] | None = None) -> str:
-    """Prefix an oracle statement with the ``edits`` (and ``clean``) CTEs,
-    followed by ``extra`` (name, body) CTEs in order."""
+    """Prefix an oracle statement with the ``edits``, ``clean`` and ``eda``
+    CTEs, followed by ``extra`` (name, body) CTEs in order."""
     ctes = [f"edits as ({EDITS_SQL})"]
     if clean:
         ctes.append(f"clean as ({CLEAN_SQL})")
+        ctes.append(f"eda as ({EDA_SQL})")
     for name, sql in extra or []:
         ctes.append(f"{name} as ({sql})")
     return "with " + ",\n".join(ctes) + "\n" + body

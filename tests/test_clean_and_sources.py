@@ -100,3 +100,10 @@ def test_user_sample_is_per_user_and_about_20_percent(spark):
     assert s.filter(F.col("count") != 10).count() == 0   # all or none of a user's rows
     nulls = spark.createDataFrame([(None,)], "user string")
     assert user_sample(nulls).count() == 0
+
+
+def test_exploratory_stage_keeps_minor_nullable(spark):
+    rows = [(1, "t", "u", True, 1, "w", "2024-01-01 00:00:00", None, "c")]
+    df = spark.createDataFrame(rows, EDIT_SCHEMA)
+    assert clean_edits(df, fill_minor=False).first().minor is None
+    assert clean_edits(df).first().minor is False
