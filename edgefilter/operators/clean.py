@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgefilter.schemas import EDIT_COLUMNS
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+_WALL_CLOCK = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$"
 
 # The feed filter of the change-event producer.
 KEPT_SERVERS = ("en.wikipedia.org", "de.wikipedia.org")
@@ -40,6 +41,19 @@ def normalize_change_events(raw: DataFrame, since: str | None = None) -> DataFra
     )
 
 
+def parse_wall_clock(c: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` -> timestamp without zone; malformed -> NULL.
+
+    Spark 4 parses with ANSI semantics, where one bad string would fail the
+    whole task (and a stream epoch with it). The shape is checked first and
+    the value built with ``try_make_timestamp_ntz``, so an impossible date
+    is NULL too, and no session time zone is involved.
+    """
+    part = lambda i: F.regexp_extract(c, _WALL_CLOCK, i).cast("int")
+    return F.when(c.rlike(_WALL_CLOCK),
+                  F.try_make_timestamp_ntz(part(1), part(2), part(3), part(4), part(5), part(6)))
+
+
 def clean_edits(df: DataFrame, abs_length: bool = True, fill_minor: bool = True) -> DataFrame:
     """Typed, null-filled edit rows ready for profiling and for the model.
 
@@ -53,7 +67,7 @@ def clean_edits(df: DataFrame, abs_length: bool = True, fill_minor: bool = True)
     nullable: counts by minor keep a NULL group and correlations skip the
     rows without it. The model stage fills it (the assembler rejects NULL).
     """
-    ts = F.to_timestamp_ntz(F.col("timestamp"), F.lit(TIMESTAMP_FORMAT))
+    ts = parse_wall_clock(F.col("timestamp"))
     length = F.coalesce(F.col("length"), F.lit(0))
     comment = F.coalesce(F.col("comment"), F.lit(""))
     bot = F.coalesce(F.col("bot"), F.lit(False))

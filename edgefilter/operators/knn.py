@@ -166,7 +166,7 @@ def recall_of(exact: DataFrame, approx: DataFrame, queries: DataFrame, id_col: s
     per_q = queries.select("q_id").join(hits, "q_id", "left").join(F.broadcast(n_rows), how="cross")
     return per_q.agg(
         F.count(F.lit(1)).alias("n_queries"),
-        F.round(F.avg(F.coalesce(F.col("hits"), F.lit(0)) / F.least(F.lit(k), F.col("n") - 1)),
+        F.round(F.avg(F.try_divide(F.coalesce(F.col("hits"), F.lit(0)), F.least(F.lit(k), F.col("n") - 1))),
                 DIGITS).alias("recall"))
 
 
@@ -227,9 +227,10 @@ def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
              .join(F.broadcast(n), how="cross"))
     return per_q.groupBy("num_hash_tables", "bucket_length").agg(
         F.count(F.lit(1)).alias("n_queries"),
-        F.round(F.avg(F.coalesce(F.col("hits"), F.lit(0)) / F.least(F.lit(k), F.col("n") - 1)),
+        F.round(F.avg(F.try_divide(F.coalesce(F.col("hits"), F.lit(0)), F.least(F.lit(k), F.col("n") - 1))),
                 DIGITS).alias("recall"),
-        F.round(F.avg(F.coalesce(F.col("c"), F.lit(0)) / (F.col("n") - 1)), DIGITS).alias("candidate_fraction"),
+        F.round(F.avg(F.try_divide(F.coalesce(F.col("c"), F.lit(0)), F.col("n") - 1)),
+                DIGITS).alias("candidate_fraction"),
     )
 
 

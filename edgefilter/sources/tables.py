@@ -93,9 +93,9 @@ left join labels l on l.doc_id = d.doc_id
 CLEAN_SQL = """
 select id, title, "user", coalesce(bot, false) as bot,
        abs(coalesce(length, 0)) as length, wiki,
-       strptime("timestamp", '%Y-%m-%d %H:%M:%S') as "timestamp",
-       cast(strptime("timestamp", '%Y-%m-%d %H:%M:%S') as date) as date,
-       hour(strptime("timestamp", '%Y-%m-%d %H:%M:%S')) as hour,
+       try_strptime("timestamp", '%Y-%m-%d %H:%M:%S') as "timestamp",
+       cast(try_strptime("timestamp", '%Y-%m-%d %H:%M:%S') as date) as date,
+       hour(try_strptime("timestamp", '%Y-%m-%d %H:%M:%S')) as hour,
        coalesce(minor, false) as minor,
        coalesce(comment, '') as comment,
        length(coalesce(comment, '')) as comment_length,

@@ -107,3 +107,14 @@ def test_exploratory_stage_keeps_minor_nullable(spark):
     df = spark.createDataFrame(rows, EDIT_SCHEMA)
     assert clean_edits(df, fill_minor=False).first().minor is None
     assert clean_edits(df).first().minor is False
+
+
+def test_bad_timestamps_become_null_not_errors(spark):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    rows = [(1, "t", "u", True, 1, "w", "garbage", True, "c"),
+            (2, "t", "u", True, 1, "w", "2024-13-45 99:00:00", True, "c"),
+            (3, "t", "u", True, 1, "w", "2024-02-29 23:59:59", True, "c")]
+    got = {r.id: (r.timestamp, r.date, r.hour)
+           for r in clean_edits(spark.createDataFrame(rows, EDIT_SCHEMA)).collect()}
+    assert got[1] == (None, None, None) and got[2] == (None, None, None)
+    assert got[3] == (dt.datetime(2024, 2, 29, 23, 59, 59), dt.date(2024, 2, 29), 23)
