@@ -33,7 +33,7 @@ def normalize_change_events(raw: DataFrame, since: str | None = None) -> DataFra
         strip("title").alias("title"),
         strip("user").alias("user"),
         F.col("bot"),
-        (F.col("length.new") - F.col("length.old")).cast("int").alias("length"),
+        F.try_subtract(F.col("length.new"), F.col("length.old")).cast("int").alias("length"),
         strip("wiki").alias("wiki"),
         F.date_format(F.timestamp_seconds(F.col("timestamp")), TIMESTAMP_FORMAT).alias("timestamp"),
         F.col("minor"),
