@@ -193,16 +193,27 @@ class BloomFilter:
         # partition of a hot key (one user may own a third of the rows).
         return materialize(self.members(df, key), "bloom_members")
 
+    @property
+    def is_empty(self) -> bool:
+        """Known to hold no key (all bits zero): every probe is negative."""
+        return self.n_keys == 0
+
     def semi_join(self, df: DataFrame, key: str) -> DataFrame:
         """Rows of ``df`` whose key may be in the filter (approximate IN)."""
+        if self.is_empty:
+            return df.filter(F.lit(False))
         return df.join(self._member_table(df, key), key, "left_semi")
 
     def anti_join(self, df: DataFrame, key: str) -> DataFrame:
         """Rows of ``df`` whose key is certainly not in the filter; NULL keys stay."""
+        if self.is_empty:
+            return df
         return df.join(self._member_table(df, key), key, "left_anti")
 
     def mark(self, df: DataFrame, key: str, out: str = "predicted") -> DataFrame:
         """``df`` with a boolean column: may the key be in the filter."""
+        if self.is_empty:
+            return df.withColumn(out, F.lit(False))
         m = self._member_table(df, key).withColumn(out, F.lit(True))
         return df.join(m, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
