@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from edgefilter.functions.hashing import hash_bucket, md5_u32
 from edgefilter.functions.vectors import dot, l2
+from edgefilter.session import cut_lineage
 
 DIGITS = 6
 
@@ -211,7 +212,9 @@ def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
     member = [F.when((F.col(f"_f{bi}") > 0) & (F.col(f"_f{bi}") <= t), F.lit(gid)) for gid, bi, t in grid]
     gids = F.filter(F.array(F.lit(-1), *member), lambda x: x.isNotNull())
     routed = pairs.select("q_id", id_col, "dist", F.explode(gids).alias("gid"))
-    top = topk(routed, ["gid", "q_id"], [F.col("dist"), F.col(id_col)], k)
+    # bounded: (grid points + 1) x queries x k rows; checkpointed once because
+    # both the exact list and the approximate hits read it
+    top = cut_lineage(topk(routed, ["gid", "q_id"], [F.col("dist"), F.col(id_col)], k))
     exact = top.filter(F.col("gid") == -1).select("q_id", id_col)
     hits = (top.filter(F.col("gid") >= 0).select("gid", "q_id", id_col)
                .join(exact, ["q_id", id_col]).groupBy("gid", "q_id").agg(F.count(F.lit(1)).alias("hits")))

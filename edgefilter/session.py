@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -66,7 +67,13 @@ def cut_lineage(df):
     start from it instead of recomputing the plan.
     """
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first: otherwise the eager checkpoint computes the plan once to
+    # count and again to write the files. The cache is released once the
+    # checkpoint files back the returned DataFrame.
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def materialize(df, name: str):
