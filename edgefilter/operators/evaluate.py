@@ -17,16 +17,22 @@ def multiclass_metrics(pred: DataFrame, label: str = "label", prediction: str =
 
     The class-weighted definitions of ``MulticlassClassificationEvaluator``
     (a class never predicted has precision 0), evaluated from the confusion
-    counts, so the only pass over the data is one grouped count.
+    counts: the only pass over the data is one grouped count; each confusion
+    cell then counts once in its label role and once in its prediction role,
+    summed per class without a join.
     """
     cm = confusion_matrix(pred, label, prediction)
-    by_label = cm.groupBy(F.col(label).alias("c")).agg(
-        F.sum("count").alias("n_label"),
-        F.sum(F.when(F.col(label) == F.col(prediction), F.col("count")).otherwise(0)).alias("tp"))
-    by_pred = cm.groupBy(F.col(prediction).alias("c")).agg(F.sum("count").alias("n_pred"))
-    per = by_label.join(by_pred, "c", "left").select(
-        "c", "n_label", "tp",
-        F.when(F.coalesce("n_pred", F.lit(0)) > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0).alias("p"),
+    zero = F.lit(0).cast("bigint")
+    roles = cm.select(F.inline(F.array(
+        F.struct(F.col(label).alias("c"), F.col("count").alias("n_label"), zero.alias("n_pred"),
+                 F.when(F.col(label) == F.col(prediction), F.col("count")).otherwise(zero).alias("tp")),
+        F.struct(F.col(prediction).alias("c"), zero.alias("n_label"), F.col("count").alias("n_pred"),
+                 zero.alias("tp")))))
+    per = roles.groupBy("c").agg(F.sum("n_label").alias("n_label"), F.sum("n_pred").alias("n_pred"),
+                                 F.sum("tp").alias("tp")).filter(F.col("n_label") > 0)
+    per = per.select(
+        "n_label", "tp",
+        F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0).alias("p"),
         (F.col("tp") / F.col("n_label")).alias("r"))
     per = per.withColumn("f1", F.when(F.col("p") + F.col("r") > 0,
                                       2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0))
