@@ -60,3 +60,29 @@ def test_clean_empty_and_null_comment_agree(spark):
     df = spark.createDataFrame([("",), (None,)], "c string")
     got = [r.w for r in df.select(words(F.coalesce("c", F.lit(""))).alias("w")).collect()]
     assert got == [[], []]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lines=st.lists(st.one_of(st.none(), st.text(max_size=40)), min_size=1, max_size=20),
+       stamps=st.lists(st.one_of(st.none(), st.text(max_size=25),
+                                 st.from_regex(r"\A\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\Z")),
+                       min_size=1, max_size=20))
+def test_arbitrary_text_never_fails_parse_or_clean(spark, lines, stamps):
+    from edgefilter.operators.clean import clean_edits
+    from edgefilter.schemas import EDIT_SCHEMA
+    from edgefilter.streaming.parse import parse_edit_json
+    parse_edit_json(spark.createDataFrame([(v,) for v in lines], "value string")).collect()
+    rows = [(i, "t", "u", None, None, "w", s, None, None) for i, s in enumerate(stamps)]
+    out = clean_edits(spark.createDataFrame(rows, EDIT_SCHEMA)).collect()
+    assert len(out) == len(stamps)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=st.lists(st.tuples(st.integers(0, 4), st.integers(-50, 50)), min_size=1, max_size=60),
+       k=st.integers(1, 6))
+def test_topk_matches_pandas(spark, vals, k):
+    from edgefilter.operators.knn import topk
+    df = spark.createDataFrame([(g, i, v) for i, (g, v) in enumerate(vals)], "g int, id int, v int").repartition(3)
+    got = sorted((r.g, r.id) for r in topk(df, ["g"], [F.col("v"), F.col("id")], k, fan_in=2).collect())
+    pdf = df.toPandas().sort_values(["g", "v", "id"]).groupby("g").head(k)
+    assert got == sorted(zip(pdf.g, pdf.id))
