@@ -160,14 +160,14 @@ def rank_candidates(cands: DataFrame, id_col: str, vec_col: str, k: int,
 
 
 def recall_of(exact: DataFrame, approx: DataFrame, queries: DataFrame, id_col: str, k: int,
-              n_rows: DataFrame) -> DataFrame:
+              n_rows: int) -> DataFrame:
     """One row: mean over queries of shared neighbours / min(k, rows - 1)."""
     hits = exact.select("q_id", id_col).join(approx.select("q_id", id_col), ["q_id", id_col]) \
                 .groupBy("q_id").agg(F.count(F.lit(1)).alias("hits"))
-    per_q = queries.select("q_id").join(hits, "q_id", "left").join(F.broadcast(n_rows), how="cross")
+    per_q = queries.select("q_id").join(hits, "q_id", "left")
     return per_q.agg(
         F.count(F.lit(1)).alias("n_queries"),
-        F.round(F.avg(F.try_divide(F.coalesce(F.col("hits"), F.lit(0)), F.least(F.lit(k), F.col("n") - 1))),
+        F.round(F.avg(F.try_divide(F.coalesce(F.col("hits"), F.lit(0)), F.lit(min(k, n_rows - 1)))),
                 DIGITS).alias("recall"))
 
 
@@ -220,19 +220,18 @@ def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
                .join(exact, ["q_id", id_col]).groupBy("gid", "q_id").agg(F.count(F.lit(1)).alias("hits")))
     counts = (pairs.select("q_id", F.explode(F.filter(F.array(*member), lambda x: x.isNotNull())).alias("gid"))
                    .groupBy("gid", "q_id").agg(F.count(F.lit(1)).alias("c")))
-    n = data.agg(F.count(F.lit(1)).alias("n"))
-    spark = data.sparkSession
-    points = spark.createDataFrame([(gid, float(lengths[bi]), t) for gid, bi, t in grid],
-                                   "gid int, bucket_length double, num_hash_tables int")
-    # grid points x queries: both bounded (grid size x max_queries rows)
-    per_q = (F.broadcast(points).join(F.broadcast(q.select("q_id")), how="cross")
-             .join(hits, ["gid", "q_id"], "left").join(counts, ["gid", "q_id"], "left")
-             .join(F.broadcast(n), how="cross"))
+    n = data.count()                                   # one scalar
+    # every query once per grid point: the bounded query sample times a
+    # literal list of grid points
+    points = F.explode(F.array(*[F.struct(F.lit(gid).alias("gid"), F.lit(float(lengths[bi])).alias("bucket_length"),
+                                          F.lit(t).alias("num_hash_tables")) for gid, bi, t in grid]))
+    per_q = (q.select("q_id", points.alias("p")).select("q_id", "p.*")
+             .join(hits, ["gid", "q_id"], "left").join(counts, ["gid", "q_id"], "left"))
     return per_q.groupBy("num_hash_tables", "bucket_length").agg(
         F.count(F.lit(1)).alias("n_queries"),
-        F.round(F.avg(F.try_divide(F.coalesce(F.col("hits"), F.lit(0)), F.least(F.lit(k), F.col("n") - 1))),
+        F.round(F.avg(F.try_divide(F.coalesce(F.col("hits"), F.lit(0)), F.lit(min(k, n - 1)))),
                 DIGITS).alias("recall"),
-        F.round(F.avg(F.try_divide(F.coalesce(F.col("c"), F.lit(0)), F.col("n") - 1)),
+        F.round(F.avg(F.try_divide(F.coalesce(F.col("c"), F.lit(0)), F.lit(n - 1))),
                 DIGITS).alias("candidate_fraction"),
     )
 

@@ -98,8 +98,7 @@ def recall_ml(model, data: DataFrame, k: int, percent: int = 10, max_queries: in
     ex, q_arr = _exact_for(data, queries, k)
     exact = ex if exact is None else exact
     approx = ann_topk(model, data, queries, k)
-    n = data.agg(F.count(F.lit(1)).alias("n"))
-    return knn.recall_of(exact, approx, q_arr, "name", k, n)
+    return knn.recall_of(exact, approx, q_arr, "name", k, data.count())
 
 
 def tune(data: DataFrame, tables=(1, 3, 5), lengths=(0.5, 1.0, 2.0), k: int = 250,

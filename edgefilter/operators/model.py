@@ -174,7 +174,7 @@ def hashed_tf(docs: DataFrame, doc_id: str, terms: str, num_features: int = NUM_
     return b.groupBy(doc_id, "bucket").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def idf_weights(docs: DataFrame, terms: str, n_docs: DataFrame,
+def idf_weights(docs: DataFrame, terms: str, n_docs: int,
                 num_features: int = NUM_FEATURES) -> DataFrame:
     """(bucket, doc_freq, idf) with idf = ln((N + 1) / (df + 1)), as ML's IDF.
 
@@ -185,7 +185,6 @@ def idf_weights(docs: DataFrame, terms: str, n_docs: DataFrame,
     buckets = F.array_distinct(F.transform(terms, lambda t: F.pmod(md5_u32(t), F.lit(num_features))))
     dfreq = docs.select(F.explode(buckets).alias("bucket")).groupBy("bucket") \
                 .agg(F.count(F.lit(1)).alias("doc_freq"))
-    # n_docs is a one-row aggregate
-    return dfreq.join(F.broadcast(n_docs), how="cross").select(
+    return dfreq.select(
         "bucket", "doc_freq",
-        F.round(F.log((F.col("n_docs") + 1) / (F.col("doc_freq") + 1)), 6).alias("idf"))
+        F.round(F.log(F.lit(n_docs + 1) / (F.col("doc_freq") + 1)), 6).alias("idf"))

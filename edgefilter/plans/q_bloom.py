@@ -160,5 +160,6 @@ def q_bloom_rebuild(spark, sf_dir):
     total = keys.count()
     spec = first.spec.grown(total) if total > first.spec.n else first.spec
     rebuilt = BloomFilter.build(keys, "user", spec)
-    found = rebuilt.members(keys, "user").agg(F.count(F.lit(1)).alias("keys_found"))
-    return rebuilt.stats().join(found, how="cross").withColumn("keys_total", F.lit(total).cast("bigint"))
+    found = rebuilt.members(keys, "user").count()
+    return rebuilt.stats().withColumns({"keys_found": F.lit(found).cast("bigint"),
+                                        "keys_total": F.lit(total).cast("bigint")})
