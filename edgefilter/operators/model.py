@@ -14,7 +14,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edgefilter.functions.hashing import md5_u32
@@ -174,17 +174,22 @@ def hashed_tf(docs: DataFrame, doc_id: str, terms: str, num_features: int = NUM_
     return b.groupBy(doc_id, "bucket").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def idf_weights(docs: DataFrame, terms: str, n_docs: int,
-                num_features: int = NUM_FEATURES) -> DataFrame:
+def idf_weights(docs: DataFrame, terms: str, num_features: int = NUM_FEATURES) -> DataFrame:
     """(bucket, doc_freq, idf) with idf = ln((N + 1) / (df + 1)), as ML's IDF.
 
     Document frequency needs only the distinct buckets of each document
     (``array_distinct`` inside the row), so the shuffle carries at most
     ``num_features`` partial counts per task, not the (doc, bucket) table.
+    Every document also emits the marker bucket -1, whose frequency is N,
+    so the document count comes from the same pass; it is attached to the
+    other buckets over the aggregated table, at most num_features + 1 rows.
     """
-    buckets = F.array_distinct(F.transform(terms, lambda t: F.pmod(md5_u32(t), F.lit(num_features))))
+    buckets = F.array_union(
+        F.array_distinct(F.transform(terms, lambda t: F.pmod(md5_u32(t), F.lit(num_features)))),
+        F.array(F.lit(-1).cast("bigint")))
     dfreq = docs.select(F.explode(buckets).alias("bucket")).groupBy("bucket") \
                 .agg(F.count(F.lit(1)).alias("doc_freq"))
-    return dfreq.select(
-        "bucket", "doc_freq",
-        F.round(F.log(F.lit(n_docs + 1) / (F.col("doc_freq") + 1)), 6).alias("idf"))
+    n_docs = F.max(F.when(F.col("bucket") == -1, F.col("doc_freq"))).over(Window.partitionBy())
+    return (dfreq.withColumn("_n", n_docs).filter(F.col("bucket") >= 0)
+                 .select("bucket", "doc_freq",
+                         F.round(F.log((F.col("_n") + 1) / (F.col("doc_freq") + 1)), 6).alias("idf")))

@@ -64,8 +64,7 @@ select bucket, count(*) as doc_freq,
        round(ln(((select count(*) from clean) + 1) / (count(*) + 1)), 6) as idf
 from ({_TF_SQL}) group by bucket"""))
 def q_idf_weights(spark, sf_dir):
-    n_docs = clean_edits(edits(spark, sf_dir)).count()          # one scalar
-    return M.idf_weights(_docs(spark, sf_dir), "tokens", n_docs, M.NUM_FEATURES)
+    return M.idf_weights(_docs(spark, sf_dir), "tokens", M.NUM_FEATURES)
 
 
 # -- rule-scored metrics (checkable) ---------------------------------------------------
