@@ -4,12 +4,16 @@ filter -> score -> blacklist job.
 Blacklist state lives in tables under one root, written once per epoch:
 
 * ``keys/epoch=E``      distinct users flagged in epoch E
-* ``bloom/epoch=E``     snapshot of the bit table after epoch E, with its spec
+* ``bloom/slot=0|1``    the latest two snapshots of the bit table, each with
+                        its epoch and spec
 * ``reports/epoch=E``   per-epoch counts
 
-Each epoch overwrites only its own partitions, and reads only snapshots of
-earlier epochs, so replaying an epoch after a failure rewrites the same
-data (idempotent), and blacklist and offsets cannot drift apart.
+Each epoch reads the latest snapshot of an *earlier* epoch and writes its
+own into the other slot, overwriting only its own partitions. Replaying an
+epoch after a failure therefore reads the same snapshot and rewrites the
+same data (idempotent), so blacklist and offsets cannot drift apart. The
+overwritten slot held a snapshot no epoch can read again, and the listing
+stays at two directories however long the stream runs.
 """
 
 from __future__ import annotations
@@ -99,6 +103,7 @@ class BlacklistState:
         self.spark = spark
         self.root = root.rstrip("/")
         self.default_spec = BloomSpec(expected_items, false_positive_rate)
+        self._read_slot: dict[int, int] = {}
 
     def _read(self, name: str) -> DataFrame | None:
         try:
@@ -120,17 +125,19 @@ class BlacklistState:
         if snaps is None:
             return None, None
         prior = snaps.filter(F.col("epoch") < epoch)
-        meta = prior.agg(F.max_by(F.struct("epoch", "expected_items", "false_positive_rate", "n_keys"),
-                                  F.col("epoch")).alias("m")).first()["m"]
+        meta = prior.agg(F.max_by(F.struct("slot", "epoch", "expected_items", "false_positive_rate",
+                                           "n_keys"), F.col("epoch")).alias("m")).first()["m"]
         if meta is None:
             return None, None
-        return prior.filter(F.col("epoch") == meta["epoch"]), meta
+        return prior.filter((F.col("slot") == meta["slot"]) & (F.col("epoch") == meta["epoch"])), meta
 
     def filter_before(self, epoch: int) -> BloomFilter:
         """The filter as of the end of the latest epoch before ``epoch``."""
         snap, meta = self._latest_before(epoch)
         if snap is None:
+            self._read_slot[epoch] = 1                    # first snapshot goes to slot 0
             return BloomFilter.empty(self.spark, self.default_spec)
+        self._read_slot[epoch] = int(meta["slot"])
         spec = BloomSpec(int(meta["expected_items"]), float(meta["false_positive_rate"]))
         return BloomFilter(spec, snap.select("bucket", "bits"), int(meta["n_keys"]))
 
@@ -156,10 +163,17 @@ class BlacklistState:
         else:
             bf = before.add(written, "user")
         snap = bf.bits.select("bucket", "bits",
+                              F.lit(epoch).cast("bigint").alias("epoch"),
                               F.lit(spec.expected_items).cast("bigint").alias("expected_items"),
                               F.lit(spec.false_positive_rate).alias("false_positive_rate"),
                               F.lit(total).cast("bigint").alias("n_keys"))
-        snap.write.mode("overwrite").parquet(f"{self.root}/bloom/epoch={epoch}")
+        if epoch not in self._read_slot:
+            self.filter_before(epoch)
+        target = 1 - self._read_slot[epoch]
+        # the new bits are derived from the snapshot in the read slot; the
+        # write goes to the other one, so no table is read and overwritten
+        # by the same job
+        snap.write.mode("overwrite").parquet(f"{self.root}/bloom/slot={target}")
         return n_new
 
     def report(self, epoch: int, n_batch: int, n_unseen: int, n_new: int) -> None:

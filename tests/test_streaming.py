@@ -67,3 +67,18 @@ def test_sample_job_file_sink(spark, tmp_path):
     assert back.count() == user_sample(e).count()
     files = [f for f in os.listdir(out) if f.endswith(".csv")]
     assert len(files) >= back.count() // 10
+
+
+def test_snapshots_stay_two_and_replay_reads_the_earlier_one(spark, tmp_path):
+    state = J.BlacklistState(spark, str(tmp_path / "state"), expected_items=1000, false_positive_rate=0.01)
+    for e in range(5):
+        keys = spark.createDataFrame([(f"u{e}",)], "user string")
+        state.commit(e, keys, state.filter_before(e))
+    slots = [d for d in os.listdir(tmp_path / "state" / "bloom") if d.startswith("slot=")]
+    assert len(slots) == 2
+    assert state.filter_before(5).n_keys == 5
+    # replaying epoch 4 must start from the snapshot of epoch 3
+    before4 = state.filter_before(4)
+    assert before4.n_keys == 4
+    probe = spark.createDataFrame([(f"u{i}",) for i in range(4)], "user string")
+    assert before4.members(probe, "user").count() == 4
