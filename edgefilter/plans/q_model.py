@@ -13,7 +13,7 @@ from edgefilter.operators import model as M
 from edgefilter.operators.clean import clean_edits
 from edgefilter.operators.scoring import rule_prediction, rule_prediction_sql, split_column, split_sql
 from edgefilter.plans.registry import register
-from edgefilter.session import scratch_path
+from edgefilter.session import cut_lineage, scratch_path
 from edgefilter.sources.tables import edits, with_ctes
 
 
@@ -21,9 +21,15 @@ def split_clean(spark, sf_dir):
     return clean_edits(edits(spark, sf_dir)).withColumn("split", split_column(F.col("id")))
 
 
-def train_test(spark, sf_dir):
-    """Labelled rows only, split 70/30 by a hash of the id."""
+def train_test(spark, sf_dir, materialized: bool = False):
+    """Labelled rows only, split 70/30 by a hash of the id.
+
+    ``materialized`` checkpoints the labelled rows once, so a fit and its
+    evaluation read them instead of deriving them from the edits join twice.
+    """
     s = split_clean(spark, sf_dir).filter(F.col("labelled"))
+    if materialized:
+        s = cut_lineage(s)
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
@@ -108,7 +114,7 @@ def q_classification_metrics(spark, sf_dir):
 def _fit_default(spark, sf_dir):
     """Fit on persisted, size-partitioned training rows: IDF and every
     optimiser pass re-read them."""
-    train, test = train_test(spark, sf_dir)
+    train, test = train_test(spark, sf_dir, materialized=True)
     return M.fit(train), test
 
 
