@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from edgefilter.llm import common
-from edgefilter.llm import bpe, langid, simhash  # noqa: F401
+from edgefilter.llm import bpe, langid, quality, simhash  # noqa: F401
 
 
 def queries() -> dict:
