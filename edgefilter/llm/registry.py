@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from edgefilter.llm import common
-from edgefilter.llm import bpe, langid, phrases, quality, simhash  # noqa: F401
+from edgefilter.llm import bpe, langid, phrases, quality, simhash, suffixes  # noqa: F401
 
 
 def queries() -> dict:
