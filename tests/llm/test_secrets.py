@@ -1,0 +1,62 @@
+import re
+
+import pytest
+
+from edgefilter.llm import secrets as S
+from edgefilter.llm.common import table
+
+HEX = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
+
+
+def test_finds_the_tokens_of_the_documents(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    want = {(r.doc_id, m) for r in docs.collect() for m in re.findall(r'token = "([0-9a-fA-F]{40})"', r.text or "")}
+    rows = S.scan(docs).collect()
+    assert {(r.doc_id, r.candidate) for r in rows if r.is_secret} >= want and want
+    assert all(r.is_secret == (r.score >= 0.5) and 0 <= r.score <= 1 for r in rows)
+    assert not any(r.is_secret for r in rows if r.candidate.isdigit() or r.candidate.endswith(".com"))
+    assert S.op5_secrets(spark, "/root/testdata/sf0.01").count() == len(rows)
+
+
+def test_candidates_and_context(spark):
+    text = f'x token = "{HEX}" and password: "hunter2!x" at ann.9@mail4.example.com -----BEGIN RSA PRIVATE KEY----- end'
+    rows = S.candidates(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    got = {r.candidate: (r.before, r.after) for r in rows}
+    assert set(got) == {HEX, "hunter2!x", "mail4.example.com", "-----BEGIN RSA PRIVATE KEY-----"}
+    for c, (before, after) in got.items():
+        assert text[:text.index(c)].endswith(before) and text[text.index(c) + len(c):].startswith(after)
+    assert got[HEX][0] == 'x token = "'
+
+
+def test_features_equal_plain_loops(spark):
+    rows = [("abC12/x.9", "say token = '", "' x"), (HEX, "commit ", " by"), ("that-with-this-0001", "", "")]
+    found = spark.createDataFrame([(1, 2, *r) for r in rows],
+                                  "rid long, doc_id long, candidate string, before string, after string")
+    out = {r.candidate: r for r in S.with_features(found, ["that", "with", "this"]).collect()}
+    a = out["abC12/x.9"]
+    kind = [("d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "o") for c in a.candidate]
+    moves = sum(k != "o" and (i + 1 == len(kind) or kind[i + 1] != k) for i, k in enumerate(kind))
+    assert a.transitions == pytest.approx(moves / 9) and a.length == 9 and a.slashes == 1 and a.dots == 1
+    assert a.assigned == a.named == a.quoted == 1 and a.sure == 1
+    assert out[HEX].hex == 1 and out[HEX].harmless == 1 and out[HEX].sure == 0
+    assert out["that-with-this-0001"].coverage == pytest.approx(12 / 19)
+
+
+def test_edge_rows_and_redaction(spark):
+    t = f'key token = "{HEX}" then token = "{HEX}" end 1234567890123456'
+    rows = [(1, None), (2, ""), (3, t), (3, t), (None, t), (4, "plain words only"), (5, "1234567890123456 " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "length(text) n_chars", "1 as rid",
+                                                                              "'s' as secrets")
+    got = sorted(((r.doc_id, r.candidate, r.occurrences, r.is_secret) for r in S.scan(docs).collect()), key=str)
+    assert got == sorted([(3, HEX, 4, True), (None, HEX, 2, True), (3, "1234567890123456", 2, False),
+                          (None, "1234567890123456", 1, False), (5, "1234567890123456", 3000, False)], key=str)
+    out = S.redact(docs)
+    assert out.columns == docs.columns
+    clean = t.replace(HEX, "[SECRET]")
+    assert sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=str) == sorted(
+        [(i, x if x is None or HEX not in x else clean, None if x is None else len(x if HEX not in x else clean))
+         for i, x in rows], key=str)
+    assert S.scan(docs.where("false")).collect() == [] == S.redact(docs.where("false")).collect()
+    labelled = spark.createDataFrame([(HEX, 'token = "', '"', 0), ("1234567890123456", "", "", 1)] * 20,
+                                     "candidate string, before string, after string, label int")
+    assert not any(r.is_secret for r in S.scan(docs, labelled).where(f"candidate = '{HEX}'").collect())
