@@ -5,8 +5,8 @@ joined by a merge, so it marks a certain cut. White space is such a place in
 this vocabulary (no token holds any), so a text is first cut there; a piece
 that was not met before is normalised and split as the tokenizer file says,
 cut again wherever a byte pair is in no token, and every fragment is merged on
-its own. The ids are the fragments' ids one after the other. Pieces and
-fragments repeat, so each task keeps a bounded table of those it has met.
+its own. The ids are the fragments' ids one after the other. Pieces and words
+repeat, so each task keeps bounded tables of those it has met.
 
 Decoding takes the ids back through the vocabulary; the file names no decoder,
 so the tokens are joined by one space with their word-end marks.
@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,25 +30,25 @@ from pyspark.sql import types as T
 
 from edgefilter.llm.common import blocks, fresh, register, table
 
-#: Entries of a task's table of pieces (and of fragments); a full table is emptied.
-TABLE_ENTRIES = 400_000
-#: Pieces and fragments above this length are merged each time they are met.
+#: Entries of a task's table of pieces (and of words); a full table is emptied.
+TABLE_ENTRIES = 600_000
+#: Pieces and words above this length are merged each time they are met.
 LONG = 256
 
 
-class _Pieces(dict):
-    """White-space-free piece (bytes) -> its ids in decimal, joined by one space."""
+class _Table(dict):
+    """Text -> its ids in decimal joined by one space, worked out when first met; bounded."""
 
-    def __init__(self, codec: Codec):
+    def __init__(self, work):
         super().__init__()
-        self.codec = codec
+        self.work = work
 
-    def __missing__(self, piece: bytes) -> str:
-        out = " ".join(map(str, self.codec.piece_ids(piece.decode("utf-8", "replace"))))
-        if len(piece) <= LONG:
+    def __missing__(self, key):
+        out = " ".join(map(str, self.work(key)))
+        if len(key) <= LONG:
             if len(self) >= TABLE_ENTRIES:
                 self.clear()
-            self[piece] = out
+            self[key] = out
         return out
 
 
@@ -74,20 +75,31 @@ class Codec:
             body = token.removesuffix(self.end)
             inside.update(zip(body, body[1:], strict=False))
         self.inside = inside
-        self.fragments: dict[tuple[str, bool], list[int]] = {}
-        self.pieces = _Pieces(self)
+        self.words = _Table(self._plain_ids)
+        self.symbol_words = _Table(self._word_ids)
+        self.pieces = _Table(self._piece_ids)
+        # Texts of ASCII and Latin-1 letters only: their normal form is their lower case, so the pattern can run
+        # over the whole text at once. Anything else goes piece by piece through the file's own rules.
+        self.plain = re.compile("[ \\t-\\r!-~À-ÖØ-öø-ÿ]*").fullmatch
+        self.plain_words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \\t-\\ra-z0-9ß-öø-ÿ]+").findall
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.symbols = {b: chr(b) for b in printable} | {
+            b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(printable)))}
 
     # -- encoding ---------------------------------------------------------
-    def piece_ids(self, piece: str) -> list[int]:
-        out: list[int] = []
-        for part, token in self._specials(piece):
+    def _piece_ids(self, piece: bytes) -> list[str]:
+        """Ids of a run of bytes without white space, as strings, word by word."""
+        out: list[str] = []
+        for part, token in self._specials(piece.decode("utf-8", "replace")):
             if token is not None:
-                out.append(token)
+                out.append(str(token))
             elif part:
-                for word, _ in self.split(self.normalise(part)):
-                    out += self._word_ids(word)
+                out += [self.symbol_words[w] for w, _ in self.split(self.normalise(part))]
         return out
 
+    def _plain_ids(self, word: str) -> list[int]:
+        return self._word_ids(word if word.isascii() else "".join(map(self.symbols.__getitem__, word.encode())))
+
     def _specials(self, piece: str) -> Iterator[tuple[str, int | None]]:
         """The piece cut at special tokens, first place first."""
         while True:
@@ -102,21 +114,29 @@ class Codec:
     def _word_ids(self, word: str) -> list[int]:
         """Ids of one word (in byte symbols), fragment by fragment."""
         out, start = [], 0
-        for i in range(1, len(word)):
-            if (word[i - 1], word[i]) not in self.inside:
+        for i, pair in enumerate(zip(word, word[1:], strict=False), 1):
+            if pair not in self.inside:
                 out += self._fragment_ids(word[start:i], False)
                 start = i
         return out + self._fragment_ids(word[start:], True)
 
     def _fragment_ids(self, text: str, ends: bool) -> list[int]:
-        got = self.fragments.get((text, ends))
-        if got is None:
-            got = self._merge(text, ends)
-            if len(text) <= LONG:
-                if len(self.fragments) >= TABLE_ENTRIES:
-                    self.fragments.clear()
-                self.fragments[text, ends] = got
-        return got
+        if len(text) > 24:
+            return self._merge(text, ends)
+        sym = list(text)
+        if ends:
+            sym[-1] += self.end
+        rank, none = self.ranks.get, len(self.ranks)
+        ranks = [rank(p, none) for p in zip(sym, sym[1:], strict=False)]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            sym[i] += sym.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((sym[i - 1], sym[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((sym[i], sym[i + 1]), none)
+        return [self.ids[s] for s in sym]
 
     def _merge(self, text: str, ends: bool) -> list[int]:
         """Merges of lowest rank first, leftmost first, over a linked list with a heap of candidate pairs."""
@@ -145,6 +165,9 @@ class Codec:
 
     def encode(self, text: bytes) -> str:
         """Decimal ids of a whole UTF-8 text joined by one space."""
+        chars = text.decode("utf-8", "replace")
+        if self.plain(chars) and not any(s in chars for s in self.special):
+            return " ".join(map(self.words.__getitem__, self.plain_words(chars.lower())))
         return " ".join(filter(None, map(self.pieces.__getitem__, text.split())))
 
     # -- decoding ---------------------------------------------------------
