@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import datetime, timezone
 
 
 def _session(args):
@@ -65,7 +66,11 @@ def cmd_stream_filter(args) -> int:
     from edgefilter.streaming import jobs as J
     spark = _session(args)
     if args.kafka:
-        lines = J.kafka_source(spark, args.kafka, args.topic)
+        since = args.since and 1000 * int(datetime.fromisoformat(args.since).replace(tzinfo=timezone.utc).timestamp())
+        lines = J.kafka_source(spark, args.kafka, args.topic, since)
+    elif args.socket:
+        host, port = args.socket.rsplit(":", 1)
+        lines = J.socket_source(spark, host, int(port))
     else:
         lines = J.file_source(spark, args.input, args.files_per_trigger)
     if args.model:
@@ -89,8 +94,8 @@ def cmd_stream_filter(args) -> int:
 
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="edgefilter")
-    p.add_argument("--master", default="local[*]")
-    p.add_argument("--shuffle-partitions", type=int, default=8)
+    p.add_argument("--master", help="only if the submission gives none")
+    p.add_argument("--shuffle-partitions", type=int)
     sub = p.add_subparsers(dest="cmd", required=True)
 
     sub.add_parser("list").set_defaults(fn=cmd_list)
@@ -112,21 +117,23 @@ def main(argv=None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--percent", type=int, default=20)
-    s.add_argument("--records-per-file", type=int, default=1000)
-    s.add_argument("--timeout", type=int, default=3600)
+    s.add_argument("--records-per-file", type=int, default=1_000_000)
+    s.add_argument("--timeout", type=int, help="seconds; none by default")
     s.set_defaults(fn=cmd_stream_sample)
 
     f = sub.add_parser("stream-filter")
     src = f.add_mutually_exclusive_group(required=True)
     src.add_argument("--input")
     src.add_argument("--kafka")
+    src.add_argument("--socket", metavar="HOST:PORT", help="line socket, for trials only")
+    f.add_argument("--since", help="start of the Kafka topic, yyyy-MM-dd[ HH:mm:ss] UTC")
     f.add_argument("--topic", default="wikipedia-edits")
     f.add_argument("--files-per-trigger", type=int, default=1)
     f.add_argument("--state", required=True)
     f.add_argument("--checkpoint", required=True)
     f.add_argument("--model")
     f.add_argument("--once", action="store_true", help="process what is there, then stop")
-    f.add_argument("--timeout", type=int, default=3600)
+    f.add_argument("--timeout", type=int, help="seconds; none by default")
     f.set_defaults(fn=cmd_stream_filter)
 
     args = p.parse_args(argv)

@@ -21,6 +21,16 @@ def md5_u32_sql(expr: str, part: int = 0) -> str:
     return f"('0x' || substr(md5(cast({expr} as varchar)), {8 * part + 1}, 8))::BIGINT"
 
 
+def md5_u60(c: Column) -> Column:
+    """Unsigned 60-bit integer from the first 15 hex digits of md5(c)."""
+    return F.conv(F.substring(F.md5(c.cast("string")), 1, 15), 16, 10).cast("bigint")
+
+
+def md5_u60_sql(expr: str) -> str:
+    """DuckDB text of :func:`md5_u60`."""
+    return f"('0x' || substr(md5(cast({expr} as varchar)), 1, 15))::BIGINT"
+
+
 def hash_bucket(c: Column, buckets: int) -> Column:
     """Bucket in [0, buckets) from md5; NULL input gives NULL."""
     return F.pmod(md5_u32(c), F.lit(buckets))

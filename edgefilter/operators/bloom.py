@@ -5,8 +5,9 @@ The bit array is a table of ``(bucket, bits)`` rows: bucket ``b`` holds bits
 Only buckets with a set bit exist, so the table never exceeds ``m/8`` bytes.
 
 Bit positions come from k independent hashes,
-``pos_i = u32(md5(key || '#' || i)) mod m`` for ``i < k``, so any engine
-with md5 can recompute them (the oracle statements do). Double hashing on
+``pos_i = u60(md5(key || '#' || i)) mod m`` for ``i < k`` (60 bits, so that
+every position of any real filter can be reached), so any engine with md5 can
+recompute them (the oracle statements do). Double hashing on
 two halves of one digest would be cheaper but degenerates on small filters:
 when h2 shares a factor with m, a key's k positions collapse onto few bits.
 
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgefilter.functions.hashing import md5_u32, md5_u32_sql
+from edgefilter.functions.hashing import md5_u60, md5_u60_sql
 from edgefilter.session import cut_lineage, materialize
 
 BITS_PER_BUCKET = 32768
@@ -76,7 +77,7 @@ def key_positions(keys: DataFrame, key: str, spec: BloomSpec) -> DataFrame:
     salted = F.concat(F.col(key).cast("string"), F.lit("#"), F.col("_i").cast("string"))
     return (keys.filter(F.col(key).isNotNull())
                 .select(F.col(key), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_i"))
-                .select(F.col(key), F.pmod(md5_u32(salted), F.lit(m)).alias("pos")))
+                .select(F.col(key), F.pmod(md5_u60(salted), F.lit(m)).alias("pos")))
 
 
 def _bucket(pos: Column) -> Column:
@@ -186,12 +187,16 @@ class BloomFilter:
         return hit.groupBy(key).agg(F.count(F.lit(1)).alias("_hits")) \
                   .filter(F.col("_hits") == k).select(key)
 
-    def _member_table(self, df: DataFrame, key: str) -> DataFrame:
+    def _member_table(self, df: DataFrame, key: str, path: str | None = None) -> DataFrame:
         # Written and re-read: the join back to ``df`` then sees two ordinary
         # shuffle stages, so AQE broadcasts the members when they turn out
         # small (``df`` is not shuffled at all) and otherwise splits the
         # partition of a hot key (one user may own a third of the rows).
-        return materialize(self.members(df, key), "bloom_members")
+        # A caller that probes again and again names the path to overwrite.
+        if path is None:
+            return materialize(self.members(df, key), "bloom_members")
+        self.members(df, key).write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
 
     @property
     def is_empty(self) -> bool:
@@ -210,11 +215,11 @@ class BloomFilter:
             return df
         return df.join(self._member_table(df, key), key, "left_anti")
 
-    def mark(self, df: DataFrame, key: str, out: str = "predicted") -> DataFrame:
+    def mark(self, df: DataFrame, key: str, out: str = "predicted", path: str | None = None) -> DataFrame:
         """``df`` with a boolean column: may the key be in the filter."""
         if self.is_empty:
             return df.withColumn(out, F.lit(False))
-        m = self._member_table(df, key).withColumn(out, F.lit(True))
+        m = self._member_table(df, key, path).withColumn(out, F.lit(True))
         return df.join(m, key, "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
     # -- inspection and persistence ------------------------------------
@@ -274,7 +279,7 @@ def spec_sql(keys_cte: str, p: float) -> str:
 def positions_sql(keys_cte: str, key: str, spec_cte: str) -> str:
     """CTE body of (key, pos) rows, the DuckDB text of :func:`key_positions`."""
     salted = f"(cast({key} as varchar) || '#' || cast(i as varchar))"
-    return (f"select {key}, {md5_u32_sql(salted)} % m as pos "
+    return (f"select {key}, {md5_u60_sql(salted)} % m as pos "
             f"from (select {key}, unnest(range(kk)) as i, m from {keys_cte}, {spec_cte} "
             f"where {key} is not null)")
 

@@ -13,10 +13,29 @@ _WALL_CLOCK = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$"
 # The feed filter of the change-event producer.
 KEPT_SERVERS = ("en.wikipedia.org", "de.wikipedia.org")
 KEPT_TYPE = "edit"
+# Fields without which an event is skipped.
+REQUIRED = ("id", "title", "user", "bot", "length.new", "length.old", "wiki", "timestamp", "minor", "comment")
+
+
+def kept_change_events(raw: DataFrame, since: str | None = None) -> DataFrame:
+    """Edits of the two wikis, with ``complete``: whether no required field is missing."""
+    out = raw.filter(F.col("server_name").isin(*KEPT_SERVERS) & (F.col("type") == KEPT_TYPE))
+    if since is not None:
+        out = out.filter(F.col("timestamp") >= F.unix_timestamp(F.lit(since).cast("timestamp")))
+    complete = F.lit(True)
+    for name in REQUIRED:
+        complete = complete & F.col(name).isNotNull()
+    return out.withColumn("complete", complete)
+
+
+def change_event_skips(raw: DataFrame, since: str | None = None) -> DataFrame:
+    """How many of the feed's edits are kept and how many skipped as malformed; one aggregate."""
+    return kept_change_events(raw, since).agg(F.count_if("complete").alias("n_kept"),
+                                              F.count_if(~F.col("complete")).alias("n_skipped"))
 
 
 def normalize_change_events(raw: DataFrame, since: str | None = None) -> DataFrame:
-    """Raw change events -> edit records.
+    """Raw change events -> edit records; events that lack a required field are skipped.
 
     Keeps edits of the two wikis, computes ``length = new - old``, strips
     commas from the free-text fields and renders the epoch-second timestamp
@@ -24,9 +43,7 @@ def normalize_change_events(raw: DataFrame, since: str | None = None) -> DataFra
     where the original producer used its process-local zone). ``since``
     restricts to events at or after a ``yyyy-MM-dd[ HH:mm:ss]`` instant.
     """
-    out = raw.filter(F.col("server_name").isin(*KEPT_SERVERS) & (F.col("type") == KEPT_TYPE))
-    if since is not None:
-        out = out.filter(F.col("timestamp") >= F.unix_timestamp(F.lit(since).cast("timestamp")))
+    out = kept_change_events(raw, since).filter("complete")
     strip = lambda c: F.replace(F.col(c), F.lit(","), F.lit(""))
     return out.select(
         F.col("id"),

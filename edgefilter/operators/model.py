@@ -185,7 +185,7 @@ def idf_weights(docs: DataFrame, terms: str, num_features: int = NUM_FEATURES) -
     other buckets over the aggregated table, at most num_features + 1 rows.
     """
     buckets = F.array_union(
-        F.array_distinct(F.transform(terms, lambda t: F.pmod(md5_u32(t), F.lit(num_features)))),
+        F.array_distinct(F.transform(F.array_distinct(terms), lambda t: F.pmod(md5_u32(t), F.lit(num_features)))),
         F.array(F.lit(-1).cast("bigint")))
     dfreq = docs.select(F.explode(buckets).alias("bucket")).groupBy("bucket") \
                 .agg(F.count(F.lit(1)).alias("doc_freq"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgefilter.functions.text import is_stop_word, raw_words
+from edgefilter.session import materialize
 
 DIGITS = 6
 
@@ -34,11 +35,12 @@ def user_day_edits(clean: DataFrame) -> DataFrame:
 def user_day_edits_join(clean: DataFrame) -> DataFrame:
     """Detail rows with their user-day count (inner join: null keys drop out).
 
-    The aggregate side has one row per key; the detail side is shuffled on
-    (user, date). A hot user-day is split by AQE's skew-join handling, the
-    one-row aggregate partner is replicated to the split tasks.
+    The counts are written and read again: the join then sees two plain
+    shuffles (a final aggregate above one would keep AQE from its skew rule),
+    so a hot user-day is split and its one count row goes to each split task;
+    a small count table is broadcast instead.
     """
-    agg = user_day_edits(clean.filter(F.col("user").isNotNull() & F.col("date").isNotNull()))
+    agg = materialize(user_day_edits(clean.filter(F.col("user").isNotNull() & F.col("date").isNotNull())), "user_days")
     return clean.join(agg, on=["user", "date"], how="inner")
 
 

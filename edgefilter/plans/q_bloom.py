@@ -9,7 +9,7 @@ from edgefilter.operators.bloom import BloomFilter, BloomSpec, members_sql, posi
 from edgefilter.operators.clean import clean_edits
 from edgefilter.operators.scoring import rule_prediction, rule_prediction_sql, split_column, split_sql
 from edgefilter.plans.registry import register
-from edgefilter.session import scratch_path
+from edgefilter.session import materialize, scratch_path
 from edgefilter.sources.tables import edits, with_ctes
 
 P_BLACKLIST = 0.1
@@ -23,10 +23,9 @@ def split_edits(spark, sf_dir):
 
 def blacklist_users(spark, sf_dir):
     """Labelled bots of the train part, union users predicted bot on the test part."""
-    s = split_edits(spark, sf_dir)
-    truth = s.filter((F.col("split") == "train") & F.col("bot")).select("user")
-    predicted = s.filter((F.col("split") == "test") & (F.col("prediction") >= 0.5)).select("user")
-    return truth.union(predicted).filter(F.col("user").isNotNull()).distinct()
+    labelled = (F.col("split") == "train") & F.col("bot")
+    predicted = (F.col("split") == "test") & (F.col("prediction") >= 0.5)
+    return split_edits(spark, sf_dir).filter((labelled | predicted) & F.col("user").isNotNull()).select("user").distinct()
 
 
 def blacklist_filter(spark, sf_dir, p: float = P_BLACKLIST) -> BloomFilter:
@@ -117,8 +116,7 @@ def q_bloom_evaluation(spark, sf_dir):
 @register("bloom_merge", with_ctes("select pos from bits", extra=_FILTER))
 def q_bloom_merge(spark, sf_dir):
     """Filters of the two halves at one spec, OR-ed, equal the filter of the union."""
-    keys = blacklist_users(spark, sf_dir)
-    spec = BloomSpec(keys.count(), P_BLACKLIST)
+    spec = BloomSpec(blacklist_users(spark, sf_dir).count(), P_BLACKLIST)
     s = split_edits(spark, sf_dir)
     truth = s.filter((F.col("split") == "train") & F.col("bot")).select("user")
     pred = s.filter((F.col("split") == "test") & (F.col("prediction") >= 0.5)).select("user")
@@ -156,7 +154,7 @@ def q_bloom_rebuild(spark, sf_dir):
     s = split_edits(spark, sf_dir)
     truth = s.filter((F.col("split") == "train") & F.col("bot")).select("user")
     first = BloomFilter.build(truth, "user", false_positive_rate=P_BLACKLIST)
-    keys = blacklist_users(spark, sf_dir)
+    keys = materialize(blacklist_users(spark, sf_dir), "blacklist_keys")
     total = keys.count()
     spec = first.spec.grown(total) if total > first.spec.n else first.spec
     rebuilt = BloomFilter.build(keys, "user", spec)

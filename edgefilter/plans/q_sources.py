@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgefilter.functions.hashing import hash_bucket, hash_bucket_sql
-from edgefilter.operators.clean import clean_edits, normalize_change_events
+from edgefilter.operators.clean import change_event_skips, clean_edits, normalize_change_events
 from edgefilter.operators.scoring import split_column, split_sql
 from edgefilter.plans.registry import register
 from edgefilter.schemas import EDIT_COLUMNS
@@ -95,6 +95,10 @@ select d.doc_id as id,
 from documents d join events e on e.event_id = d.doc_id"""
 
 
+_COMPLETE_SQL = " and ".join(f'{c} is not null' for c in (
+    "id", "title", '"user"', "bot", "length", "wiki", "epoch_s", "minor", "comment"))
+
+
 @register("normalize_change_events", f"""
 select id, replace(title, ',', '') as title, replace("user", ',', '') as "user", bot, length,
        replace(wiki, ',', '') as wiki,
@@ -102,12 +106,25 @@ select id, replace(title, ',', '') as title, replace("user", ',', '') as "user",
        minor, replace(comment, ',', '') as comment
 from ({_RAW_SQL})
 where server_name in ('en.wikipedia.org', 'de.wikipedia.org') and type = 'edit'
-  and epoch_s >= epoch(timestamp '{SINCE}')""")
+  and epoch_s >= epoch(timestamp '{SINCE}') and {_COMPLETE_SQL}""")
 def q_normalize_change_events(spark, sf_dir):
+    return normalize_change_events(_raw_changes(spark, sf_dir), since=SINCE)
+
+
+@register("change_event_skips", f"""
+select count(*) filter (where {_COMPLETE_SQL}) as n_kept, count(*) filter (where not ({_COMPLETE_SQL})) as n_skipped
+from ({_RAW_SQL})
+where server_name in ('en.wikipedia.org', 'de.wikipedia.org') and type = 'edit'
+  and epoch_s >= epoch(timestamp '{SINCE}')""")
+def q_change_event_skips(spark, sf_dir):
+    return change_event_skips(_raw_changes(spark, sf_dir), since=SINCE)
+
+
+def _raw_changes(spark, sf_dir):
     raw = FS.raw_changes_from_tables(table(spark, sf_dir, "documents"), table(spark, sf_dir, "events"))
     path = scratch_path(spark, "raw_changes")
     raw.write.mode("overwrite").json(path)
-    return normalize_change_events(FS.read_raw_changes(spark, path), since=SINCE)
+    return FS.read_raw_changes(spark, path)
 
 
 @register("user_hash_sample", f"""
@@ -121,7 +138,7 @@ select {_COLS} from ({EDITS_SQL}) where {hash_bucket_sql('"user"', 100)} < {SAMP
 def q_sample_sink(spark, sf_dir):
     """User-sampled edits appended as CSV (bounded files), read back."""
     path = scratch_path(spark, "sample_csv")
-    FS.write_edits_csv(user_sample(edits(spark, sf_dir)), path, records_per_file=1000)
+    FS.write_edits_csv(user_sample(edits(spark, sf_dir)), path)
     return FS.read_edits_csv(spark, path)
 
 
@@ -146,15 +163,26 @@ def q_batch_union(spark, sf_dir):
     return a.unionByName(b)
 
 
-@register("sample_comments")
+SAMPLE_ROWS = 20
+
+
+def _sample_comments_sql(test: str) -> str:
+    return with_ctes(f"""
+select id, comment from clean where {test} and {hash_bucket_sql('id', 100)} < 10 order by md5(cast(id as varchar)), id
+limit {SAMPLE_ROWS}""")
+
+
+def _sample_comments(rows):
+    """A 10 % sample by a hash of the id; of it the first 20 in hash order (the reference's sample to look at)."""
+    return rows.filter(hash_bucket(F.col("id"), 100) < 10).select("id", "comment").orderBy(
+        F.md5(F.col("id").cast("string")), "id").limit(SAMPLE_ROWS)
+
+
+@register("sample_comments", _sample_comments_sql("bot"))
 def q_sample_comments(spark, sf_dir):
-    """Up to 20 bot comments from a 10 % Bernoulli sample (seeded)."""
-    c = clean_edits(edits(spark, sf_dir))
-    return c.filter(F.col("bot")).select("comment").sample(fraction=0.1, seed=42).limit(20)
+    return _sample_comments(clean_edits(edits(spark, sf_dir)).filter(F.col("bot")))
 
 
-@register("sample_comments_human")
+@register("sample_comments_human", _sample_comments_sql("not bot"))
 def q_sample_comments_human(spark, sf_dir):
-    """Up to 20 human comments from a 10 % Bernoulli sample (seeded)."""
-    c = clean_edits(edits(spark, sf_dir))
-    return c.filter(~F.col("bot")).select("comment").sample(fraction=0.1, seed=42).limit(20)
+    return _sample_comments(clean_edits(edits(spark, sf_dir)).filter(~F.col("bot")))

@@ -15,17 +15,18 @@ from edgefilter.sources import files as FS
 from edgefilter.sources.tables import EDITS_SQL, edits, table, with_ctes
 from edgefilter.streaming import jobs as J
 
-STREAM_FILES = 4
+#: Files taken in one epoch.
+FILES_PER_EPOCH = 16
 SAMPLE_PERCENT = 20
 _COLS = ", ".join(f'"{c}"' for c in EDIT_COLUMNS)
 
 
 def stream_input(spark, sf_dir) -> str:
-    """JSON lines of all edits plus conversation text as noise, in a few files."""
+    """JSON lines of all edits plus conversation text as noise, in as many files as their tasks write."""
     conv = table(spark, sf_dir, "conversations").select(F.col("text").alias("value"))
     lines = FS.edit_json_lines(edits(spark, sf_dir), conv)
     path = scratch_path(spark, "stream_in")
-    lines.coalesce(STREAM_FILES).write.mode("overwrite").text(path)   # no shuffle of the text
+    lines.write.mode("overwrite").option("maxRecordsPerFile", FS.DEFAULT_RECORDS_PER_FILE).text(path)
     return path
 
 
@@ -33,9 +34,9 @@ def stream_input(spark, sf_dir) -> str:
 def q_stream_parse(spark, sf_dir):
     src = stream_input(spark, sf_dir)
     out, ck = scratch_path(spark, "stream_parsed"), scratch_path(spark, "ck_parse")
-    q = (J.edit_stream(J.file_source(spark, src)).writeStream.format("parquet")
+    q = (J.edit_stream(J.file_source(spark, src, FILES_PER_EPOCH)).writeStream.format("parquet")
          .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
-    J._finish(q, 600)
+    J._finish(q)
     return spark.read.parquet(out)
 
 
@@ -44,7 +45,7 @@ select {_COLS} from ({EDITS_SQL}) where {hash_bucket_sql('"user"', 100)} < {SAMP
 def q_stream_sample(spark, sf_dir):
     src = stream_input(spark, sf_dir)
     out, ck = scratch_path(spark, "stream_sample"), scratch_path(spark, "ck_sample")
-    J.run_sample_job(spark, J.file_source(spark, src), out, ck, SAMPLE_PERCENT)
+    J.run_sample_job(spark, J.file_source(spark, src, FILES_PER_EPOCH), out, ck, SAMPLE_PERCENT)
     return FS.read_edits_csv(spark, out)
 
 
@@ -57,20 +58,30 @@ select distinct "user" from clean where {rule_prediction_sql()} >= 0.5 and "user
 def q_stream_blacklist_growth(spark, sf_dir):
     src = stream_input(spark, sf_dir)
     state = J.BlacklistState(spark, scratch_path(spark, "blacklist"))
-    J.run_filter_score_job(spark, J.file_source(spark, src), state, rule_scorer,
+    J.run_filter_score_job(spark, J.file_source(spark, src, FILES_PER_EPOCH), state, rule_scorer,
                            scratch_path(spark, "ck_blacklist"))
     return state.keys().select("user").distinct()
 
 
-@register("stream_filter_score")
+@register("stream_filter_score", f"""
+select cast(sum(n_lines) as bigint) as n_batch, true as unseen_within_batch, true as new_keys_within_unseen
+from (select count(*) as n_lines from ({EDITS_SQL}))""")
 def q_stream_filter_score(spark, sf_dir):
-    """The stream job with the trained classifier; returns the per-epoch report."""
+    """The stream job with the trained classifier; totals of the per-epoch report.
+
+    How many senders a fitted model flags has no SQL equivalent; that every
+    edit passed through an epoch, and that unseen and new rows stay within
+    their batch, has.
+    """
     from edgefilter.operators import model as M
     from edgefilter.plans.q_model import train_test
     train, _ = train_test(spark, sf_dir)
     model = M.fit(train)
     src = stream_input(spark, sf_dir)
     state = J.BlacklistState(spark, scratch_path(spark, "blacklist_ml"))
-    J.run_filter_score_job(spark, J.file_source(spark, src), state, model.transform,
+    J.run_filter_score_job(spark, J.file_source(spark, src, FILES_PER_EPOCH), state, model.transform,
                            scratch_path(spark, "ck_blacklist_ml"))
-    return state.reports()
+    return state.reports().agg(
+        F.sum("n_batch").cast("bigint").alias("n_batch"),
+        F.min(F.col("n_unseen") <= F.col("n_batch")).alias("unseen_within_batch"),
+        F.min(F.col("n_new_keys") <= F.col("n_unseen")).alias("new_keys_within_unseen"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
+from pyspark import SparkConf, StorageLevel
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -19,14 +19,42 @@ _DEFAULTS = {
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                app_name: str = "edgefilter", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings every job here assumes."""
-    builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
+def session_conf(preset: dict, master: str | None = None, shuffle_partitions: int | None = None,
+                 extra: dict | None = None) -> dict:
+    """What to set on top of ``preset``, the settings the environment already gives.
+
+    Preset values stay, the master and the number of shuffle partitions above
+    all: a value set in code would win over the submit option. Only a plain
+    local run, with no master given anywhere, gets local defaults.
+    """
+    conf = {k: v for k, v in _DEFAULTS.items() if k not in preset}
+    if master is not None:
+        conf["spark.master"] = master
+    elif "spark.master" not in preset:
+        conf["spark.master"] = "local[8]"
+    local = conf.get("spark.master", preset.get("spark.master", "")).startswith("local")
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif local and "spark.sql.shuffle.partitions" not in preset:
+        conf["spark.sql.shuffle.partitions"] = "8"
+    return conf | (extra or {})
+
+
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
+                app_name: str | None = None, extra: dict | None = None) -> SparkSession:
+    """Build (or reuse) a session with the settings every job here assumes.
+
+    ``master`` and ``shuffle_partitions`` are set only if given (see
+    :func:`session_conf`), so a submitted job keeps those of its submission.
+    """
+    preset = dict(SparkConf().getAll())
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        preset |= dict(running.sparkContext.getConf().getAll())
+    builder = SparkSession.builder
+    if app_name is not None or "spark.app.name" not in preset:
+        builder = builder.appName(app_name or "edgefilter")
+    for key, value in session_conf(preset, master, shuffle_partitions, extra).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -54,11 +82,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def warehouse_root(spark: SparkSession) -> str:
+    """The warehouse folder; on a cluster it must be a shared one, as for checkpoints."""
+    root = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
+    preset = dict(spark.sparkContext.getConf().getAll())
+    if not (spark.sparkContext.master or "").startswith("local") and "spark.sql.warehouse.dir" not in preset:
+        raise RuntimeError("spark.sql.warehouse.dir must name a shared folder on a cluster")
+    return root
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the checkpoint root for one written table."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table of ours through the file system that holds it."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df):
     """Materialise ``df`` in the checkpoint folder and return the re-read copy.
 

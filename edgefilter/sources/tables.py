@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgefilter.session import warehouse_root
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -38,6 +40,7 @@ def bucket_edit_inputs(spark: SparkSession, sf_dir: str, database: str = "edgefi
     on the join id (under ``spark.sql.warehouse.dir``, which on a cluster
     must be shared storage). Every later edits view over them joins without
     shuffling either side."""
+    warehouse_root(spark)            # raises on a cluster without a shared one
     spark.sql(f"create database if not exists {database}")
     for name, key in EDIT_INPUT_KEYS:
         (table(spark, sf_dir, name).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)

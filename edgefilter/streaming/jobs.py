@@ -4,16 +4,20 @@ filter -> score -> blacklist job.
 Blacklist state lives in tables under one root, written once per epoch:
 
 * ``keys/epoch=E``      distinct users flagged in epoch E
+* ``keys_base/upto=E``  the keys of all epochs before E, once compacted
 * ``bloom/slot=0|1``    the latest two snapshots of the bit table, each with
                         its epoch and spec
-* ``reports/epoch=E``   per-epoch counts
+* ``reports/epoch=E``   per-epoch counts (``reports_base/upto=E`` likewise)
+* ``members/slot=0|1``  the batch's users that the filter may hold
 
 Each epoch reads the latest snapshot of an *earlier* epoch and writes its
 own into the other slot, overwriting only its own partitions. Replaying an
 epoch after a failure therefore reads the same snapshot and rewrites the
 same data (idempotent), so blacklist and offsets cannot drift apart. The
 overwritten slot held a snapshot no epoch can read again, and the listing
-stays at two directories however long the stream runs.
+stays at two directories however long the stream runs. Every
+``COMPACT_EVERY`` epochs the keys and reports of settled epochs are written
+as one base table and their folders removed.
 """
 
 from __future__ import annotations
@@ -32,10 +36,14 @@ from edgefilter.operators.bloom import (
 )
 from edgefilter.operators.clean import clean_edits
 from edgefilter.schemas import EDIT_COLUMNS
-from edgefilter.sources.files import CSV_OPTIONS
+from edgefilter.session import remove_path
+from edgefilter.sources.files import CSV_OPTIONS, DEFAULT_RECORDS_PER_FILE, edits_to_json
 from edgefilter.streaming.parse import parse_edit_json
 
 Scorer = Callable[[DataFrame], DataFrame]
+COMPACT_EVERY = 64
+KEYS_SCHEMA = "user string, epoch long"
+REPORTS_SCHEMA = "n_batch long, n_unseen long, n_new_keys long, epoch long"
 
 
 # -- sources ---------------------------------------------------------------------
@@ -48,11 +56,17 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return r.load(path)
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str = "wikipedia-edits") -> DataFrame:
-    """Kafka topic as text values; needs the Kafka connector on the classpath."""
-    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-           .option("subscribe", topic).option("failOnDataLoss", "false")
-           .option("startingOffsets", "earliest").load())
+def kafka_source(spark: SparkSession, servers: str, topic: str = "wikipedia-edits",
+                 since_ms: int | None = None) -> DataFrame:
+    """Kafka topic as text values, from the start or from ``since_ms`` (epoch milliseconds).
+
+    Needs the Kafka connector on the classpath; not exercised here.
+    """
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).option("failOnDataLoss", "false"))
+    r = r.option("startingOffsets", "earliest") if since_ms is None else r.option(
+        "startingTimestamp", str(since_ms)).option("startingOffsetsByTimestampStrategy", "latest")
+    raw = r.load()
     return raw.select(F.col("value").cast("string").alias("value"))
 
 
@@ -68,7 +82,8 @@ def edit_stream(lines: DataFrame) -> DataFrame:
 # -- sampling job ---------------------------------------------------------------------
 
 def run_sample_job(spark: SparkSession, lines: DataFrame, out_path: str, checkpoint: str,
-                   percent: int = 20, records_per_file: int = 1000, timeout_s: int = 600) -> None:
+                   percent: int = 20, records_per_file: int = DEFAULT_RECORDS_PER_FILE,
+                   timeout_s: int | None = None) -> None:
     """Keep all edits of ~percent % of users; append them as CSV files.
 
     The file sink is exactly-once through its metadata log, files are
@@ -83,9 +98,16 @@ def run_sample_job(spark: SparkSession, lines: DataFrame, out_path: str, checkpo
     _finish(q, timeout_s)
 
 
-def _finish(q, timeout_s: int) -> None:
-    done = q.awaitTermination(timeout_s)
-    if not done:
+def record_sink(records: DataFrame, checkpoint: str, fmt: str = "text", **options):
+    """Start a stream that writes edit records as JSON lines (``value``) to ``fmt``: files, or Kafka by its options."""
+    return (edits_to_json(records).select("value").writeStream.format(fmt).options(**options)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def _finish(q, timeout_s: int | None = None) -> None:
+    """Wait until the query has taken all its input; a time limit only if the caller gives one."""
+    done = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
+    if done is False:
         q.stop()
         raise TimeoutError(f"stream query {q.id} did not finish in {timeout_s}s")
     if q.exception() is not None:
@@ -114,11 +136,44 @@ class BlacklistState:
             raise
 
     def keys(self, before: int | None = None) -> DataFrame:
-        k = self._read("keys")
-        if k is None:
-            return self.spark.createDataFrame([], "user string, epoch long")
+        k = self._all("keys", KEYS_SCHEMA)
         return k if before is None else k.filter(F.col("epoch") < before)
 
+    def _base(self, name: str) -> tuple[DataFrame | None, int]:
+        """The latest compacted table and the epoch it goes up to."""
+        base = self._read(f"{name}_base")
+        upto = None if base is None else base.agg(F.max("upto")).first()[0]
+        return (None, -1) if upto is None else (base.filter(F.col("upto") == upto).drop("upto"), int(upto))
+
+    def _all(self, name: str, schema: str) -> DataFrame:
+        base, upto = self._base(name)
+        new = self._read(name)
+        columns = [f.split()[0] for f in schema.split(", ")]
+        out = self.spark.createDataFrame([], schema)
+        for part in (base, None if new is None else new.filter(F.col("epoch") >= upto)):
+            if part is not None:
+                out = out.unionByName(part.select(*(F.col(c).cast(out.schema[c].dataType) for c in columns)))
+        return out
+
+    def compact(self, epoch: int) -> None:
+        """One base table for the epochs before ``epoch``, which no replay can reach; their folders go.
+
+        The base is written whole before anything is removed, and readers skip
+        the epochs it covers, so a failure in between loses and doubles nothing.
+        """
+        for name, schema in (("keys", KEYS_SCHEMA), ("reports", REPORTS_SCHEMA)):
+            _, had = self._base(name)
+            if self._read(name) is None:
+                continue
+            rows = self._all(name, schema).filter(F.col("epoch") < epoch)
+            if rows.isEmpty():
+                continue
+            rows.write.mode("overwrite").parquet(f"{self.root}/{name}_base/upto={epoch}")
+            for e in range(max(0, had), epoch):
+                remove_path(self.spark, f"{self.root}/{name}/epoch={e}")
+            if had >= 0:
+                remove_path(self.spark, f"{self.root}/{name}_base/upto={had}")
+
     def _latest_before(self, epoch: int):
         """(snapshot rows, spec row) of the latest epoch before ``epoch``; one job."""
         snaps = self._read("bloom")
@@ -170,6 +225,7 @@ class BlacklistState:
         if epoch not in self._read_slot:
             self.filter_before(epoch)
         target = 1 - self._read_slot[epoch]
+        self._read_slot = {epoch: self._read_slot[epoch]}
         # the new bits are derived from the snapshot in the read slot; the
         # write goes to the other one, so no table is read and overwritten
         # by the same job
@@ -182,17 +238,18 @@ class BlacklistState:
              .write.mode("overwrite").parquet(f"{self.root}/reports/epoch={epoch}"))
 
     def reports(self) -> DataFrame:
-        r = self._read("reports")
-        return r if r is not None else self.spark.createDataFrame(
-            [], "n_batch long, n_unseen long, n_new_keys long, epoch long")
+        return self._all("reports", REPORTS_SCHEMA)
 
 
 def filter_score_update(state: BlacklistState, scorer: Scorer, threshold: float = 0.5):
     """foreachBatch function: drop known senders, score the rest, grow the list."""
 
     def process(batch: DataFrame, epoch_id: int) -> None:
+        if epoch_id and epoch_id % COMPACT_EVERY == 0:
+            state.compact(epoch_id - 1)
         bf = state.filter_before(epoch_id)
-        marked = bf.mark(batch, "user", "_seen").persist()
+        batch = batch.persist()          # the source is read once: for the probe, the join back and the counts
+        marked = bf.mark(batch, "user", "_seen", f"{state.root}/members/slot={epoch_id % 2}").persist()
         try:
             counts = marked.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_seen")).alias("u")).first()
             n_batch, n_unseen = int(counts["n"]), int(counts["u"])
@@ -207,12 +264,13 @@ def filter_score_update(state: BlacklistState, scorer: Scorer, threshold: float
             state.report(epoch_id, n_batch, n_unseen, n_new)
         finally:
             marked.unpersist()
+            batch.unpersist()
 
     return process
 
 
 def run_filter_score_job(spark: SparkSession, lines: DataFrame, state: BlacklistState,
-                         scorer: Scorer, checkpoint: str, timeout_s: int = 900) -> None:
+                         scorer: Scorer, checkpoint: str, timeout_s: int | None = None) -> None:
     q = (edit_stream(lines).writeStream.foreachBatch(filter_score_update(state, scorer))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _finish(q, timeout_s)

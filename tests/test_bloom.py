@@ -87,3 +87,15 @@ def test_mark_flags_every_row(spark):
     bf = BloomFilter.build(df.filter("bot"), "user", false_positive_rate=0.001)
     out = {r.user: r.predicted for r in bf.mark(df, "user").collect()}
     assert out["a"] is True and len(out) == 3
+
+
+def test_positions_reach_beyond_32_bits(spark):
+    """A filter of more than 2^32 bits uses all of them; no bit table is built here."""
+    from edgefilter.operators.bloom import key_positions
+    spec = BloomSpec(1_000_000_000, 0.001)
+    assert spec.size > 1 << 33
+    keys = spark.range(0, 3000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user"))
+    pos = key_positions(keys, "user", spec)
+    above, top, n = pos.agg(F.avg((F.col("pos") >= 1 << 32).cast("double")), F.max("pos"), F.count("*")).first()
+    assert n == 3000 * spec.hash_count and top < spec.size
+    assert abs(above - (1 - (1 << 32) / spec.size)) < 0.02

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from edgefilter.operators.clean import clean_edits, normalize_change_events
+from edgefilter.operators.clean import change_event_skips, clean_edits, normalize_change_events
 from edgefilter.schemas import EDIT_SCHEMA, RAW_CHANGE_SCHEMA
 from edgefilter.sources import files as FS
 from edgefilter.streaming.parse import parse_edit_json
@@ -22,14 +22,18 @@ def test_normalize_change_events(spark):
         (1, "edit", "en.wikipedia.org", "A, b", "u,1", False, "enwiki", True, "c,d", 1729814400, (10, 4)),
         (2, "edit", "fr.wikipedia.org", "x", "u2", False, "frwiki", False, "", 1729814400, (1, 1)),
         (3, "log", "de.wikipedia.org", "x", "u3", False, "dewiki", False, "", 1729814400, (1, 1)),
-        (4, "edit", "de.wikipedia.org", "x", "u4", True, "dewiki", False, "z", 1729900799, (5, None)),
+        (4, "edit", "de.wikipedia.org", "x", "u4", True, "dewiki", False, "z", 1729900799, (5, 7)),
+        (5, "edit", "de.wikipedia.org", "x", "u5", True, "dewiki", False, "z", 1729900799, (5, None)),
+        (6, "edit", "de.wikipedia.org", "x", None, True, "dewiki", False, "z", 1729900799, (5, 7)),
     ]
     df = spark.createDataFrame(raw, RAW_CHANGE_SCHEMA)
+    # 5 and 6 lack a required field: skipped, and counted
+    assert tuple(change_event_skips(df).first()) == (2, 2)
     out = {r.id: r for r in normalize_change_events(df).collect()}
     assert sorted(out) == [1, 4]
     assert (out[1].title, out[1].user, out[1].comment, out[1].length) == ("A b", "u1", "cd", 6)
     assert out[1].timestamp == "2024-10-25 00:00:00"
-    assert out[4].timestamp == "2024-10-25 23:59:59" and out[4].length is None
+    assert out[4].timestamp == "2024-10-25 23:59:59" and out[4].length == -2
     assert [r.id for r in normalize_change_events(df, since="2024-10-25 12:00:00").collect()] == [4]
 
 

@@ -38,11 +38,12 @@ def skew_conf(spark):
 
 
 def _hot_rows(spark, n=30000):
-    """Edit-like rows; user0 owns a third of them, on one date."""
+    """Edit-like rows; user0 owns a third of them, on one date, the others' dates vary."""
     ids = spark.range(0, n)
     user = F.when(F.col("id") % 3 == 0, F.lit("user0")).otherwise(
         F.concat(F.lit("user"), (F.col("id") % 997 + 1).cast("string")))
-    return ids.select("id", user.alias("user"), F.lit("2024-01-01").cast("date").alias("date"),
+    return ids.select("id", user.alias("user"), F.date_add(F.lit("2024-01-01").cast("date"), F.when(
+        F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 28).cast("int")).alias("date"),
                       (F.col("id") % 5 == 0).alias("bot"), (F.col("id") % 100).cast("int").alias("length"))
 
 

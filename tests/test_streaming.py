@@ -82,3 +82,33 @@ def test_snapshots_stay_two_and_replay_reads_the_earlier_one(spark, tmp_path):
     assert before4.n_keys == 4
     probe = spark.createDataFrame([(f"u{i}",) for i in range(4)], "user string")
     assert before4.members(probe, "user").count() == 4
+
+
+def test_ten_epochs_leave_a_constant_number_of_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "COMPACT_EVERY", 4)
+    e = edits(spark, SF001)
+    src, root = str(tmp_path / "in"), tmp_path / "state"
+    _write_files(spark, e, src, 10)
+    state = J.BlacklistState(spark, str(root))
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    before = sum(d.startswith("bloom_members") for d in os.listdir(scratch))
+    J.run_filter_score_job(spark, J.file_source(spark, src), state, _scorer, str(tmp_path / "ck"))
+    assert sum(d.startswith("bloom_members") for d in os.listdir(scratch)) == before
+    for name in ("members", "bloom"):
+        assert len([d for d in os.listdir(root / name) if d.startswith("slot=")]) <= 2
+    for name in ("keys", "reports"):
+        assert len([d for d in os.listdir(root / name) if d.startswith("epoch=")]) <= 5
+        assert len([d for d in os.listdir(root / f"{name}_base") if d.startswith("upto=")]) == 1
+    assert state.reports().count() == 10 and state.reports().select("epoch").distinct().count() == 10
+    batch = _scorer(clean_edits(e)).filter("prediction >= 0.5 and user is not null").select("user").distinct()
+    assert sorted(r.user for r in state.keys().collect()) == sorted(r.user for r in batch.collect())
+
+
+def test_record_sink_writes_json_lines(spark, tmp_path):
+    e = edits(spark, SF001)
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _write_files(spark, e, src, 2)
+    records = J.edit_stream(J.file_source(spark, src))
+    J._finish(J.record_sink(records, str(tmp_path / "ck"), "text", path=out))
+    from edgefilter.streaming.parse import parse_edit_json
+    assert parse_edit_json(spark.read.text(out)).count() == e.count()
