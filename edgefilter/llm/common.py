@@ -44,6 +44,13 @@ def id_hash_mod(col: str | Column, m: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(m))
 
 
+def hash_share(col: Column, part: float) -> Column:
+    """True for the share ``part`` of ids of smallest hash (all ids from 1 on); null ids count as one id."""
+    if part >= 1:
+        return F.lit(True)
+    return F.xxhash64(F.coalesce(col.cast("string"), F.lit(""))) < F.lit(int((part - 0.5) * 2**64))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
