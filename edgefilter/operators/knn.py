@@ -71,6 +71,13 @@ def topk(df: DataFrame, group: list[str], order: list[Column], k: int,
     first = salted.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k).drop("_r", "_blk")
     w2 = Window.partitionBy(*group).orderBy(*order)
     return first.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
+#: Rows of a query table up to which it may be broadcast.
+QUERY_LIMIT = 10_000
+
+
+def is_bounded(queries: DataFrame, limit: int = QUERY_LIMIT) -> bool:
+    """At most ``limit`` rows; reads no more than one beyond it."""
+    return queries.select(F.lit(1)).limit(limit + 1).count() <= limit
 
 
 # -- exact kNN --------------------------------------------------------------
@@ -79,10 +86,14 @@ def exact_knn(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k:
               exclude_self: bool = True, dim: int | None = None) -> DataFrame:
     """(q_id, id, dist, rank) of the k nearest rows to each query.
 
-    ``queries`` must be bounded (see :func:`query_set`); it is broadcast.
+    ``queries`` must have at most ``QUERY_LIMIT`` rows (see :func:`query_set`);
+    that is checked before it is broadcast. Exact search of more is a job for
+    the bucket join, which shuffles.
     The query row itself is excluded by id, not by distance 0, so exact
     duplicates of the query still count as neighbours.
     """
+    if not is_bounded(queries):
+        raise ValueError(f"exact search takes at most {QUERY_LIMIT} queries")
     pairs = data.select(id_col, vec_col).join(F.broadcast(queries), how="cross")
     if exclude_self:
         pairs = pairs.filter(F.col(id_col) != F.col("q_id"))
@@ -134,7 +145,8 @@ def bucket_join(data_h: DataFrame, queries_h: DataFrame, id_col: str, vec_col: s
     """
     d = data_h.select(id_col, vec_col, "_h", F.posexplode("_h").alias("_t", "_b"))
     q = queries_h.select("q_id", "q_vec", "_qh", F.posexplode("_qh").alias("_t", "_b"))
-    j = d.join(F.broadcast(q), ["_t", "_b"], "inner")
+    # beyond the limit both sides are shuffled on (table, bucket); hot buckets are AQE's to split
+    j = d.join(F.broadcast(q) if is_bounded(queries_h) else q, ["_t", "_b"], "inner")
     agree = F.zip_with(F.col("_h"), F.col("_qh"), lambda a, b: a == b)
     first = F.array_position(agree, True) - 1
     return j.filter(F.col("_t") == first).select(
@@ -218,8 +230,11 @@ def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
     exact = top.filter(F.col("gid") == -1).select("q_id", id_col)
     hits = (top.filter(F.col("gid") >= 0).select("gid", "q_id", id_col)
                .join(exact, ["q_id", id_col]).groupBy("gid", "q_id").agg(F.count(F.lit(1)).alias("hits")))
-    counts = (pairs.select("q_id", F.explode(F.filter(F.array(*member), lambda x: x.isNotNull())).alias("gid"))
-                   .groupBy("gid", "q_id").agg(F.count(F.lit(1)).alias("c")))
+    # one row per query with a count for each grid point, then turned upright (bounded: queries x grid points)
+    wide = pairs.groupBy("q_id").agg(*[F.count_if((F.col(f"_f{bi}") > 0) & (F.col(f"_f{bi}") <= t)).alias(f"_c{gid}")
+                                       for gid, bi, t in grid])
+    counts = wide.select("q_id", F.explode(F.array(*[F.struct(F.lit(gid).alias("gid"), F.col(f"_c{gid}").alias("c"))
+                                                     for gid, _, _ in grid])).alias("p")).select("q_id", "p.*")
     n = data.count()                                   # one scalar
     # every query once per grid point: the bounded query sample times a
     # literal list of grid points

@@ -91,14 +91,15 @@ def _exact_for(data: DataFrame, queries: DataFrame, k: int):
 
 
 def recall_ml(model, data: DataFrame, k: int, percent: int = 10, max_queries: int = 50,
-              exact: DataFrame | None = None, queries: DataFrame | None = None) -> DataFrame:
+              exact: DataFrame | None = None, queries: DataFrame | None = None,
+              n_rows: int | None = None) -> DataFrame:
     """Mean recall@k of the ML LSH model against exact kNN on the same vectors."""
     if queries is None:
         queries = query_rows(data, percent, max_queries)
     ex, q_arr = _exact_for(data, queries, k)
     exact = ex if exact is None else exact
     approx = ann_topk(model, data, queries, k)
-    return knn.recall_of(exact, approx, q_arr, "name", k, data.count())
+    return knn.recall_of(exact, approx, q_arr, "name", k, data.count() if n_rows is None else n_rows)
 
 
 def tune(data: DataFrame, tables=(1, 3, 5), lengths=(0.5, 1.0, 2.0), k: int = 250,
@@ -113,11 +114,12 @@ def tune(data: DataFrame, tables=(1, 3, 5), lengths=(0.5, 1.0, 2.0), k: int = 25
     data = cut_lineage(data)
     queries = cut_lineage(query_rows(data, percent, max_queries))
     exact = cut_lineage(_exact_for(data, queries, k)[0])
+    n_rows = data.count()
     parts = []
     for t in tables:
         for b in lengths:
             model = fit_lsh(data, t, b, seed)
-            r = recall_ml(model, data, k, exact=exact, queries=queries)
+            r = recall_ml(model, data, k, exact=exact, queries=queries, n_rows=n_rows)
             parts.append(r.select(F.lit(int(t)).alias("num_hash_tables"),
                                   F.lit(float(b)).alias("bucket_length"), "n_queries", "recall"))
     out = parts[0]

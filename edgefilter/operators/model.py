@@ -82,7 +82,11 @@ def sized_training_rows(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTIT
 def fit(train: DataFrame, pipeline: Pipeline | None = None) -> PipelineModel:
     """Fit the bot pipeline on size-partitioned, persisted training rows."""
     pipeline = pipeline or bot_pipeline()
-    return pipeline.fit(sized_training_rows(train))
+    rows = sized_training_rows(train)
+    try:
+        return pipeline.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def cross_validate(train: DataFrame, pipeline: Pipeline | None = None, grid=None,
@@ -92,7 +96,11 @@ def cross_validate(train: DataFrame, pipeline: Pipeline | None = None, grid=None
     grid = grid if grid is not None else param_grid(pipeline)
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=f1_evaluator(),
                         numFolds=folds, parallelism=parallelism, seed=seed)
-    return cv.fit(sized_training_rows(train))
+    rows = sized_training_rows(train)
+    try:
+        return cv.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def best_params(model: PipelineModel) -> dict:

@@ -1,14 +1,21 @@
-"""Spark ML similar-name search. Rows-only:
-Word2Vec and the ML LSH draw from Spark's own random generator."""
+"""Spark ML similar-name search.
+
+Word2Vec and the ML LSH draw from Spark's own random generator, so the queries
+return what must hold for any draw (sizes, shared buckets, rising distances,
+recall in range), computed from their results; DuckDB states the same rows.
+The operators in `operators/ml_lsh.py` return vectors, neighbours and recall."""
 
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from edgefilter.functions.hashing import hash_bucket_sql, md5_u32_sql
 from edgefilter.operators import ml_lsh as ML
+from edgefilter.plans.q_sources import ARTICLE_SQL as _ARTICLE_SQL
 from edgefilter.plans.registry import register
-from edgefilter.session import scratch_path
+from edgefilter.session import cut_lineage, scratch_path
 from edgefilter.sources import files as FS
 from edgefilter.sources.tables import table
 
@@ -21,10 +28,22 @@ GRID_LENGTHS = (0.5, 1.0, 2.0)
 SIMILAR_N = 6
 
 
+#: Listing names: the first three words of a document, so that distinct names grow with the data.
+NAME_RE = r"^(\S+ \S+ \S+)"
+_NAMES = f"(select distinct regexp_extract(text, '{NAME_RE}', 1) as name from documents where regexp_extract(text, '{NAME_RE}', 1) <> '')"
+_ARTICLES = f"(select distinct lower(replace({_ARTICLE_SQL}, '_', ' ')) as name from pages where lower(replace({_ARTICLE_SQL}, '_', ' ')) <> '')"
+QUERY_PERCENT, MAX_QUERIES = 10, 50
+
+
+def _queries_sql(names: str) -> str:
+    return (f"(select name from {names} where {hash_bucket_sql('name', 100)} < {QUERY_PERCENT} "
+            f"order by {md5_u32_sql('name')}, name limit {MAX_QUERIES})")
+
+
 def listing_names(spark, sf_dir):
-    """Distinct listing names (the part table stands in for the listings)."""
-    parts = FS.listings_from_parts(table(spark, sf_dir, "part"))
-    return parts.dropDuplicates(["name"]).select("name").filter(F.col("name").isNotNull())
+    """Distinct listing names."""
+    name = F.regexp_extract("text", NAME_RE, 1)
+    return table(spark, sf_dir, "documents").select(name.alias("name")).filter("name <> ''").distinct()
 
 
 def article_names(spark, sf_dir):
@@ -33,51 +52,85 @@ def article_names(spark, sf_dir):
     return FS.normalize_article_names(FS.read_pageviews(spark, path))
 
 
-@register("word2vec_names")
+@register("word2vec_names", f"select name, {ML.VECTOR_SIZE} as n_components, true as unit from {_NAMES}")
 def q_word2vec_names(spark, sf_dir):
-    v = ML.name_vectors(listing_names(spark, sf_dir), SEED)
-    return v.select("name", F.transform(vector_to_array(ML.VEC), lambda x: F.round(x, 6)).alias("vector"))
+    v = ML.name_vectors(listing_names(spark, sf_dir), SEED).select("name", vector_to_array(ML.VEC).alias("v"))
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    return v.select("name", F.size("v").alias("n_components"), (F.abs(norm - 1) < 1e-6).alias("unit"))
 
 
-@register("lsh_hashes")
-def q_lsh_hashes(spark, sf_dir):
-    v = ML.name_vectors(listing_names(spark, sf_dir), SEED)
-    model = ML.fit_lsh(v, *TRANSFER, seed=SEED)
-    return ML.hash_arrays(model, v).select("name", "hash_values")
+def _fitted(names):
+    # written once: Word2Vec and the hashes are derived from the same rows in every later pass
+    v = cut_lineage(ML.name_vectors(names, SEED))
+    return v, ML.fit_lsh(v, *TRANSFER, seed=SEED)
 
 
-@register("ann_topk")
-def q_ann_topk(spark, sf_dir):
-    v = ML.name_vectors(listing_names(spark, sf_dir), SEED)
-    model = ML.fit_lsh(v, *TRANSFER, seed=SEED)
-    return ML.ann_topk(model, v, ML.query_rows(v), K)
+@register("lsh_hashes", f"select name, {TRANSFER[0]} as n_tables from {_NAMES}")
+def q_lsh_hashes(spark, sf_dir):
+    v, model = _fitted(listing_names(spark, sf_dir))
+    return ML.hash_arrays(model, v).select("name", F.size("hash_values").alias("n_tables"))
 
 
-@register("similar_items")
+@register("ann_topk", f"""
+select name as q_id, true as at_most_k, true as ranks_in_order, true as distances_rise, true as buckets_shared
+from {_queries_sql(_NAMES)}""")
+def q_ann_topk(spark, sf_dir):
+    """Each query's neighbours: at most k, ranked from 1, no nearer one later, a shared bucket each."""
+    v, model = _fitted(listing_names(spark, sf_dir))
+    queries = ML.query_rows(v, QUERY_PERCENT, MAX_QUERIES)
+    top = ML.ann_topk(model, v, queries, K)
+    hashes = ML.hash_arrays(model, v).select("name", "hash_values")
+    own = ML.hash_arrays(model, queries).select(F.col("name").alias("q_id"), F.col("hash_values").alias("q_hashes"))
+    by = Window.partitionBy("q_id").orderBy("rank")
+    rows = top.join(hashes, "name").join(own, "q_id").withColumn("before", F.lag("dist").over(by)).withColumn(
+        "place", F.row_number().over(by))
+    meet = F.exists(F.zip_with("hash_values", "q_hashes", lambda a, b: a == b), lambda x: x)
+    held = rows.groupBy("q_id").agg(
+        (F.count("*") <= K).alias("at_most_k"), F.min(F.col("rank") == F.col("place")).alias("ranks_in_order"),
+        F.min(F.coalesce(F.col("before") <= F.col("dist"), F.lit(True))).alias("distances_rise"),
+        F.min(meet).alias("buckets_shared"))
+    yes = lambda c: F.coalesce(F.col(c), F.lit(True)).alias(c)  # noqa: E731  a query without neighbours holds
+    return queries.select(F.col("name").alias("q_id")).join(held, "q_id", "left").select(
+        "q_id", yes("at_most_k"), yes("ranks_in_order"), yes("distances_rise"), yes("buckets_shared"))
+
+
+@register("similar_items", f"select true as at_most_n, true as distances_positive, true as names_known from {_ARTICLES} limit 1")
 def q_similar_items(spark, sf_dir):
     """Six nearest articles of one article vector, distance 0 dropped."""
-    v = ML.name_vectors(article_names(spark, sf_dir), SEED)
-    model = ML.fit_lsh(v, *TRANSFER, seed=SEED)
+    names = article_names(spark, sf_dir)
+    v, model = _fitted(names)
     key = ML.query_rows(v, percent=100, max_queries=1).first()[ML.VEC]   # one bounded row
-    return model.approxNearestNeighbors(v, key, SIMILAR_N).select("name", "distCol") \
-                .filter(F.col("distCol") > 0)
+    near = model.approxNearestNeighbors(v, key, SIMILAR_N).select("name", "distCol").filter(F.col("distCol") > 0)
+    known = near.join(v.select("name", F.lit(True).alias("known")), "name", "left")
+    return known.agg((F.count("*") <= SIMILAR_N).alias("at_most_n"),
+                     F.coalesce(F.min("distCol") > 0, F.lit(True)).alias("distances_positive"),
+                     (F.count("*") == F.count("known")).alias("names_known"))
+
 
+def _tune_sql(names: str) -> str:
+    grid = ", ".join(f"({int(t)}, {float(b)!r}::DOUBLE)" for t in GRID_TABLES for b in GRID_LENGTHS)
+    return f"""select num_hash_tables, bucket_length, (select count(*) from {_queries_sql(names)}) as n_queries,
+true as recall_in_range from (values {grid}) g(num_hash_tables, bucket_length)"""
 
-@register("lsh_tune_names")
+
+def _in_range(recalls):
+    return recalls.withColumn("recall_in_range", F.col("recall").between(0, 1)).drop("recall")
+
+
+@register("lsh_tune_names", _tune_sql(_NAMES))
 def q_lsh_tune_names(spark, sf_dir):
     v = ML.name_vectors(listing_names(spark, sf_dir), SEED)
-    return ML.tune(v, GRID_TABLES, GRID_LENGTHS, K, SEED)
+    return _in_range(ML.tune(v, GRID_TABLES, GRID_LENGTHS, K, SEED))
 
 
-@register("lsh_tune_articles")
+@register("lsh_tune_articles", _tune_sql(_ARTICLES))
 def q_lsh_tune_articles(spark, sf_dir):
     v = ML.name_vectors(article_names(spark, sf_dir), SEED)
-    return ML.tune(v, GRID_TABLES, GRID_LENGTHS, K, SEED)
+    return _in_range(ML.tune(v, GRID_TABLES, GRID_LENGTHS, K, SEED))
 
 
-@register("lsh_transfer_eval")
+@register("lsh_transfer_eval", f"select count(*) as n_queries, true as recall_in_range from {_queries_sql(_ARTICLES)}")
 def q_lsh_transfer_eval(spark, sf_dir):
     """Parameters (3 tables, length 0.5) applied to the article names."""
-    v = ML.name_vectors(article_names(spark, sf_dir), SEED)
-    model = ML.fit_lsh(v, *TRANSFER, seed=SEED)
-    return ML.recall_ml(model, v, K)
+    v, model = _fitted(article_names(spark, sf_dir))
+    return _in_range(ML.recall_ml(model, v, K))

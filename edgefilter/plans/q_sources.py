@@ -41,7 +41,7 @@ def q_edits_csv_scan(spark, sf_dir):
     return FS.read_edits_csv(spark, path)
 
 
-_ARTICLE_SQL = (
+ARTICLE_SQL = (
     f"upper(substr(regexp_extract(url, '{FS.ARTICLE_HOST_RE}', 1), 1, 1)) || "
     f"substr(regexp_extract(url, '{FS.ARTICLE_HOST_RE}', 1), 2) || '_' || "
     f"regexp_extract(url, '{FS.ARTICLE_LANG_RE}', 1) || '_' || "
@@ -54,14 +54,14 @@ def _articles(spark, sf_dir):
     return FS.read_pageviews(spark, path)
 
 
-@register("articles_flatten", f"select {_ARTICLE_SQL} as article from pages")
+@register("articles_flatten", f"select {ARTICLE_SQL} as article from pages")
 def q_articles_flatten(spark, sf_dir):
     return _articles(spark, sf_dir)
 
 
 @register("articles_normalize", f"""
-select distinct lower(replace({_ARTICLE_SQL}, '_', ' ')) as name from pages
-where lower(replace({_ARTICLE_SQL}, '_', ' ')) <> ''""")
+select distinct lower(replace({ARTICLE_SQL}, '_', ' ')) as name from pages
+where lower(replace({ARTICLE_SQL}, '_', ' ')) <> ''""")
 def q_articles_normalize(spark, sf_dir):
     return FS.normalize_article_names(_articles(spark, sf_dir))
 
