@@ -1,7 +1,7 @@
 """Quality classifier: a sparse ensemble of rules (RuleFit).
 
 Statistics of a text (word and line lengths, classes of characters, repetition)
-are taken in one vectorised pass. A boosted ensemble of small trees is grown on
+are taken in one vectorised pass. A forest of small trees is grown on
 a bounded sample of labelled documents; every path from a root to a node is a
 conjunctive rule over the statistics. A logistic model with lasso penalty over
 rules and clipped statistics keeps a few of them. What is left is written as
@@ -21,19 +21,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgefilter.llm.common import blocks, fresh, id_hash_mod, raw_bytes, register, table
+from edgefilter.llm.common import blocks, fresh, hash_share, id_hash_mod, raw_bytes, register, table
 from edgefilter.llm.rolling import NEWLINES, Sums, words
 from edgefilter.session import materialize
 
-#: Bound of the labelled sample: the rows of smallest id hash.
+#: Bound of the labelled sample: about so many rows, those of smallest id hash.
 SAMPLE_ROWS = 20_000
-TREES, DEPTH = 12, 3
+TREES, DEPTH = 24, 3
 #: Lasso strength of the logistic fit.
 PENALTY = 0.003
 THRESHOLD = 0.3
@@ -167,20 +167,21 @@ def condition(rule: Rule, names: list[str]) -> Column:
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", id_col: str = "doc_id",
         sample: int = SAMPLE_ROWS, trees: int = TREES, depth: int = DEPTH, penalty: float = PENALTY) -> RuleEnsemble:
-    """Fit on the ``sample`` rows of ``labelled`` with the smallest id hash (0/1 labels)."""
+    """Fit on about ``sample`` rows of ``labelled`` with the smallest id hash (0/1 labels; all rows, if fewer)."""
     ids, label, text = (F.col(c) for c in (id_col, label_col, text_col))
-    chosen = labelled.where(label.isNotNull()).select(ids.alias("id"), label.cast("double").alias("label"),
-                                                      text.alias("text")).orderBy(
-        F.xxhash64(ids.cast("string")), "id", F.xxhash64("text")).limit(sample)
+    rows = labelled.where(label.isNotNull()).select(ids.alias("id"), label.cast("double").alias("label"),
+                                                    text.alias("text"))
+    chosen = rows.where(hash_share(F.col("id"), sample / max(1, rows.count())))
     stats, names = with_statistics(chosen, ["label"])
-    rows = materialize(stats, "quality_sample").repartition(8, *names).sortWithinPartitions(*names)
+    # a few megabytes at any input size, so few partitions and cheap iterations
+    rows = materialize(stats, "quality_sample").coalesce(4)
     rows = VectorAssembler(inputCols=names, outputCol="stats").transform(rows).select("label", "stats", *names)
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:                         # nothing to tell apart: a constant
         p = 0.999 if counts.get(1.0, 0) else 0.001 if counts else 0.5
         return RuleEnsemble(float(np.log(p / (1 - p))), [], [])
-    grown = GBTClassifier(featuresCol="stats", labelCol="label", maxIter=trees, maxDepth=depth, seed=7,
-                          subsamplingRate=0.7, stepSize=0.3).fit(rows)
+    grown = RandomForestClassifier(featuresCol="stats", labelCol="label", numTrees=trees, maxDepth=depth, seed=7,
+                                   subsamplingRate=0.7, featureSubsetStrategy="onethird").fit(rows)
     rules = list(dict.fromkeys(r for t in grown.trees for r in tree_rules(t)))
     # linear terms: statistics clipped at their outer 2.5 per cent
     clips = rows.select(*(F.percentile_approx(c, [0.025, 0.975], 1000).alias(c) for c in names)).first()
@@ -192,7 +193,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", i
     design = VectorAssembler(inputCols=cols, outputCol="terms").transform(rows.select("label", *terms)).select(
         "label", "terms").persist()
     lasso = LogisticRegression(featuresCol="terms", labelCol="label", elasticNetParam=1.0, regParam=penalty,
-                               maxIter=60).fit(design)
+                               maxIter=40).fit(design)
     design.unpersist()
     w = lasso.coefficients.toArray()
     return RuleEnsemble(
@@ -209,11 +210,17 @@ def score(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", names: t
         names[1], (F.col(names[0]) >= threshold).cast("int"))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled rows whose crc32(doc_id) modulo 5 is not 0."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:
+    """About ``sample`` labelled rows whose crc32(doc_id) modulo 5 is not 0.
+
+    The labels are thinned first; what is left has the sample's bound, so it is
+    broadcast and no text is shuffled.
+    """
     first = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
         F.min("quality").alias("label"))
-    return docs.select("doc_id", "text").where(id_hash_mod("doc_id", 5) != 0).join(first, "doc_id")
+    first = first.where(id_hash_mod("doc_id", 5) != 0)
+    first = first.where(hash_share(F.col("doc_id"), sample / max(1, first.count())))
+    return docs.select("doc_id", "text").join(F.broadcast(materialize(first, "chosen_labels")), "doc_id")
 
 
 @register("op2_quality")
