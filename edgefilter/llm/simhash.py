@@ -78,7 +78,7 @@ def _key(i: Column, v: Column) -> Column:
     return F.xxhash64("key", "part", i, wiped)
 
 
-def _index(rows: DataFrame, width: int, level: int) -> tuple[DataFrame, DataFrame | None]:
+def _index(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame | None]:
     """Index rows (key, side, fp, shift, r0, r1) of the two parts of ``width`` bits from ``shift`` up; crowded keys.
 
     ``side`` is 2 under the part as it is, else the wiped bit; ``shift`` is then
@@ -134,7 +134,7 @@ def links(fps: DataFrame) -> DataFrame:
                       two.alias("r1"))
     found = []
     for level, width in enumerate((32, 16, 8)):
-        index, crowded = _index(rows, width, level)
+        index, crowded = _index(rows, width)
         if crowded is None or level == 2:
             found.append(_pairs(index))
             break
@@ -156,10 +156,9 @@ def group_roots(fps: DataFrame, id_col: str) -> DataFrame:
     roots = materialize(components(links(nodes.select("fp"))), "roots")
     placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("least"))
-    least = placed.where("least <> fp").union(placed.where("least = fp")).groupBy("least").agg(
-        F.min("rep").alias("component_id"))
-    return materialize(placed.join(materialize(least, "least"), "least").select("fp", "component_id", "least"),
-                       "groups")
+    # written before the join back, so that a component of very many members is split by AQE
+    least = materialize(placed.groupBy("least").agg(F.min("rep").alias("component_id")), "least")
+    return materialize(placed.join(least, "least").select("fp", "component_id", "least"), "groups")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
