@@ -8,7 +8,8 @@ many stop words are text, blocks of links are not; short blocks, and those in
 between, stay open. In the second pass an open block takes the label of its
 nearest decided neighbour, first among the blocks of its own container, then of
 the page; a heading goes with what follows it; between a text and another
-label at the same distance a block that stands in an article is text.
+label at the same distance a block that stands in an article is text. On a page
+with an article that holds text, what stands outside of it is not text.
 
 Defined cases: null or empty html gives an empty text; white space (as Unicode
 has it, no-break space included) inside a block is one space; a line break is
@@ -47,10 +48,10 @@ ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("td", "th"
         "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("article aside body div footer form header main nav section table ul ol dl td th".split())
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog button select option textarea label fieldset head".split())
-ASIDE_WORDS = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent
-cookie cookies disqus footer login menu modal nav navbar navigation newsletter notice notices pagination popup promo
-promoted related replies reply search share sharing sidebar signup social sponsor sponsored subscribe subscription
-toolbar widget""".split())
+ASIDE_WORDS = frozenset("""ad adbox ads adslot advert advertisement advertising adverts banner breadcrumb breadcrumbs
+comment comments consent cookie cookies discussion disqus footer login masthead menu menubar modal nav navbar navigation
+newsletter notice notices pagination popup promo promoted promotion related replies reply responses search share sharing
+sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget""".split())
 # "header" is a page's, unless it stands in an article, where it is the article's own
 MAIN_TAGS = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -203,6 +204,9 @@ def settle(blocks: list[Block]) -> None:
     """Second pass: open blocks take the label of their nearest decided neighbour."""
     for b in blocks:
         b.label = decide(b)
+    if any(b.main and b.label == "text" for b in blocks):
+        for b in blocks:
+            b.label = b.label if b.main else "other"
     first = [b.label for b in blocks]
 
     def sides(within: list[int]) -> tuple[dict, dict]:

@@ -35,6 +35,10 @@ def test_second_pass_on_a_page_without_an_article():
     assert X.main_text(page) == "\n".join(["A heading", long, "Short one.", long, "Short last."])
 
 
+def test_text_outside_an_article_is_left_out():
+    assert X.main_text(f"<div><p>{LONG}</div><article><p>{LONG}<p>end</article><p>{LONG}") == f"{LONG.strip()}\nend"
+
+
 def test_first_pass_by_itself():
     def block(text, links=0, aside=False, main=False):
         return X.decide(X.Block(text, links, 0, aside, main, False))
