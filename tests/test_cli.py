@@ -5,7 +5,7 @@ from tests.conftest import SF001
 def test_list_marks_checks(capsys):
     assert main(["list"]) == 0
     out = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
-    assert out["bloom_evaluation"] == "sql" and out["cv_grid"] == "rows"
+    assert out["bloom_evaluation"] == "sql" and out["cv_grid"] == "sql"
 
 
 def test_run_writes_parquet(spark, tmp_path):
