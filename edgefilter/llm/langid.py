@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgefilter.llm.common import blocks, fresh, id_hash_mod, raw_bytes, register, table
+from edgefilter.llm.common import blocks, fresh, hash_share, id_hash_mod, raw_bytes, register, table
 
 ORDER = 4
-#: Bound of the labelled sample: documents of each language, those of smallest id hash.
+#: Bound of the labelled sample: about so many documents of each language, those of smallest id hash.
 SAMPLE_PER_LANGUAGE = 1000
 #: Bound of the model: contexts-with-byte kept for each language and order, the most frequent.
 NODES_PER_ORDER = 150_000
@@ -170,15 +170,19 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
         order: int = ORDER, sample: int = SAMPLE_PER_LANGUAGE, nodes: int = NODES_PER_ORDER) -> Model:
     """Count the context trees of a bounded sample of ``labelled`` rows on the executors and freeze them.
 
-    The sample is the ``sample`` documents of each language with the smallest
-    id hash, whole texts; the trees keep the ``nodes`` most frequent n-grams of
-    each order and language, so the model's size has a bound that the data
-    don't change.
+    The sample is about ``sample`` documents of each language (all, if it has
+    fewer), whole texts: a count by language sets the share of id hashes that
+    is taken, so no text is shuffled to choose them. The trees keep the
+    ``nodes`` most frequent n-grams of each order and language, so the model's
+    size has a bound that the data don't change.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.lower(text_col).cast("binary").alias("text"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id", F.xxhash64("text"))
-    rows = rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= sample).select("lang", "text")
+    share = {r["lang"]: sample / r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    taken = F.lit(False)
+    for lang, part in sorted(share.items()):
+        taken = taken | ((F.col("lang") == lang) & hash_share(F.col("id"), part))
+    rows = rows.where(taken).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
