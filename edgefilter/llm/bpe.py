@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from edgefilter.llm.common import blocks, fresh, register, table
 
 #: Entries of a task's table of pieces (and of words); a full table is emptied.
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 300_000
 #: Pieces and words above this length are merged each time they are met.
 LONG = 256
 

@@ -70,7 +70,11 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
-def blocks(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+#: Text of a block. The vectorised passes hold some fifteen numbers a byte at a time.
+BLOCK_BYTES = (1 << 20) - 1
+
+
+def blocks(batch: pa.RecordBatch, column: str, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of ``batch`` whose ``column`` holds at most ``max_bytes`` (or one row)."""
     ends = offsets(batch.column(column))
     n, start = len(ends) - 1, 0

@@ -7,13 +7,15 @@ import numpy as np
 _BASE = 0x9E3779B97F4A7C15 | 1
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 NEWLINES = np.arange(256) == 0x0A
+#: Powers that a worker keeps in any case: a block's.
+_KEPT = 1 << 20
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``n`` of them (kept for later calls)."""
     have = _powers.get(0)
-    if have is None or len(have[0]) < n:
+    if have is None or len(have[0]) < n or len(have[0]) > max(_KEPT, 2 * n):      # a long text's table is not kept
         size = 1 << max(16, int(n - 1).bit_length())
         out = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
