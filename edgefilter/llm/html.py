@@ -13,7 +13,8 @@ with an article that holds text, what stands outside of it is not text.
 
 Defined cases: null or empty html gives an empty text; white space (as Unicode
 has it, no-break space included) inside a block is one space; a line break is
-white space; unclosed tags end with their container; an unclosed comment,
+white space; unclosed tags end with their container, a head with the first tag
+or text that may not stand in it; an unclosed comment,
 script or style takes the rest of the page; equal rows each come out, null ids
 and urls are kept.
 """
@@ -46,6 +47,8 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 #: What an opening tag ends first, if that is open in the same container.
 ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("td", "th", "tr"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",)}
+#: What may stand in a head; any other tag, or text, ends it.
+HEAD_TAGS = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 SCOPES = frozenset("article aside body div footer form header main nav section table ul ol dl td th".split())
 ASIDE_TAGS = frozenset("nav footer aside form menu dialog button select option textarea label fieldset head".split())
 ASIDE_WORDS = frozenset("""ad adbox ads adslot advert advertisement advertising adverts banner breadcrumb breadcrumbs
@@ -99,8 +102,11 @@ class _Page:
     linked: list[str] = field(default_factory=list)
     links: int = 0
     containers: int = 0
+    head: bool = False
 
     def say(self, text: str) -> None:
+        if self.head and not text.isspace():
+            self.end_head()
         if "&" in text:
             text = entities.unescape(text)
         self.parts.append(text)
@@ -117,6 +123,10 @@ class _Page:
         self.parts, self.linked = [], []
 
     def open(self, tag: str, rest: str) -> None:
+        if tag == "head":
+            self.head = True
+        elif self.head and tag not in HEAD_TAGS:
+            self.end_head()
         top = self.stack[-1]
         if tag in BLOCK_TAGS:
             self.flush()
@@ -149,6 +159,11 @@ class _Page:
             elif self.stack[i].tag in SCOPES:
                 return
 
+    def end_head(self) -> None:
+        """Ends an open head, whose end tag may be left out."""
+        self.head = False
+        self.close("head")
+
     def pop_to(self, i: int) -> None:
         self.links -= sum(e.tag == "a" for e in self.stack[i:])
         del self.stack[i:]

@@ -67,3 +67,10 @@ def test_edge_rows(spark):
     assert got == sorted([(1, "u", 0), (2, None, 0), (None, "v", 1), (3, "w", n), (3, "w", n),
                           (4, "z", 3000 * (n + 1) - 1)], key=str)
     assert X.extract(df.where("false")).collect() == []
+
+
+def test_head_without_an_end_tag():
+    for start in ("<html><head><meta charset=utf-8><title>t</title><body><article>", "<head><title>t</title><article>",
+                  "<head><bgsound src=x><main>", "<html><head><link href=x></head><body><article>", "<head><img src=x><article>"):
+        assert X.main_text(f"{start}<p>{LONG}<p>end") == f"{LONG.strip()}\nend", start
+    assert X.main_text(f"<head><title>t</title>\n{LONG}") == LONG.strip()
