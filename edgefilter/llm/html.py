@@ -2,8 +2,9 @@
 
 A page is cut into blocks at block-level tags. The first pass decides each
 block by itself: by where it stands (menus, footers, forms, adverts, notices,
-reader comments and the like, from tag names and the words of class, id and
-role), by link density, and by length with stop-word density. Long blocks with
+reader comments and the like, from tag names, roles and the names of class and
+id; a name around the main text, as of a page "with-sidebar", marks nothing),
+by link density, and by length with stop-word density. Long blocks with
 many stop words are text, blocks of links are not; short blocks, and those in
 between, stay open. In the second pass an open block takes the label of its
 nearest decided neighbour, first among the blocks of its own container, then of
@@ -55,6 +56,13 @@ ASIDE_WORDS = frozenset("""ad adbox ads adslot advert advertisement advertising
 comment comments consent cookie cookies discussion disqus footer login masthead menu menubar modal nav navbar navigation
 newsletter notice notices pagination popup promo promoted promotion related replies reply responses search share sharing
 sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget""".split())
+#: What may follow one of the words in a name of two parts ("comments-list").
+PART_WORDS = frozenset("""area bar block body box card container content form frame group holder inner item items label
+links list outer panel row section slot title unit wrap wrapper x""".split())
+#: Elements that no class or id marks as aside.
+UNMARKED_TAGS = frozenset("html body main article".split())
+#: A mark is lifted if the accepted text outside of all marks is less than this share of the text inside.
+LIFT = 0.25
 # "header" is a page's, unless it stands in an article, where it is the article's own
 MAIN_TAGS = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -67,7 +75,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|title)\b.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL)
-NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+NAMES = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -82,6 +90,8 @@ class Block:
     main: bool                  # stands in an article
     heading: bool
     label: str = "open"
+    marks: frozenset = frozenset()      # names of classes and ids around it that speak of an aside
+    around: frozenset = frozenset()     # those of them that stand around its article
 
 
 @dataclass
@@ -90,6 +100,15 @@ class _Element:
     aside: bool
     main: bool
     container: int
+    marks: frozenset = frozenset()
+    around: frozenset = frozenset()
+
+
+def mark_of(name: str) -> bool:
+    """Whether a class or id speaks of an aside: as a whole, by its last part, or by the first of two."""
+    parts = [w for w in re.split(r"[^a-z]+", name) if w]
+    return bool(parts) and (parts[-1] in ASIDE_WORDS or len(parts) == 2 and parts[0] in ASIDE_WORDS
+                            and parts[1] in PART_WORDS)
 
 
 @dataclass
@@ -119,7 +138,7 @@ class _Page:
             top = self.stack[-1]
             heading = any(e.tag in HEADINGS for e in self.stack[-3:])
             self.blocks.append(Block(text, len("".join("".join(self.linked).split())), top.container, top.aside, top.main,
-                                     heading))
+                                     heading, marks=top.marks, around=top.around))
         self.parts, self.linked = [], []
 
     def open(self, tag: str, rest: str) -> None:
@@ -139,17 +158,27 @@ class _Page:
             self.say(" ")
         if tag in VOID_TAGS or rest.endswith("/") and tag not in BLOCK_TAGS and tag != "a":
             return
-        words = {w for m in NAMES.findall(rest) for w in re.split(r"[^a-z]+", "".join(m).lower())} if "=" in rest else set()
+        names = NAMES.findall(rest) if "=" in rest else []
+        words = {w for m in names for w in re.split(r"[^a-z]+", "".join(m[1:]).lower())}
         main = top.main or tag in MAIN_TAGS or "main" in words
-        aside = top.aside or tag in ASIDE_TAGS or bool(words & ASIDE_WORDS) or (
-            not main and (tag == "header" or "header" in words))
+        aside = top.aside or tag in ASIDE_TAGS or tag == "header" and not main or any(
+            m[0].lower() == "role" and not ASIDE_WORDS.isdisjoint("".join(m[1:]).lower().split()) for m in names)
+        marks, around = top.marks, top.around
+        if tag == "main":
+            marks = around = frozenset()
+        elif tag == "article":
+            around = marks
+        elif names and tag not in UNMARKED_TAGS:
+            own = {c for m in names if m[0].lower() != "role" for c in "".join(m[1:]).lower().split()
+                   if mark_of(c) or not main and c.split("-")[-1] == "header"}
+            marks = marks | own if own else marks
         container = top.container
         if tag in SCOPES:
             self.containers += 1
             container = self.containers
         if tag == "a":
             self.links += 1
-        self.stack.append(_Element(tag, aside, main, container))
+        self.stack.append(_Element(tag, aside, main, container, marks, around))
 
     def end_first(self, tags: tuple[str, ...]) -> None:
         """Ends the open elements among ``tags`` up to the nearest container."""
@@ -215,10 +244,40 @@ def decide(b: Block) -> str:
     return "open"
 
 
+def lift(blocks: list[Block]) -> None:
+    """Blocks under a mark become "other", unless the mark stands around the main text.
+
+    Such a mark holds all accepted text but a small rest. With an article inside
+    only articles count as the rest, unless the mark is a word as a whole.
+    """
+    live = sorted({m for b in blocks for m in b.marks})
+    if not live:
+        return
+    weight = {}
+    for m in live:
+        whole, sizes = m in ASIDE_WORDS, [0, 0]
+        for b in blocks:
+            if m in b.marks and (b.label == "text" or b.label == "open" and b.main and m in b.around) and (
+                    whole or b.marks.isdisjoint(ASIDE_WORDS)):
+                sizes[m in b.around] += len(b.text)
+        weight[m] = (not sizes[1], whole, -sum(sizes), m)
+    kept = set(live)
+    for m in sorted(live, key=weight.get):
+        no_article, whole, size, _ = weight[m]
+        rest = sum(len(b.text) for b in blocks if kept.isdisjoint(b.marks) and (
+            b.label == "text" and (b.main or whole or no_article) or b.label == "open" and b.main))
+        if rest < LIFT * -size:
+            kept.discard(m)
+    for b in blocks:
+        if not kept.isdisjoint(b.marks):
+            b.label = "other"
+
+
 def settle(blocks: list[Block]) -> None:
     """Second pass: open blocks take the label of their nearest decided neighbour."""
     for b in blocks:
         b.label = decide(b)
+    lift(blocks)
     if any(b.main and b.label == "text" for b in blocks):
         for b in blocks:
             b.label = b.label if b.main else "other"

@@ -74,3 +74,18 @@ def test_head_without_an_end_tag():
                   "<head><bgsound src=x><main>", "<html><head><link href=x></head><body><article>", "<head><img src=x><article>"):
         assert X.main_text(f"{start}<p>{LONG}<p>end") == f"{LONG.strip()}\nend", start
     assert X.main_text(f"<head><title>t</title>\n{LONG}") == LONG.strip()
+
+
+def test_names_around_the_main_text_mark_nothing():
+    text = LONG.strip()
+    for page in ("<body class='has-sidebar'><p>{}", "<div class='content-sidebar-wrap'><main><p>{}</main></div>",
+                 "<article class='post no-comments'><p>{}</article>", "<html class=no-widget><body id=search><div><p>{}",
+                 "<div class='has-sidebar'><p>{}</div>", "<div class='elementor-widget'><p>{}</div><div class='elementor-widget'></div>",
+                 "<div id=x class='with-sidebar'><article><p>{}</article></div>", "<div class=banner><main><p>{}</main></div>"):
+        assert X.main_text(page.format(LONG)) == text, page
+    # the wrapper's mark is lifted, that of the sidebar inside and of comments beside it isn't
+    page = f"""<div class=has-sidebar><div><p>{LONG}</div><div class=sidebar>{LONG}</div></div>
+      <div class=comments-area id=comments><p>{LONG}{LONG}</div>"""
+    assert X.main_text(page) == text
+    page = f"<div class=entry><p>{LONG}</div><div id=comments><ol class=comment-list><article><p>{LONG}</article></ol></div>"
+    assert X.main_text(page) == text
