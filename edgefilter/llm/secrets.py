@@ -3,8 +3,9 @@
 Only DataFrame functions and Spark ML run on the main path.
 
 1. Candidates are runs of 16 or more key-like characters with a digit among
-   them, shorter values that stand in an assignment to a credential's name, and
-   private-key headers. A text is cut at its candidates, so each has the words
+   them, values of 8 or more that are assigned to a credential's name, in quotes
+   or not, and private keys from BEGIN to END (the header alone if there is no
+   end). The name before "=" is no part of a candidate. A text is cut at its candidates, so each has the words
    before and after it at hand.
 2. Features of a candidate: length; character transitions (changes of class,
    distinct characters, entropy, hex only, shares of digits and capitals);
@@ -14,7 +15,8 @@ Only DataFrame functions and Spark ML run on the main path.
    names of hashes and examples).
 3. A random forest is trained on labelled findings, a bounded sample of them.
    Where no labelled table is given, rules label the sure cases: assigned in
-   quotes to a credential's name and mixed in its characters (1); digits only,
+   quotes to a credential's name and mixed in its characters, or so without
+   quotes, with a digit and nothing that speaks against it (1); digits only,
    part of a host, path or address, or named as a hash, number or example (0).
    The rest stay unlabelled and get the forest's vote. What scores under one
    half is dropped as a false positive.
@@ -40,9 +42,23 @@ from edgefilter.session import materialize
 CREDENTIAL = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer|credentials?|private)"
 HARMLESS = r"(?i)\b(?:commit|sha-?\d*|md5|hash|checksum|digest|uuid|guid|example|sample|dummy|phone|card|isbn|http|www)\b"
 ASSIGNED = CREDENTIAL + r"\w{0,20}[\"']?\s{0,3}[:=]\s{0,3}[\"']?$"
-PATTERN = (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
-           r"|(?<![A-Za-z0-9_+/=.-])(?=[A-Za-z_+/=.-]{0,200}[0-9])[A-Za-z0-9_+/=.-]{16,}"
-           r"|(?<=[\"'])(?<=(?i:token|secret|password|passwd|pwd|apikey|api_key|api-key)[\"']?\s{0,3}[:=]\s{0,3}[\"'])[^\s\"']{8,}")
+# Stricter, for values without quotes: the name ends there, or goes on after _ or - or with a capital ("author" is none).
+_NAME = (r"(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key)"
+         r"(?:[_-]\w{0,20}|[A-Z]\w{0,20})?")
+_SIGN = r"[\"']?\s{0,3}[:=]\s{0,3}"
+ASSIGNED_PLAIN = _NAME + _SIGN + "$"
+_KEY = r"[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+PATTERN = (
+    # a key block, to its end if that is there
+    rf"-----BEGIN {_KEY}(?:[^-]{{0,20000}}+(?:-[^-]{{1,20000}}+){{0,12}}-----END {_KEY})?"
+    # a value assigned in quotes, and one without (a digit in it, or no space before it; no variable, no comparison)
+    rf"|(?<=[\"'])(?<={_NAME}{_SIGN}[\"'])[^\s\"']{{8,}}"
+    rf"|(?<=[:=\s])(?<=[:=]\s{{0,3}})(?![=:>~]|\$[{{(A-Za-z_]|\{{\{{)(?:(?<=[:=])|(?=[^\s\"'&<>]{{0,200}}[0-9]))"
+    rf"(?<={_NAME}{_SIGN})[^\s\"'&<>]{{7,}}[^\s\"'&<>,;.)\]}}]"
+    # a run; "=" only ends it, and a credential's name that is assigned to is none
+    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,200}[0-9])"
+    rf"(?![A-Za-z0-9_.-]{{0,60}}{_NAME}{_SIGN}[^\s=])"
+    r"[A-Za-z0-9_+/.-]{16,}(?:={1,2}(?![A-Za-z0-9_+/.=\"'-]))?")
 #: Frequent words kept as the dictionary, a bound that the corpus doesn't change; their length in letters.
 DICTIONARY_WORDS, DICTIONARY_LETTERS = 2000, (4, 12)
 #: Bound of the labelled findings to learn from (about).
@@ -101,11 +117,13 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         number(near.rlike(CREDENTIAL)).alias("named"), number(before.rlike(ASSIGNED)).alias("assigned"),
         number(before.rlike("[\"']$") & after.rlike("^[\"']")).alias("quoted"),
         number(near.rlike(HARMLESS)).alias("harmless"), number(c.startswith("-----BEGIN")).alias("header"))
-    yes = (F.col("header") > 0) | ((F.col("assigned") > 0) & (F.col("quoted") > 0) & (F.col("entropy") >= 2.5) & (
-        F.col("coverage") < 0.5))
+    mixed = (F.col("entropy") >= 2.5) & (F.col("coverage") < 0.5)
+    yes = (F.col("header") > 0) | ((F.col("assigned") > 0) & (F.col("quoted") > 0) & mixed)
+    plain = before.rlike(ASSIGNED_PLAIN) & mixed & (F.col("digits") > 0)
     no = (F.col("digits") == 1) | (F.col("joined") > 0) | (F.col("harmless") > 0) | c.rlike(
         r"\.[a-z]{2,4}$") | (F.col("coverage") >= 0.7)
-    return out.withColumn("sure", F.when(yes, 1).when(no, 0))
+    return out.withColumn("sure", F.when(yes, 1).when(no, 0).when(plain, 1))
+
 
 def train(found: DataFrame, sample: int = SAMPLE_FINDINGS) -> RandomForestClassificationModel | None:
     """The forest of labelled findings (features and ``sure``), or None if they lack one of the labels."""
