@@ -5,7 +5,8 @@ block by itself: by where it stands (menus, footers, forms, adverts, notices,
 reader comments and the like, from tag names, roles and the names of class and
 id; a name around the main text, as of a page "with-sidebar", marks nothing),
 by link density, and by length with stop-word density. Long blocks with
-many stop words are text, blocks of links are not; short blocks, and those in
+many stop words are text, blocks of links are not; on pages in languages the
+stop words don't cover, long blocks and whole sentences are text; short blocks, and those in
 between, stay open. In the second pass an open block takes the label of its
 nearest decided neighbour, first among the blocks of its own container, then of
 the page; a heading goes with what follows it; between a text and another
@@ -70,6 +71,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LINKS_MOST = 0.5
 LONG, SHORT = 200, 70
 STOP_HIGH, STOP_LOW = 0.30, 0.10
+#: Share of stop words in the long blocks of a page from which on its language counts as one of the list's.
+STOP_KNOWN = 0.20
+#: A character of a script without spaces counts as so many.
+DENSE_SCRIPT = 3
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|title)\b.*?(?:</(?P=raw)\s*>|\Z)"
@@ -77,6 +82,9 @@ TOKEN = re.compile(
     re.IGNORECASE | re.DOTALL)
 NAMES = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[^\W\d_]+")
+NO_SPACES = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+LATIN = re.compile("[A-Za-z\u00c0-\u024f]")
+SENTENCE_END = re.compile("[.!?\u2026\u3002\uff01\uff1f\u061f\u06d4\u0964\u0589][\"'\u00bb\u201d\u2019\u300d\u300f)\uff09]*$")
 
 
 @dataclass
@@ -92,6 +100,7 @@ class Block:
     label: str = "open"
     marks: frozenset = frozenset()      # names of classes and ids around it that speak of an aside
     around: frozenset = frozenset()     # those of them that stand around its article
+    counts: tuple[int, int] | None = None       # stop words and words, once counted
 
 
 @dataclass
@@ -226,19 +235,44 @@ def blocks_of(html: str) -> list[Block]:
     return page.blocks
 
 
-def decide(b: Block) -> str:
-    """First pass: a block by itself."""
+def stops_of(b: Block) -> tuple[int, int]:
+    """Stop words and words of a block."""
+    if b.counts is None:
+        words = WORD.findall(b.text.lower())
+        b.counts = sum(w in STOP_WORDS for w in words), len(words)
+    return b.counts
+
+
+def foreign(b: Block) -> bool:
+    """Whether most letters are of a script that no language of the stop words has."""
+    letters = sum(map(len, WORD.findall(b.text)))
+    return 2 * len(LATIN.findall(b.text)) < letters
+
+
+def known_language(blocks: list[Block]) -> bool:
+    """Whether the page's language is one that the stop words cover."""
+    long = [b for b in blocks if not b.aside and b.link_chars <= LINKS_MOST * len(b.text) and len(b.text) >= SHORT]
+    counts = [stops_of(b) for b in [b for b in long if not b.marks] or long]
+    return sum(c[0] for c in counts) >= STOP_KNOWN * sum(c[1] for c in counts)
+
+
+def decide(b: Block, known: bool = True) -> str:
+    """First pass: a block by itself; ``known`` tells whether the stop words cover the page's language."""
     n = len(b.text)
     if b.aside or b.link_chars > LINKS_MOST * n:
         return "other"
     if b.text.startswith("©") or "all rights reserved" in b.text.lower()[:80] and not b.main:
         return "other"
-    if b.heading or n < SHORT:
+    width = n if b.text.isascii() else n + (DENSE_SCRIPT - 1) * len(NO_SPACES.findall(b.text))
+    if b.heading or width < SHORT:
         return "open"
-    words = WORD.findall(b.text.lower())
-    dense = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if dense >= STOP_HIGH or dense >= STOP_LOW and n >= LONG:
+    stops, words = stops_of(b)
+    dense = stops / max(1, words)
+    if n >= SHORT and dense >= STOP_HIGH or dense >= STOP_LOW and n >= LONG:
         return "text"
+    if not b.main and (not known or not b.text.isascii() and foreign(b)):
+        # without stop words to go by, long blocks and whole sentences are text
+        return "text" if width >= LONG or SENTENCE_END.search(b.text) else "open"
     if dense < STOP_LOW and not b.main and n >= LONG:
         return "other"
     return "open"
@@ -275,8 +309,9 @@ def lift(blocks: list[Block]) -> None:
 
 def settle(blocks: list[Block]) -> None:
     """Second pass: open blocks take the label of their nearest decided neighbour."""
+    known = known_language(blocks)
     for b in blocks:
-        b.label = decide(b)
+        b.label = decide(b, known)
     lift(blocks)
     if any(b.main and b.label == "text" for b in blocks):
         for b in blocks:

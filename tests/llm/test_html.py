@@ -89,3 +89,17 @@ def test_names_around_the_main_text_mark_nothing():
     assert X.main_text(page) == text
     page = f"<div class=entry><p>{LONG}</div><div id=comments><ol class=comment-list><article><p>{LONG}</article></ol></div>"
     assert X.main_text(page) == text
+
+
+def test_languages_without_stop_words_in_the_list():
+    menu, foot = "<nav><a href=/>x</a></nav><div><a href=/y>link</a></div>", "<footer>f</footer>"
+    for text in ("Быстрая коричневая лиса прыгает через ленивую собаку, потом возвращается домой. " * 3,
+                 "Szybki brązowy lis przeskakuje nad leniwym psem, potem wraca do domu, gdzie czekają dzieci. " * 3,
+                 "敏捷的棕色狐狸跳过了那只懒惰的狗，然后回到家里，它的孩子们正在等着它回来一起吃晚饭。" * 2,
+                 "Rychlá hnědá liška skáče přes líného psa, potom běží domů, kde čekají její děti."):
+        page = f"<body>{menu}<div><h1>T</h1><p>{text}<p>{text}</div>{foot}"
+        assert X.main_text(page) == f"T\n{text.strip()}\n{text.strip()}", text
+        # beside a notice in English
+        assert text.strip() in X.main_text(f"<body>{menu}<div><p>{text}<p>{text}</div><p>{LONG[:90]}")
+    # in a covered language a long block without stop words is still no text
+    assert X.main_text(f"<div><p>{LONG}{LONG}</div><div>{'xq zv ' * 60}</div>") == f"{LONG}{LONG}".strip()
