@@ -11,7 +11,9 @@ between, stay open. In the second pass an open block takes the label of its
 nearest decided neighbour, first among the blocks of its own container, then of
 the page; a heading goes with what follows it; between a text and another
 label at the same distance a block that stands in an article is text. On a page
-with an article that holds text, what stands outside of it is not text.
+whose articles hold a third of the accepted text or more, and no less than any
+other part, what stands outside of them is not text. An article is the tag
+article or main, the role main, or an element whose class or id is "main".
 
 Defined cases: null or empty html gives an empty text; white space (as Unicode
 has it, no-break space included) inside a block is one space; a line break is
@@ -64,6 +66,8 @@ links list outer panel row section slot title unit wrap wrapper x""".split())
 UNMARKED_TAGS = frozenset("html body main article".split())
 #: A mark is lifted if the accepted text outside of all marks is less than this share of the text inside.
 LIFT = 0.25
+#: The least share of a page's accepted text that articles hold if what stands outside is left out.
+MAIN_LEAST = 1 / 3
 # "header" is a page's, unless it stands in an article, where it is the article's own
 MAIN_TAGS = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -101,6 +105,7 @@ class Block:
     marks: frozenset = frozenset()      # names of classes and ids around it that speak of an aside
     around: frozenset = frozenset()     # those of them that stand around its article
     counts: tuple[int, int] | None = None       # stop words and words, once counted
+    parents: list[int] = field(default_factory=lambda: [0])     # the page's: the container of each container
 
 
 @dataclass
@@ -129,7 +134,7 @@ class _Page:
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     links: int = 0
-    containers: int = 0
+    parents: list[int] = field(default_factory=lambda: [0])
     head: bool = False
 
     def say(self, text: str) -> None:
@@ -147,7 +152,7 @@ class _Page:
             top = self.stack[-1]
             heading = any(e.tag in HEADINGS for e in self.stack[-3:])
             self.blocks.append(Block(text, len("".join("".join(self.linked).split())), top.container, top.aside, top.main,
-                                     heading, marks=top.marks, around=top.around))
+                                     heading, marks=top.marks, around=top.around, parents=self.parents))
         self.parts, self.linked = [], []
 
     def open(self, tag: str, rest: str) -> None:
@@ -168,12 +173,13 @@ class _Page:
         if tag in VOID_TAGS or rest.endswith("/") and tag not in BLOCK_TAGS and tag != "a":
             return
         names = NAMES.findall(rest) if "=" in rest else []
-        words = {w for m in names for w in re.split(r"[^a-z]+", "".join(m[1:]).lower())}
-        main = top.main or tag in MAIN_TAGS or "main" in words
+        named_main = tag not in ASIDE_TAGS and tag != "header" and any(
+            "main" in "".join(m[1:]).lower().split() for m in names)
+        main = top.main or tag in MAIN_TAGS or named_main
         aside = top.aside or tag in ASIDE_TAGS or tag == "header" and not main or any(
             m[0].lower() == "role" and not ASIDE_WORDS.isdisjoint("".join(m[1:]).lower().split()) for m in names)
         marks, around = top.marks, top.around
-        if tag == "main":
+        if tag == "main" or named_main:
             marks = around = frozenset()
         elif tag == "article":
             around = marks
@@ -183,8 +189,8 @@ class _Page:
             marks = marks | own if own else marks
         container = top.container
         if tag in SCOPES:
-            self.containers += 1
-            container = self.containers
+            self.parents.append(container)
+            container = len(self.parents) - 1
         if tag == "a":
             self.links += 1
         self.stack.append(_Element(tag, aside, main, container, marks, around))
@@ -307,13 +313,40 @@ def lift(blocks: list[Block]) -> None:
             b.label = "other"
 
 
+def articles_are_all(blocks: list[Block]) -> bool:
+    """Whether the articles' accepted text is the page's main text.
+
+    It is if they hold a share of MAIN_LEAST of it, and no other part of the page holds more than they do.
+    """
+    inside = sum(len(b.text) for b in blocks if b.main and b.label == "text")
+    outside = [b for b in blocks if not b.main and b.label == "text"]
+    if not inside or not outside:
+        return inside > 0
+    if inside < MAIN_LEAST * (inside + sum(len(b.text) for b in outside)):
+        return False
+    parents = blocks[0].parents
+    sizes, holds = [0] * len(parents), [False] * len(parents)
+    for b in outside:
+        sizes[b.container] += len(b.text)
+    for b in blocks:
+        if b.main:
+            holds[b.container] = True
+    # children have larger numbers; what holds an article counts with its own blocks only
+    for c in range(len(parents) - 1, 0, -1):
+        holds[parents[c]] |= holds[c]
+    for c in range(len(parents) - 1, 0, -1):
+        if not holds[parents[c]]:
+            sizes[parents[c]] += sizes[c]
+    return max(sizes) <= inside
+
+
 def settle(blocks: list[Block]) -> None:
     """Second pass: open blocks take the label of their nearest decided neighbour."""
     known = known_language(blocks)
     for b in blocks:
         b.label = decide(b, known)
     lift(blocks)
-    if any(b.main and b.label == "text" for b in blocks):
+    if articles_are_all(blocks):
         for b in blocks:
             b.label = b.label if b.main else "other"
     first = [b.label for b in blocks]

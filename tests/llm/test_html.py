@@ -103,3 +103,15 @@ def test_languages_without_stop_words_in_the_list():
         assert text.strip() in X.main_text(f"<body>{menu}<div><p>{text}<p>{text}</div><p>{LONG[:90]}")
     # in a covered language a long block without stop words is still no text
     assert X.main_text(f"<div><p>{LONG}{LONG}</div><div>{'xq zv ' * 60}</div>") == f"{LONG}{LONG}".strip()
+
+
+def test_a_small_article_beside_the_main_text():
+    teaser, body = LONG[:90].strip(), (LONG * 3).strip()
+    assert X.main_text(f"<header class='main-header'><p>{teaser}</p></header><div class='content'><p>{body}</div>") == body
+    assert X.main_text(f"<article><p>{teaser}</article><div class=entry><p>{body}</div>") == f"{teaser}\n{body}"
+    parts = "".join(f"<section><p>{LONG}</section>" for _ in range(3))
+    got = X.main_text(f"<div class=entry><div>{parts}</div></div><article><p>{LONG}{LONG}</article>")
+    assert got.count(LONG.strip()) == 5
+    # an element that is "main" as a whole is one
+    for main in ("<main>", "<div role=main>", "<div id=main>", "<div class='x main'>"):
+        assert X.main_text(f"<div><p>{teaser}</div>{main}<p>{body}") == body, main
