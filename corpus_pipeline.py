@@ -2,7 +2,8 @@
 
 Each stage gets what its predecessor kept, written as Parquet and read again:
 
-1. language     documents without a language (null, or no letter) go
+1. language     documents without text (null, or no letter) go; a null lang is
+                filled with the predicted one, a given lang stays
 2. near_dedup   one document of each SimHash component stays, the smallest id
 3. decontaminate documents that hold a benchmark item go
 4. secrets      confirmed secrets are replaced by a mark in the text
@@ -26,7 +27,9 @@ from edgefilter.session import materialize
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
     told = langid.predict(docs, langid.fit_on_known(docs), names=names)
-    return told.where(F.col(names[0]) != langid.UNKNOWN).select(*docs.columns)
+    # a text with letters stays, also if there is no known language to learn from
+    lang = F.coalesce(F.col("lang"), F.nullif(F.col(names[0]), F.lit(langid.UNKNOWN)))
+    return told.where(F.col("text").rlike(r"\p{L}")).withColumn("lang", lang).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

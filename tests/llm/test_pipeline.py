@@ -51,3 +51,20 @@ def test_empty_input(spark, tmp_path):
     for t in ("documents", "benchmark"):
         spark.read.parquet(f"{sf}/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_language_stage_fills_a_null_lang(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null and lang is not null")
+    gone = docs.selectExpr(*[f"cast(null as string) {c}" if c == "lang" else c for c in docs.columns])
+    mixed = docs.where("doc_id % 4 <> 1").unionByName(gone.where("doc_id % 4 = 1"))
+    true = {r.doc_id: r.lang for r in docs.collect()}
+    out = P.language(spark, mixed, "")
+    assert out.columns == docs.columns
+    got = {r.doc_id: r.lang for r in out.collect()}
+    assert set(got) == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text)}
+    filled = [i for i in got if i % 4 == 1]
+    assert filled and None not in got.values() and all(got[i] == true[i] for i in got if i % 4 != 1)
+    assert sum(got[i] == true[i] for i in filled) >= 0.9 * len(filled)
+    # nothing to learn from: no language is made up, and no text dropped
+    bare = P.language(spark, gone, "").collect()
+    assert {r.doc_id for r in bare} == set(got) and all(r.lang is None for r in bare)
