@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from edgefilter.llm import common
-from edgefilter.llm import bpe, decontaminate, html, langid, neighbours, packing, phrases, quality, runs, secrets, simhash, suffixes  # noqa: F401
+from edgefilter.llm import bpe, decontaminate, html, langid, neighbours, packing, phrases, quality, runs, secrets, simhash, suffixes, whitening  # noqa: F401
 
 
 def queries() -> dict:
