@@ -39,41 +39,42 @@ def _dist_sql(a: str, b: str, dim: int = DIM) -> str:
             f"lambda x, y: x + y))")
 
 
-def _hash_sql(v: str, r: list[float], b: float, dim: int = DIM) -> str:
+def hash_sql(v: str, r: list[float], b: float, dim: int = DIM) -> str:
     lit = "[" + ", ".join(repr(float(x)) for x in r) + "]::DOUBLE[]"
     return (f"floor(list_reduce(list_transform(range(1, {dim + 1}), lambda i: "
             f"{v}[i]::DOUBLE * ({lit})[i]), lambda x, y: x + y) / {float(b)!r})::BIGINT")
 
 
-_BASE = f"""
-data as (select vec_id, embedding from embeddings),
+def _base(source: str = "embeddings", dim: int = DIM, percent: int = QUERY_PERCENT, most: int = MAX_QUERIES) -> str:
+    return f"""
+data as materialized (select vec_id, embedding from {source} src),
 n as (select count(*) as n from data),
 q as (select vec_id as q_id, embedding as q_vec from data
-      where {hash_bucket_sql('vec_id', 100)} < {QUERY_PERCENT}
-      order by {md5_u32_sql('vec_id')}, vec_id limit {MAX_QUERIES}),
+      where {hash_bucket_sql('vec_id', 100)} < {percent}
+      order by {md5_u32_sql('vec_id')}, vec_id limit {most}),
 exact as (select q_id, vec_id, dist, rank from (
       select q_id, vec_id, dist, row_number() over (partition by q_id order by dist, vec_id) as rank
-      from (select q_id, vec_id, {_dist_sql('embedding', 'q_vec')} as dist
+      from (select q_id, vec_id, {_dist_sql('embedding', 'q_vec', dim)} as dist
             from data, q where vec_id <> q_id)) where rank <= {K})"""
 
 
-def _cand_sql(b: float, t_max: int) -> str:
-    projs = knn.projections(DIM, t_max, SEED)
-    dh = "[" + ", ".join(_hash_sql("embedding", r, b) for r in projs) + "]"
-    qh = "[" + ", ".join(_hash_sql("q_vec", r, b) for r in projs) + "]"
+def _cand_sql(b: float, t_max: int, dim: int = DIM) -> str:
+    projs = knn.projections(dim, t_max, SEED)
+    dh = "[" + ", ".join(hash_sql("embedding", r, b, dim) for r in projs) + "]"
+    qh = "[" + ", ".join(hash_sql("q_vec", r, b, dim) for r in projs) + "]"
     return f"""select q_id, vec_id, {float(b)!r}::DOUBLE as bucket_length, dist,
        list_position(list_transform(range(1, {t_max + 1}), lambda i: h[i] = qh[i]), true) - 1 as first_table
 from (select vec_id, embedding, {dh} as h from data) d,
      (select q_id, q_vec, {qh} as qh from q) qq
-cross join lateral (select {_dist_sql('embedding', 'q_vec')} as dist)
+cross join lateral (select {_dist_sql('embedding', 'q_vec', dim)} as dist)
 where vec_id <> q_id"""
 
 
-def _grid_sql(tables, lengths) -> str:
+def grid_sql(tables, lengths, source: str = "embeddings", dim: int = DIM) -> str:
     t_max = max(tables)
-    cand = " union all ".join(f"({_cand_sql(b, t_max)})" for b in lengths)
+    cand = " union all ".join(f"({_cand_sql(b, t_max, dim)})" for b in lengths)
     grid = ", ".join(f"({float(b)!r}::DOUBLE, {int(t)})" for b in lengths for t in tables)
-    return f"""with {_BASE},
+    return f"""with {_base(source, dim)},
 cand as (select c.*, g.num_hash_tables from ({cand}) c
          join (values {grid}) g(bucket_length, num_hash_tables)
            on g.bucket_length = c.bucket_length
@@ -94,9 +95,10 @@ cross join n
 group by g.num_hash_tables, g.bucket_length"""
 
 
-def _lsh_topk_sql(t: int, b: float) -> str:
-    return f"""with {_BASE},
-cand as ({_cand_sql(b, t)})
+def lsh_topk_sql(t: int, b: float, source: str = "embeddings", dim: int = DIM, percent: int = QUERY_PERCENT,
+                 most: int = MAX_QUERIES) -> str:
+    return f"""with {_base(source, dim, percent, most)},
+cand as ({_cand_sql(b, t, dim)})
 select q_id, vec_id, round(dist, 6) as dist, rank from (
   select q_id, vec_id, dist, row_number() over (partition by q_id order by dist, vec_id) as rank
   from cand where first_table is not null and first_table >= 0) where rank <= {K}"""
@@ -104,31 +106,31 @@ select q_id, vec_id, round(dist, 6) as dist, rank from (
 
 # -- queries -------------------------------------------------------------------
 
-@register("exact_knn", f"with {_BASE}\nselect q_id, vec_id, round(dist, 6) as dist, rank from exact")
+@register("exact_knn", f"with {_base()}\nselect q_id, vec_id, round(dist, 6) as dist, rank from exact")
 def q_exact_knn(spark, sf_dir):
     return knn.exact_knn(vectors(spark, sf_dir), queries_of(spark, sf_dir), "vec_id", "embedding", K)
 
 
-@register("lsh_bucket_topk", _lsh_topk_sql(*TRANSFER))
+@register("lsh_bucket_topk", lsh_topk_sql(*TRANSFER))
 def q_lsh_bucket_topk(spark, sf_dir):
     projs = knn.projections(DIM, TRANSFER[0], SEED)
     return knn.lsh_topk(vectors(spark, sf_dir), queries_of(spark, sf_dir), "vec_id", "embedding",
                         K, projs, TRANSFER[1])
 
 
-@register("recall_at_k", _grid_sql((TRANSFER[0],), (TRANSFER[1],)))
+@register("recall_at_k", grid_sql((TRANSFER[0],), (TRANSFER[1],)))
 def q_recall_at_k(spark, sf_dir):
     return knn.recall_at_k(vectors(spark, sf_dir), "vec_id", "embedding", K, TRANSFER[0], TRANSFER[1],
                            percent=QUERY_PERCENT, max_queries=MAX_QUERIES, seed=SEED, dim=DIM)
 
 
-@register("lsh_grid", _grid_sql(GRID_TABLES, GRID_LENGTHS))
+@register("lsh_grid", grid_sql(GRID_TABLES, GRID_LENGTHS))
 def q_lsh_grid(spark, sf_dir):
     return knn.lsh_grid(vectors(spark, sf_dir), "vec_id", "embedding", K, GRID_TABLES, GRID_LENGTHS,
                         QUERY_PERCENT, MAX_QUERIES, SEED, dim=DIM)
 
 
-@register("lsh_grid_fine", _grid_sql(GRID_TABLES, FINE_LENGTHS))
+@register("lsh_grid_fine", grid_sql(GRID_TABLES, FINE_LENGTHS))
 def q_lsh_grid_fine(spark, sf_dir):
     return knn.lsh_grid(vectors(spark, sf_dir), "vec_id", "embedding", K, GRID_TABLES, FINE_LENGTHS,
                         QUERY_PERCENT, MAX_QUERIES, SEED, dim=DIM)
@@ -149,7 +151,7 @@ def q_normalize_vectors(spark, sf_dir):
 
 
 @register("lsh_best_params", f"""
-select * from ({_grid_sql(GRID_TABLES, GRID_LENGTHS)})
+select * from ({grid_sql(GRID_TABLES, GRID_LENGTHS)})
 order by recall desc, num_hash_tables, bucket_length limit 1""")
 def q_lsh_best_params(spark, sf_dir):
     """Best grid point; ties keep the first in grid order (tables, then length)."""

@@ -1,9 +1,11 @@
-"""Spark ML similar-name search.
+"""Similar-name search.
 
-Word2Vec and the ML LSH draw from Spark's own random generator, so the queries
-return what must hold for any draw (sizes, shared buckets, rising distances,
-recall in range), computed from their results; DuckDB states the same rows.
-The operators in `operators/ml_lsh.py` return vectors, neighbours and recall."""
+Names become vectors by random indexing (`operators/name_vectors.py`); hashes,
+neighbours and recall are those of the bucketed random projections in
+`operators/knn.py`, and DuckDB states all values. Spark ML's Word2Vec, whose
+vocabulary lies on the driver, is an option (`operators/ml_lsh.py`); it draws
+from Spark's own random generator, so `word2vec_names` returns what holds for
+any draw."""
 
 from __future__ import annotations
 
@@ -11,11 +13,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from edgefilter.functions.hashing import hash_bucket_sql, md5_u32_sql
+from edgefilter.operators import knn
 from edgefilter.operators import ml_lsh as ML
+from edgefilter.operators import name_vectors as NV
+from edgefilter.plans.q_knn import grid_sql, hash_sql, lsh_topk_sql
 from edgefilter.plans.q_sources import ARTICLE_SQL as _ARTICLE_SQL
 from edgefilter.plans.registry import register
-from edgefilter.session import cut_lineage, scratch_path
+from edgefilter.session import materialize, scratch_path
 from edgefilter.sources import files as FS
 from edgefilter.sources.tables import table
 
@@ -35,9 +39,7 @@ _ARTICLES = f"(select distinct lower(replace({_ARTICLE_SQL}, '_', ' ')) as name
 QUERY_PERCENT, MAX_QUERIES = 10, 50
 
 
-def _queries_sql(names: str) -> str:
-    return (f"(select name from {names} where {hash_bucket_sql('name', 100)} < {QUERY_PERCENT} "
-            f"order by {md5_u32_sql('name')}, name limit {MAX_QUERIES})")
+_PROJECTIONS = knn.projections(NV.DIM, TRANSFER[0], SEED)
 
 
 def listing_names(spark, sf_dir):
@@ -59,78 +61,65 @@ def q_word2vec_names(spark, sf_dir):
     return v.select("name", F.size("v").alias("n_components"), (F.abs(norm - 1) < 1e-6).alias("unit"))
 
 
-def _fitted(names):
-    # written once: Word2Vec and the hashes are derived from the same rows in every later pass
-    v = cut_lineage(ML.name_vectors(names, SEED))
-    return v, ML.fit_lsh(v, *TRANSFER, seed=SEED)
+_NAME_VECTORS, _ARTICLE_VECTORS = (f"(select name as vec_id, vec as embedding from {NV.name_vectors_sql(n)} v)"
+                                   for n in (_NAMES, _ARTICLES))
 
 
-@register("lsh_hashes", f"select name, {TRANSFER[0]} as n_tables from {_NAMES}")
-def q_lsh_hashes(spark, sf_dir):
-    v, model = _fitted(listing_names(spark, sf_dir))
-    return ML.hash_arrays(model, v).select("name", F.size("hash_values").alias("n_tables"))
+def _vectors(names):
+    """Written once: every later pass reads the same vectors."""
+    return materialize(NV.name_vectors(names), "name_vectors")
 
 
-@register("ann_topk", f"""
-select name as q_id, true as at_most_k, true as ranks_in_order, true as distances_rise, true as buckets_shared
-from {_queries_sql(_NAMES)}""")
-def q_ann_topk(spark, sf_dir):
-    """Each query's neighbours: at most k, ranked from 1, no nearer one later, a shared bucket each."""
-    v, model = _fitted(listing_names(spark, sf_dir))
-    queries = ML.query_rows(v, QUERY_PERCENT, MAX_QUERIES)
-    top = ML.ann_topk(model, v, queries, K)
-    hashes = ML.hash_arrays(model, v).select("name", "hash_values")
-    own = ML.hash_arrays(model, queries).select(F.col("name").alias("q_id"), F.col("hash_values").alias("q_hashes"))
-    by = Window.partitionBy("q_id").orderBy("rank")
-    rows = top.join(hashes, "name").join(own, "q_id").withColumn("before", F.lag("dist").over(by)).withColumn(
-        "place", F.row_number().over(by))
-    meet = F.exists(F.zip_with("hash_values", "q_hashes", lambda a, b: a == b), lambda x: x)
-    held = rows.groupBy("q_id").agg(
-        (F.count("*") <= K).alias("at_most_k"), F.min(F.col("rank") == F.col("place")).alias("ranks_in_order"),
-        F.min(F.coalesce(F.col("before") <= F.col("dist"), F.lit(True))).alias("distances_rise"),
-        F.min(meet).alias("buckets_shared"))
-    yes = lambda c: F.coalesce(F.col(c), F.lit(True)).alias(c)  # noqa: E731  a query without neighbours holds
-    return queries.select(F.col("name").alias("q_id")).join(held, "q_id", "left").select(
-        "q_id", yes("at_most_k"), yes("ranks_in_order"), yes("distances_rise"), yes("buckets_shared"))
-
-
-@register("similar_items", f"select true as at_most_n, true as distances_positive, true as names_known from {_ARTICLES} limit 1")
-def q_similar_items(spark, sf_dir):
-    """Six nearest articles of one article vector, distance 0 dropped."""
-    names = article_names(spark, sf_dir)
-    v, model = _fitted(names)
-    key = ML.query_rows(v, percent=100, max_queries=1).first()[ML.VEC]   # one bounded row
-    near = model.approxNearestNeighbors(v, key, SIMILAR_N).select("name", "distCol").filter(F.col("distCol") > 0)
-    known = near.join(v.select("name", F.lit(True).alias("known")), "name", "left")
-    return known.agg((F.count("*") <= SIMILAR_N).alias("at_most_n"),
-                     F.coalesce(F.min("distCol") > 0, F.lit(True)).alias("distances_positive"),
-                     (F.count("*") == F.count("known")).alias("names_known"))
+@register("name_vectors", f"select vec_id as name, list_transform(embedding, lambda x: round(x, 6)) as vec from {_NAME_VECTORS} s")
+def q_name_vectors(spark, sf_dir):
+    return NV.name_vectors(listing_names(spark, sf_dir)).select(
+        "name", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
+
+
+@register("lsh_hashes", f"""
+select vec_id as name, [{', '.join(hash_sql('embedding', r, TRANSFER[1], NV.DIM) for r in _PROJECTIONS)}] as hash_values
+from {_NAME_VECTORS} s""")
+def q_lsh_hashes(spark, sf_dir):
+    hashes = knn.lsh_hash_array(F.col("vec"), _PROJECTIONS, TRANSFER[1])
+    return NV.name_vectors(listing_names(spark, sf_dir)).select("name", hashes.alias("hash_values"))
 
 
-def _tune_sql(names: str) -> str:
-    grid = ", ".join(f"({int(t)}, {float(b)!r}::DOUBLE)" for t in GRID_TABLES for b in GRID_LENGTHS)
-    return f"""select num_hash_tables, bucket_length, (select count(*) from {_queries_sql(names)}) as n_queries,
-true as recall_in_range from (values {grid}) g(num_hash_tables, bucket_length)"""
+@register("ann_topk", f"select q_id, vec_id as name, dist, rank from ({lsh_topk_sql(*TRANSFER, _NAME_VECTORS, NV.DIM)})")
+def q_ann_topk(spark, sf_dir):
+    """Each query name's nearest among the names that share a bucket with it: at most K, by distance, then name."""
+    v = _vectors(listing_names(spark, sf_dir))
+    queries = knn.query_set(v, "name", "vec", QUERY_PERCENT, MAX_QUERIES)
+    return knn.lsh_topk(v, queries, "name", "vec", K, _PROJECTIONS, TRANSFER[1])
 
 
-def _in_range(recalls):
-    return recalls.withColumn("recall_in_range", F.col("recall").between(0, 1)).drop("recall")
+@register("similar_items", f"""
+select name, dist, row_number() over (order by dist, name) as rank from (
+  select vec_id as name, dist from ({lsh_topk_sql(*TRANSFER, _ARTICLE_VECTORS, NV.DIM, 100, 1)}) where dist > 0)
+order by dist, name limit {SIMILAR_N}""")
+def q_similar_items(spark, sf_dir):
+    """The nearest articles of one article (the first in hash order), those at distance 0 dropped."""
+    v = _vectors(article_names(spark, sf_dir))
+    one = knn.query_set(v, "name", "vec", 100, 1)
+    near = knn.lsh_topk(v, one, "name", "vec", K, _PROJECTIONS, TRANSFER[1]).where("dist > 0")
+    best = near.orderBy("dist", "name").limit(SIMILAR_N)
+    return best.select("name", "dist", F.row_number().over(Window.orderBy("dist", "name")).alias("rank"))
 
 
-@register("lsh_tune_names", _tune_sql(_NAMES))
+@register("lsh_tune_names", grid_sql(GRID_TABLES, GRID_LENGTHS, _NAME_VECTORS, NV.DIM))
 def q_lsh_tune_names(spark, sf_dir):
-    v = ML.name_vectors(listing_names(spark, sf_dir), SEED)
-    return _in_range(ML.tune(v, GRID_TABLES, GRID_LENGTHS, K, SEED))
+    """Recall and share of candidates of every grid point over the listing names, all in one pass."""
+    return knn.lsh_grid(_vectors(listing_names(spark, sf_dir)), "name", "vec", K, GRID_TABLES, GRID_LENGTHS,
+                        QUERY_PERCENT, MAX_QUERIES, SEED, dim=NV.DIM)
 
 
-@register("lsh_tune_articles", _tune_sql(_ARTICLES))
+@register("lsh_tune_articles", grid_sql(GRID_TABLES, GRID_LENGTHS, _ARTICLE_VECTORS, NV.DIM))
 def q_lsh_tune_articles(spark, sf_dir):
-    v = ML.name_vectors(article_names(spark, sf_dir), SEED)
-    return _in_range(ML.tune(v, GRID_TABLES, GRID_LENGTHS, K, SEED))
+    return knn.lsh_grid(_vectors(article_names(spark, sf_dir)), "name", "vec", K, GRID_TABLES, GRID_LENGTHS,
+                        QUERY_PERCENT, MAX_QUERIES, SEED, dim=NV.DIM)
 
 
-@register("lsh_transfer_eval", f"select count(*) as n_queries, true as recall_in_range from {_queries_sql(_ARTICLES)}")
+@register("lsh_transfer_eval", grid_sql((TRANSFER[0],), (TRANSFER[1],), _ARTICLE_VECTORS, NV.DIM))
 def q_lsh_transfer_eval(spark, sf_dir):
-    """Parameters (3 tables, length 0.5) applied to the article names."""
-    v, model = _fitted(article_names(spark, sf_dir))
-    return _in_range(ML.recall_ml(model, v, K))
+    """The parameters tuned on listings (3 tables, length 0.5) applied to the article names."""
+    return knn.recall_at_k(_vectors(article_names(spark, sf_dir)), "name", "vec", K, *TRANSFER, percent=QUERY_PERCENT,
+                           max_queries=MAX_QUERIES, seed=SEED, dim=NV.DIM)
