@@ -29,7 +29,8 @@ from __future__ import annotations
 import math
 import zlib
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,8 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgefilter.llm.bpe import LONG, TABLE_ENTRIES, Codec, default_path
-from edgefilter.llm.common import register, table
+from edgefilter.llm.bpe import TABLE_ENTRIES, Codec, default_path
+from edgefilter.llm.common import blocks, register, table
 from edgefilter.session import materialize
 
 CAPACITY = 2048
@@ -53,43 +54,106 @@ _ID = np.dtype("<u4")
 
 
 # -- ids ------------------------------------------------------------------
-class _Packed(dict):
-    """Text -> its ids as little-endian 32-bit integers, worked out when first met; bounded."""
-
-    def __init__(self, work: Callable):
-        super().__init__()
-        self.work = work
-
-    def __missing__(self, key):
-        out = np.array(self.work(key), _ID).tobytes()
-        if len(key) <= LONG:
-            if len(self) >= TABLE_ENTRIES:
-                self.clear()
-            self[key] = out
-        return out
+_WHITE = b" \t\n\r\x0b\x0c"
+#: Bytes of a word up to which words are merged many at a time.
+_SHORT = 24
+_NONE = np.int32(2**31 - 1)
 
 
 class PackedCodec(Codec):
-    """The tokenizer's ids as bytes, four an id."""
+    """The tokenizer's ids as bytes, four an id; the new words of a block are merged together.
+
+    A word is a row of symbol ids. In every round each row that has a pair to
+    merge merges its pair of lowest rank, the leftmost of equal ones.
+    """
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.word_bytes = _Packed(self._plain_ids)
-        self.piece_bytes = _Packed(lambda piece: [int(i) for word in self._piece_ids(piece) for i in word.split(" ")])
+        self.table: dict[str, bytes] = {}
+        n = len(self.ids)
+        merges = sorted((self.ids[a] * n + self.ids[b], r, self.ids[a + b]) for (a, b), r in self.ranks.items())
+        self.pair, self.rank = np.array([m[0] for m in merges]), np.array([m[1] for m in merges], np.int32)
+        self.joined = np.zeros(len(merges), np.int32)
+        self.joined[self.rank] = [m[2] for m in merges]
+        self.first = np.array([self.ids[self.symbols[b]] for b in range(256)], np.int32)
+        self.last = np.array([self.ids[self.symbols[b] + self.end] for b in range(256)], np.int32)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of symbols (-1: none there)."""
+        key = left.astype(np.int64) * len(self.ids) + right
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where((self.pair[at] == key) & (left >= 0) & (right >= 0), self.rank[at], _NONE)
+
+    def merged(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words of at most ``_SHORT`` bytes."""
+        n = len(words)
+        size = np.fromiter(map(len, words), np.int64, n)
+        width = int(size.max()) + 1
+        sym = np.full((n, width), -1, np.int32)
+        cell = np.arange(width) < size[:, None]
+        sym[cell] = self.first[np.frombuffer(b"".join(words), np.uint8)]
+        ends = np.frombuffer(bytes(w[-1] for w in words), np.uint8)
+        sym[np.arange(n), size - 1] = self.last[ends]
+        ranks = np.full((n, width), _NONE)
+        ranks[:, :-1] = self._ranks(sym[:, :-1], sym[:, 1:])
+        done = np.empty((n, width), np.int32)
+        live, cols = np.arange(n), np.arange(width)
+        while len(live):
+            at = ranks.argmin(axis=1)
+            least = ranks[np.arange(len(live)), at]
+            go = least < _NONE
+            done[live[~go]] = sym[~go]
+            live, at, least, row = live[go], at[go], least[go], np.arange(int(go.sum()))
+            after = at[:, None]
+            ranks = np.take_along_axis(ranks[go], np.minimum(cols + (cols >= after), width - 1), axis=1)
+            sym = np.take_along_axis(sym[go], np.minimum(cols + (cols > after), width - 1), axis=1)
+            sym[row, at] = self.joined[least]
+            ranks[row, at] = self._ranks(sym[row, at], sym[row, np.minimum(at + 1, width - 1)])
+            left = np.flatnonzero(at > 0)
+            ranks[left, at[left] - 1] = self._ranks(sym[left, at[left] - 1], sym[left, at[left]])
+        kept = done >= 0
+        raw = done[kept].astype(_ID).tobytes()
+        stops = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        return [raw[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.table) + len(words) > TABLE_ENTRIES:
+            self.table.clear()
+        spelled = [(w, w.encode()) for w in words]
+        short = [x for x in spelled if len(x[1]) <= _SHORT]
+        if short:
+            names, raw = zip(*short, strict=True)
+            self.table.update(zip(names, self.merged(raw), strict=True))
+        self.table.update((w, np.array(self._plain_ids(w), _ID).tobytes()) for w, x in spelled if len(x) > _SHORT)
+
+    def _odd(self, text: bytes) -> bytes:
+        """Ids of a text with letters beyond Latin-1 or special tokens, piece by piece."""
+        return np.array([i for p in text.split() for w in self._piece_ids(p) for i in w.split(" ")], np.int64).astype(_ID).tobytes()
+
+    def packed(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text of a block."""
+        out: list[bytes | list[str]] = []
+        for text in texts:
+            chars = text.decode("utf-8", "replace")
+            plain = self.plain(chars) and not any(s in chars for s in self.special)
+            out.append(self.plain_words(chars.lower()) if plain else self._odd(text))
+        words = [x for x in out if isinstance(x, list)]
+        fresh = set().union(*words) - self.table.keys()
+        if fresh:
+            if len(self.table) + len(fresh) > TABLE_ENTRIES:        # the table is emptied: all words are new
+                fresh = set().union(*words)
+            self._learn(fresh)
+        get = self.table.__getitem__
+        return [b"".join(map(get, x)) if isinstance(x, list) else x for x in out]
 
     def runs(self, text: bytes) -> Iterator[bytes]:
         """The ids of a whole text, a run of about a megabyte at a time; no token spans white space."""
         start = 0
         while start < len(text):
             stop = min(len(text), start + _RUN_BYTES)
-            while stop < len(text) and text[stop] not in b" \t\n\r\x0b\x0c":
+            while stop < len(text) and text[stop] not in _WHITE:
                 stop += 1
-            part = text if stop - start == len(text) else text[start:stop]
-            chars = part.decode("utf-8", "replace")
-            if self.plain(chars) and not any(s in chars for s in self.special):
-                yield b"".join(map(self.word_bytes.__getitem__, self.plain_words(chars.lower())))
-            else:
-                yield b"".join(map(self.piece_bytes.__getitem__, part.split()))
+            yield self.packed([text[start:stop]])[0]
             start = stop
 
 
@@ -257,9 +321,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         for batch in batches:
             if out is None and batch.num_rows:
                 out = _Out(to_arrow_schema(schema), 0, batch.column("part")[0].as_py(), digests)
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            for doc_id, runs in _encoded(c, batch):
                 held, start, whole = b"", 0, []
-                for run in (*_runs(c, text), end):
+                for run in chain(runs, (end,)):
                     held += run
                     at = 0
                     while len(held) - at >= size:
@@ -309,8 +373,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         "doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32" if digests else "ids")
 
 
-def _runs(c: PackedCodec, text: pa.Scalar) -> Iterator[bytes]:
-    return c.runs(text.as_py() or b"")
+def _encoded(c: PackedCodec, batch: pa.RecordBatch) -> Iterator[tuple[object, Iterable[bytes]]]:
+    """Each row's id and its ids in runs; a block of short texts is encoded together."""
+    ids = batch.column("doc_id").to_pylist()
+    for start, stop in blocks(batch, "text"):
+        texts = [x.as_py() or b"" for x in batch.column("text").slice(start, stop - start)]
+        if len(texts) == 1:
+            yield ids[start], c.runs(texts[0])
+        else:
+            yield from zip(ids[start:stop], ((x,) for x in c.packed(texts)), strict=True)
 
 
 @register("op11_packing")

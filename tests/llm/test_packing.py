@@ -80,6 +80,22 @@ def test_small_pools_and_several_rounds(spark, monkeypatch):
     assert all(len(r["ids"]) == 4 * r["length"] for r in rows)
 
 
+def test_merged_words_equal_the_codec():
+    rng = random.Random(8)
+    c = packing.PackedCodec(packing.default_path())
+    words = {"".join(rng.choice("etaoinshrdlué'!ß") for _ in range(rng.randint(1, 20))) for _ in range(3000)}
+    raw = [w.encode() for w in words if len(w.encode()) <= 24]
+    for w, ids in zip(raw, c.merged(raw), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == c._plain_ids(w.decode())
+
+
+def test_table_may_overflow(library, monkeypatch):
+    monkeypatch.setattr(packing, "TABLE_ENTRIES", 4)
+    c = packing.PackedCodec(packing.default_path())
+    for text in ["one two three four five six", "one seven two", "eight", "one two"]:
+        assert np.frombuffer(c.packed([text.encode()])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_pool_never_holds_more_than_its_bound(library):
     pool = packing.Pool(16)
     for k in range(40):          # pieces of eleven: no subset fills sixteen, so one is cut each time
