@@ -86,14 +86,14 @@ def exact_knn(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k:
               exclude_self: bool = True, dim: int | None = None) -> DataFrame:
     """(q_id, id, dist, rank) of the k nearest rows to each query.
 
-    ``queries`` must have at most ``QUERY_LIMIT`` rows (see :func:`query_set`);
-    that is checked before it is broadcast. Exact search of more is a job for
-    the bucket join, which shuffles.
+    Up to ``QUERY_LIMIT`` queries (see :func:`query_set`; checked) are broadcast
+    to every row; more go to :func:`knn_join.knn_join`, which shuffles.
     The query row itself is excluded by id, not by distance 0, so exact
     duplicates of the query still count as neighbours.
     """
     if not is_bounded(queries):
-        raise ValueError(f"exact search takes at most {QUERY_LIMIT} queries")
+        from edgefilter.operators.knn_join import knn_join
+        return knn_join(data, queries, id_col, vec_col, k, exclude_self)
     pairs = data.select(id_col, vec_col).join(F.broadcast(queries), how="cross")
     if exclude_self:
         pairs = pairs.filter(F.col(id_col) != F.col("q_id"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edgefilter.functions.hashing import hash_bucket_sql, md5_u32_sql
 from edgefilter.operators import knn
+from edgefilter.operators.knn_join import knn_join
 from edgefilter.plans.registry import register
 from edgefilter.sources.tables import table
 
@@ -111,6 +112,20 @@ def q_exact_knn(spark, sf_dir):
     return knn.exact_knn(vectors(spark, sf_dir), queries_of(spark, sf_dir), "vec_id", "embedding", K)
 
 
+JOIN_K = 10
+
+
+@register("knn_join", f"""
+select q_id, vec_id, round(dist, 6) as dist, rank from (
+  select q_id, vec_id, dist, row_number() over (partition by q_id order by dist, vec_id) as rank
+  from (select a.vec_id as q_id, b.vec_id, {_dist_sql('b.embedding', 'a.embedding')} as dist
+        from embeddings a join embeddings b on a.vec_id <> b.vec_id)) where rank <= {JOIN_K}""")
+def q_knn_join(spark, sf_dir):
+    """The nearest rows of every row."""
+    v = vectors(spark, sf_dir)
+    return knn_join(v, v.select(F.col("vec_id").alias("q_id"), F.col("embedding").alias("q_vec")), "vec_id", "embedding", JOIN_K)
+
+
 @register("lsh_bucket_topk", lsh_topk_sql(*TRANSFER))
 def q_lsh_bucket_topk(spark, sf_dir):
     projs = knn.projections(DIM, TRANSFER[0], SEED)
