@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgefilter.schemas import EDIT_COLUMNS, EDIT_SCHEMA, LISTING_SCHEMA, PAGEVIEW_SCHEMA, RAW_CHANGE_SCHEMA
+from edgefilter.sources.quoted_csv import read_quoted_csv
 
 # RFC 4180 quoting: a quote inside a field is doubled; records may span lines.
 CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true"}
@@ -28,14 +29,13 @@ def write_edits_csv(df: DataFrame, path: str, mode: str = "append",
 
 
 def read_edits_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Edit records from header-less CSV files (a directory or a glob).
+    """Edit records from header-less CSV files (a directory or a glob), a task for each range of a file.
 
     PERMISSIVE: a row with an extra trailing column (files written with a
     tenth ``user_hash`` field) keeps its first nine; a malformed field
     becomes NULL.
     """
-    return (spark.read.schema(EDIT_SCHEMA).options(**CSV_OPTIONS)
-                 .option("header", "false").option("mode", "PERMISSIVE").csv(path))
+    return read_quoted_csv(spark, path, EDIT_SCHEMA)
 
 
 # -- listings (CSV with header, gzip) -------------------------------------------
@@ -45,15 +45,13 @@ def write_listings_csv(df: DataFrame, path: str, records_per_file: int = DEFAULT
        .option("compression", "gzip").option("maxRecordsPerFile", records_per_file).csv(path))
 
 
-def read_listings_csv(spark: SparkSession, path: str, schema=LISTING_SCHEMA,
-                      partitions: int | None = None) -> DataFrame:
+def read_listings_csv(spark: SparkSession, path: str, schema=LISTING_SCHEMA) -> DataFrame:
     """Listings CSV with header and multi-line quoted fields.
 
-    A gzip file cannot be split, so each file is one task; ``partitions``
-    spreads the rows right after the scan when files are few and large.
+    Plain files are split at records; a gzip file cannot be split, so it is one
+    task, and ``write_listings_csv`` bounds the records of a file.
     """
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).option("header", "true").csv(path)
-    return df.repartition(partitions) if partitions else df
+    return read_quoted_csv(spark, path, schema, header=True)
 
 
 def listings_from_parts(part: DataFrame) -> DataFrame:
