@@ -27,7 +27,6 @@ GRID_REG_PARAM = (0.01, 0.1, 1.0)
 GRID_ELASTIC_NET = (0.0, 0.5, 1.0)
 FOLDS = 3
 THRESHOLD = 0.5
-ROWS_PER_PARTITION = 200_000
 
 
 def feature_stages(num_features: int = NUM_FEATURES, language: str = "english"):
@@ -59,30 +58,10 @@ def f1_evaluator(metric: str = "f1") -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
 
 
-def sized_training_rows(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Persist the training rows with partitions sized to their count.
-
-    Every optimiser iteration is one job over all partitions; a small
-    training set spread over many partitions pays that overhead per
-    partition, a large one needs the parallelism. One count on the
-    persisted rows picks ceil(rows / rows_per_partition) partitions
-    (``coalesce``: no shuffle).
-    """
-    df = df.persist()
-    n = df.count()
-    target = max(1, -(-n // rows_per_partition))
-    if target < df.rdd.getNumPartitions():
-        sized = df.coalesce(target).persist()
-        sized.count()
-        df.unpersist()
-        return sized
-    return df
-
-
 def fit(train: DataFrame, pipeline: Pipeline | None = None) -> PipelineModel:
-    """Fit the bot pipeline on size-partitioned, persisted training rows."""
+    """Fit the bot pipeline on persisted training rows (write them first: their files are read in partitions by bytes)."""
     pipeline = pipeline or bot_pipeline()
-    rows = sized_training_rows(train)
+    rows = train.persist()
     try:
         return pipeline.fit(rows)
     finally:
@@ -96,7 +75,7 @@ def cross_validate(train: DataFrame, pipeline: Pipeline | None = None, grid=None
     grid = grid if grid is not None else param_grid(pipeline)
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=f1_evaluator(),
                         numFolds=folds, parallelism=parallelism, seed=seed)
-    rows = sized_training_rows(train)
+    rows = train.persist()
     try:
         return cv.fit(rows)
     finally:

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from edgefilter.functions.hashing import md5_u32_sql
 from edgefilter.functions.text import stop_words_sql
 from edgefilter.operators import evaluate as EV
+from edgefilter.operators import linear as LIN
 from edgefilter.operators import model as M
 from edgefilter.operators.clean import clean_edits
 from edgefilter.operators.scoring import rule_prediction, rule_prediction_sql, split_column, split_sql
 from edgefilter.plans.registry import register
-from edgefilter.session import cut_lineage, scratch_path
+from edgefilter.session import materialize, scratch_path
 from edgefilter.sources.tables import edits, with_ctes
 
 
@@ -24,12 +25,13 @@ def split_clean(spark, sf_dir):
 def train_test(spark, sf_dir, materialized: bool = False):
     """Labelled rows only, split 70/30 by a hash of the id.
 
-    ``materialized`` checkpoints the labelled rows once, so a fit and its
-    evaluation read them instead of deriving them from the edits join twice.
+    ``materialized`` writes the labelled rows once, so a fit and its
+    evaluation read them instead of deriving them from the edits join twice;
+    the files are read in partitions of ``maxPartitionBytes``.
     """
     s = split_clean(spark, sf_dir).filter(F.col("labelled"))
     if materialized:
-        s = cut_lineage(s)
+        s = materialize(s, "labelled")
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
@@ -110,30 +112,19 @@ def q_classification_metrics(spark, sf_dir):
 
 
 # -- Spark ML model ----------------------------------------------------------------------
-# Fitted weights have no SQL equivalent. These queries run the whole model path and
-# return what must hold for any fit, computed from its output; DuckDB states the same
-# rows. The operators in `operators/model.py` return the scores themselves.
+# The optimiser of Spark ML has no SQL equivalent: these two queries return what must hold
+# for any fit. The queries after them fit `operators/linear.py`, which SQL repeats.
 
 _LABELLED = "labelled and split = 'test'"
 _SPLIT = [("s", f"select *, {split_sql('id')} as split from clean")]
 
 
 def _fit_default(spark, sf_dir):
-    """Fit on persisted, size-partitioned training rows: IDF and every
-    optimiser pass re-read them."""
+    """Fit on persisted training rows: IDF and every optimiser pass re-read them."""
     train, test = train_test(spark, sf_dir, materialized=True)
     return M.fit(train), test
 
 
-def _metrics_hold(pred):
-    """(n, in_range): rows scored, and whether all metrics of the fit lie in [0, 1]."""
-    m = EV.multiclass_metrics(pred)
-    ok = F.lit(True)
-    for c in ("weighted_precision", "weighted_recall", "f1", "accuracy"):
-        ok = ok & F.col(c).between(0, 1)
-    return m.select("n", ok.alias("in_range"))
-
-
 @register("feature_vectors", with_ctes(f"""
 select id, {M.NUM_FEATURES + 2} as n_features, minor::DOUBLE as minor_feature,
        comment_length::DOUBLE as length_feature from clean"""))
@@ -147,36 +138,64 @@ def q_feature_vectors(spark, sf_dir):
                     F.element_at("f", -1).alias("length_feature"))
 
 
-@register("train_bot_model", with_ctes(f"select count(*) as n, true as in_range from s where {_LABELLED}", extra=_SPLIT))
+# -- the model that SQL repeats ------------------------------------------------------------
+_TOKENS = (f"select *, {split_sql('id')} as split, {md5_u32_sql('id', 1)} % {M.FOLDS} as fold, {_FILTERED_SQL} as tokens "
+           "from clean")
+_ROWS = [("rows", _TOKENS), ("train", "select * from rows where labelled and split = 'train'")]
+
+
+def _model_sql(body: str, source: str | None = None, extra: list | None = None, settings=None) -> str:
+    fitted = _ROWS + LIN.fit_sql(settings or [LIN.Setting()])
+    return with_ctes(body, extra=fitted + (LIN.score_sql(source) if source else []) + (extra or []), materialized=True)
+
+
+def _metrics_sql(where: str) -> str:
+    """Metrics of the scored rows of ``where``, from their confusion counts."""
+    f1 = "coalesce(2 * hit / nullif(of_c + said, 0), 0)"
+    return _model_sql(f"""
+select round(sum(of_c * coalesce(hit / nullif(said, 0), 0)) / sum(of_c), 6) as weighted_precision,
+       round(sum(hit) / sum(of_c), 6) as weighted_recall, round(sum(of_c * {f1}) / sum(of_c), 6) as f1,
+       round(sum(hit) / sum(of_c), 6) as accuracy, sum(of_c)::BIGINT as n
+from (select c, count(*) filter (label = c) as of_c, count(*) filter (said = c) as said,
+             count(*) filter (label = c and said = c) as hit
+      from told cross join (values (0.0), (1.0)) v(c) group by c) where of_c > 0""", "rows", [
+        ("told", f"select r.label, (p > {M.THRESHOLD})::INT::DOUBLE as said from rows r join scored using (id) where {where}")])
+
+
+def _fit_linear(spark, sf_dir):
+    """The model of the labelled training rows, and all cleaned rows with their split."""
+    rows = split_clean(spark, sf_dir)
+    return LIN.fit(rows.filter(F.col("labelled") & (F.col("split") == "train"))), rows
+
+
+@register("bot_model_weights", _model_sql(f"select b::INT as feature, round(w, 6) as weight from w{LIN.STEPS}"))
+def q_bot_model_weights(spark, sf_dir):
+    """Weights of the buckets, of minor, length and the constant."""
+    model, _ = _fit_linear(spark, sf_dir)
+    return LIN.weights_table(spark, model).select("feature", F.round("weight", 6).alias("weight"))
+
+
+@register("train_bot_model", _metrics_sql("labelled and split = 'test'"))
 def q_train_bot_model(spark, sf_dir):
-    model, test = _fit_default(spark, sf_dir)
-    return _metrics_hold(model.transform(test))
+    """Metrics of the fitted model on the held-out rows."""
+    model, rows = _fit_linear(spark, sf_dir)
+    return EV.multiclass_metrics(LIN.score(model, rows.filter(F.col("labelled") & (F.col("split") == "test")), ["label"]))
 
 
-@register("score_edits", with_ctes("""
-select id, "user", label, true as p_in_range, true as decision_follows from clean"""))
+@register("score_edits", _model_sql(f"""
+select r.id, r."user", r.label, round(p, 6) as p_bot, (p > {M.THRESHOLD})::INT::DOUBLE as prediction
+from rows r join scored using (id)""", "rows"))
 def q_score_edits(spark, sf_dir):
-    model, _ = _fit_default(spark, sf_dir)
-    scored = M.score(model, split_clean(spark, sf_dir))
-    follows = (F.col("prediction") == 1.0) == (F.col("p_bot") > M.THRESHOLD)
-    return scored.select("id", "user", "label", F.col("p_bot").between(0, 1).alias("p_in_range"),
-                         follows.alias("decision_follows"))
+    model, rows = _fit_linear(spark, sf_dir)
+    return LIN.score(model, rows, ["id", "user", "label"]).withColumn("p_bot", F.round("p_bot", 6))
 
 
-@register("predicted_bots", with_ctes("""
-select count(distinct "user") as n_users, 0 as n_unknown, 0 as n_null, 0 as n_repeated from clean"""))
+@register("predicted_bots", _model_sql(f"""
+select distinct r."user" from rows r join scored using (id) where p > {M.THRESHOLD} and r."user" is not null""", "rows"))
 def q_predicted_bots(spark, sf_dir):
-    """The predicted bots against all users: none unknown, null or named twice."""
-    model, _ = _fit_default(spark, sf_dir)
-    rows = split_clean(spark, sf_dir)
-    bots = M.predicted_bot_users(M.score(model, rows)).groupBy("user").agg(F.count("*").alias("c"))
-    users = rows.groupBy("user").agg(F.lit(True).alias("known"))
-    both = users.join(bots, "user", "full")
-    return both.agg(F.count_if(F.col("known") & F.col("user").isNotNull()).alias("n_users"),
-                    F.count_if(F.col("c").isNotNull() & F.col("known").isNull() & F.col("user").isNotNull())
-                    .cast("int").alias("n_unknown"),
-                    F.count_if(F.col("c").isNotNull() & F.col("user").isNull()).cast("int").alias("n_null"),
-                    F.count_if(F.col("c") > 1).cast("int").alias("n_repeated"))
+    """Users with an edit predicted bot."""
+    model, rows = _fit_linear(spark, sf_dir)
+    return M.predicted_bot_users(LIN.score(model, rows, ["user"]))
 
 
 @register("model_roundtrip", with_ctes(f"""
@@ -192,32 +211,29 @@ def q_model_roundtrip(spark, sf_dir):
         F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("fitted")).alias("n_agree"))
 
 
-_GRID = " cross join ".join(f"(values {', '.join(f'({v}::{t})' for v in vals)}) t{i}({name})" for i, (name, t, vals) in enumerate((
-    ("num_features", "INT", M.GRID_NUM_FEATURES), ("reg_param", "DOUBLE", M.GRID_REG_PARAM),
-    ("elastic_net", "DOUBLE", M.GRID_ELASTIC_NET))))
-
-
-@register("cv_grid", f"""
-select num_features, reg_param, elastic_net, true as f1_in_range, 1::BIGINT as n_best, true as best_is_highest
-from {_GRID}""")
+@register("cv_grid", _model_sql(f"""
+select num_features, reg_param, elastic_net, f1, row_number() over (order by f1 desc, num_features, reg_param, elastic_net) = 1 as best
+from (select size as num_features, reg as reg_param, en as elastic_net, round(avg(f1), 6) as f1 from (
+  select size, lft, m, sum(of_c * coalesce(2 * hit / nullif(of_c + said, 0), 0)) / sum(of_c) as f1 from (
+    select size, lft, m, c, count(*) filter (label = c) as of_c, count(*) filter (said = c) as said,
+           count(*) filter (label = c and said = c) as hit
+    from told cross join (values (0.0), (1.0)) v(c) group by all) group by all) join hyper using (size, lft, m) group by all)""",
+    settings=LIN.grid_settings(), extra=[("told", f"""
+select z.size, z.lft, z.m, t.label, (z.p > {M.THRESHOLD})::INT::DOUBLE as said from (
+  select f.size, f.lft, w.m, f.id, 1 / (1 + exp(-sum(f.x * w.w))) as p
+  from feat f join w{LIN.STEPS} w on w.size = f.size and w.lft = f.lft and w.b = f.b group by all) z
+join train t on t.id = z.id where t.fold = z.lft""")]))
 def q_cv_grid(spark, sf_dir):
-    """The original 36-point, 3-fold model selection; one row per grid point."""
+    """The original 36-point, 3-fold model selection, all 108 models trained together; one row per grid point."""
     train, _ = train_test(spark, sf_dir)
-    # fits run concurrently as separate jobs; the grid itself is unchanged
-    par = max(2, min(8, spark.sparkContext.defaultParallelism))
-    report = M.grid_report(spark, M.cross_validate(train, parallelism=par))     # a bounded table
-    whole = report.agg(F.count_if("best").alias("n_best"), (F.max("f1") == F.max(F.when(F.col("best"), F.col("f1"))))
-                       .alias("best_is_highest"))
-    return report.select("num_features", "reg_param", "elastic_net", F.col("f1").between(0, 1).alias("f1_in_range")).join(
-        F.broadcast(whole))
+    return LIN.select_model(train)
 
 
-@register("model_metrics_extended", with_ctes("select count(*) as n, true as in_range from clean where labelled"))
+@register("model_metrics_extended", _metrics_sql("labelled"))
 def q_model_metrics_extended(spark, sf_dir):
     """The saved model, reloaded, scored on every labelled edit (a second,
     larger sample than the hold-out) with the same metrics."""
-    model, _ = _fit_default(spark, sf_dir)
+    model, rows = _fit_linear(spark, sf_dir)
     path = scratch_path(spark, "model_ext")
-    M.save_model(model, path)
-    labelled = split_clean(spark, sf_dir).filter(F.col("labelled"))
-    return _metrics_hold(M.load_model(path).transform(labelled))
+    LIN.save(spark, model, path)
+    return EV.multiclass_metrics(LIN.score(LIN.load(spark, path), rows.filter("labelled"), ["label"]))

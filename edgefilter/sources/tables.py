@@ -112,13 +112,14 @@ from edits
 EDA_SQL = CLEAN_SQL.replace("coalesce(minor, false) as minor", "minor")
 
 
-def with_ctes(body: str, clean: bool = True, extra: list[tuple[str, str]] | None = None) -> str:
+def with_ctes(body: str, clean: bool = True, extra: list[tuple[str, str]] | None = None,
+              materialized: bool = False) -> str:
     """Prefix an oracle statement with the ``edits``, ``clean`` and ``eda``
-    CTEs, followed by ``extra`` (name, body) CTEs in order."""
+    CTEs, followed by ``extra`` (name, body) CTEs in order (worked out once each if ``materialized``)."""
     ctes = [f"edits as ({EDITS_SQL})"]
     if clean:
         ctes.append(f"clean as ({CLEAN_SQL})")
         ctes.append(f"eda as ({EDA_SQL})")
     for name, sql in extra or []:
-        ctes.append(f"{name} as ({sql})")
+        ctes.append(f"{name} as {'materialized ' * materialized}({sql})")
     return "with " + ",\n".join(ctes) + "\n" + body
