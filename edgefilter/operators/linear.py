@@ -2,10 +2,15 @@
 
 Features of a row: its tokens' md5 values folded into ``num_features`` buckets,
 counted, weighted by inverse document frequency and scaled to length one; whether
-the edit is minor; ln(1 + length) / 16, at most 1; and a constant. So no row is
-longer than 2, the loss has a known curvature and one step width serves all data:
-``STEPS`` accelerated proximal gradient steps from zero, with the elastic net's
-soft threshold. Nothing is drawn at random and nothing depends on partitions.
+the edit is minor; ln(1 + length) / 16, at most 1; and a constant. ``STEPS``
+accelerated proximal gradient steps are taken from zero, with the elastic net's
+soft threshold. Each feature has a fixed step width of its own, 1 / d with
+
+    d = 1/4 mean(x_b |x|_1) + the quadratic penalty,
+
+the diagonal that bounds the loss's curvature on the rows learnt from, found by
+one aggregate before the first step. Nothing is drawn at random and nothing
+depends on partitions.
 
 One aggregate a step. Rows lie written and cached as bucket arrays; a task turns a
 block of rows into a matrix and adds up the gradients of *all* models of a
@@ -31,7 +36,7 @@ from edgefilter.functions.hashing import hash_bucket, md5_u32
 from edgefilter.operators import model as M
 from edgefilter.session import materialize
 
-STEPS, STEP = 30, 0.5
+STEPS = 30
 LENGTH_SCALE = 16.0
 #: Features beside the buckets: minor, length, the constant.
 MORE = 3
@@ -76,7 +81,7 @@ def _matrix(batch: pa.RecordBatch, idf: np.ndarray) -> np.ndarray:
     lists, n, k = batch.column("h"), batch.num_rows, len(idf)
     row = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False))
     bucket = lists.flatten().to_numpy(zero_copy_only=False) % k
-    x = np.bincount(row * k + bucket, weights=idf[bucket], minlength=n * k).reshape(n, k)
+    x = np.bincount(row * k + bucket, weights=idf[bucket], minlength=n * k).reshape(n, k).astype(float)
     size = np.sqrt((x * x).sum(axis=1, keepdims=True))
     x /= np.where(size > 0, size, 1.0)
     return np.column_stack([x, *(batch.column(c).to_numpy(zero_copy_only=False) for c in (
@@ -118,30 +123,40 @@ def document_frequencies(rows: DataFrame, sizes: list[int], folds: list[int]) ->
 
 
 # -- fitting --------------------------------------------------------------
-def _sums(points: dict, idfs: dict, settings: list[Setting]) -> Callable:
-    """Gradient sums of all models over a task's rows; ``points`` are their weights now."""
-    groups = {key: [i for i, s in enumerate(settings) if (s.num_features, s.fold) == key] for key in idfs}
+def _sums(points: dict | None, idfs: dict, settings: list[Setting]) -> Callable:
+    """Gradient sums of all models over a task's rows; ``points`` are their weights now. Without: sums of x |x|_1."""
+    keys = sorted({(s.num_features, s.fold) for s in settings})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {key: np.zeros((key[0] + MORE, len(own))) for key, own in groups.items() if own}
-        seen = False
-        for part in _parts(batches, max(k[0] for k in total)):
+        total = {}
+        for part in _parts(batches, max(k[0] for k in keys)):
             label, fold = (part.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold"))
-            for key, out in total.items():
+            for key in keys:
                 x = _matrix(part, idfs[key])
-                wrong = 1 / (1 + np.exp(-(x @ points[key]))) - label[:, None]
-                wrong[fold == key[1]] = 0.0
-                out += x.T @ wrong
-                seen = True
-        if seen:
-            for key, out in total.items():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key[0]] * len(out), pa.int32()), pa.array([key[1]] * len(out), pa.int32()),
-                     pa.array(range(len(out)), pa.int32()), pa.array(out.tolist(), pa.list_(pa.float64()))],
-                    ["size", "left", "k", "g"])
+                if points is None:
+                    per_row = x.sum(axis=1, keepdims=True)              # no feature is negative
+                else:
+                    per_row = 1 / (1 + np.exp(-(x @ points[key]))) - label[:, None]
+                per_row[fold == key[1]] = 0.0
+                total[key] = total.get(key, 0.0) + x.T @ per_row
+        for key, out in total.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key[0]] * len(out), pa.int32()), pa.array([key[1]] * len(out), pa.int32()),
+                 pa.array(range(len(out)), pa.int32()), pa.array(out.tolist(), pa.list_(pa.float64()))],
+                ["size", "left", "k", "g"])
     return run
 
 
+def _total(rows: DataFrame, points: dict | None, idfs: dict, settings: list[Setting], like: dict) -> dict:
+    """The sums of :func:`_sums` over all rows, features x models numbers."""
+    sums = rows.mapInArrow(_sums(points, idfs, settings), "size int, left int, k int, g array<double>").select(
+        "size", "left", "k", F.posexplode("g").alias("m", "v")).groupBy("size", "left", "k", "m").agg(F.sum("v").alias("v"))
+    out = {key: np.zeros_like(x) for key, x in like.items()}
+    for size, left, k, m, v in sums.collect():
+        out[size, left][k, m] = v
+    return out
+
+
 def fit_all(rows: DataFrame, settings: list[Setting], steps: int = STEPS) -> list[Linear]:
     """All models of ``settings`` on (label, fold, h, minor_feature, length_feature), together."""
     cached = rows.select("label", "fold", "h", "minor_feature", "length_feature").persist()
@@ -156,21 +171,22 @@ def fit_all(rows: DataFrame, settings: list[Setting], steps: int = STEPS) -> lis
         before = now
         l1, l2 = ({key: np.array([s.reg_param * (s.elastic_net if first else 1 - s.elastic_net) for s in (
             settings[i] for i in own[key])]) for key in keys} for first in (True, False))
+        flat = {key: np.zeros((len(x), 1)) for key, x in now.items()}
+        bound = _total(cached, None, idfs, settings, flat)
+        free, width = {}, {}
+        for key in keys:
+            free[key] = np.ones_like(flat[key])
+            free[key][-1] = 0.0                                                    # the constant is not held down
+            d = 0.25 * bound[key] / max(1, n[key]) + l2[key] * free[key]
+            width[key] = np.divide(1.0, d, out=np.zeros_like(d), where=d > 0)
         for t in range(steps):
             points = {key: now[key] + t / (t + 3) * (now[key] - before[key]) for key in keys}
-            sums = cached.mapInArrow(_sums(points, idfs, settings), "size int, left int, k int, g array<double>").select(
-                "size", "left", "k", F.posexplode("g").alias("m", "v")).groupBy("size", "left", "k", "m").agg(
-                F.sum("v").alias("v")).collect()                                   # features x models numbers
-            gradient = {key: np.zeros_like(now[key]) for key in keys}
-            for size, left, k, m, v in sums:
-                gradient[size, left][k, m] = v
+            gradient = _total(cached, points, idfs, settings, now)
             before, after = now, {}
             for key in keys:
-                y, g = points[key], gradient[key] / max(1, n[key])
-                free = np.ones((len(y), 1))
-                free[-1] = 0.0                                                     # the constant is not held down
-                z = y - STEP * (g + l2[key] * y * free)
-                after[key] = np.sign(z) * np.maximum(np.abs(z) - STEP * l1[key] * free, 0.0)
+                y, held = points[key], free[key] * width[key]
+                z = y - width[key] * gradient[key] / max(1, n[key]) - held * l2[key] * y
+                after[key] = np.sign(z) * np.maximum(np.abs(z) - held * l1[key], 0.0)
             now = after
         return [Linear(s, idfs[s.num_features, s.fold],
                        now[s.num_features, s.fold][:, own[s.num_features, s.fold].index(i)]) for i, s in enumerate(settings)]
@@ -309,6 +325,9 @@ def fit_sql(settings: list[Setting], steps: int = STEPS) -> list[tuple[str, str]
                  "union all select size, lft, id, size, minor::INT::DOUBLE from train, sizes "
                  f"union all select size, lft, id, size + 1, least(ln(1 + comment_length) / {LENGTH_SCALE}, 1.0) from train, sizes "
                  "union all select size, lft, id, size + 2, 1.0 from train, sizes"),
+        ("curve", "select f.size, f.lft, f.b, 0.25 * sum(f.x * l.s) / max(o.n) as d from feat f join (select size, lft, id, sum(x) as s "
+                  "from feat group by all) l using (size, lft, id) join train t using (id) join folds o on o.size = f.size "
+                  "and o.lft = f.lft where t.fold <> f.lft group by all"),
         ("w0", f"select size, lft, m, unnest(range(size + {MORE})) as b, 0.0::DOUBLE as w, 0.0::DOUBLE as prev from hyper"),
     ]
     for t in range(steps):
@@ -320,12 +339,15 @@ def fit_sql(settings: list[Setting], steps: int = STEPS) -> list[tuple[str, str]
             (f"g{t}", "select f.size, f.lft, r.m, f.b, sum(f.x * r.r) as g from feat f "
                       f"join r{t} r on r.size = f.size and r.lft = f.lft and r.id = f.id group by all"),
             (f"w{t + 1}", f"""
-select size, lft, m, b, sign(z) * greatest(abs(z) - {STEP} * reg * en * free, 0.0) as w, w as prev from (
-  select y.size, y.lft, y.m, y.b, y.w, reg, en, free, y.y - {STEP} * (coalesce(g.g, 0) / n + reg * (1 - en) * y.y * free) as z
-  from (select *, case when b = size + 2 then 0 else 1 end as free from y{t}) y
-  join hyper h on h.size = y.size and h.lft = y.lft and h.m = y.m
-  join folds f on f.size = y.size and f.lft = y.lft
-  left join g{t} g on g.size = y.size and g.lft = y.lft and g.m = y.m and g.b = y.b)"""),
+select size, lft, m, b, sign(z) * greatest(abs(z) - reg * en * free * step, 0.0) as w, w as prev from (
+  select *, y - step * (g / n + reg * (1 - en) * y * free) as z from (
+    select y.size, y.lft, y.m, y.b, y.w, y.y, reg, en, free, n, coalesce(g.g, 0) as g,
+           case when coalesce(d, 0) + reg * (1 - en) * free > 0 then 1 / (coalesce(d, 0) + reg * (1 - en) * free) else 0 end as step
+    from (select *, case when b = size + 2 then 0 else 1 end as free from y{t}) y
+    join hyper h on h.size = y.size and h.lft = y.lft and h.m = y.m
+    join folds f on f.size = y.size and f.lft = y.lft
+    left join curve c on c.size = y.size and c.lft = y.lft and c.b = y.b
+    left join g{t} g on g.size = y.size and g.lft = y.lft and g.m = y.m and g.b = y.b))"""),
         ]
     return ctes
 
