@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgefilter.llm.bpe import TABLE_ENTRIES, Codec, default_path
+from edgefilter.llm.bpe import Codec, default_path
 from edgefilter.llm.common import blocks, register, table
 from edgefilter.session import materialize
 
@@ -54,6 +54,8 @@ _ID = np.dtype("<u4")
 
 
 # -- ids ------------------------------------------------------------------
+#: Words that a task's table holds, some 200 bytes each; a full table is emptied.
+TABLE_ENTRIES = 800_000
 _WHITE = b" \t\n\r\x0b\x0c"
 #: Bytes of a word up to which words are merged many at a time.
 _SHORT = 24
