@@ -13,20 +13,24 @@ the page; a heading goes with what follows it; between a text and another
 label at the same distance a block that stands in an article is text. On a page
 whose articles hold a third of the accepted text or more, and no less than any
 other part, what stands outside of them is not text. An article is the tag
-article or main, the role main, or an element whose class or id is "main".
+article or main, the role main, or an element whose class or id is "main". On a page
+without any text block, or article, the open blocks are the text.
 
 Defined cases: null or empty html gives an empty text; white space (as Unicode
 has it, no-break space included) inside a block is one space; a line break is
 white space; unclosed tags end with their container, a head with the first tag
 or text that may not stand in it; an unclosed comment,
 script or style takes the rest of the page; equal rows each come out, null ids
-and urls are kept.
+and urls are kept; other columns are ignored, so their names can't clash; an empty table gives no rows. A "<" that starts a tag
+without an end is text; pages of any length and of broken tags are read in time linear in their length, one page
+at a time.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -82,8 +86,12 @@ DENSE_SCRIPT = 3
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|title)\b.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)",
+    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9-]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL)
+#: The start of a tag, and what ends or quotes in it.
+TAG_START = re.compile("</?[a-z]", re.IGNORECASE)
+RAW_START = re.compile(r"<(?:script|style|noscript|template|iframe|svg|textarea|title)\b", re.IGNORECASE)
+SPECIAL = re.compile("[>\"']")
 NAMES = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[^\W\d_]+")
 NO_SPACES = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
@@ -125,6 +133,27 @@ def mark_of(name: str) -> bool:
                             and parts[1] in PART_WORDS)
 
 
+class _Ends:
+    """Where tags end: for each place of a page whether a tag that is open there has an end (worked out from the right)."""
+
+    def __init__(self, html: str):
+        self.at = [m.start() for m in SPECIAL.finditer(html)]
+        closed, following = [False] * len(self.at), {}
+        for k in range(len(self.at) - 1, -1, -1):
+            c = html[self.at[k]]
+            if c == ">":
+                closed[k] = True
+            else:
+                q = following.get(c)                     # the quote that ends this one
+                closed[k] = q is not None and q + 1 < len(closed) and closed[q + 1]
+                following[c] = k
+        self.closed = closed
+
+    def __call__(self, place: int) -> bool:
+        k = bisect_left(self.at, place)
+        return k < len(self.closed) and self.closed[k]
+
+
 @dataclass
 class _Page:
     """Open elements and blocks so far."""
@@ -136,6 +165,7 @@ class _Page:
     links: int = 0
     parents: list[int] = field(default_factory=lambda: [0])
     head: bool = False
+    places: dict[str, list[int]] = field(default_factory=dict)      # where in the stack a tag's elements are
 
     def say(self, text: str) -> None:
         if self.head and not text.isspace():
@@ -193,15 +223,17 @@ class _Page:
             container = len(self.parents) - 1
         if tag == "a":
             self.links += 1
+        self.places.setdefault(tag, []).append(len(self.stack))
         self.stack.append(_Element(tag, aside, main, container, marks, around))
 
     def end_first(self, tags: tuple[str, ...]) -> None:
         """Ends the open elements among ``tags`` up to the nearest container."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag in tags:
-                self.pop_to(i)
-            elif self.stack[i].tag in SCOPES:
-                return
+        mine = [p for t in tags if (p := self.places.get(t))]
+        if mine:
+            nearest = max((p[-1] for t in SCOPES if t not in tags and (p := self.places.get(t))), default=0)
+            inside = [p[bisect_right(p, nearest)] for p in mine if p[-1] > nearest]
+            if inside:
+                self.pop_to(min(inside))
 
     def end_head(self) -> None:
         """Ends an open head, whose end tag may be left out."""
@@ -209,25 +241,33 @@ class _Page:
         self.close("head")
 
     def pop_to(self, i: int) -> None:
-        self.links -= sum(e.tag == "a" for e in self.stack[i:])
+        for e in self.stack[i:]:
+            self.places[e.tag].pop()
+            self.links -= e.tag == "a"
         del self.stack[i:]
 
     def close(self, tag: str) -> None:
         if tag in BLOCK_TAGS:
             self.flush()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                self.pop_to(i)
-                return
+        if self.places.get(tag):
+            self.pop_to(self.places[tag][-1])
 
 
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page in order."""
-    page, at = _Page(), 0
-    for m in TOKEN.finditer(html):
-        if m.start() > at:
-            page.say(html[at:m.start()])
-        at = m.end()
+    page, at, look, ends = _Page(), 0, 0, None
+    while (look := html.find("<", look)) >= 0:
+        # once a tag was found to have no end, no other of the kind is tried: each would read on to the page's end
+        m = None if ends and TAG_START.match(html, look) and not RAW_START.match(html, look) and not ends(look + 1) \
+            else TOKEN.match(html, look)
+        if m is None:
+            if ends is None and TAG_START.match(html, look):
+                ends = _Ends(html)
+            look += 1
+            continue
+        if look > at:
+            page.say(html[at:look])
+        at = look = m.end()
         tag = m["tag"]
         if tag is None:
             continue
@@ -265,9 +305,12 @@ def known_language(blocks: list[Block]) -> bool:
 def decide(b: Block, known: bool = True) -> str:
     """First pass: a block by itself; ``known`` tells whether the stop words cover the page's language."""
     n = len(b.text)
-    if b.aside or b.link_chars > LINKS_MOST * n:
+    if b.aside:
         return "other"
-    if b.text.startswith("©") or "all rights reserved" in b.text.lower()[:80] and not b.main:
+    if b.link_chars > LINKS_MOST * n:
+        # a linked sentence of an article goes with what stands around it
+        return "open" if b.main and SENTENCE_END.search(b.text) else "other"
+    if not b.main and (b.text.startswith("©") or "all rights reserved" in b.text.lower()[:80]):
         return "other"
     width = n if b.text.isascii() else n + (DENSE_SCRIPT - 1) * len(NO_SPACES.findall(b.text))
     if b.heading or width < SHORT:
@@ -349,6 +392,11 @@ def settle(blocks: list[Block]) -> None:
     if articles_are_all(blocks):
         for b in blocks:
             b.label = b.label if b.main else "other"
+    if not any(b.label == "text" or b.label == "open" and b.main for b in blocks):
+        # nothing is long enough to be told from its words: what no menu, mark or link speaks against is the text
+        for b in blocks:
+            if b.label == "open":
+                b.label = "text"
     first = [b.label for b in blocks]
 
     def sides(within: list[int]) -> tuple[dict, dict]:

@@ -115,3 +115,31 @@ def test_a_small_article_beside_the_main_text():
     # an element that is "main" as a whole is one
     for main in ("<main>", "<div role=main>", "<div id=main>", "<div class='x main'>"):
         assert X.main_text(f"<div><p>{teaser}</div>{main}<p>{body}") == body, main
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+    for page in ("<p>" + "<a " * 350_000, "<b>" * 100_000 + "</i>" * 100_000, "<a '" * 99_999 + ">", "<" + "a" * 1_000_000,
+                 "<p><table>" + "<b>" * 60_000 + "<hr>" * 60_000, '<a "x> ' * 120_001, "<!-- " * 200_000):
+        start = time.process_time()
+        X.main_text(page)
+        assert time.process_time() - start < 4, page[:20]
+
+
+def test_a_tag_without_end_is_text():
+    words = "the house of the man is in the town and it is not far from the sea, as he said to us all on that day. " * 3
+    assert X.main_text(f"<p>{words}</p><p>{words} 1 <b 2</p><p>{words}</p>").count("the house") == 9
+    assert X.main_text(f"<p>{words}</p><p>{words} <a href='x") == (words.strip() + "\n" + words.strip() + " <a href='x").replace("\n", "\n")
+
+
+def test_articles_keep_their_own_blocks():
+    words = "the house of the man is in the town and it is not far from the sea, as he said to us all on that day. " * 3
+    page = (f"<article><p>{words}</p><p>© 1999 was the year in which they came to the town.</p>"
+            f"<p><a href='x'>He said so in the book that he wrote for us.</a></p><p>{words}</p></article>")
+    assert X.main_text(page).count("\n") == 3
+
+
+def test_a_page_of_short_blocks_only():
+    page = ("<nav><a href='a'>Home</a></nav><div><p>Short one is here.</p><p>And a short two.</p></div>"
+            "<div class='sidebar'><p>Read this.</p></div><footer>© us</footer>")
+    assert X.main_text(page) == "Short one is here.\nAnd a short two."
