@@ -10,16 +10,23 @@ probability p at every radius. Vectors with at least
 
     l = p m - RECALL_Z sqrt(m p (1 - p))
 
-collisions of the m projections are verified by their distance. The radius
+collisions of the m projections are verified by their distance. The first radius
+is a little under the least distance to a sample of the segment. It
 doubles until there are k of them, then it becomes the k-th distance found, if
 that is larger than the radius: whatever is nearer has been met with the
 probability that RECALL_Z stands for (1.65: 0.95). The k best of all segments
-are the answer. Windows over half an array are counted by what lies outside.
+are the answer. A window that grows counts only what is new on either side; if
+that is more than what lies outside, it is counted by the latter. A search ends
+at the latest when every vector is verified.
 
 Defined cases: a vector that is null, zero or has null or non-finite components
 takes no part, nor does one without an id; vectors are compared with those of
 their own length; of rows with one id the smallest vector stands; with fewer
-than k candidates all are returned; ties go to the smaller id.
+than k candidates all are returned; ties go to the smaller id; distances of very
+large components (1e200) are exact as long as they are doubles; an empty table
+gives no rows; other columns are ignored, so their names can't clash. Very long
+vectors make segments of fewer rows. The queries are a fixed share of the rows,
+so the whole work grows with their product: see the README for figures.
 """
 
 from __future__ import annotations
@@ -41,8 +48,10 @@ RECALL_Z = 1.65
 #: Probability that a vector at distance R falls into a window of radius R.
 NEAR = math.erf(WIDTH / 2 / math.sqrt(2))
 SEED = 20
-#: Rows of a group: vectors of a segment and queries of a block, about.
-SEGMENT, BLOCK = 16_384, 8_192
+#: A segment's memory, vectors and arrays, about; queries of a block.
+SEGMENT_BYTES, BLOCK = 64 << 20, 8_192
+#: Vectors of a segment that a query's first radius is taken from, and its share of the least distance to them.
+SAMPLE, START = 256, 0.85
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -63,53 +72,99 @@ def projections(dim: int) -> np.ndarray:
     return np.concatenate(sets, axis=1)[:, :PROJECTIONS]
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances; of very large components by their scaled differences, so that no square overflows."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        gap = vectors - query
+        out = np.sqrt((gap ** 2).sum(axis=1))
+        big = np.flatnonzero(~np.isfinite(out))
+        if len(big):
+            halves = vectors[big] / 2 - query / 2
+            top = np.abs(halves).max(axis=1, keepdims=True)
+            out[big] = np.sqrt(((halves / top) ** 2).sum(axis=1)) * top[:, 0] * 2
+    return out
+
+
 class Segment:
     """Sorted projections of a set of vectors."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
+        n = len(ids)
+        #: Projections are of the vectors at this scale, so that they and their spread are finite.
+        self.scale = max(float(np.abs(vectors).max()), 1e-300)
         self.directions = projections(vectors.shape[1])
-        p = vectors @ self.directions
-        self.order = np.argsort(p, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(p, self.order.T, axis=0).T.copy()
-        spread = self.values[:, -1] - self.values[:, 0]
-        #: First radius: windows of about k vectors, if these lay evenly.
-        self.radius = max(float(np.median(spread)) * K / max(1, len(ids)), 1e-9)
+        p = (vectors / self.scale) @ self.directions
+        order = np.argsort(p, axis=0, kind="stable").T
+        values = np.take_along_axis(p, order.T, axis=0).T
+        self.order = order.astype(np.int32).ravel()
+        # all arrays one after the other, each above the one before: one search finds a bound in all of them
+        self.start = np.arange(len(values)) * n
+        self.low = values[:, 0]
+        gap = 4 * float((values[:, -1] - self.low).max()) + 1.0
+        self.lift = np.arange(len(values)) * gap
+        self.flat = (values - self.low[:, None] + self.lift[:, None]).ravel()
+        self.reach = gap / 4
+        self.sample = np.linspace(0, n - 1, min(n, SAMPLE)).astype(np.int64)
+
+    def _bounds(self, at: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place of the window around each projection, as places of all arrays."""
+        at = np.clip(at - self.low, -self.reach, 2 * self.reach)
+        half = min(half, 4 * self.reach)
+        lo = np.searchsorted(self.flat, np.maximum(at - half, -self.reach / 2) + self.lift, "left")
+        hi = np.searchsorted(self.flat, np.minimum(at + half, 1.5 * self.reach) + self.lift, "right")
+        n = len(self.ids)
+        lo, hi = np.clip(lo, self.start, self.start + n), np.clip(hi, self.start, self.start + n)
+        return lo, np.maximum(lo, hi)
+
+    def _count(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        return np.bincount(np.concatenate([self.order[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]),
+                           minlength=len(self.ids))
+
+    def _all(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Collisions of whole windows; of those over half of all places by what lies outside."""
+        n, m = len(self.ids), len(lo)
+        if 2 * (hi - lo).sum() <= n * m:
+            return self._count(lo, hi)
+        return m - self._count(np.append(self.start, hi), np.append(lo, self.start + n))
 
     def collisions(self, at: np.ndarray, half: float) -> np.ndarray:
         """How many windows around the projections ``at`` each vector is in."""
-        lo = [np.searchsorted(v, x - half, "left") for v, x in zip(self.values, at, strict=True)]
-        hi = [np.searchsorted(v, x + half, "right") for v, x in zip(self.values, at, strict=True)]
-        n = len(self.ids)
-        inside = sum(hi) - sum(lo)
-        if 2 * inside <= n * len(at):
-            met = [o[a:b] for o, a, b in zip(self.order, lo, hi, strict=True)]
-            return np.bincount(np.concatenate(met), minlength=n)
-        missed = [p for o, a, b in zip(self.order, lo, hi, strict=True) for p in (o[:a], o[b:])]
-        return len(at) - np.bincount(np.concatenate(missed), minlength=n)
+        return self._all(*self._bounds(at / self.scale, half / self.scale))
 
     def nearest(self, query_id: int, query: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of the k nearest found, the query's own row apart."""
-        at = query @ self.directions
+        at = (query / self.scale) @ self.directions
         others = self.ids != query_id
-        m, p = len(at), NEAR
+        n, m, p = len(self.ids), len(at), NEAR
         enough = p * m - RECALL_Z * np.sqrt(m * p * (1 - p))
         k = min(k, int(others.sum()))
-        distance = np.full(len(self.ids), np.inf)
+        distance = np.full(n, np.inf)
         verified = ~others
-        radius = self.radius
-        while k:
-            fresh = np.flatnonzero((self.collisions(at, WIDTH * radius / 2) >= enough) & ~verified)
-            distance[fresh] = np.sqrt(((self.vectors[fresh] - query) ** 2).sum(axis=1))
+        near = distances(self.vectors[self.sample], query)
+        near = near[others[self.sample] & (near > 0)]
+        # first radius: under the nearest of a sample
+        radius = START * float(near.min()) if len(near) else self.scale
+        lo = hi = np.zeros(m, np.int64)
+        counts = np.zeros(n, np.int64)
+        while k and not verified.all():
+            a, b = self._bounds(at, WIDTH * (radius / self.scale) / 2)
+            if not hi.any() or (b - a).sum() - (hi - lo).sum() > n * m - (b - a).sum():
+                counts = self._all(a, b)
+            else:                                       # windows only grow: what is new on either side
+                counts = counts + self._count(np.append(a, hi), np.append(lo, b))
+            lo, hi = a, b
+            fresh = np.flatnonzero((counts >= enough) & ~verified)
+            distance[fresh] = distances(self.vectors[fresh], query)
             verified[fresh] = True
-            if np.isfinite(distance).sum() >= k:
+            if (verified & others).sum() >= k:
                 kth = float(np.partition(distance, k - 1)[k - 1])
                 if kth <= radius:
                     break
                 radius = kth
             else:
                 radius *= 2
-        found = np.flatnonzero(np.isfinite(distance))
+        found = np.flatnonzero(verified & others)
         best = found[np.lexsort((self.ids[found], distance[found]))][:k]
         return self.ids[best], distance[best]
 
@@ -134,8 +189,8 @@ def search(vectors: DataFrame, every: int = 100, k: int = K, id_col: str = "vec_
     """(query_id, rank, vec_id, score): the nearest found of each vector whose id ``every`` divides."""
     rows = materialize(usable(vectors, id_col, vec_col), "vectors")
     asks = F.col("vec_id") % every == 0
-    n, n_queries = rows.agg(F.count("*"), F.count_if(asks)).first()
-    segments, query_blocks = max(1, -(-n // SEGMENT)), max(1, -(-n_queries // BLOCK))
+    size, n_queries = rows.agg(F.sum(8 * F.size("v") + 12 * PROJECTIONS), F.count_if(asks)).first()
+    segments, query_blocks = max(1, -(-(size or 0) // SEGMENT_BYTES)), max(1, -(-n_queries // BLOCK))
     dealt = lambda salt, parts: F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.lit(parts))
     each = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     data = rows.select("vec_id", "v", F.lit(False).alias("is_query"), dealt(1, segments).cast("int").alias("segment"),

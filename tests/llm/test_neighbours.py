@@ -15,7 +15,7 @@ def brute(ids, x, k=10, every=100):
 
 
 def test_recall_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(N, "SEGMENT", 700)
+    monkeypatch.setattr(N, "SEGMENT_BYTES", 700 * (8 * 64 + 12 * N.PROJECTIONS))
     monkeypatch.setattr(N, "BLOCK", 8)
     vectors = table(spark, "/root/testdata/sf0.1", "embeddings")
     rows = vectors.collect()
@@ -53,3 +53,33 @@ def test_collisions_are_counted_alike_from_both_sides():
     p = s.vectors @ s.directions
     for half in (0.1, 1.0, 3.0, 9.0):
         assert (s.collisions(q, half) == (np.abs(p - q) <= half).sum(1)).all()
+
+
+def test_very_large_components_end():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((40, 4)) * 1e200
+    x[:20] = rng.standard_normal((20, 4))
+    x[5] = 5e307
+    s = N.Segment(np.arange(40), x)
+    for q in (0, 5, 30):
+        ids, far = s.nearest(q, x[q], 39)
+        assert len(ids) == 39 and np.all(np.diff(far) >= 0)
+    ids, far = s.nearest(30, x[30], 3)
+    want = sorted((float(np.sqrt((((x[i] - x[30]) / 1e200) ** 2).sum())), i) for i in range(40) if i not in (5, 30))[:3]
+    assert ids.tolist() == [i for _, i in want] and np.allclose(far / 1e200, [d for d, _ in want])
+
+
+def test_recall_on_clusters_noise_and_copies():
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((30, 32)) * 3
+    sets = {"noise": rng.standard_normal((3000, 32)), "clusters": centres[rng.integers(0, 30, 3000)] + rng.standard_normal((3000, 32)),
+            "copies": np.concatenate([np.tile(rng.standard_normal((1, 32)), (800, 1)), rng.standard_normal((2200, 32))])}
+    for kind, x in sets.items():
+        s, hits = N.Segment(np.arange(3000), x), 0
+        for q in range(0, 3000, 100):
+            ids, _ = s.nearest(q, x[q])
+            d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+            d[q] = np.inf
+            kth = np.sort(d)[9]
+            hits += (d[ids] <= kth).sum()
+        assert hits / 300 >= 0.95, kind
