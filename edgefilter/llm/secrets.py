@@ -5,8 +5,9 @@ Only DataFrame functions and Spark ML run on the main path.
 1. Candidates are runs of 16 or more key-like characters with a digit among
    them, values of 8 or more that are assigned to a credential's name, in quotes
    or not, and private keys from BEGIN to END (the header alone if there is no
-   end). The name before "=" is no part of a candidate. A text is cut at its candidates, so each has the words
-   before and after it at hand.
+   end), all of any length. A key's first and last line are paired by their
+   places. The name before "=" is no part of a candidate. A text is cut at its
+   candidates, so each has the words before and after it at hand.
 2. Features of a candidate: length; character transitions (changes of class,
    distinct characters, entropy, hex only, shares of digits and capitals);
    dictionary coverage (share of its letters that are among the corpus's most
@@ -21,7 +22,9 @@ Only DataFrame functions and Spark ML run on the main path.
    The rest stay unlabelled and get the forest's vote. What scores under one
    half is dropped as a false positive.
 
-Defined cases: null or empty texts have no finding; a candidate that stands
+Defined cases: very long texts and findings are searched and replaced whole; columns
+of the input that clash with those of the result don't matter to ``scan`` (it
+carries the id only) and stay in ``redact``; an empty table has no finding; null or empty texts have no finding; a candidate that stands
 several times in a text is one finding with its best score and a count; equal
 rows (same id and text) are one; null ids are kept as null; without both labels
 to learn from, the rules' label is the score (0.5 where they have none).
@@ -41,23 +44,24 @@ from edgefilter.session import materialize
 #: Names that credentials go by, and names of what is not one.
 CREDENTIAL = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|bearer|credentials?|private)"
 HARMLESS = r"(?i)\b(?:commit|sha-?\d*|md5|hash|checksum|digest|uuid|guid|example|sample|dummy|phone|card|isbn|http|www)\b"
-ASSIGNED = CREDENTIAL + r"\w{0,20}[\"']?\s{0,3}[:=]\s{0,3}[\"']?$"
+ASSIGNED = CREDENTIAL + r"\w*[\"']?\s*[:=]\s*[\"']?$"
 # Stricter, for values without quotes: the name ends there, or goes on after _ or - or with a capital ("author" is none).
-_NAME = (r"(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key)"
-         r"(?:[_-]\w{0,20}|[A-Z]\w{0,20})?")
-_SIGN = r"[\"']?\s{0,3}[:=]\s{0,3}"
+_WORDS = r"(?i:token|secret|passw(?:or)?d|passwd|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key)"
+_NAME, _SIGN = _WORDS + r"(?:[_-]\w*|[A-Z]\w*)?", r"[\"']?\s*[:=]\s*"
 ASSIGNED_PLAIN = _NAME + _SIGN + "$"
-_KEY = r"[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+# What stands before a value can be looked at over a bounded stretch only; this is the layout of an assignment (how
+# long its name goes on, how much space is in it), not of what is assigned.
+_BEHIND = _WORDS + r"(?:[_-]\w{0,80}|[A-Z]\w{0,80})?[\"']?\s{0,8}[:=]\s{0,8}"
+#: First and last line of a private key. What lies between is found by their places, however long it is.
+MARK = r"-----(?:BEGIN|END) [A-Z0-9 ]*?PRIVATE KEY(?: BLOCK)?-----"
 PATTERN = (
-    # a key block, to its end if that is there
-    rf"-----BEGIN {_KEY}(?:[^-]{{0,20000}}+(?:-[^-]{{1,20000}}+){{0,12}}-----END {_KEY})?"
     # a value assigned in quotes, and one without (a digit in it, or no space before it; no variable, no comparison)
-    rf"|(?<=[\"'])(?<={_NAME}{_SIGN}[\"'])[^\s\"']{{8,}}"
-    rf"|(?<=[:=\s])(?<=[:=]\s{{0,3}})(?![=:>~]|\$[{{(A-Za-z_]|\{{\{{)(?:(?<=[:=])|(?=[^\s\"'&<>]{{0,200}}[0-9]))"
-    rf"(?<={_NAME}{_SIGN})[^\s\"'&<>]{{7,}}[^\s\"'&<>,;.)\]}}]"
-    # a run; "=" only ends it, and a credential's name that is assigned to is none
-    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]{0,200}[0-9])"
-    rf"(?![A-Za-z0-9_.-]{{0,60}}{_NAME}{_SIGN}[^\s=])"
+    rf"(?<=[\"'])(?<={_BEHIND}[\"'])[^\s\"']{{8,}}"
+    rf"|(?<=[:=\s])(?<=[:=]\s{{0,8}})(?![=:>~]|\$[{{(A-Za-z_]|\{{\{{)(?:(?<=[:=])|(?=[^\s\"'&<>0-9]*+[0-9]))"
+    rf"(?<={_BEHIND})[^\s\"'&<>]{{7,}}[^\s\"'&<>,;.)\]}}]"
+    # a run with a digit; "=" only ends it, and a credential's name that is assigned to is none
+    r"|(?<![A-Za-z0-9_+/.-])(?=[A-Za-z_+/.-]*+[0-9])"
+    rf"(?![A-Za-z0-9_.-]*?{_NAME}{_SIGN}[^\s=])"
     r"[A-Za-z0-9_+/.-]{16,}(?:={1,2}(?![A-Za-z0-9_+/.=\"'-]))?")
 #: Frequent words kept as the dictionary, a bound that the corpus doesn't change; their length in letters.
 DICTIONARY_WORDS, DICTIONARY_LETTERS = 2000, (4, 12)
@@ -83,15 +87,32 @@ def dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(rid, doc_id, candidate, before, after): every candidate with the text around it."""
     text = F.col(text_col)
-    found = docs.where(text.rlike(PATTERN)).select(
-        F.xxhash64(F.col(id_col), text).alias("rid"), F.col(id_col).alias("doc_id"),
-        F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("found"), F.split(text, PATTERN, -1).alias("rest"))
+    marked = text.contains("PRIVATE KEY-----") | text.contains("PRIVATE KEY BLOCK-----")
+    cut = docs.where(marked | text.rlike(PATTERN)).select(
+        F.xxhash64(F.col(id_col), text).alias("rid"), F.col(id_col).alias("doc_id"), text.alias("whole"),
+        F.when(marked, F.regexp_extract_all(text, F.lit(MARK), F.lit(0))).alias("marks"),
+        F.when(marked, F.split(text, MARK, -1)).alias("gaps"))
+    begins = lambda i: F.get("marks", i).startswith("-----BEGIN")
+    ended = lambda i: F.coalesce(F.get("marks", i + 1).startswith("-----END"), F.lit(False))
+    inside = lambda i: (i > 0) & F.coalesce(begins(i - 1), F.lit(False)) & ended(i - 1)
+    # the text without what is inside its keys, and the keys: a first line up to the last line that comes next, or alone
+    open_text = F.coalesce(F.array_join(F.transform("gaps", lambda g, i: F.concat(
+        F.when(inside(i), F.lit("")).otherwise(g), F.coalesce(F.get("marks", i), F.lit("")))), ""), F.col("whole"))
     tail = lambda x: F.when(F.length(x) > 60, F.substring(x, -60, 60)).otherwise(x)
-    around = F.transform("rest", lambda x: F.named_struct(
-        F.lit("tail"), tail(x), F.lit("head"), F.substring(x, 1, 20)))
-    each = found.select("rid", "doc_id", around.alias("around"), F.posexplode("found").alias("k", "candidate"))
-    return each.select("rid", "doc_id", "candidate", F.col("around")[F.col("k")]["tail"].alias("before"),
-                       F.col("around")[F.col("k") + 1]["head"].alias("after"))
+    head = lambda x: F.substring(x, 1, 20)
+    entry = lambda c, before, after: F.named_struct(
+        F.lit("candidate"), c, F.lit("before"), before, F.lit("after"), after)
+    firsts = F.filter(F.sequence(F.lit(0), F.size("marks") - 1), begins)
+    keys = F.when(F.size("marks") > 0, F.transform(firsts, lambda i: entry(
+        F.when(ended(i), F.concat(F.get("marks", i), F.get("gaps", i + 1), F.get("marks", i + 1))).otherwise(F.get("marks", i)),
+        tail(F.get("gaps", i)), head(F.get("gaps", F.when(ended(i), i + 2).otherwise(i + 1))))))
+    found = cut.select("rid", "doc_id", keys.alias("keys"), open_text.alias("open")).select(
+        "rid", "doc_id", "keys", F.regexp_extract_all("open", F.lit(PATTERN), F.lit(0)).alias("found"),
+        F.transform(F.split("open", PATTERN, -1), lambda x: F.named_struct(
+            F.lit("tail"), tail(x), F.lit("head"), head(x))).alias("around"))
+    others = F.transform("found", lambda c, k: entry(c, F.get("around", k)["tail"], F.get("around", k + 1)["head"]))
+    every = F.when(F.col("keys").isNull(), others).otherwise(F.concat("keys", others))
+    return found.select("rid", "doc_id", F.explode(every).alias("x")).select("rid", "doc_id", "x.*")
 
 
 def with_features(found: DataFrame, words: list[str]) -> DataFrame:
@@ -99,7 +120,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     c, before, after = F.col("candidate"), F.col("before"), F.col("after")
     n = F.length(c)
     chars = F.split(c, "")
-    counts = F.transform(F.array_distinct(chars), lambda d: F.size(F.filter(chars, lambda x: x == d)))
+    counts = F.transform(F.array_distinct(chars), lambda d: n - F.length(F.replace(c, d, F.lit(""))))
     entropy = -F.aggregate(counts, F.lit(0.0), lambda acc, k: acc + (k / n) * F.log2(k / n))
     own_words = F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: w.isin(words) if words else F.lit(False))
     covered = F.aggregate(own_words, F.lit(0), lambda acc, w: acc + F.length(w)) / n
