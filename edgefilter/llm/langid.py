@@ -14,7 +14,9 @@ resolved along the escapes, so a byte costs one or two look-ups for all of them.
 Defined cases: null text or text without a letter is ``und`` with score 0; so
 is every text if there is nothing to learn from. Null ids are predicted but not
 learned from, and count as not held out. Equal code lengths: the smaller name.
-Repeated rows each come out, other columns are kept by ``predict``.
+Repeated rows each come out, other columns are kept by ``predict``, also those
+named as its results. Very long texts are scored in parts of SCORE_BYTES, whose
+contexts reach into the part before. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ ORDER = 4
 SAMPLE_PER_LANGUAGE = 1000
 #: Bound of the model: contexts-with-byte kept for each language and order, the most frequent.
 NODES_PER_ORDER = 150_000
+#: Bytes that are scored at once.
+SCORE_BYTES = 1 << 18
+#: Bytes that are counted at once.
+COUNT_BYTES = 1 << 20
 UNKNOWN = "und"
 
 
@@ -49,11 +55,6 @@ def _gram_keys(data: np.ndarray, order: int) -> list[np.ndarray]:
     return keys
 
 
-def _depth(ends: np.ndarray) -> np.ndarray:
-    """Bytes of the same text before each place."""
-    return np.arange(ends[-1]) - np.repeat(ends[:-1], np.diff(ends))
-
-
 class _Lookup:
     """Open-addressing table from packed n-grams to rows of a matrix."""
 
@@ -101,9 +102,27 @@ class Model:
 
     def score(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Code lengths in nats (texts x languages) of texts that lie end to end."""
+        order = len(self.grams) - 1
+        out = np.zeros((len(ends) - 1, len(self.languages)))
+        # a part at a time, with the bytes before it that its contexts reach into
+        for start in range(0, len(data), SCORE_BYTES):
+            stop = min(len(data), start + SCORE_BYTES)
+            before = min(order, start)
+            lengths = self._code(data[start - before:stop], ends, start - before)[before:]
+            first = int(np.searchsorted(ends, start, "right")) - 1
+            last = int(np.searchsorted(ends, stop, "left"))
+            begins = np.maximum(ends[first:last], start) - start
+            full = np.flatnonzero(np.diff(np.append(begins, stop - start)))
+            out[first + full] += np.add.reduceat(lengths, begins[full], axis=0, dtype=np.float64)
+        return -out
+
+    def _code(self, data: np.ndarray, ends: np.ndarray, offset: int) -> np.ndarray:
+        """Log probabilities (bytes x languages) of a part of the texts that begins at ``offset``."""
         total = np.zeros((len(data), len(self.languages)), np.float32)
         order = len(self.grams) - 1
-        keys, depth = _gram_keys(data, order), _depth(ends)
+        place = np.arange(offset, offset + len(data))
+        depth = place - ends[np.searchsorted(ends, place, "right") - 1]
+        keys = _gram_keys(data, order)
         todo = np.arange(len(data))
         for o in range(order, -1, -1):
             deep = depth[todo] >= o
@@ -117,11 +136,7 @@ class Model:
             total[missed[known]] += self.escapes[o].values[ctx[known]]
             todo = np.concatenate([todo[~deep], missed])
         total[todo] += np.float32(-np.log(256))
-        out = np.zeros((len(ends) - 1, len(self.languages)))
-        full = np.flatnonzero(np.diff(ends))
-        if len(full):
-            out[full] = np.add.reduceat(total, ends[:-1][full], axis=0, dtype=np.float64)
-        return -out
+        return total
 
 
 def build(counts: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]], languages: list[str], order: int) -> Model:
@@ -187,16 +202,20 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
         for batch in batches:
             names = np.array(batch.column("lang").to_pylist(), dtype=object)
             for start, stop in blocks(batch, "text"):
-                data, ends = raw_bytes(batch.column("text").slice(start, stop - start))
-                keys, depth = _gram_keys(data, order), _depth(ends)
-                owner = np.repeat(names[start:stop], np.diff(ends))
-                for lang in sorted(set(names[start:stop])):
-                    mine = owner == lang
-                    for o in range(order + 1):
-                        k, n = np.unique(keys[o][mine & (depth >= o)], return_counts=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(k), pa.string()), pa.array(np.full(len(k), o), pa.int32()),
-                             pa.array(k.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "o", "k", "n"])
+                whole, bounds = raw_bytes(batch.column("text").slice(start, stop - start))
+                for a in range(0, len(whole), COUNT_BYTES):
+                    b, before = min(len(whole), a + COUNT_BYTES), min(order, a)
+                    place = np.arange(a - before, b)
+                    row = np.searchsorted(bounds, place, "right") - 1
+                    depth, owner = place - bounds[row], names[start:stop][row]
+                    keys = _gram_keys(whole[a - before:b], order)
+                    for lang in sorted(set(owner[before:])):
+                        mine = (owner == lang) & (place >= a)
+                        for o in range(order + 1):
+                            k, n = np.unique(keys[o][mine & (depth >= o)], return_counts=True)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([lang] * len(k), pa.string()), pa.array(np.full(len(k), o), pa.int32()),
+                                 pa.array(k.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "o", "k", "n"])
 
     spread = rows.repartition("lang", F.pmod(F.xxhash64("text"), F.lit(16)))
     grams = spread.mapInArrow(count, "lang string, o int, k long, n long").groupBy("lang", "o", "k").agg(
@@ -219,10 +238,16 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score"),
             keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with the predicted language and its posterior under equal priors."""
+    """``docs`` (or its columns ``keep``) with the predicted language and its posterior under equal priors.
+
+    The names of the two give way to columns of that name.
+    """
     keep = docs.columns if keep is None else keep
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(names[0], T.StringType()),
-                           T.StructField(names[1], T.DoubleType())])
+    kept = docs.select(*keep)
+    first = fresh(kept, names[0])
+    second = fresh(kept.withColumn(first, F.lit(0)), names[1])
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(first, T.StringType()),
+                           T.StructField(second, T.DoubleType())])
     text = fresh(docs, "lowered")
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(*keep, F.when(letters, F.lower(text_col).cast("binary")).alias(text))

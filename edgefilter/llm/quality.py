@@ -203,11 +203,14 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", i
 
 def score(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", names: tuple[str, str] = ("score", "predicted"),
           keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with the score and its 0/1 decision."""
+    """``docs`` (or its columns ``keep``) with the score and its 0/1 decision; their names give way to columns of that name."""
     keep = docs.columns if keep is None else keep
     stats, cols = with_statistics(docs, keep, text_col)
-    return stats.select(*keep, model.column(cols).alias(names[0])).withColumn(
-        names[1], (F.col(names[0]) >= threshold).cast("int"))
+    kept = docs.select(*keep)
+    first = fresh(kept, names[0])
+    second = fresh(kept.withColumn(first, F.lit(0)), names[1])
+    return stats.select(*keep, model.column(cols).alias(first)).withColumn(
+        second, (F.col(first) >= threshold).cast("int"))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:

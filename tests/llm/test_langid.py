@@ -42,6 +42,30 @@ def test_code_lengths_equal_brute_force(spark):
             assert abs(got[j] - want) < 1e-3 * max(1, want), (text, lang)
 
 
+def test_parts_of_long_texts_add_up(spark, monkeypatch):
+    import numpy as np
+    rows = [(i, t, "en" if i % 2 else "de") for i, t in enumerate(["the cat sat on the mat " * 9, "der hund und die katze " * 7] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = [b"the hat of the man " * 5, b"", b"und", "für die katze".encode() * 9, b""]
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    whole = langid.fit(docs)
+    want = whole.score(data, ends)
+    monkeypatch.setattr(langid, "COUNT_BYTES", 11)
+    parts = langid.fit(docs)
+    assert all(np.array_equal(a.keys, b.keys) and np.array_equal(a.values, b.values) for a, b in zip(whole.grams, parts.grams))
+    for size in (1, 3, 7, 50):
+        monkeypatch.setattr(langid, "SCORE_BYTES", size)
+        assert np.allclose(parts.score(data, ends), want, rtol=1e-6)
+
+
+def test_clashing_columns_stay(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    odd = spark.createDataFrame([(1, "the and of", "x", 2.0)], "doc_id long, text string, lang_pred string, SCORE double")
+    got = langid.predict(odd, langid.fit_on_known(docs))
+    assert got.columns == ["doc_id", "text", "lang_pred", "SCORE", "lang_pred_", "score_"]
+    assert tuple(got.first())[:5] == (1, "the and of", "x", 2.0, "en")
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs = table(spark, sf, "documents").select("doc_id", "lang")

@@ -60,3 +60,10 @@ def test_edge_rows(spark):
     one = Q.fit(odd)                # a single class: a constant score
     assert one.rules == [] and all(r.score < 1 for r in Q.score(odd, one).collect())
     assert Q.fit(odd.where("false")).intercept == 0.0
+
+
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "the house of the man", "s", 7)], "doc_id long, text string, score string, Predicted int")
+    got = Q.score(docs, Q.RuleEnsemble(0.5, [], []))
+    assert got.columns == ["doc_id", "text", "score", "Predicted", "score_", "predicted_"]
+    assert got.first().predicted_ == 1 and got.first().score == "s"
