@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from edgefilter.functions.hashing import hash_bucket, hash_bucket_sql
 from edgefilter.operators import evaluate as EV
 from edgefilter.operators.bloom import BloomFilter, BloomSpec, members_sql, positions_sql, spec_sql
+from edgefilter.operators.bloom_series import BloomSeries
 from edgefilter.operators.clean import clean_edits
 from edgefilter.operators.scoring import rule_prediction, rule_prediction_sql, split_column, split_sql
 from edgefilter.plans.registry import register
 from edgefilter.session import materialize, scratch_path
-from edgefilter.sources.tables import edits, with_ctes
+from edgefilter.sources.tables import edits, table, with_ctes
 
 P_BLACKLIST = 0.1
 
@@ -161,3 +163,53 @@ def q_bloom_rebuild(spark, sf_dir):
     found = rebuilt.members(keys, "user").count()
     return rebuilt.stats().withColumns({"keys_found": F.lit(found).cast("bigint"),
                                         "keys_total": F.lit(total).cast("bigint")})
+
+
+# -- growing series ---------------------------------------------------------------------
+# Users arrive in batches, each about twice the one before; every batch outgrows the last slice.
+_BATCHES = ((0, 1), (1, 3), (3, 7), (7, 15))
+_SERIES_FIRST = 1
+
+
+def _series_sql() -> list[tuple[str, str]]:
+    ctes = []
+    for i, (low, high) in enumerate(_BATCHES):
+        batch = f"(select distinct {_U} from clean where {_U} is not null and {hash_bucket_sql(_U, 15)} between {low} and {high - 1})"
+        seen = " union ".join(f"({members_sql(f'batch{i}', _U, f'bits{j}', f'spec{j}')})" for j in range(i))
+        p = P_BLACKLIST / 2 ** (i + 1)
+        ctes += [
+            (f"batch{i}", f"select * from {batch}"),
+            (f"new{i}", f"select {_U} from batch{i}" + (f" where {_U} not in (select {_U} from ({seen}))" if seen else "")),
+            (f"cap{i}", f"select greatest((select count(*) from new{i}), {f'(select 2 * n from cap{i - 1})' if i else _SERIES_FIRST}) as n"),
+            (f"spec{i}", f"select n, m, cast(ceil(m / n * ln(2)) as bigint) as kk from (select n, "
+                         f"cast(ceil(-(n * ln({p!r})) / (ln(2) * ln(2))) as bigint) as m from cap{i})"),
+            (f"bits{i}", f"select distinct pos from ({positions_sql(f'new{i}', _U, f'spec{i}')})"),
+        ]
+    return ctes
+
+
+def user_series(spark, sf_dir) -> BloomSeries:
+    users = clean_edits(edits(spark, sf_dir)).select("user").where(F.col("user").isNotNull())
+    series = BloomSeries(_SERIES_FIRST, P_BLACKLIST)
+    for low, high in _BATCHES:
+        series = series.add(users.where(hash_bucket(F.col("user"), 15).between(low, high - 1)), "user")
+    return series
+
+
+@register("bloom_series", with_ctes(" union all ".join(
+    f"select {i}::INT as slice, n as expected_items, {P_BLACKLIST / 2 ** (i + 1)!r}::DOUBLE as false_positive_rate, m as size, "
+    f"kk as hash_count, (select count(*) from bits{i}) as bits_set, (select count(*) from new{i}) as n_keys from spec{i}"
+    for i in range(len(_BATCHES))), extra=_series_sql(), materialized=True))
+def q_bloom_series(spark, sf_dir):
+    """Slices of a filter that users are added to in four growing batches."""
+    return user_series(spark, sf_dir).stats(spark)
+
+
+@register("bloom_series_probe", with_ctes("select distinct key from (" + " union ".join(
+    f"({members_sql('probes', 'key', f'bits{i}', f'spec{i}')})" for i in range(len(_BATCHES))) + ")", extra=[
+        *_series_sql(), ("probes", f"select {_U} as key from clean union select c_name from customer")], materialized=True))
+def q_bloom_series_probe(spark, sf_dir):
+    """All users, and the customer names that the series takes for users."""
+    users = clean_edits(edits(spark, sf_dir)).select(F.col("user").alias("key"))
+    probes = users.union(table(spark, sf_dir, "customer").select("c_name"))
+    return user_series(spark, sf_dir).members(probes, "key")
