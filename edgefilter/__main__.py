@@ -84,7 +84,7 @@ def cmd_stream_filter(args) -> int:
     writer = (J.edit_stream(lines).writeStream.foreachBatch(process)
               .option("checkpointLocation", args.checkpoint))
     if args.once:
-        J._finish(writer.trigger(availableNow=True).start(), args.timeout)
+        J.finish(writer.trigger(availableNow=True).start(), args.timeout)
     else:
         writer.start().awaitTermination()
     state.reports().orderBy("epoch").show(truncate=False)

@@ -6,7 +6,16 @@ from pyspark.sql import functions as F
 
 from edgefilter.functions.hashing import hash_bucket, hash_bucket_sql
 from edgefilter.operators import evaluate as EV
-from edgefilter.operators.bloom import BloomFilter, BloomSpec, members_sql, positions_sql, spec_sql
+from edgefilter.operators.bloom import (
+    BloomFilter,
+    BloomSpec,
+    joined_sketches,
+    key_sketch,
+    members_sql,
+    positions_sql,
+    sketched_spec,
+    spec_sql,
+)
 from edgefilter.operators.bloom_series import BloomSeries
 from edgefilter.operators.clean import clean_edits
 from edgefilter.operators.scoring import rule_prediction, rule_prediction_sql, split_column, split_sql
@@ -213,3 +222,17 @@ def q_bloom_series_probe(spark, sf_dir):
     users = clean_edits(edits(spark, sf_dir)).select(F.col("user").alias("key"))
     probes = users.union(table(spark, sf_dir, "customer").select("c_name"))
     return user_series(spark, sf_dir).members(probes, "key")
+
+
+@register("bloom_sketch_sizing", with_ctes(f"""
+select count(distinct {_U}) as n_users, true as within_2_percent, true as merged_alike from clean"""))
+def q_bloom_sketch_sizing(spark, sf_dir):
+    """The exact number of users beside a sketch's estimate: of all at once, and of a sketch for each wiki, merged."""
+    rows = clean_edits(edits(spark, sf_dir)).select("user", "wiki")
+    parts = rows.where(F.col("user").isNotNull()).groupBy("wiki").agg(
+        F.hll_sketch_agg("user", F.lit(14)).alias("sketch"))
+    whole = sketched_spec(key_sketch(rows, "user"), P_BLACKLIST).n / 1.02
+    merged = sketched_spec(joined_sketches(parts), P_BLACKLIST).n / 1.02
+    exact = F.count_distinct("user")
+    close = lambda n: F.abs(F.lit(n) - exact) <= 0.02 * exact + 1
+    return rows.agg(exact.alias("n_users"), close(whole).alias("within_2_percent"), close(merged).alias("merged_alike"))

@@ -144,7 +144,7 @@ _TOKENS = (f"select *, {split_sql('id')} as split, {md5_u32_sql('id', 1)} % {M.F
 _ROWS = [("rows", _TOKENS), ("train", "select * from rows where labelled and split = 'train'")]
 
 
-def _model_sql(body: str, source: str | None = None, extra: list | None = None, settings=None) -> str:
+def model_sql(body: str, source: str | None = None, extra: list | None = None, settings=None) -> str:
     fitted = _ROWS + LIN.fit_sql(settings or [LIN.Setting()])
     return with_ctes(body, extra=fitted + (LIN.score_sql(source) if source else []) + (extra or []), materialized=True)
 
@@ -152,7 +152,7 @@ def _model_sql(body: str, source: str | None = None, extra: list | None = None,
 def _metrics_sql(where: str) -> str:
     """Metrics of the scored rows of ``where``, from their confusion counts."""
     f1 = "coalesce(2 * hit / nullif(of_c + said, 0), 0)"
-    return _model_sql(f"""
+    return model_sql(f"""
 select round(sum(of_c * coalesce(hit / nullif(said, 0), 0)) / sum(of_c), 6) as weighted_precision,
        round(sum(hit) / sum(of_c), 6) as weighted_recall, round(sum(of_c * {f1}) / sum(of_c), 6) as f1,
        round(sum(hit) / sum(of_c), 6) as accuracy, sum(of_c)::BIGINT as n
@@ -168,7 +168,7 @@ def _fit_linear(spark, sf_dir):
     return LIN.fit(rows.filter(F.col("labelled") & (F.col("split") == "train"))), rows
 
 
-@register("bot_model_weights", _model_sql(f"select b::INT as feature, round(w, 6) as weight from w{LIN.STEPS}"))
+@register("bot_model_weights", model_sql(f"select b::INT as feature, round(w, 6) as weight from w{LIN.STEPS}"))
 def q_bot_model_weights(spark, sf_dir):
     """Weights of the buckets, of minor, length and the constant."""
     model, _ = _fit_linear(spark, sf_dir)
@@ -182,7 +182,7 @@ def q_train_bot_model(spark, sf_dir):
     return EV.multiclass_metrics(LIN.score(model, rows.filter(F.col("labelled") & (F.col("split") == "test")), ["label"]))
 
 
-@register("score_edits", _model_sql(f"""
+@register("score_edits", model_sql(f"""
 select r.id, r."user", r.label, round(p, 6) as p_bot, (p > {M.THRESHOLD})::INT::DOUBLE as prediction
 from rows r join scored using (id)""", "rows"))
 def q_score_edits(spark, sf_dir):
@@ -190,7 +190,7 @@ def q_score_edits(spark, sf_dir):
     return LIN.score(model, rows, ["id", "user", "label"]).withColumn("p_bot", F.round("p_bot", 6))
 
 
-@register("predicted_bots", _model_sql(f"""
+@register("predicted_bots", model_sql(f"""
 select distinct r."user" from rows r join scored using (id) where p > {M.THRESHOLD} and r."user" is not null""", "rows"))
 def q_predicted_bots(spark, sf_dir):
     """Users with an edit predicted bot."""
@@ -211,7 +211,7 @@ def q_model_roundtrip(spark, sf_dir):
         F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("fitted")).alias("n_agree"))
 
 
-@register("cv_grid", _model_sql(f"""
+@register("cv_grid", model_sql(f"""
 select num_features, reg_param, elastic_net, f1, row_number() over (order by f1 desc, num_features, reg_param, elastic_net) = 1 as best
 from (select size as num_features, reg as reg_param, en as elastic_net, round(avg(f1), 6) as f1 from (
   select size, lft, m, sum(of_c * coalesce(2 * hit / nullif(of_c + said, 0), 0)) / sum(of_c) as f1 from (

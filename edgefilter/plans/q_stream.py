@@ -7,12 +7,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from edgefilter.functions.hashing import hash_bucket_sql
+from edgefilter.operators import linear as LIN
+from edgefilter.operators import model as M
 from edgefilter.operators.scoring import rule_prediction, rule_prediction_sql
+from edgefilter.plans.q_model import model_sql, train_test
 from edgefilter.plans.registry import register
 from edgefilter.schemas import EDIT_COLUMNS
 from edgefilter.session import scratch_path
 from edgefilter.sources import files as FS
 from edgefilter.sources.tables import EDITS_SQL, edits, table, with_ctes
+from edgefilter.streaming import event_log as EL
 from edgefilter.streaming import jobs as J
 
 #: Files taken in one epoch.
@@ -36,7 +40,7 @@ def q_stream_parse(spark, sf_dir):
     out, ck = scratch_path(spark, "stream_parsed"), scratch_path(spark, "ck_parse")
     q = (J.edit_stream(J.file_source(spark, src, FILES_PER_EPOCH)).writeStream.format("parquet")
          .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
-    J._finish(q)
+    J.finish(q)
     return spark.read.parquet(out)
 
 
@@ -73,8 +77,6 @@ def q_stream_filter_score(spark, sf_dir):
     edit passed through an epoch, and that unseen and new rows stay within
     their batch, has.
     """
-    from edgefilter.operators import model as M
-    from edgefilter.plans.q_model import train_test
     train, _ = train_test(spark, sf_dir)
     model = M.fit(train)
     src = stream_input(spark, sf_dir)
@@ -85,3 +87,30 @@ def q_stream_filter_score(spark, sf_dir):
         F.sum("n_batch").cast("bigint").alias("n_batch"),
         F.min(F.col("n_unseen") <= F.col("n_batch")).alias("unseen_within_batch"),
         F.min(F.col("n_new_keys") <= F.col("n_unseen")).alias("new_keys_within_unseen"))
+
+
+@register("stream_model_blacklist", model_sql(f"""
+select distinct r."user" from rows r join scored using (id) where p > {M.THRESHOLD} and r."user" is not null""", "rows"))
+def q_stream_model_blacklist(spark, sf_dir):
+    """Users on the blacklist after the stream job with the fitted classifier has seen all edits."""
+    train, _ = train_test(spark, sf_dir)
+    model = LIN.fit(train)
+    state = J.BlacklistState(spark, scratch_path(spark, "blacklist_model"))
+    J.run_filter_score_job(spark, J.file_source(spark, stream_input(spark, sf_dir), FILES_PER_EPOCH), state,
+                           lambda clean: LIN.score(model, clean, ["user"]), scratch_path(spark, "ck_blacklist_model"))
+    return state.keys().select("user").distinct()
+
+
+STREAM_SINCE = "2024-01-03 05:30:00"
+
+
+@register("stream_since", f"select event_id, user_id, event_type, value from events where ts >= timestamp '{STREAM_SINCE}'")
+def q_stream_since(spark, sf_dir):
+    """A stream over the event log that starts at a time."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    log, out, ck = (scratch_path(spark, n) for n in ("event_log", "stream_since", "ck_since"))
+    EL.append_events(events, log)
+    later = EL.event_source(spark, log, events.schema, STREAM_SINCE).drop("ts")
+    J.finish(later.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+    return spark.read.schema(later.schema).parquet(out)

@@ -95,7 +95,7 @@ def run_sample_job(spark: SparkSession, lines: DataFrame, out_path: str, checkpo
          .option("maxRecordsPerFile", records_per_file)
          .option("path", out_path).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    _finish(q, timeout_s)
+    finish(q, timeout_s)
 
 
 def record_sink(records: DataFrame, checkpoint: str, fmt: str = "text", **options):
@@ -104,7 +104,7 @@ def record_sink(records: DataFrame, checkpoint: str, fmt: str = "text", **option
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def _finish(q, timeout_s: int | None = None) -> None:
+def finish(q, timeout_s: int | None = None) -> None:
     """Wait until the query has taken all its input; a time limit only if the caller gives one."""
     done = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
     if done is False:
@@ -273,4 +273,4 @@ def run_filter_score_job(spark: SparkSession, lines: DataFrame, state: Blacklist
                          scorer: Scorer, checkpoint: str, timeout_s: int | None = None) -> None:
     q = (edit_stream(lines).writeStream.foreachBatch(filter_score_update(state, scorer))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    _finish(q, timeout_s)
+    finish(q, timeout_s)

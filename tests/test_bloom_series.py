@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from edgefilter.operators.bloom import BloomFilter, joined_sketches, key_sketch, sketched_spec
 from edgefilter.operators.bloom_series import BloomSeries
 
 
@@ -41,3 +42,14 @@ def test_empty_series(spark):
     series = BloomSeries(10, 0.1)
     assert series.members(keys(spark, 0, 5), "key").collect() == []
     assert series.add(keys(spark, 0, 0), "key").slices == [] and series.stats(spark).collect() == []
+
+
+def test_sketch_sizing(spark):
+    some = keys(spark, 0, 30_000).union(keys(spark, 0, 20_000)).union(spark.createDataFrame([(None,)], "key string"))
+    bf = BloomFilter.build_by_sketch(some, "key", 0.05)
+    assert abs(bf.spec.n / 1.02 - 30_000) < 600
+    assert bf.members(some, "key").count() == 30_000
+    assert bf.members(keys(spark, 10**6, 10**6 + 20_000), "key").count() < 0.06 * 20_000
+    parts = key_sketch(keys(spark, 0, 20_000), "key").union(key_sketch(keys(spark, 10_000, 30_000), "key"))
+    assert abs(sketched_spec(joined_sketches(parts), 0.05).n / 1.02 - 30_000) < 600
+    assert BloomFilter.build_by_sketch(some.where("false"), "key").spec.n == 1

@@ -109,6 +109,6 @@ def test_record_sink_writes_json_lines(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     _write_files(spark, e, src, 2)
     records = J.edit_stream(J.file_source(spark, src))
-    J._finish(J.record_sink(records, str(tmp_path / "ck"), "text", path=out))
+    J.finish(J.record_sink(records, str(tmp_path / "ck"), "text", path=out))
     from edgefilter.streaming.parse import parse_edit_json
     assert parse_edit_json(spark.read.text(out)).count() == e.count()
