@@ -20,7 +20,8 @@ whole sequence). A test item is found in a document that holds at least
 Defined cases: null or blank texts have no shingle, contain nothing and are not
 found; items and documents that share an id are searched one by one and reported
 with the best of them; repeated rows are reported once; null ids are reported
-as null; empty tables give empty results.
+as null; empty tables give empty results; ``decontaminate`` keeps all columns, whatever
+their names. Very long texts are hashed whole, one at a time.
 """
 
 from __future__ import annotations
@@ -112,32 +113,35 @@ def filter_bits(sketch: DataFrame) -> np.ndarray:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for rid, doc_id, text, listed in zip(*(batch.column(c).to_pylist() for c in ("rid", "doc_id", "text", "items")),
-                                             strict=True):
+        for rid, other, doc_id, text, listed in zip(*(batch.column(c).to_pylist() for c in (
+                "rid", "rid2", "doc_id", "text", "items")), strict=True):
             own = shingles(text)
             for item in listed:
                 wanted = shingles(item["item"])
-                out.append((rid, doc_id, item["iid"], len(wanted & own), len(wanted)))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(5)],
-                                         ["rid", "doc_id", "iid", "n_shared", "n_shingles"])
+                out.append((rid, other, doc_id, item["iid"], len(wanted & own), len(wanted)))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)],
+                                         ["rid", "rid2", "doc_id", "iid", "n_shared", "n_shingles"])
 
 
-def row_key(id_col: str, text_col: str) -> F.Column:
-    """Equal for equal rows; verdicts depend on the text alone, so rows that share it share the verdict."""
-    return F.xxhash64(F.col(id_col), F.col(text_col))
+def row_key(id_col: str, text_col: str, part: int = 0) -> F.Column:
+    """Equal for equal rows; verdicts depend on the text alone, so rows that share it share the verdict.
+
+    One part finds candidates, where a chance collision costs a check; a verdict goes by both, 128 bits.
+    """
+    return F.xxhash64(F.col(id_col), F.col(text_col)) if part == 0 else F.xxhash64(
+        F.lit(part), F.md5(F.col(text_col).cast("binary")), F.col(id_col))
 
 
 def search(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text",
            item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(rid, doc_id, item_id, n_shared, n_shingles) of every document row that contains an item to the share ``t``."""
+    """(rid, rid2, doc_id, item_id, n_shared, n_shingles) of every document row that contains an item to the share ``t``."""
     spark = docs.sparkSession
     items = materialize(items.select(F.col(item_id).cast("long").alias("item_id"),
                                      F.col(item_text).cast("binary").alias("text")).withColumn(
         "iid", F.xxhash64("item_id", "text")).dropDuplicates(["iid"]), "items")
     sketch = materialize(sketches(items.select("iid", "text"), t), "sketches")
     bits = spark.sparkContext.broadcast(filter_bits(sketch))
-    texts = docs.select(row_key(id_col, text_col).alias("rid"), F.col(id_col).cast("long").alias("doc_id"),
-                        F.col(text_col).cast("binary").alias("text"))
+    texts = docs.select(row_key(id_col, text_col).alias("rid"), F.col(text_col).cast("binary").alias("text"))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = bits.value
@@ -158,12 +162,13 @@ def search(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, id_col: st
                         .where("n >= need").select("rid", "iid"), "candidates")
     lists = found.join(items, "iid").groupBy("rid").agg(
         F.collect_list(F.struct("iid", F.col("text").alias("item"))).alias("items"))
-    near = texts.join(materialize(found.select("rid").distinct(), "candidate_rows"), "rid", "left_semi")
+    near = docs.select(row_key(id_col, text_col).alias("rid"), row_key(id_col, text_col, 1).alias("rid2"),
+                       F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(materialize(found.select("rid").distinct(), "candidate_rows"), "rid", "left_semi")
     checked = near.join(lists, "rid").mapInArrow(
-        _verify, "rid long, doc_id long, iid long, n_shared long, n_shingles long").where(
+        _verify, "rid long, rid2 long, doc_id long, iid long, n_shared long, n_shingles long").where(
         F.col("n_shared") >= t * F.col("n_shingles") - 1e-9)
     return checked.join(items.select("iid", "item_id"), "iid").select(
-        "rid", "doc_id", "item_id", "n_shared", "n_shingles")
+        "rid", "rid2", "doc_id", "item_id", "n_shared", "n_shingles")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
@@ -175,11 +180,11 @@ def contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs``, all columns, without the rows that contain an item."""
-    rid = fresh(docs, "rid")
+    keys = [fresh(docs, "rid"), fresh(docs, "rid2")]
     bad = materialize(search(docs, items, id_col=id_col, text_col=text_col, **how).select(
-        F.col("rid").alias("bad")).distinct(), "contaminated")
-    keyed = docs.withColumn(rid, row_key(id_col, text_col))
-    return keyed.join(bad, keyed[rid] == bad["bad"], "left_anti").select(*docs.columns)
+        F.col("rid").alias(keys[0]), F.col("rid2").alias(keys[1])).distinct(), "contaminated")
+    keyed = docs.withColumn(keys[0], row_key(id_col, text_col)).withColumn(keys[1], row_key(id_col, text_col, 1))
+    return keyed.join(bad, keys, "left_anti").select(*docs.columns)
 
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
