@@ -13,9 +13,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from edgefilter.functions.text import WORD_PATTERN
 from edgefilter.operators import knn
 from edgefilter.operators import ml_lsh as ML
 from edgefilter.operators import name_vectors as NV
+from edgefilter.operators import word_vectors as WV
 from edgefilter.plans.q_knn import grid_sql, hash_sql, lsh_topk_sql
 from edgefilter.plans.q_sources import ARTICLE_SQL as _ARTICLE_SQL
 from edgefilter.plans.registry import register
@@ -123,3 +125,24 @@ def q_lsh_transfer_eval(spark, sf_dir):
     """The parameters tuned on listings (3 tables, length 0.5) applied to the article names."""
     return knn.recall_at_k(_vectors(article_names(spark, sf_dir)), "name", "vec", K, *TRANSFER, percent=QUERY_PERCENT,
                            max_queries=MAX_QUERIES, seed=SEED, dim=NV.DIM)
+
+
+_WORDS_SQL = f"regexp_extract_all(lower(text), '{WORD_PATTERN}')"
+
+
+@register("cooccurrence_ppmi", f"""
+with d as (select doc_id, {_WORDS_SQL} as t from documents where text is not null),
+p as (select doc_id, unnest(range(1, len(t) + 1)) as i, unnest(t) as w from d),
+known as (select w from p group by w having count(*) >= {WV.MIN_COUNT}),
+one as (select a.w, b.w as c, count(*) as n from p a join p b on a.doc_id = b.doc_id and b.i > a.i and b.i <= a.i + {WV.WINDOW}
+        group by all),
+pairs as (select w, c, sum(n)::BIGINT as n from (select w, c, n from one union all select c, w, n from one)
+          where w in (select w from known) and c in (select w from known) group by all),
+m as (select w, sum(n) as m from pairs group by w)
+select p.w, p.c, p.n, round(ln(p.n * (select sum(m) from m)::DOUBLE / (a.m * b.m::DOUBLE)), 6) as ppmi
+from pairs p join m a on a.w = p.w join m b on b.w = p.c
+where ln(p.n * (select sum(m) from m)::DOUBLE / (a.m * b.m::DOUBLE)) > 0""")
+def q_cooccurrence_ppmi(spark, sf_dir):
+    """Pairs of frequent words that stand near each other more often than by chance."""
+    pairs = WV.pair_counts(table(spark, sf_dir, "documents"), "text")
+    return WV.shifted_ppmi(pairs).withColumn("ppmi", F.round("ppmi", 6))
