@@ -34,19 +34,23 @@ def queries_of(spark, sf_dir):
 
 # -- DuckDB text ----------------------------------------------------------
 
-def _dist_sql(a: str, b: str, dim: int = DIM) -> str:
+def dist_sql(a: str, b: str, dim: int = DIM) -> str:
     return (f"sqrt(list_reduce(list_transform(range(1, {dim + 1}), lambda i: "
             f"({a}[i]::DOUBLE - {b}[i]::DOUBLE) * ({a}[i]::DOUBLE - {b}[i]::DOUBLE)), "
             f"lambda x, y: x + y))")
 
 
-def hash_sql(v: str, r: list[float], b: float, dim: int = DIM) -> str:
+def dot_sql(v: str, r: list[float], dim: int = DIM) -> str:
     lit = "[" + ", ".join(repr(float(x)) for x in r) + "]::DOUBLE[]"
-    return (f"floor(list_reduce(list_transform(range(1, {dim + 1}), lambda i: "
-            f"{v}[i]::DOUBLE * ({lit})[i]), lambda x, y: x + y) / {float(b)!r})::BIGINT")
+    return f"list_reduce(list_transform(range(1, {dim + 1}), lambda i: {v}[i]::DOUBLE * ({lit})[i]), lambda x, y: x + y)"
+
+
+def hash_sql(v: str, r: list[float], b: float, dim: int = DIM) -> str:
+    return f"floor({dot_sql(v, r, dim)} / {float(b)!r})::BIGINT"
 
 
-def _base(source: str = "embeddings", dim: int = DIM, percent: int = QUERY_PERCENT, most: int = MAX_QUERIES) -> str:
+def base_sql(source: str = "embeddings", dim: int = DIM, percent: int = QUERY_PERCENT, most: int = MAX_QUERIES,
+             k: int = K) -> str:
     return f"""
 data as materialized (select vec_id, embedding from {source} src),
 n as (select count(*) as n from data),
@@ -55,8 +59,8 @@ q as (select vec_id as q_id, embedding as q_vec from data
       order by {md5_u32_sql('vec_id')}, vec_id limit {most}),
 exact as (select q_id, vec_id, dist, rank from (
       select q_id, vec_id, dist, row_number() over (partition by q_id order by dist, vec_id) as rank
-      from (select q_id, vec_id, {_dist_sql('embedding', 'q_vec', dim)} as dist
-            from data, q where vec_id <> q_id)) where rank <= {K})"""
+      from (select q_id, vec_id, {dist_sql('embedding', 'q_vec', dim)} as dist
+            from data, q where vec_id <> q_id)) where rank <= {k})"""
 
 
 def _cand_sql(b: float, t_max: int, dim: int = DIM) -> str:
@@ -67,7 +71,7 @@ def _cand_sql(b: float, t_max: int, dim: int = DIM) -> str:
        list_position(list_transform(range(1, {t_max + 1}), lambda i: h[i] = qh[i]), true) - 1 as first_table
 from (select vec_id, embedding, {dh} as h from data) d,
      (select q_id, q_vec, {qh} as qh from q) qq
-cross join lateral (select {_dist_sql('embedding', 'q_vec', dim)} as dist)
+cross join lateral (select {dist_sql('embedding', 'q_vec', dim)} as dist)
 where vec_id <> q_id"""
 
 
@@ -75,7 +79,7 @@ def grid_sql(tables, lengths, source: str = "embeddings", dim: int = DIM) -> str
     t_max = max(tables)
     cand = " union all ".join(f"({_cand_sql(b, t_max, dim)})" for b in lengths)
     grid = ", ".join(f"({float(b)!r}::DOUBLE, {int(t)})" for b in lengths for t in tables)
-    return f"""with {_base(source, dim)},
+    return f"""with {base_sql(source, dim)},
 cand as (select c.*, g.num_hash_tables from ({cand}) c
          join (values {grid}) g(bucket_length, num_hash_tables)
            on g.bucket_length = c.bucket_length
@@ -98,7 +102,7 @@ group by g.num_hash_tables, g.bucket_length"""
 
 def lsh_topk_sql(t: int, b: float, source: str = "embeddings", dim: int = DIM, percent: int = QUERY_PERCENT,
                  most: int = MAX_QUERIES) -> str:
-    return f"""with {_base(source, dim, percent, most)},
+    return f"""with {base_sql(source, dim, percent, most)},
 cand as ({_cand_sql(b, t, dim)})
 select q_id, vec_id, round(dist, 6) as dist, rank from (
   select q_id, vec_id, dist, row_number() over (partition by q_id order by dist, vec_id) as rank
@@ -107,7 +111,7 @@ select q_id, vec_id, round(dist, 6) as dist, rank from (
 
 # -- queries -------------------------------------------------------------------
 
-@register("exact_knn", f"with {_base()}\nselect q_id, vec_id, round(dist, 6) as dist, rank from exact")
+@register("exact_knn", f"with {base_sql()}\nselect q_id, vec_id, round(dist, 6) as dist, rank from exact")
 def q_exact_knn(spark, sf_dir):
     return knn.exact_knn(vectors(spark, sf_dir), queries_of(spark, sf_dir), "vec_id", "embedding", K)
 
@@ -118,7 +122,7 @@ JOIN_K = 10
 @register("knn_join", f"""
 select q_id, vec_id, round(dist, 6) as dist, rank from (
   select q_id, vec_id, dist, row_number() over (partition by q_id order by dist, vec_id) as rank
-  from (select a.vec_id as q_id, b.vec_id, {_dist_sql('b.embedding', 'a.embedding')} as dist
+  from (select a.vec_id as q_id, b.vec_id, {dist_sql('b.embedding', 'a.embedding')} as dist
         from embeddings a join embeddings b on a.vec_id <> b.vec_id)) where rank <= {JOIN_K}""")
 def q_knn_join(spark, sf_dir):
     """The nearest rows of every row."""

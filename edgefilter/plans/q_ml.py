@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from edgefilter.functions.text import WORD_PATTERN
 from edgefilter.operators import knn
 from edgefilter.operators import ml_lsh as ML
+from edgefilter.operators import multiprobe as MP
 from edgefilter.operators import name_vectors as NV
 from edgefilter.operators import word_vectors as WV
-from edgefilter.plans.q_knn import grid_sql, hash_sql, lsh_topk_sql
+from edgefilter.plans.q_knn import base_sql, dist_sql, dot_sql, grid_sql, hash_sql, lsh_topk_sql
 from edgefilter.plans.q_sources import ARTICLE_SQL as _ARTICLE_SQL
 from edgefilter.plans.registry import register
 from edgefilter.session import materialize, scratch_path
@@ -146,3 +147,50 @@ def q_cooccurrence_ppmi(spark, sf_dir):
     """Pairs of frequent words that stand near each other more often than by chance."""
     pairs = WV.pair_counts(table(spark, sf_dir, "documents"), "text")
     return WV.shifted_ppmi(pairs).withColumn("ppmi", F.round("ppmi", 6))
+
+
+PROBE_K, PROBES = 10, (1, 32, 128, 256)
+_PROBE_DIRECTIONS = knn.projections(NV.DIM, MP.PROJECTIONS, SEED)
+
+
+def _probe_sql() -> str:
+    """CTEs data, q, exact (the nearest) and met (q_id, vec_id, probe, dist) over the listing names."""
+    def place(v):
+        return [dot_sql(v, r, NV.DIM) + f" / {MP.WIDTH!r}" for r in _PROBE_DIRECTIONS]
+
+    m = range(MP.PROJECTIONS)
+    cost = " + ".join(f"case when s{i} = 0 then 0.0 when s{i} < 0 then (x{i} - floor(x{i})) * (x{i} - floor(x{i})) "
+                      f"else (1 - (x{i} - floor(x{i}))) * (1 - (x{i} - floor(x{i}))) end" for i in m)
+    return f"""with {base_sql(_NAME_VECTORS, NV.DIM, k=PROBE_K)},
+held as materialized (select vec_id, embedding, [{', '.join(f'floor({x})::BIGINT' for x in place('embedding'))}] as bucket from data),
+placed as (select q_id, q_vec, {', '.join(f'{x} as x{i}' for i, x in enumerate(place('q_vec')))} from q),
+steps as (select combo, {', '.join(f'(combo // {3 ** i}) % 3 - 1 as s{i}' for i in m)} from range({MP.BUCKETS}) r(combo)),
+probes as materialized (select q_id, q_vec, bucket, row_number() over (partition by q_id order by cost, combo) as probe from (
+  select q_id, q_vec, combo, {cost} as cost, [{', '.join(f'floor(x{i})::BIGINT + s{i}' for i in m)}] as bucket
+  from placed, steps)),
+met as materialized (select p.q_id, h.vec_id, p.probe, {dist_sql('h.embedding', 'p.q_vec', NV.DIM)} as dist
+  from probes p join held h on h.bucket = p.bucket and h.vec_id <> p.q_id where p.probe <= {max(PROBES)})"""
+
+
+@register("multiprobe_recall", f"""{_probe_sql()}
+select n_probes, round(count(*) filter (where probe <= n_probes and near) / (any_value(q) * least({PROBE_K}, any_value(n) - 1)), 6)
+  as recall, round(count(*) filter (where probe <= n_probes) / (any_value(q) * (any_value(n) - 1)), 6) as candidate_fraction
+from (select m.*, e.q_id is not null as near from met m left join exact e on e.q_id = m.q_id and e.vec_id = m.vec_id),
+  (select (select count(*) from data) as n, (select count(*) from q) as q), (values {', '.join(f'({p}::INT)' for p in PROBES)}) t(n_probes)
+group by n_probes""")
+def q_multiprobe_recall(spark, sf_dir):
+    """Recall and share of candidates of one table by the number of buckets a query looks into."""
+    v = _vectors(listing_names(spark, sf_dir))
+    queries = knn.query_set(v, "name", "vec", QUERY_PERCENT, MAX_QUERIES)
+    return MP.recall_by_probes(v, queries, "name", "vec", PROBE_K, _PROBE_DIRECTIONS, list(PROBES))
+
+
+@register("multiprobe_topk", f"""{_probe_sql()}
+select q_id, vec_id as name, round(dist, 6) as dist, rank from (
+  select *, row_number() over (partition by q_id order by dist, vec_id) as rank from met where probe <= {PROBES[-2]})
+where rank <= {PROBE_K}""")
+def q_multiprobe_topk(spark, sf_dir):
+    """Each query name's nearest names among the buckets closest to it."""
+    v = _vectors(listing_names(spark, sf_dir))
+    queries = knn.query_set(v, "name", "vec", QUERY_PERCENT, MAX_QUERIES)
+    return MP.search(v, queries, "name", "vec", PROBE_K, _PROBE_DIRECTIONS, PROBES[-2])
