@@ -12,7 +12,9 @@ Decoding takes the ids back through the vocabulary; the file names no decoder,
 so the tokens are joined by one space with their word-end marks.
 
 Defined cases: a null or empty text has no token (ids and decoded text empty);
-repeated rows are encoded each; other columns stay or are ignored.
+repeated rows are encoded each; null ids stay; other columns stay or are ignored,
+and the results' names give way to theirs; a very long text is encoded whole, as a
+block of its own; an empty table gives no rows.
 """
 
 from __future__ import annotations

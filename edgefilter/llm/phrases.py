@@ -24,7 +24,9 @@ The documents are written once, bucketed, so none of the joins moves texts.
 Defined cases: null text has no words; a null id counts as larger than every
 id, and null-id documents don't remove from each other, nor do rows with one
 and the same id; texts under 50 words are never cut; empty tables give empty
-results.
+results; other columns are ignored, so their names can't clash; a very long text
+is worked on whole, as a block of its own (some hundred bytes of memory a byte);
+null-id rows with one text share a row key.
 """
 
 from __future__ import annotations

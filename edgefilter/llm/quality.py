@@ -11,7 +11,9 @@ the logistic function.
 Defined cases: a null text counts as empty, with all statistics 0 (and gets the
 score the rules give it); a null id is scored, not learned from and not held
 out; rows without a label are scored only; a document labelled twice counts by
-its first label in order; other columns are kept by ``score``.
+its first label in order; other columns are kept by ``score``, also those named as
+its results; a very long text is measured whole, as a block of its own; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -19,7 +19,7 @@ then of pairs of ranks, of longer and longer contexts, kept for those only that
 occur again (exact, no hash).
 
 Blocks of about a megabyte of text are worked on at once (numpy); the (document,
-word) codes keep documents apart. A longer text is a block of its own.
+word) codes keep documents apart. A longer text is a block of its own, at some ten bytes of memory a byte.
 
 Defined cases: null text is empty; a text without words has no run and an empty
 collapsed text; equal rows are reported each; null ids stay; other columns are

@@ -14,7 +14,8 @@ Equal fingerprints are one member throughout, so copies never pair up.
 Defined cases: a null text is an empty one, fingerprint zero; a null doc_id
 takes part in linking but is never a component's id unless all are null;
 repeated rows each come out; an empty table gives an empty result; other
-columns are ignored by ``simhash_components`` and kept by ``simhash_dedup``.
+columns are ignored by ``simhash_components`` and kept by ``simhash_dedup``,
+whatever their names; very long texts are hashed whole, one at a time.
 """
 
 from __future__ import annotations
