@@ -18,6 +18,7 @@ from edgefilter.sources import files as FS
 from edgefilter.sources.tables import EDITS_SQL, edits, table, with_ctes
 from edgefilter.streaming import event_log as EL
 from edgefilter.streaming import jobs as J
+from edgefilter.streaming import state_blacklist as SB
 
 #: Files taken in one epoch.
 FILES_PER_EPOCH = 16
@@ -67,6 +68,31 @@ def q_stream_blacklist_growth(spark, sf_dir):
     return state.keys().select("user").distinct()
 
 
+_FLAGGED_SQL = f"""select distinct "user" from clean where {rule_prediction_sql()} >= 0.5 and "user" is not null"""
+
+
+def state_job(spark, sf_dir) -> tuple[str, str]:
+    """(verdicts, checkpoint) of the job that keeps its filter in the state store, after all edits."""
+    out, ck = scratch_path(spark, "state_verdicts"), scratch_path(spark, "ck_state")
+    SB.run_state_job(spark, J.file_source(spark, stream_input(spark, sf_dir), FILES_PER_EPOCH), rule_scorer, out, ck)
+    return out, ck
+
+
+@register("stream_state_blacklist", with_ctes(_FLAGGED_SQL))
+def q_stream_state_blacklist(spark, sf_dir):
+    """Users flagged by the job whose Bloom filter lies in the state store."""
+    out, _ = state_job(spark, sf_dir)
+    return SB.blacklist(spark, out)
+
+
+@register("stream_state_filter", with_ctes(SB.first_slice_sql(_FLAGGED_SQL)))
+def q_stream_state_filter(spark, sf_dir):
+    """Keys and set bits of every block of that filter, read back from the state store."""
+    _, ck = state_job(spark, sf_dir)
+    return SB.filter_state(spark, ck).groupBy("block").agg(
+        F.sum("n_keys").cast("long").alias("n_keys"), F.sum(F.bitmap_count("bits")).cast("long").alias("bits_set"))
+
+
 @register("stream_filter_score", f"""
 select cast(sum(n_lines) as bigint) as n_batch, true as unseen_within_batch, true as new_keys_within_unseen
 from (select count(*) as n_lines from ({EDITS_SQL}))""")
