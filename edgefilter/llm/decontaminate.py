@@ -1,16 +1,20 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
-Texts are sets of five-word shingles (A-Z lower-cased; of fewer words, the
-whole sequence). A test item is found in a document that holds at least
-``CONTAINMENT`` of the item's shingles, however long the document is.
+Items are sets of five-word shingles (A-Z lower-cased); an item of fewer words is
+one shingle, its whole sequence. A test item is found in a document that holds at
+least ``CONTAINMENT`` of the item's shingles as neighbouring words, however long the
+document is.
 
 1. Items are partitioned by the number of their shingles, in powers of two.
    The partition's upper bound ``u`` sets the length of its items' bottom-k
    MinHash sketches, k = floor((1 - t) u) + SPARE: an item of s shingles that is
    contained to the share t lacks at most floor((1 - t) s) of them, so its
    document holds at least k - floor((1 - t) s) > 0 sketch values. No item is
-   missed, and larger items are asked for more of their values.
-2. One pass over the documents hashes all shingles and keeps those in a bit
+   missed, and larger items are asked for more of their values. Of these spare
+   values an item leaves out those that many items share (templates), as long
+   as one hit remains certain. Items of equal text are searched once.
+2. One pass over the documents hashes all shingles (of five words, and of each
+   smaller number of words that an item has) and keeps those in a bit
    set of the sketch values. Its size is fixed, so it can be broadcast for any
    benchmark; false hits only cost a row each. The hits are joined with the
    sketches and counted by document and item; documents too short to hold the
@@ -21,7 +25,10 @@ Defined cases: null or blank texts have no shingle, contain nothing and are not
 found; items and documents that share an id are searched one by one and reported
 with the best of them; repeated rows are reported once; null ids are reported
 as null; empty tables give empty results; ``decontaminate`` keeps all columns, whatever
-their names. Very long texts are hashed whole, one at a time.
+their names. Very long texts are hashed and verified a megabyte at a time, with four words
+of overlap, so memory does not grow with them (a single word is held whole). An item of
+one very common word is found, as asked, in every document that has it; ``least_words``
+leaves items of fewer words out of the search.
 """
 
 from __future__ import annotations
@@ -33,8 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from edgefilter.llm.common import blocks, fresh, raw_bytes, register, table
-from edgefilter.llm.rolling import Sums, words
+from edgefilter.llm.common import BLOCK_BYTES, blocks, fresh, raw_bytes, register, table
+from edgefilter.llm.rolling import Sums, pieces, words
 from edgefilter.session import materialize
 
 SHINGLE = 5
@@ -43,20 +50,29 @@ CONTAINMENT = 0.8
 SPARE = 3
 #: The bit set of sketch values has 2^FILTER_BITS bits (2 MB).
 FILTER_BITS = 24
+#: A sketch value of more items than this is left out where an item can spare it.
+SHARED = 16
+_WORD = r"[^\x20\x09-\x0D]+"
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def grams(w: list[bytes], k: int) -> Iterator[bytes]:
+    """All sequences of ``k`` neighbouring words, repeats included."""
+    return (b" ".join(w[i:i + k]) for i in range(len(w) - k + 1))
+
+
 def shingles(text: bytes | None) -> set[bytes]:
-    """The distinct shingles of one text."""
+    """The distinct shingles of an item."""
     w = (text or b"").lower().split()
-    k = min(SHINGLE, len(w))
-    return {b" ".join(w[i:i + k]) for i in range(len(w) - k + 1)} if w else set()
+    return set(grams(w, min(SHINGLE, len(w)))) if w else set()
+
 
+def shingle_hashes(data: np.ndarray, ends: np.ndarray, short: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of the distinct shingles of texts that lie end to end, in order of row and hash.
 
-def shingle_hashes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of the distinct shingles of a block's ``text``, in order of row and hash."""
-    data, ends = raw_bytes(part.column("text"))
+    ``short`` are numbers of words below ``SHINGLE`` whose sequences are wanted too.
+    """
     data = _LOWER[data]
     starts, stops, before = words(data, ends)
     sums = Sums(Sums(data.astype(np.uint64)).spans(starts, stops))
@@ -67,7 +83,11 @@ def shingle_hashes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     size = np.minimum(n[row], SHINGLE)
     at = at[at + size <= before[1:][row]]
     at = at[(n[row[at]] >= SHINGLE) | (at == first[at])]
-    row, h = row[at], sums.spans(at, at + size[at])
+    found = [(row[at], sums.spans(at, at + size[at]))]
+    for k in short:
+        at = np.flatnonzero(np.arange(len(starts)) + k <= before[1:][row])
+        found.append((row[at], sums.spans(at, at + k)))
+    row, h = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((h, row))
     row, h = row[order], h[order]
     new = np.ones(len(h), bool)
@@ -79,7 +99,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start, stop in blocks(batch, "text"):
             part = batch.slice(start, stop - start)
-            row, h = shingle_hashes(part)
+            row, h = shingle_hashes(*raw_bytes(part.column("text")))
             yield pa.RecordBatch.from_arrays([part.column("iid").take(pa.array(row)), pa.array(h.view(np.int64))],
                                              ["iid", "h"])
 
@@ -93,8 +113,14 @@ def sketches(items: DataFrame, t: float = CONTAINMENT) -> DataFrame:
     # the small addend keeps e.g. (1 - 0.8) * 5 from rounding below 1
     lacking = lambda n: F.floor((1 - t) * n + 1e-9)
     k = F.least(F.col("size"), lacking(upper) + SPARE)
-    return ranked.withColumn("k", k).where("r <= k").select(
-        "iid", "h", "size", (F.col("k") - lacking(F.col("size"))).alias("need"))
+    chosen = ranked.withColumn("k", k).where("r <= k").withColumn("need", F.col("k") - lacking(F.col("size")))
+    shared = chosen.groupBy("h").agg(F.count("*").alias("n_items")).where(F.col("n_items") > SHARED)
+    commonest = F.row_number().over(own.orderBy(F.col("n_items").desc(), "h"))
+    spared = F.coalesce(F.col("c") < F.col("need"), F.lit(False))
+    return (chosen.join(shared, "h", "left").withColumn("c", F.when(F.col("n_items").isNotNull(), commonest))
+            .withColumn("spared", spared)
+            .withColumn("need", F.col("need") - F.sum(F.col("spared").cast("int")).over(own))
+            .where(~F.col("spared")).select("iid", "h", "size", "need"))
 
 
 def filter_bits(sketch: DataFrame) -> np.ndarray:
@@ -110,15 +136,28 @@ def filter_bits(sketch: DataFrame) -> np.ndarray:
     return np.packbits(flags, bitorder="little")
 
 
+def n_held(text: bytes | None, wanted: dict[int, set[bytes]]) -> set[bytes]:
+    """The shingles of ``wanted`` (by their number of words) that a text holds."""
+    held: set[bytes] = set()
+    for piece in pieces(text or b"", SHINGLE - 1, BLOCK_BYTES):
+        w = piece.lower().split()
+        for k, sought in wanted.items():
+            held.update(g for g in grams(w, k) if g in sought)
+    return held
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for rid, other, doc_id, text, listed in zip(*(batch.column(c).to_pylist() for c in (
-                "rid", "rid2", "doc_id", "text", "items")), strict=True):
-            own = shingles(text)
-            for item in listed:
-                wanted = shingles(item["item"])
-                out.append((rid, other, doc_id, item["iid"], len(wanted & own), len(wanted)))
+        for rid, other, doc_id, text, listed in zip(*(batch.column(c) for c in ("rid", "rid2", "doc_id", "text", "items")),
+                                                    strict=True):
+            items = {i["iid"]: shingles(i["item"]) for i in listed.as_py()}
+            wanted: dict[int, set[bytes]] = {}
+            for own in items.values():
+                for g in own:
+                    wanted.setdefault(g.count(b" ") + 1, set()).add(g)
+            held = n_held(text.as_py(), wanted)
+            out += [(rid.as_py(), other.as_py(), doc_id.as_py(), iid, len(own & held), len(own)) for iid, own in items.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(6)],
                                          ["rid", "rid2", "doc_id", "iid", "n_shared", "n_shingles"])
 
@@ -133,12 +172,14 @@ def row_key(id_col: str, text_col: str, part: int = 0) -> F.Column:
 
 
 def search(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text",
-           item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+           item_id: str = "item_id", item_text: str = "text", least_words: int = 1) -> DataFrame:
     """(rid, rid2, doc_id, item_id, n_shared, n_shingles) of every document row that contains an item to the share ``t``."""
     spark = docs.sparkSession
-    items = materialize(items.select(F.col(item_id).cast("long").alias("item_id"),
-                                     F.col(item_text).cast("binary").alias("text")).withColumn(
-        "iid", F.xxhash64("item_id", "text")).dropDuplicates(["iid"]), "items")
+    listed = materialize(items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("binary").alias("text"),
+                                      F.size(F.regexp_extract_all(F.col(item_text).cast("string"), F.lit(_WORD), F.lit(0))).alias("n_words"))
+                         .where(F.col("n_words") >= max(1, least_words)).withColumn("iid", F.xxhash64("text")).distinct(), "items")
+    items = listed.select("iid", "text").dropDuplicates(["iid"])
+    short = tuple(r.n_words for r in listed.where(F.col("n_words") < SHINGLE).select("n_words").distinct().collect())
     sketch = materialize(sketches(items.select("iid", "text"), t), "sketches")
     bits = spark.sparkContext.broadcast(filter_bits(sketch))
     texts = docs.select(row_key(id_col, text_col).alias("rid"), F.col(text_col).cast("binary").alias("text"))
@@ -148,11 +189,18 @@ def search(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, id_col: st
         for batch in batches:
             for start, stop in blocks(batch, "text"):
                 part = batch.slice(start, stop - start)
-                row, h = shingle_hashes(part)
-                slot = (h & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-                hit = (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
-                size = np.bincount(row, minlength=len(part))
-                row, h = row[hit], h[hit]
+                data, ends = raw_bytes(part.column("text"))
+                size = np.zeros(len(part), np.int64)
+                met = []
+                # one long text goes in pieces; its size is then the sum of theirs, which is no less
+                for d, e in ([(data, ends)] if len(data) <= BLOCK_BYTES else (
+                        (np.frombuffer(x, np.uint8), np.array([0, len(x)])) for x in pieces(data.tobytes(), SHINGLE - 1, BLOCK_BYTES))):
+                    row, h = shingle_hashes(d, e, short)
+                    slot = (h & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+                    hit = (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+                    size += np.bincount(row, minlength=len(part))
+                    met.append((row[hit], h[hit]))
+                row, h = (np.concatenate(x) for x in zip(*met, strict=True))
                 yield pa.RecordBatch.from_arrays([part.column("rid").take(pa.array(row)), pa.array(
                     h.view(np.int64)), pa.array(size[row].astype(np.int64))], ["rid", "h", "doc_size"])
 
@@ -167,7 +215,7 @@ def search(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, id_col: st
     checked = near.join(lists, "rid").mapInArrow(
         _verify, "rid long, rid2 long, doc_id long, iid long, n_shared long, n_shingles long").where(
         F.col("n_shared") >= t * F.col("n_shingles") - 1e-9)
-    return checked.join(items.select("iid", "item_id"), "iid").select(
+    return checked.join(listed.select("iid", "item_id"), "iid").select(
         "rid", "rid2", "doc_id", "item_id", "n_shared", "n_shingles")
 
 
@@ -188,11 +236,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
-_SETS = """{name}_words as (select {id}, {words} w from {table}),
-{name} as (select distinct {id}, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') s
-  from (select {id}, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) i from {name}_words where len(w) > 0))"""
-SQL = f"""with {_SETS.format(name='d', id='doc_id', words=_WORDS, table='documents')},
-{_SETS.format(name='b', id='item_id', words=_WORDS, table='benchmark')},
+SQL = f"""with d_words as (select doc_id, {_WORDS} w from documents),
+b_words as (select item_id, {_WORDS} w from benchmark),
+lengths as (select distinct least(5, len(w)) k from b_words where len(w) > 0),
+d as (select distinct doc_id, array_to_string(w[i:i + k - 1], ' ') s
+  from (select doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) i from d_words, lengths where len(w) >= k)),
+b as (select distinct item_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') s
+  from (select item_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) i from b_words where len(w) > 0)),
 sizes as (select item_id, count(*) n from b group by item_id),
 both_ as (select doc_id, item_id, count(*) c from d join b using (s) group by doc_id, item_id)
 select doc_id, item_id, c::bigint n_shared, n::bigint n_shingles, c / n containment

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _BASE = 0x9E3779B97F4A7C15 | 1
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 NEWLINES = np.arange(256) == 0x0A
@@ -71,6 +75,26 @@ def words(data: np.ndarray, ends: np.ndarray, gaps: np.ndarray = SPACES) -> tupl
     return starts, stops, np.searchsorted(starts, ends)
 
 
+def pieces(text: bytes, overlap: int, max_bytes: int) -> Iterator[bytes]:
+    """A text cut between words into parts of about ``max_bytes``; each repeats the last ``overlap`` words of the one before.
+
+    So every sequence of ``overlap`` + 1 words lies in one part. A part is longer only if its words are.
+    """
+    start, size = 0, max_bytes
+    while start + size < len(text):
+        gap = _GAP.search(text, start + size)
+        stop = gap.start() if gap else len(text)
+        parts = text[start:stop].rsplit(None, overlap)
+        if stop == len(text):
+            break
+        if len(parts) <= overlap or not parts[0].strip():      # too few words to go on with
+            size = stop - start + max_bytes
+            continue
+        yield text[start:stop]
+        start, size = start + len(parts[0]), max_bytes
+    yield text[start:]
+
+
 def _sliding(x: np.ndarray, width: int, fold) -> np.ndarray:
     span, out = 1, x
     while span * 2 <= width:

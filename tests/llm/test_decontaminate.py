@@ -4,16 +4,25 @@ import duckdb
 import pytest
 
 from edgefilter.llm import decontaminate as D
+from edgefilter.llm import rolling
 from edgefilter.llm.common import table
 
 
+def _words(t):
+    return (t or "").translate({c: c + 32 for c in range(65, 91)}).encode().split()
+
+
+def _grams(w, k):
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if k else set()
+
+
 def brute(docs, items):
     best = {}
     for d, t in docs:
-        own = D.shingles(t.encode() if t else None)
         for i, x in items:
-            want = D.shingles(x.encode() if x else None)
-            n = len(want & own)
+            k = min(5, len(_words(x)))
+            want = _grams(_words(x), k)
+            n = len(want & _grams(_words(t), k))
             if want and n >= 0.8 * len(want) - 1e-9:
                 best[d, i] = max(best.get((d, i), (0,)), (n / len(want), n, len(want)))
     return sorted(((d, i, n, s, c) for (d, i), (c, n, s) in best.items()), key=str)
@@ -48,3 +57,44 @@ def test_edge_rows_equal_brute_force(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
         (d for d in docs if d not in bad), key=str)
     assert D.contaminated(a.where("false"), b).collect() == [] == D.contaminated(a, b.where("false")).collect()
+
+
+def test_short_items_are_found_inside_long_documents(spark):
+    rng = random.Random(3)
+    filler = " ".join(f"w{rng.randrange(900)}" for _ in range(3000))
+    items = [(1, "hello World foo"), (2, "solo"), (3, "two words"), (4, "one of four words"), (5, "two words"), (6, "w1 w2 w3 w4 w5 w6")]
+    docs = [(1, f"{filler} HELLO world\nfoo {filler}"), (2, f"solo {filler}"), (3, f"{filler} two words"), (4, "two"),
+            (5, f"{filler} one of four {filler}"), (6, "x one of four words"), (7, "Two Words"), (8, filler), (9, "hello world foobar")]
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, D.contaminated(a, b).collect()), key=str)
+    assert got == brute(docs, items) and len(got) == 7
+    assert {r.doc_id for r in D.decontaminate(a, b).collect()} == {4, 5, 8, 9}
+    assert {r.doc_id for r in D.decontaminate(a, b, least_words=3).collect()} == {2, 3, 4, 5, 7, 8, 9}
+
+
+def test_templates_that_many_items_share_lose_no_pair(spark):
+    head = "which of the following statements about the subject named below is true please answer with one letter "
+    items = [(i, head + " ".join(f"i{i}x{j}" for j in range(i % 30))) for i in range(60)]
+    docs = [(i, f"start {t} end") for i, t in items] + [(100, head), (101, "other " * 30)]
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(map(tuple, D.contaminated(a, b).collect()), key=str) == brute(docs, items)
+
+
+def test_long_texts_go_in_pieces(spark):
+    rng = random.Random(5)
+    w = [f"w{rng.randrange(5000)}" for _ in range(6000)] + ["y" * 3000] + [f"w{rng.randrange(5000)}" for _ in range(50)]
+    items = [(i, " ".join(w[i * 47:i * 47 + 2 + i % 60])) for i in range(128)]
+    docs = [(1, " ".join(w)), (2, "  " + "\n ".join(w) + "  ")]
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    text = docs[1][1].encode()
+    for size in (40, 500, 4000):
+        parts = list(rolling.pieces(text, 4, size))
+        assert set().union(*(_grams(p.split(), 5) for p in parts)) == _grams(text.split(), 5)
+        assert max(len(p) for p in parts) < size + 3100
+    assert list(rolling.pieces(b"", 4, 10)) == [b""] and list(rolling.pieces(b" " * 50, 4, 10)) == [b" " * 50]
+    gram = " ".join(w[9:14]).encode()
+    assert D.n_held(text, {5: {gram}, 2: {b"no such"}}) == {gram}
+    assert sorted(map(tuple, D.contaminated(a, b).collect()), key=str) == want
+    long = spark.createDataFrame([(3, " ".join(w * 40)), (4, "z" * 1_500_000 + " " + " ".join(w[:20]))], "doc_id long, text string")
+    assert {r.doc_id for r in D.contaminated(long, b.where("item_id = 1")).collect()} == {3}
