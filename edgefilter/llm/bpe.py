@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgefilter.llm.common import blocks, fresh, register, table
+from edgefilter.llm.common import blocks, fresh, register, release, table
 
 #: Entries of a task's table of pieces (and of words); a full table is emptied.
 TABLE_ENTRIES = 300_000
@@ -211,6 +211,7 @@ def encode(docs: DataFrame, text_col: str = "text", path: str | None = None, nam
     rows = docs.select(*keep, F.col(text_col).cast("binary").alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         c = codec(path)
         for batch in batches:
             at = batch.schema.get_field_index(text)

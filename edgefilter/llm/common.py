@@ -70,6 +70,12 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
+def release() -> None:
+    """Give freed memory back to the system; a Python worker that is used again would keep its last task's."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 #: Text of a block. The vectorised passes hold some fifteen numbers a byte at a time.
 BLOCK_BYTES = (1 << 20) - 1
 

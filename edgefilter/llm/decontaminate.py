@@ -25,7 +25,7 @@ Defined cases: null or blank texts have no shingle, contain nothing and are not
 found; items and documents that share an id are searched one by one and reported
 with the best of them; repeated rows are reported once; null ids are reported
 as null; empty tables give empty results; ``decontaminate`` keeps all columns, whatever
-their names. Very long texts are hashed and verified a megabyte at a time, with four words
+their names. Very long texts are hashed and verified a quarter of a megabyte at a time, with four words
 of overlap, so memory does not grow with them (a single word is held whole). An item of
 one very common word is found, as asked, in every document that has it; ``least_words``
 leaves items of fewer words out of the search.
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from edgefilter.llm.common import BLOCK_BYTES, blocks, fresh, raw_bytes, register, table
+from edgefilter.llm.common import blocks, fresh, raw_bytes, register, release, table
 from edgefilter.llm.rolling import Sums, pieces, words
 from edgefilter.session import materialize
 
@@ -52,6 +52,8 @@ SPARE = 3
 FILTER_BITS = 24
 #: A sketch value of more items than this is left out where an item can spare it.
 SHARED = 16
+#: Text hashed at a time; with up to four further shingle sizes the numbers a byte are many.
+PART_BYTES = (1 << 18) - 1
 _WORD = r"[^\x20\x09-\x0D]+"
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -139,7 +141,7 @@ def filter_bits(sketch: DataFrame) -> np.ndarray:
 def n_held(text: bytes | None, wanted: dict[int, set[bytes]]) -> set[bytes]:
     """The shingles of ``wanted`` (by their number of words) that a text holds."""
     held: set[bytes] = set()
-    for piece in pieces(text or b"", SHINGLE - 1, BLOCK_BYTES):
+    for piece in pieces(text or b"", SHINGLE - 1, PART_BYTES):
         w = piece.lower().split()
         for k, sought in wanted.items():
             held.update(g for g in grams(w, k) if g in sought)
@@ -186,15 +188,16 @@ def search(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, id_col: st
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = bits.value
+        release()
         for batch in batches:
-            for start, stop in blocks(batch, "text"):
+            for start, stop in blocks(batch, "text", PART_BYTES):
                 part = batch.slice(start, stop - start)
                 data, ends = raw_bytes(part.column("text"))
                 size = np.zeros(len(part), np.int64)
                 met = []
                 # one long text goes in pieces; its size is then the sum of theirs, which is no less
-                for d, e in ([(data, ends)] if len(data) <= BLOCK_BYTES else (
-                        (np.frombuffer(x, np.uint8), np.array([0, len(x)])) for x in pieces(data.tobytes(), SHINGLE - 1, BLOCK_BYTES))):
+                for d, e in ([(data, ends)] if len(data) <= PART_BYTES else (
+                        (np.frombuffer(x, np.uint8), np.array([0, len(x)])) for x in pieces(data.tobytes(), SHINGLE - 1, PART_BYTES))):
                     row, h = shingle_hashes(d, e, short)
                     slot = (h & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
                     hit = (flags[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
@@ -203,6 +206,7 @@ def search(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, id_col: st
                 row, h = (np.concatenate(x) for x in zip(*met, strict=True))
                 yield pa.RecordBatch.from_arrays([part.column("rid").take(pa.array(row)), pa.array(
                     h.view(np.int64)), pa.array(size[row].astype(np.int64))], ["rid", "h", "doc_size"])
+        release()
 
     met = texts.select("rid", "text").mapInArrow(hits, "rid long, h long, doc_size long").join(sketch, "h").where(
         F.col("doc_size") >= t * F.col("size") - 1e-9)
