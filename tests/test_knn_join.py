@@ -72,3 +72,19 @@ def test_exact_search_beyond_the_limit_is_the_join(spark, monkeypatch):
     monkeypatch.setattr(knn, "QUERY_LIMIT", 10)
     monkeypatch.setattr(knn, "is_bounded", lambda q, limit=10: False)
     assert triples(knn.exact_knn(v, asked(v), "vec_id", "embedding", 3)) == want
+
+
+def test_copies_are_compared_once(spark):
+    rng = random.Random(4)
+    rows = [(i, [0.25, 0.5]) for i in range(400)] + [(400 + i, [rng.random(), rng.random()]) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert triples(knn_join(df, asked(df), "vec_id", "embedding", 3)) == plain(rows, rows, 3)
+    assert compared_pairs(df, asked(df), "vec_id", "embedding", 3).first().n_pairs < 0.1 * 500 * 499
+
+
+def test_repeated_ids_and_rows_that_are_no_vectors(spark):
+    rows = [(1, [0.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0]), (3, [0.0, 4.0]), (4, [0.0, 9.0])]
+    odd = [(5, [float("nan"), 0.0]), (6, [float("inf"), 0.0]), (7, [None, 0.0])]
+    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
+    ask = spark.createDataFrame([(1, [0.0, 0.0]), (2, [0.0, 2.0])], "q_id long, q_vec array<double>")
+    assert triples(knn_join(df, ask, "vec_id", "embedding", 2)) == {(1, 2, 1), (1, 3, 2), (2, 1, 1), (2, 1, 2)}
