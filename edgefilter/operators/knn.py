@@ -1,7 +1,8 @@
 """Exact and locality-sensitive nearest-neighbour search, and recall@k.
 
-Vectors are ``array<float|double>`` columns; all arithmetic is JVM-side
-higher-order expressions.
+Vectors are ``array<float|double>`` columns; arithmetic is JVM-side
+higher-order expressions, but for the tuning grid, whose tasks compare blocks of
+rows (numpy, same order of sums).
 
 Query set: a sampling operator, like the original evaluation's
 ``sample(0.1).limit(50)`` but repeatable: rows whose md5 bucket of the id
@@ -26,13 +27,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edgefilter.functions.hashing import hash_bucket, md5_u32
 from edgefilter.functions.vectors import dot, l2
-from edgefilter.session import cut_lineage
+from edgefilter.session import materialize
 
 DIGITS = 6
 
@@ -190,19 +196,90 @@ def lsh_topk(data: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k:
     return rank_candidates(c, id_col, vec_col, k, exclude_self)
 
 
+def _dots(x: np.ndarray, direction: list[float]) -> np.ndarray:
+    """Products of rows with a direction, summed from the first component to the last."""
+    total = np.zeros(len(x))
+    for i, r in enumerate(direction):
+        total += x[:, i] * r
+    return total
+
+
+def _grid_pass(asked: list[tuple], id_type: T.DataType, projs: list[list[float]], lengths, grid: list[tuple], k: int) -> Callable:
+    """A task's nearest ``k`` rows of every (grid point, query), and how many candidates it has (rows without an id).
+
+    What is held is ``k`` rows of each, and one batch.
+    """
+    q_ids, dim = [r[0] for r in asked], len(projs[0])
+    q = np.array([r[1] for r in asked], float).reshape(len(asked), dim)
+    buckets = lambda x: [np.floor(np.column_stack([_dots(x, r) for r in projs]) / float(b)) for b in lengths]
+    q_buckets = buckets(q)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+        kind = to_arrow_type(id_type)
+        best: dict[tuple[int, int], tuple[np.ndarray, pa.Array]] = {}
+        counts = np.zeros((len(grid), len(asked)), np.int64)
+        for batch in batches:
+            ids = batch.column(0).cast(kind)
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(ids), dim)
+            x_buckets = buckets(x)
+            for j, q_id in enumerate(q_ids):
+                total = np.zeros(len(x))
+                for i in range(dim):
+                    d = x[:, i] - q[j, i]
+                    total += d * d
+                dist = np.sqrt(total)
+                other = ~np.array(pa.compute.equal(ids, pa.scalar(q_id, kind)).to_numpy(zero_copy_only=False), bool)
+                # first agreeing table per length
+                same = [h == g[j] for h, g in zip(x_buckets, q_buckets, strict=True)]
+                first = [np.where(s.any(axis=1), s.argmax(axis=1), len(projs)) for s in same]
+                for gid, bi, t in [(-1, 0, 0), *grid]:
+                    member = other if gid < 0 else other & (first[bi] < t)
+                    if gid >= 0:
+                        counts[gid, j] += int(member.sum())
+                    had_d, had_ids = best.get((gid, j), (np.zeros(0), pa.array([], kind)))
+                    if len(had_d) == k:
+                        member = member & ~(dist > had_d[-1])
+                    places = np.flatnonzero(member)
+                    if len(places) > k:                  # no farther than the k-th; ties stay
+                        places = places[~(dist[places] > np.partition(dist[places], k - 1)[k - 1])]
+                    if not len(places):
+                        continue
+                    all_d = np.concatenate([had_d, dist[places]])
+                    all_ids = pa.concat_arrays([had_ids, ids.take(pa.array(places))])
+                    rank = np.empty(len(all_d), int)
+                    rank[pa.compute.sort_indices(all_ids).to_numpy()] = np.arange(len(all_d))
+                    order = np.lexsort((rank, all_d))[:k]
+                    best[gid, j] = all_d[order], all_ids.take(pa.array(order))
+        names = ["gid", "q", "id", "dist", "c"]
+        for (gid, j), (dist, ids) in best.items():
+            n = len(dist)
+            yield pa.RecordBatch.from_arrays([pa.array([gid] * n, pa.int32()), pa.array([j] * n, pa.int32()), ids, pa.array(dist),
+                                              pa.array([None] * n, pa.int64())], names)
+        seen = [(gid, j, int(c)) for (gid, j), c in np.ndenumerate(counts) if c]
+        if seen:
+            gids, js, cs = zip(*seen, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gids, pa.int32()), pa.array(js, pa.int32()), pa.nulls(len(cs), kind),
+                                              pa.nulls(len(cs), pa.float64()), pa.array(cs, pa.int64())], names)
+    return run
+
+
 def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
              tables=(1, 3, 5), lengths=(0.5, 1.0, 2.0), percent: int = 10,
              max_queries: int = 50, seed: int = 42, dim: int | None = None) -> DataFrame:
     """Recall@k and candidate fraction for every (tables, bucket length).
 
     Evaluation needs the exact neighbours, i.e. every (query, row) distance,
-    so the whole grid rides on that one pass over the bounded query table:
-    each pair gets its distance once and, per bucket length, the first table
-    whose buckets agree; it is then routed to the exact list and to every
-    grid point it is a candidate of (more tables than its first agreeing
-    one; the directions are nested). One top-k per (grid point, query)
-    follows. Candidate counts come from a second, distance-free pass.
-    Recall divides by min(k, rows - 1); a query without candidates scores 0.
+    so the whole grid rides on that one pass over the bounded query table,
+    which every task has (at most ``max_queries`` rows): each pair gets its
+    distance once and, per bucket length, the first table whose buckets
+    agree, and counts for the exact list and for every grid point it is a
+    candidate of (more tables than its first agreeing one; the directions
+    are nested). A task keeps the k nearest of each (grid point, query) and
+    the numbers of candidates as it reads, so no pair is sorted or shuffled
+    but these; one top-k over the tasks follows. Rows without an id or a
+    whole vector take no part in the search. Recall divides by
+    min(k, rows - 1); a query without candidates scores 0.
     """
     q = query_set(data, id_col, vec_col, percent, max_queries)
     if dim is None:
@@ -210,38 +287,27 @@ def lsh_grid(data: DataFrame, id_col: str, vec_col: str, k: int,
     projs = projections(dim, max(tables), seed)
     grid = [(gid, bi, int(t)) for gid, (bi, t) in
             enumerate((bi, t) for bi in range(len(lengths)) for t in tables)]
-    dh = data.select(id_col, vec_col, *[lsh_hash_array(F.col(vec_col), projs, b).alias(f"_h{i}")
-                                        for i, b in enumerate(lengths)])
-    qh = q.select("q_id", "q_vec", *[lsh_hash_array(F.col("q_vec"), projs, b).alias(f"_qh{i}")
-                                     for i, b in enumerate(lengths)])
-    # bounded query table (<= max_queries rows), broadcast to every row
-    pairs = dh.join(F.broadcast(qh), how="cross").filter(F.col(id_col) != F.col("q_id"))
-    # first agreeing table per length, evaluated once per pair (1-based, 0 = none)
-    pairs = pairs.select(
-        "q_id", id_col, l2(F.col(vec_col), F.col("q_vec")).alias("dist"),
-        *[F.array_position(F.zip_with(F.col(f"_h{i}"), F.col(f"_qh{i}"), lambda x, y: x == y), True)
-          .alias(f"_f{i}") for i in range(len(lengths))])
-    member = [F.when((F.col(f"_f{bi}") > 0) & (F.col(f"_f{bi}") <= t), F.lit(gid)) for gid, bi, t in grid]
-    gids = F.filter(F.array(F.lit(-1), *member), lambda x: x.isNotNull())
-    routed = pairs.select("q_id", id_col, "dist", F.explode(gids).alias("gid"))
-    # bounded: (grid points + 1) x queries x k rows; checkpointed once because
-    # both the exact list and the approximate hits read it
-    top = cut_lineage(topk(routed, ["gid", "q_id"], [F.col("dist"), F.col(id_col)], k))
-    exact = top.filter(F.col("gid") == -1).select("q_id", id_col)
-    hits = (top.filter(F.col("gid") >= 0).select("gid", "q_id", id_col)
-               .join(exact, ["q_id", id_col]).groupBy("gid", "q_id").agg(F.count(F.lit(1)).alias("hits")))
-    # one row per query with a count for each grid point, then turned upright (bounded: queries x grid points)
-    wide = pairs.groupBy("q_id").agg(*[F.count_if((F.col(f"_f{bi}") > 0) & (F.col(f"_f{bi}") <= t)).alias(f"_c{gid}")
-                                       for gid, bi, t in grid])
-    counts = wide.select("q_id", F.explode(F.array(*[F.struct(F.lit(gid).alias("gid"), F.col(f"_c{gid}").alias("c"))
-                                                     for gid, _, _ in grid])).alias("p")).select("q_id", "p.*")
+    whole = lambda c: (F.size(c) == dim) & ~F.exists(c, lambda x: x.isNull())
+    asked = q.where(F.col("q_id").isNotNull()).collect()                   # at most ``max_queries`` rows
+    usable = [r for r in asked if r["q_vec"] is not None and len(r["q_vec"]) == dim and None not in r["q_vec"]]
+    rows = data.where(F.col(id_col).isNotNull() & whole(vec_col)).select(id_col, vec_col)
+    id_type = data.schema[id_col].dataType
+    schema = T.StructType([T.StructField("gid", T.IntegerType()), T.StructField("q", T.IntegerType()), T.StructField("id", id_type),
+                           T.StructField("dist", T.DoubleType()), T.StructField("c", T.LongType())])
+    # bounded: (grid points + 1) x queries x k rows of each task
+    met = materialize(rows.mapInArrow(_grid_pass([tuple(r) for r in usable], id_type, projs, lengths, grid, k), schema), "lsh_met")
+    top = materialize(topk(met.where("c is null").select("gid", "q", "id", "dist"), ["gid", "q"], [F.col("dist"), F.col("id")], k),
+                      "lsh_top").select("gid", "q", "id")
+    exact = top.filter(F.col("gid") == -1).select("q", "id")
+    hits = (top.filter(F.col("gid") >= 0).join(exact, ["q", "id"]).groupBy("gid", "q").agg(F.count(F.lit(1)).alias("hits")))
+    counts = met.where("c is not null").groupBy("gid", "q").agg(F.sum("c").alias("c"))
     n = data.count()                                   # one scalar
     # every query once per grid point: the bounded query sample times a
     # literal list of grid points
-    points = F.explode(F.array(*[F.struct(F.lit(gid).alias("gid"), F.lit(float(lengths[bi])).alias("bucket_length"),
-                                          F.lit(t).alias("num_hash_tables")) for gid, bi, t in grid]))
-    per_q = (q.select("q_id", points.alias("p")).select("q_id", "p.*")
-             .join(hits, ["gid", "q_id"], "left").join(counts, ["gid", "q_id"], "left"))
+    points = data.sparkSession.createDataFrame(
+        [(j if j < len(usable) else -1 - j, gid, float(lengths[bi]), t) for j in range(len(asked)) for gid, bi, t in grid],
+        "q int, gid int, bucket_length double, num_hash_tables int")
+    per_q = points.join(hits, ["gid", "q"], "left").join(counts, ["gid", "q"], "left")
     return per_q.groupBy("num_hash_tables", "bucket_length").agg(
         F.count(F.lit(1)).alias("n_queries"),
         F.round(F.avg(F.try_divide(F.coalesce(F.col("hits"), F.lit(0)), F.lit(min(k, n - 1)))),

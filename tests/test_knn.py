@@ -101,3 +101,26 @@ def test_unrolled_distance_equals_higher_order_form(spark):
     got = df.select(l2(F.col("a"), F.col("b")).alias("h"), l2(F.col("a"), F.col("b"), 3).alias("u")).collect()
     assert [r.h for r in got[:2]] == [r.u for r in got[:2]]
     assert got[2].u is None
+
+
+def test_a_task_of_the_grid_keeps_k_rows_of_each_point_and_query():
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    projs = knn.projections(2, 2, 1)
+    run = knn._grid_pass([("b", [0.0, 0.0])], T.StringType(), projs, (10.0,), [(0, 0, 1), (1, 0, 2)], 3)
+    names = [chr(97 + i % 26) + str(i) for i in range(500)] + ["b"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(names[i::5]), pa.array([[0.0, 1.0]] * len(names[i::5]))], ["n", "v"]) for i in range(5)]
+    rows = [r for out in run(iter(batches)) for r in out.to_pylist()]
+    near = [r for r in rows if r["c"] is None]
+    assert len(near) <= 3 * 3
+    assert [r["id"] for r in near if r["gid"] == -1] == sorted(names[:-1])[:3]     # equal distances: the smaller names
+
+
+def test_name_vectors_shuffle_no_tokens(spark):
+    from edgefilter.operators import name_vectors as NV
+    df = spark.createDataFrame([("Red Car red",), ("red car red",), ("  ",), (None,), ("blue",), ("blue",)], "name string")
+    v = NV.name_vectors(df)
+    got = {r["name"]: r.vec for r in v.collect()}
+    assert set(got) == {"Red Car red", "red car red", "blue"} and got["Red Car red"] == got["red car red"]
+    assert all(abs(sum(x * x for x in y) - 1) < 1e-12 and len(y) == NV.DIM for y in got.values())
+    assert "explode" not in v._jdf.queryExecution().toString()
