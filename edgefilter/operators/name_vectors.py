@@ -16,6 +16,10 @@ A null name, or one without a token, has no vector.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,19 +54,42 @@ def token_weights(names: DataFrame) -> DataFrame:
     return counts.select("bucket", weight.alias("weight")).where(F.col("bucket") != _ALL)
 
 
+def _sums(weights: dict[int, int]) -> Callable:
+    """(name, vec) of a task's names, from the buckets and entries of their tokens."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.zeros(WEIGHT_BUCKETS, np.int64)
+        weight[list(weights)] = list(weights.values())
+        for batch in batches:
+            n, buckets, entries = batch.num_rows, batch.column("buckets"), batch.column("entries")
+            row = np.repeat(np.arange(n), buckets.value_lengths().to_numpy(zero_copy_only=False))
+            w = weight[buckets.flatten().to_numpy(zero_copy_only=False)]
+            e = entries.flatten().to_numpy(zero_copy_only=False)          # slot, its sign in the lowest bit
+            v = np.zeros(n * DIM, np.int64)
+            np.add.at(v, np.repeat(row, ENTRIES) * DIM + (e >> 1), np.repeat(w, ENTRIES) * (1 - 2 * (e & 1)))
+            v = v.reshape(n, DIM)
+            length = np.sqrt((v * v).sum(axis=1).astype(float))[:, None]
+            vec = np.divide(v.astype(float), length, out=np.zeros((n, DIM)), where=length > 0)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * DIM, pa.int32()), pa.array(vec.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column("name"), lists], ["name", "vec"])
+    return run
+
+
 def name_vectors(names: DataFrame) -> DataFrame:
-    """(name, vec): a unit vector of ``DIM`` doubles for each distinct name of ``names``."""
+    """(name, vec): a unit vector of ``DIM`` doubles for each distinct name of ``names``.
+
+    A name's vector is made from its own row and the table of weights, which every
+    task has: tokens are not shuffled again.
+    """
+    # the names are short but their vectors are not: as many tasks as shuffles have, whatever the names' bytes
+    many = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = names.select("name").distinct()
-    tokens = distinct.select("name", F.explode(name_tokens(F.col("name"))).alias("token")).withColumn(
-        "bucket", F.pmod(md5_u32(F.col("token")), F.lit(WEIGHT_BUCKETS)))
-    weighted = tokens.join(F.broadcast(token_weights(distinct)), "bucket")
-    cells = weighted.select("name", "weight", F.explode(token_entries(F.col("token"))).alias("e")).groupBy(
-        "name", F.col("e.slot").alias("slot")).agg(F.sum(F.col("e.sign") * F.col("weight")).alias("v"))
-    sums = cells.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("m"),
-                                     F.sqrt(F.sum(F.col("v") * F.col("v")).cast("double")).alias("length"))
-    scaled = F.transform(F.sequence(F.lit(0), F.lit(DIM - 1)), lambda i: F.coalesce(
-        F.try_divide(F.try_element_at("m", i).cast("double"), F.col("length")), F.lit(0.0)))
-    return sums.select("name", scaled.alias("vec"))
+    weights = {r["bucket"]: r["weight"] for r in token_weights(distinct).collect()}      # at most WEIGHT_BUCKETS
+    tokens = name_tokens(F.col("name"))
+    packed = F.flatten(F.transform("tokens", lambda t: F.transform(
+        token_entries(t), lambda e: (2 * e["slot"] + F.when(e["sign"] < 0, 1).otherwise(0)).cast("bigint"))))
+    rows = distinct.where(F.size(tokens) > 0).repartition(many).select("name", tokens.alias("tokens")).select(
+        "name", F.transform("tokens", lambda t: F.pmod(md5_u32(t), F.lit(WEIGHT_BUCKETS))).alias("buckets"), packed.alias("entries"))
+    return rows.mapInArrow(_sums(weights), "name string, vec array<double>")
 
 
 def name_vectors_sql(names: str) -> str:
