@@ -76,16 +76,26 @@ def hashed_rows(clean: DataFrame, keep: list[str], folds: int = M.FOLDS) -> Data
                        fold_column(F.col("id"), folds).alias("fold"))
 
 
-def _matrix(batch: pa.RecordBatch, idf: np.ndarray) -> np.ndarray:
-    """Rows as a dense matrix: scaled bucket weights, minor, length, 1."""
-    lists, n, k = batch.column("h"), batch.num_rows, len(idf)
+def _counts(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    """Rows x buckets: how often each bucket's tokens are in a row."""
+    lists, n = batch.column("h"), batch.num_rows
     row = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False))
     bucket = lists.flatten().to_numpy(zero_copy_only=False) % k
-    x = np.bincount(row * k + bucket, weights=idf[bucket], minlength=n * k).reshape(n, k).astype(float)
+    return np.bincount(row * k + bucket, minlength=n * k).reshape(n, k).astype(float)
+
+
+def _more(batch: pa.RecordBatch) -> np.ndarray:
+    """Minor, length, 1 of each row."""
+    return np.column_stack([*(batch.column(c).to_numpy(zero_copy_only=False) for c in ("minor_feature", "length_feature")),
+                            np.ones(batch.num_rows)])
+
+
+def _matrix(batch: pa.RecordBatch, idf: np.ndarray) -> np.ndarray:
+    """Rows as a dense matrix: scaled bucket weights, minor, length, 1."""
+    x = _counts(batch, len(idf)) * idf
     size = np.sqrt((x * x).sum(axis=1, keepdims=True))
     x /= np.where(size > 0, size, 1.0)
-    return np.column_stack([x, *(batch.column(c).to_numpy(zero_copy_only=False) for c in (
-        "minor_feature", "length_feature")), np.ones(n)])
+    return np.column_stack([x, _more(batch)])
 
 
 def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -126,19 +136,32 @@ def document_frequencies(rows: DataFrame, sizes: list[int], folds: list[int]) ->
 def _sums(points: dict | None, idfs: dict, settings: list[Setting]) -> Callable:
     """Gradient sums of all models over a task's rows; ``points`` are their weights now. Without: sums of x |x|_1."""
     keys = sorted({(s.num_features, s.fold) for s in settings})
+    by_size = {size: [key for key in keys if key[0] == size] for size, _ in keys}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {}
-        for part in _parts(batches, max(k[0] for k in keys)):
+        for part in _parts(batches, max(by_size)):
             label, fold = (part.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold"))
-            for key in keys:
-                x = _matrix(part, idfs[key])
-                if points is None:
-                    per_row = x.sum(axis=1, keepdims=True)              # no feature is negative
-                else:
-                    per_row = 1 / (1 + np.exp(-(x @ points[key]))) - label[:, None]
-                per_row[fold == key[1]] = 0.0
-                total[key] = total.get(key, 0.0) + x.T @ per_row
+            more = _more(part)
+            for size, own in by_size.items():
+                # the folds of a size have one matrix of counts; idf and length scale its sides
+                tf = _counts(part, size)
+                length = np.sqrt((tf * tf) @ np.column_stack([idfs[key] ** 2 for key in own]))
+                scale = 1 / np.where(length > 0, length, 1.0)
+                at = [np.ones((size + MORE, 1)) if points is None else points[key] for key in own]      # no feature is negative
+                sums = tf @ np.column_stack([idfs[key][:, None] * w[:size] for key, w in zip(own, at, strict=True)])
+                ends = np.cumsum([w.shape[1] for w in at])
+                per_row = []
+                for i, (key, w) in enumerate(zip(own, at, strict=True)):
+                    r = sums[:, ends[i] - w.shape[1]:ends[i]] * scale[:, i:i + 1] + more @ w[size:]
+                    if points is not None:
+                        r = 1 / (1 + np.exp(-r)) - label[:, None]
+                    r[fold == key[1]] = 0.0
+                    per_row.append(r)
+                back = tf.T @ np.column_stack([r * scale[:, i:i + 1] for i, r in enumerate(per_row)])
+                for i, (key, r) in enumerate(zip(own, per_row, strict=True)):
+                    g = np.vstack([idfs[key][:, None] * back[:, ends[i] - r.shape[1]:ends[i]], more.T @ r])
+                    total[key] = total.get(key, 0.0) + g
         for key, out in total.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key[0]] * len(out), pa.int32()), pa.array([key[1]] * len(out), pa.int32()),
