@@ -8,6 +8,10 @@ feature values there is also a relational term hashing with md5 buckets
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -16,9 +20,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edgefilter.functions.hashing import md5_u32
 from edgefilter.functions.text import stop_words
+from edgefilter.session import materialize
 
 # The original model-selection grid and feature size.
 NUM_FEATURES = 600
@@ -149,16 +155,36 @@ def ml_tokens(df: DataFrame, text: str = "comment") -> DataFrame:
     return rem.transform(toks).withColumn("tokens", F.filter("_f", lambda t: t != "")).drop("_tok", "_f")
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, bucket, tf) of rows (doc, buckets of its terms), a few thousand rows at a time."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, 2048):
+            batch = whole.slice(start, 2048)
+            lists = batch.column(1)
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            pairs = np.column_stack([row, lists.flatten().to_numpy(zero_copy_only=False)])
+            cells, tf = np.unique(pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))], axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cells[:, 0], pa.int64())),
+                                              pa.array(cells[:, 1], pa.int64()), pa.array(tf, pa.int64())], ["doc", "bucket", "tf"])
+
+
 def hashed_tf(docs: DataFrame, doc_id: str, terms: str, num_features: int = NUM_FEATURES) -> DataFrame:
     """(doc, bucket, tf): term counts folded into md5 buckets.
 
-    All terms of one document sit in one partition, so the map-side
-    partial aggregate already yields the final (doc, bucket) rows and the
-    shuffle carries no more than the output.
+    A row's terms are counted where the row is: no table of (doc, bucket) is held
+    or shuffled. Only rows that share an id are added up afterwards, by id and bucket.
     """
-    t = docs.select(doc_id, F.explode(terms).alias("term"))
-    b = t.select(doc_id, F.pmod(md5_u32(F.col("term")), F.lit(num_features)).alias("bucket"))
-    return b.groupBy(doc_id, "bucket").agg(F.count(F.lit(1)).alias("tf"))
+    doc = docs.schema[doc_id]
+    buckets = F.transform(terms, lambda t: F.pmod(md5_u32(t), F.lit(num_features)))
+    kinds = T.StructType([T.StructField("doc", doc.dataType), T.StructField("bucket", T.LongType()), T.StructField("tf", T.LongType())])
+    counted = docs.select(F.col(doc_id).alias("doc"), buckets.alias("b")).mapInArrow(_counted, kinds)
+    shared = materialize(docs.groupBy(F.col(doc_id).alias("same")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("same"),
+                         "shared_ids")
+    if not shared.isEmpty():
+        is_shared = F.col("doc").eqNullSafe(F.col("same"))
+        added = counted.join(shared, is_shared, "left_semi").groupBy("doc", "bucket").agg(F.sum("tf").alias("tf"))
+        counted = counted.join(shared, is_shared, "left_anti").unionByName(added)
+    return counted.select(F.col("doc").alias(doc_id), "bucket", "tf")
 
 
 def idf_weights(docs: DataFrame, terms: str, num_features: int = NUM_FEATURES) -> DataFrame:

@@ -33,3 +33,14 @@ def test_scores_and_predicted_users(spark):
     users = M.predicted_bot_users(scored)
     assert users.filter(F.col("user").isNull()).count() == 0
     assert users.count() == users.distinct().count()
+
+
+def test_hashed_tf_holds_no_table_of_cells_and_adds_up_shared_ids(spark):
+    from edgefilter.operators import model as M
+    rows = [(1, ["a", "b", "a"]), (2, ["b"]), (2, ["b", "c"]), (None, ["a"]), (None, ["a"]), (3, []), (4, None)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    one = M.hashed_tf(df.where("id = 1"), "id", "tokens", 1 << 20)
+    assert sorted(r.tf for r in one.collect()) == [1, 2]
+    assert "Aggregate" not in one._jdf.queryExecution().executedPlan().toString()
+    got = sorted(((r.id is None, r.id, r.tf) for r in M.hashed_tf(df, "id", "tokens", 1 << 20).collect()), key=str)
+    assert got == sorted([(False, 1, 2), (False, 1, 1), (False, 2, 2), (False, 2, 1), (True, None, 2)], key=str)
