@@ -145,8 +145,8 @@ from pairs p join m a on a.w = p.w join m b on b.w = p.c
 where ln(p.n * (select sum(m) from m)::DOUBLE / (a.m * b.m::DOUBLE)) > 0""")
 def q_cooccurrence_ppmi(spark, sf_dir):
     """Pairs of frequent words that stand near each other more often than by chance."""
-    pairs = WV.pair_counts(table(spark, sf_dir, "documents"), "text")
-    return WV.shifted_ppmi(pairs).withColumn("ppmi", F.round("ppmi", 6))
+    pairs = WV.pair_counts(table(spark, sf_dir, "documents"), "text", half=True)
+    return WV.shifted_ppmi(pairs, half=True).withColumn("ppmi", F.round("ppmi", 6))
 
 
 PROBE_K, PROBES = 10, (1, 32, 128, 256)
