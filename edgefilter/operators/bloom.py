@@ -138,6 +138,12 @@ def sketched_spec(sketch: DataFrame, false_positive_rate: float) -> BloomSpec:
     return BloomSpec(math.ceil(1.02 * (n or 0)), false_positive_rate)
 
 
+def empty_table(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, and no Python task that would have to make them."""
+    fields = [f.split() for f in schema.split(", ")]
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])
+
+
 class BloomFilter:
     """A Bloom filter whose bit array is a DataFrame."""
 
@@ -149,7 +155,7 @@ class BloomFilter:
     # -- construction ---------------------------------------------------
     @classmethod
     def empty(cls, spark: SparkSession, spec: BloomSpec) -> "BloomFilter":
-        return cls(spec, spark.createDataFrame([], "bucket int, bits binary"), 0)
+        return cls(spec, empty_table(spark, "bucket int, bits binary"), 0)
 
     @classmethod
     def build_by_sketch(cls, keys: DataFrame, key: str, false_positive_rate: float = 0.1) -> "BloomFilter":

@@ -9,10 +9,11 @@ feature values there is also a relational term hashing with md5 buckets
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer, VectorAssembler
@@ -64,14 +65,31 @@ def f1_evaluator(metric: str = "f1") -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
 
 
+def _columns_used(stages: list) -> set[str]:
+    """The columns that the stages' parameters name."""
+    used: set[str] = set()
+    for stage in stages:
+        for p in stage.params:
+            if p.name.endswith(("Col", "Cols")) and stage.isDefined(p):
+                value = stage.getOrDefault(p)
+                used |= {value} if isinstance(value, str) else set(value)
+    return used
+
+
 def fit(train: DataFrame, pipeline: Pipeline | None = None) -> PipelineModel:
-    """Fit the bot pipeline on persisted training rows (write them first: their files are read in partitions by bytes)."""
-    pipeline = pipeline or bot_pipeline()
-    rows = train.persist()
-    try:
-        return pipeline.fit(rows)
-    finally:
-        rows.unpersist()
+    """Fit the bot pipeline (write the training rows first if deriving them is dear: they are read in partitions by bytes).
+
+    The transformers before the first estimator learn nothing. What they make of
+    the rows is written once, so that the passes of the estimators read features
+    and don't split the texts into words again and again; no text is cached.
+    """
+    stages = (pipeline or bot_pipeline()).getStages()
+    lead = list(takewhile(lambda s: isinstance(s, Transformer), stages))
+    rest = stages[len(lead):]
+    made = PipelineModel(lead).transform(train)
+    used = _columns_used(rest)
+    features = materialize(made.select(*[c for c in made.columns if c in used]), "features")
+    return PipelineModel(lead + Pipeline(stages=rest).fit(features).stages)
 
 
 def cross_validate(train: DataFrame, pipeline: Pipeline | None = None, grid=None,

@@ -33,6 +33,7 @@ from edgefilter.operators.bloom import (
     DEFAULT_FALSE_POSITIVE_RATE,
     BloomFilter,
     BloomSpec,
+    empty_table,
 )
 from edgefilter.operators.clean import clean_edits
 from edgefilter.schemas import EDIT_COLUMNS
@@ -149,7 +150,7 @@ class BlacklistState:
         base, upto = self._base(name)
         new = self._read(name)
         columns = [f.split()[0] for f in schema.split(", ")]
-        out = self.spark.createDataFrame([], schema)
+        out = empty_table(self.spark, schema)
         for part in (base, None if new is None else new.filter(F.col("epoch") >= upto)):
             if part is not None:
                 out = out.unionByName(part.select(*(F.col(c).cast(out.schema[c].dataType) for c in columns)))
@@ -233,8 +234,8 @@ class BlacklistState:
         return n_new
 
     def report(self, epoch: int, n_batch: int, n_unseen: int, n_new: int) -> None:
-        row = [(epoch, n_batch, n_unseen, n_new)]
-        (self.spark.createDataFrame(row, "epoch long, n_batch long, n_unseen long, n_new_keys long")
+        row = {"epoch": epoch, "n_batch": n_batch, "n_unseen": n_unseen, "n_new_keys": n_new}
+        (self.spark.range(0, 1, 1, 1).select(*[F.lit(v).cast("long").alias(k) for k, v in row.items()])
              .write.mode("overwrite").parquet(f"{self.root}/reports/epoch={epoch}"))
 
     def reports(self) -> DataFrame:
@@ -248,8 +249,10 @@ def filter_score_update(state: BlacklistState, scorer: Scorer, threshold: float
         if epoch_id and epoch_id % COMPACT_EVERY == 0:
             state.compact(epoch_id - 1)
         bf = state.filter_before(epoch_id)
-        batch = batch.persist()          # the source is read once: for the probe, the join back and the counts
-        marked = bf.mark(batch, "user", "_seen", f"{state.root}/members/slot={epoch_id % 2}").persist()
+        # The source is parsed once: for the probe, the counts and the rows to score. The marked rows are not held
+        # as well: the counts read the senders only, and scoring is the one pass over the texts.
+        batch = batch.persist()
+        marked = bf.mark(batch, "user", "_seen", f"{state.root}/members/slot={epoch_id % 2}")
         try:
             counts = marked.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_seen")).alias("u")).first()
             n_batch, n_unseen = int(counts["n"]), int(counts["u"])
@@ -263,7 +266,6 @@ def filter_score_update(state: BlacklistState, scorer: Scorer, threshold: float
             n_new = state.commit(epoch_id, bots, bf)
             state.report(epoch_id, n_batch, n_unseen, n_new)
         finally:
-            marked.unpersist()
             batch.unpersist()
 
     return process

@@ -1,8 +1,10 @@
+import numpy as np
+from pyspark.ml import Pipeline, Transformer
 from pyspark.sql import functions as F
 
 from edgefilter.operators import model as M
 from edgefilter.plans.q_model import train_test, split_clean
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 
 
 def test_saved_model_predicts_the_same(spark, tmp_path):
@@ -44,3 +46,35 @@ def test_hashed_tf_holds_no_table_of_cells_and_adds_up_shared_ids(spark):
     assert "Aggregate" not in one._jdf.queryExecution().executedPlan().toString()
     got = sorted(((r.id is None, r.id, r.tf) for r in M.hashed_tf(df, "id", "tokens", 1 << 20).collect()), key=str)
     assert got == sorted([(False, 1, 2), (False, 1, 1), (False, 2, 2), (False, 2, 1), (True, None, 2)], key=str)
+
+
+class _Counting(Transformer):
+    """Passes the words on and counts the rows."""
+
+    def __init__(self, rows):
+        super().__init__()
+        self.rows = rows
+
+    def _transform(self, df):
+        rows = self.rows
+
+        def count(words):
+            rows.add(1)
+            return words
+
+        return df.withColumn("counted", F.udf(count, "array<string>")("filtered_words"))
+
+
+def test_texts_are_split_once_for_a_fit(spark):
+    """Before, every pass of an estimator split them again."""
+    train, _ = train_test(spark, SF001)
+    n = train.count()
+    rows = spark.sparkContext.accumulator(0)
+    plain = M.bot_pipeline().getStages()
+    pipe = M.bot_pipeline()
+    tok, rem, tf, *rest = pipe.getStages()
+    model = M.fit(train, Pipeline(stages=[tok, rem, _Counting(rows), tf.setInputCol("counted"), *rest]))
+    assert rows.value == n > 0
+    want = Pipeline(stages=plain).fit(train.persist())
+    assert np.allclose(model.stages[-1].coefficients.toArray(), want.stages[-1].coefficients.toArray(), atol=1e-4)
+    train.unpersist()

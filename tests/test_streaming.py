@@ -112,3 +112,27 @@ def test_record_sink_writes_json_lines(spark, tmp_path):
     J.finish(J.record_sink(records, str(tmp_path / "ck"), "text", path=out))
     from edgefilter.streaming.parse import parse_edit_json
     assert parse_edit_json(spark.read.text(out)).count() == e.count()
+
+
+def test_an_epoch_holds_its_batch_once(spark, tmp_path):
+    """Before, the marked rows were cached beside the batch they come from."""
+    state = J.BlacklistState(spark, str(tmp_path / "state"))
+    held = []
+
+    def scorer(clean):
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size() - before)
+        return _scorer(clean)
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    process = J.filter_score_update(state, scorer)
+    e = edits(spark, SF001)
+    process(e, 0)
+    process(e, 1)
+    assert held == [1, 1]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    seen = {r.user for r in state.keys().collect()}
+    reports = {r.epoch: r for r in state.reports().collect()}
+    n = e.count()
+    assert (reports[0].n_batch, reports[0].n_unseen, reports[0].n_new_keys) == (n, n, len(seen))
+    assert reports[1].n_batch == n and reports[1].n_unseen <= n - e.where(F.col("user").isin(sorted(seen))).count()
+    assert reports[1].n_new_keys == 0
