@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edgefilter.llm.common import by_rows
 from edgefilter.session import materialize
 
 
@@ -18,7 +19,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = both.union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "star")
-    joined = both.join(least, "u")
+    joined = by_rows(both).join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:

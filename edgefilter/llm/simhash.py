@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edgefilter.llm.common import fresh, register, table
+from edgefilter.llm.common import NARROW_ROW, by_rows, fresh, register, table
 from edgefilter.llm.components import components
 from edgefilter.session import materialize
 
@@ -98,8 +98,8 @@ def _index(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame | None]:
         cut = cut.withColumn("i", F.explode(every))
     else:
         # a big value is wiped only where the neighbouring value exists at all
-        near = big.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).withColumn(
-            "w", F.expr("v ^ shiftleft(1L, i)"))
+        near = by_rows(big, width * NARROW_ROW).withColumn(
+            "i", F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).withColumn("w", F.expr("v ^ shiftleft(1L, i)"))
         near = materialize(near.join(values.select("key", "part", F.col("v").alias("w"), F.col("n").alias("m")),
                                      ["key", "part", "w"]), "big_neighbours")
         crowded = materialize(
@@ -110,7 +110,8 @@ def _index(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame | None]:
         allowed = materialize(big.join(allowed, ["key", "part", "v"], "left").select(
             "key", "part", "v", F.concat(F.array(F.lit(-1)), F.coalesce("some", F.array().cast("array<int>")))
             .alias("some")), "big_wiped")
-        cut = cut.join(allowed, ["key", "part", "v"], "left").withColumn("i", F.explode(F.coalesce("some", every)))
+        cut = cut.join(by_rows(allowed, 4 * NARROW_ROW), ["key", "part", "v"], "left").withColumn(
+            "i", F.explode(F.coalesce("some", every)))
     side = F.when(F.col("i") < 0, 2).otherwise(F.expr("cast(shiftrightunsigned(v, greatest(i, 0)) & 1 as int)"))
     index = cut.select(_key(F.col("i"), F.col("v")).alias("key"), side.alias("side"), "fp", "shift", "r0", "r1")
     return index, crowded
@@ -123,7 +124,8 @@ def _pairs(index: DataFrame) -> DataFrame:
     b = index.where("side <> 0").select("key", F.col("side").alias("sb"), F.col("fp").alias("b"),
                                         F.col("r0").alias("q0"), F.col("r1").alias("q1"))
     opposite = "(({0} = 2 and {1} = 2) or {0} + {1} = 1)"
-    return a.join(b, "key").where(
+    # the rows that an explode made of a fingerprint (66) are in no estimate, so b could be broadcast as if small
+    return a.join(b.hint("merge"), "key").where(
         f"bit_count(a ^ b) <= {MAX_BITS} and ((sa = 0 and sb = 1) or (sa = 2 and sb = 2 and a < b))"
         f" and {opposite.format('p0', 'q0')} and {opposite.format('p1', 'q1')}").select("a", "b")
 
@@ -139,6 +141,7 @@ def links(fps: DataFrame) -> DataFrame:
         if crowded is None or level == 2:
             found.append(_pairs(index))
             break
+        crowded = by_rows(crowded)
         found.append(_pairs(index.join(crowded, "key", "left_anti")))
         rows = materialize(index.join(crowded, "key", "left_semi")
                            .withColumn(f"r{level}", F.col("side")).drop("side"), "crowded_members")
@@ -155,11 +158,11 @@ def group_roots(fps: DataFrame, id_col: str) -> DataFrame:
     """
     nodes = materialize(fps.groupBy("fp").agg(F.min(id_col).alias("rep")), "nodes")
     roots = materialize(components(links(nodes.select("fp"))), "roots")
-    placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+    placed = nodes.join(by_rows(roots), nodes["fp"] == roots["node"], "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("least"))
     # written before the join back, so that a component of very many members is split by AQE
     least = materialize(placed.groupBy("least").agg(F.min("rep").alias("component_id")), "least")
-    return materialize(placed.join(least, "least").select("fp", "component_id", "least"), "groups")
+    return materialize(placed.join(by_rows(least), "least", "left").select("fp", "component_id", "least"), "groups")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -168,7 +171,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     fps = materialize(with_fingerprints(rows, "text", "fp", shingle_words, keep_text=False), "fingerprints")
     groups = group_roots(fps, "doc_id")
-    return fps.join(groups, "fp").select(
+    # every fingerprint has its group; a left join is never built on the side of the documents
+    return fps.join(by_rows(groups), "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -185,10 +189,10 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ids = rows.select(F.col(fp).alias("fp"), F.col(rid).alias("rid"), F.col(id_col).alias("id"))
     groups = group_roots(ids, "id")
     first = F.min(F.struct(F.col("id").isNull(), "id", "rid"))
-    best = ids.groupBy("fp").agg(first.alias("f")).join(groups.select("fp", "least"), "fp")
+    best = ids.groupBy("fp").agg(first.alias("f")).join(by_rows(groups.select("fp", "least")), "fp")
     kept = materialize(best.groupBy("least").agg(F.min("f").alias("f")).select(F.col("f.rid").alias("rid")), "kept")
-    dropped = materialize(ids.select("rid").join(kept, "rid", "left_anti"), "dropped")
-    return rows.join(dropped, rows[rid] == dropped["rid"], "left_anti").select(*docs.columns)
+    dropped = materialize(ids.select("rid").join(by_rows(kept), "rid", "left_anti"), "dropped")
+    return rows.join(by_rows(dropped), rows[rid] == dropped["rid"], "left_anti").select(*docs.columns)
 
 
 @register("op10_simhash")

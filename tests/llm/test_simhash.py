@@ -3,8 +3,9 @@ import random
 import pytest
 import xxhash
 
-from edgefilter.llm import simhash
+from edgefilter.llm import common, components, simhash
 from edgefilter.llm.common import table
+from edgefilter.session import materialize
 
 
 def brute(rows):
@@ -73,3 +74,40 @@ def test_links_find_every_pair_within_three_bits(spark, monkeypatch, crowded):
     got = {(min(r), max(r)) for r in map(tuple, simhash.links(
         spark.createDataFrame([(f,) for f in fps], "fp long")).collect())}
     assert got == want
+
+
+def plan(df):
+    """What Spark plans before it has run anything, by the sizes it assumes."""
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_exploded_index_is_not_broadcast(spark):
+    rng = random.Random(8)
+    fps = materialize(spark.createDataFrame([(rng.getrandbits(63),) for _ in range(1000)], "fp long"), "fps")
+    assert "BroadcastHashJoin" not in plan(simhash.links(fps))
+
+
+def test_tables_of_many_rows_are_not_broadcast(spark, monkeypatch):
+    """Also where buckets are crowded; no table of more than SENT_BYTES is sent to all tasks, and the rows stay right."""
+    rng = random.Random(6)
+    centre = rng.getrandbits(63)
+    rows = [(i, f"{i % 40} b c d e f") for i in range(60)]
+    fps = sorted({centre ^ sum({1 << rng.randrange(32) for _ in range(2)}) for _ in range(60)})
+    seen = []
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "materialize",
+                            lambda df, name: seen.append((name, plan(df))) or materialize(df, name))
+    monkeypatch.setattr(common, "SENT_BYTES", 0, raising=False)
+    monkeypatch.setattr(simhash, "CROWDED", 4)
+    want = {(a, b) for i, a in enumerate(fps) for b in fps[i + 1:] if bin(a ^ b).count("1") <= 3}
+    got = {(min(r), max(r)) for r in map(tuple, simhash.links(
+        materialize(spark.createDataFrame([(f,) for f in fps], "fp long"), "fps")).collect())}
+    assert got == want
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen.append(("components", plan(simhash.simhash_components(docs))))
+    kept = simhash.simhash_dedup(docs)
+    seen.append(("kept", plan(kept)))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
+    assert {"big_neighbours", "crowded_members", "links", "groups", "dropped", "kept"} <= {name for name, _ in seen}
+    # the two joins with what a shuffle just gave are decided by its real size
+    assert {name for name, text in seen if "BroadcastHashJoin" in text} <= {"big_wiped", "groups"}
