@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from edgefilter.llm.common import blocks, fresh, raw_bytes, register, release, table
+from edgefilter.llm.common import NARROW_ROW, blocks, by_rows, fresh, raw_bytes, register, release, table
 from edgefilter.llm.rolling import Sums, pieces, words
 from edgefilter.session import materialize
 
@@ -208,18 +208,20 @@ def search(docs: DataFrame, items: DataFrame, t: float = CONTAINMENT, id_col: st
                     h.view(np.int64)), pa.array(size[row].astype(np.int64))], ["rid", "h", "doc_size"])
         release()
 
-    met = texts.select("rid", "text").mapInArrow(hits, "rid long, h long, doc_size long").join(sketch, "h").where(
+    met = texts.select("rid", "text").mapInArrow(hits, "rid long, h long, doc_size long").join(by_rows(sketch), "h").where(
         F.col("doc_size") >= t * F.col("size") - 1e-9)
     found = materialize(met.groupBy("rid", "iid").agg(F.countDistinct("h").alias("n"), F.first("need").alias("need"))
                         .where("n >= need").select("rid", "iid"), "candidates")
-    lists = found.join(items, "iid").groupBy("rid").agg(
+    # every candidate has its item, so the left join is never built on the side of the documents
+    lists = found.join(by_rows(items, NARROW_ROW + F.octet_length("text")), "iid", "left").groupBy("rid").agg(
         F.collect_list(F.struct("iid", F.col("text").alias("item"))).alias("items"))
     near = docs.select(row_key(id_col, text_col).alias("rid"), row_key(id_col, text_col, 1).alias("rid2"),
-                       F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(materialize(found.select("rid").distinct(), "candidate_rows"), "rid", "left_semi")
+                       F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(
+        by_rows(materialize(found.select("rid").distinct(), "candidate_rows")), "rid", "left_semi")
     checked = near.join(lists, "rid").mapInArrow(
         _verify, "rid long, rid2 long, doc_id long, iid long, n_shared long, n_shingles long").where(
         F.col("n_shared") >= t * F.col("n_shingles") - 1e-9)
-    return checked.join(listed.select("iid", "item_id"), "iid").select(
+    return checked.join(by_rows(listed.select("iid", "item_id")), "iid").select(
         "rid", "rid2", "doc_id", "item_id", "n_shared", "n_shingles")
 
 
@@ -236,7 +238,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     bad = materialize(search(docs, items, id_col=id_col, text_col=text_col, **how).select(
         F.col("rid").alias(keys[0]), F.col("rid2").alias(keys[1])).distinct(), "contaminated")
     keyed = docs.withColumn(keys[0], row_key(id_col, text_col)).withColumn(keys[1], row_key(id_col, text_col, 1))
-    return keyed.join(bad, keys, "left_anti").select(*docs.columns)
+    return keyed.join(by_rows(bad), keys, "left_anti").select(*docs.columns)
 
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"

@@ -38,7 +38,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgefilter.llm.common import fresh, hash_share, register, table
+from edgefilter.llm.common import NARROW_ROW, by_rows, fresh, hash_share, register, table
 from edgefilter.session import materialize
 
 #: Names that credentials go by, and names of what is not one.
@@ -195,10 +195,13 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", char
                      "then length(b) - length(a) when a < b then -1 when a > b then 1 else 0 end)")
     rid, drop = fresh(docs, "rid"), fresh(docs, "secrets")
     lists = materialize(secrets.groupBy(F.col("rid").alias(rid)).agg(longest.alias(drop)), "secrets")
+    # a secret that many documents hold is written once and takes its whole length in each row
+    held = F.aggregate(drop, F.lit(NARROW_ROW).cast("long"), lambda n, s: n + F.octet_length(s))
     text = F.col(text_col)
     cleaned = F.when(F.col(drop).isNull(), text).otherwise(
         F.aggregate(drop, text, lambda t, s: F.replace(t, s, F.lit(REDACTED))))
-    out = docs.withColumn(rid, F.xxhash64(F.col(id_col), text)).join(lists, rid, "left").withColumn(text_col, cleaned)
+    out = docs.withColumn(rid, F.xxhash64(F.col(id_col), text)).join(
+        by_rows(lists, held), rid, "left").withColumn(text_col, cleaned)
     if chars_col in docs.columns:
         out = out.withColumn(chars_col, F.when(F.col(drop).isNull(), F.col(chars_col)).otherwise(
             F.length(text).cast(docs.schema[chars_col].dataType)))

@@ -3,9 +3,10 @@ import random
 import duckdb
 import pytest
 
+from edgefilter.llm import common, rolling
 from edgefilter.llm import decontaminate as D
-from edgefilter.llm import rolling
 from edgefilter.llm.common import table
+from edgefilter.session import materialize
 
 
 def _words(t):
@@ -98,3 +99,19 @@ def test_long_texts_go_in_pieces(spark):
     assert sorted(map(tuple, D.contaminated(a, b).collect()), key=str) == want
     long = spark.createDataFrame([(3, " ".join(w * 40)), (4, "z" * 1_500_000 + " " + " ".join(w[:20]))], "doc_id long, text string")
     assert {r.doc_id for r in D.contaminated(long, b.where("item_id = 1")).collect()} == {3}
+
+
+def test_tables_that_grow_with_the_documents_are_not_broadcast(spark, monkeypatch):
+    words = [f"w{k}" for k in range(12)]
+    docs = materialize(spark.createDataFrame(
+        [(i, " ".join(words) if i % 2 else f"other text number {i} is here") for i in range(200)],
+        "doc_id long, text string"), "docs")
+    items = materialize(spark.createDataFrame([(1, " ".join(words[2:10]))], "item_id long, text string"), "bench")
+    seen = []
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    monkeypatch.setattr(D, "materialize", lambda df, name: seen.append((name, plan(df))) or materialize(df, name))
+    monkeypatch.setattr(common, "SENT_BYTES", 0, raising=False)
+    out = D.decontaminate(docs, items)
+    seen.append(("kept", plan(out)))
+    assert sorted(r.doc_id for r in out.collect()) == list(range(0, 200, 2))
+    assert {name for name, text in seen if "BroadcastHashJoin" in text} & {"candidates", "kept"} == set()
